@@ -1,0 +1,101 @@
+"""Kafka-shaped record envelope derived from the ``events`` table.
+
+No broker is available for tests and benchmarks, so this builds the records a
+device fleet would publish, one per ``events`` row, with the same columns a
+Kafka source delivers (``key``, ``value`` as BINARY, ``topic``, ``partition``,
+``offset``, ``timestamp``).  Every 40th-residue class of ``event_id`` carries a
+known defect so the corrupt and QC paths are exercised; see FIXTURES.md.
+
+It is a pure projection of ``events``: no shuffle, scales with the table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+TOPIC = "telemetry"
+N_CLASSES = 40
+N_CARS = 20
+N_PARTITIONS = 5
+
+
+def _q(text: Column) -> Column:
+    """JSON string literal around an already safe text."""
+    return F.concat(F.lit('"'), text, F.lit('"'))
+
+
+def _pair(key: str, value: Column) -> Column:
+    return F.concat(F.lit(f'"{key}":'), value)
+
+
+def payload_text(events: DataFrame) -> Column:
+    """The defect-injected JSON text for each ``events`` row."""
+    eid, uid = F.col("event_id"), F.col("user_id")
+    cls = eid % N_CLASSES
+    ts_text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+    good = {
+        "trip_id": _q(F.concat(F.lit("T"), uid.cast("string"))),
+        "car_id": _q(F.concat(F.lit("Car_"), (uid % N_CARS).cast("string"))),
+        "latitude": F.concat((eid % 90).cast("string"), F.lit(".25")),
+        "longitude": F.lit("88.5"),
+        "timestamp": _q(ts_text),
+        "speed_kmph": F.col("value").cast("string"),
+        "fuel_level": F.concat((eid % 121).cast("string"), F.lit(".0")),
+        "engine_temp_c": F.concat((F.lit(60) + eid % 71).cast("string"), F.lit(".5")),
+        "trip_start_time": _q(F.concat(F.substring(ts_text, 1, 10), F.lit("T00:00:00"))),
+        "trip_start_latitude": F.lit("22.5"),
+        "trip_start_longitude": F.lit("88.25"),
+    }
+
+    # Per-class edits of single pairs; a NULL pair is dropped by concat_ws.
+    value_edits = {
+        "speed_kmph": {5: F.lit('"fast"')},
+        "timestamp": {6: F.lit('"yesterday"')},
+        "fuel_level": {3: F.lit(None).cast("string"), 8: F.lit("null")},
+        "latitude": {9: F.lit("95.0")},
+    }
+    pairs = []
+    for key, text in good.items():
+        edited = text
+        for c, alt in value_edits.get(key, {}).items():
+            edited = F.when(cls == c, alt).otherwise(edited)
+        if key == "fuel_level":
+            pair = F.when(cls == 3, F.lit(None).cast("string")).otherwise(_pair(key, edited))
+        elif key == "car_id":
+            pair = F.when(cls == 7, _pair("Car_ID", edited)).otherwise(_pair(key, edited))
+        else:
+            pair = _pair(key, edited)
+        pairs.append(pair)
+
+    body = F.concat_ws(",", *pairs)
+    edited_obj = F.concat(
+        F.lit("{"),
+        F.when(cls == 4, F.lit('"firmware":"v2",')).otherwise(F.lit("")),
+        body,
+        F.lit("}"),
+    )
+    good_obj = F.concat(
+        F.lit("{"), F.concat_ws(",", *(_pair(k, v) for k, v in good.items())), F.lit("}")
+    )
+    return (
+        F.when(cls == 0, F.substring(good_obj, 1, 60))
+        .when(cls == 1, F.lit("hello"))
+        .when(cls == 2, F.lit(None).cast("string"))
+        .when(cls == 10, F.concat(F.lit("["), good_obj, F.lit("]")))
+        .otherwise(edited_obj)
+    )
+
+
+def envelope_from_events(events: DataFrame) -> DataFrame:
+    """Kafka-shaped envelope, one record per ``events`` row."""
+    uid = F.col("user_id")
+    return events.select(
+        F.concat(F.lit("Car_"), (uid % N_CARS).cast("string")).cast("binary").alias("key"),
+        payload_text(events).cast("binary").alias("value"),
+        F.lit(TOPIC).alias("topic"),
+        (uid % N_PARTITIONS).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )

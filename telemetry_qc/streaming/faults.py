@@ -1,0 +1,34 @@
+"""Fault injection for sinks: exercise the failure policies and replay."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+
+
+class SinkUnavailable(RuntimeError):
+    pass
+
+
+@dataclass
+class FailOnce:
+    """Wraps a sink; the first write of ``batch_id`` raises, later writes
+    (a replay after restart) go through."""
+
+    inner: object
+    batch_id: int = 1
+    failed: bool = False
+
+    @property
+    def name(self) -> str:
+        return self.inner.name
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        if batch_id == self.batch_id and not self.failed:
+            self.failed = True
+            raise SinkUnavailable(f"sink {self.name} unavailable")
+        self.inner.write(df, batch_id)
+
+    def read(self, spark):
+        return self.inner.read(spark)
