@@ -76,13 +76,18 @@ def contract_errors(
     An explicit JSON ``null`` is not a contract violation (QC handles nulls).
     """
     raw = raw if raw is not None else raw_fields(text)
-    parts = [
-        F.when(~F.map_contains_key(raw, F.lit(n)), F.lit(f"Missing column: {n}"))
+    # Every part is NULL when ``raw`` is NULL, so "Malformed JSON" stands
+    # alone without an enclosing CASE; keeping all parts unconditional lets
+    # common subexpressions (the key array) be computed once per row.
+    keys = F.map_keys(raw)
+    parts = [F.when(raw.isNull(), F.lit(MALFORMED))]
+    parts += [
+        F.when(~F.array_contains(keys, F.lit(n)), F.lit(f"Missing column: {n}"))
         for n in expected.names
     ]
     if not allow_unexpected:
         names = F.array(*(F.lit(n) for n in expected.names))
-        extra = F.sort_array(F.array_except(F.map_keys(raw), names))
+        extra = F.sort_array(F.array_except(keys, names))
         parts.append(
             F.when(
                 F.size(extra) > 0,
@@ -99,7 +104,7 @@ def contract_errors(
         )
         for n in expected.names
     ]
-    return F.when(raw.isNull(), F.lit(MALFORMED)).otherwise(_join_reasons(parts))
+    return _join_reasons(parts)
 
 
 def required_fields_errors(
@@ -116,15 +121,17 @@ def required_fields_errors(
     present.  Returns the reasons joined by "; ", or NULL when accepted.
     """
     raw = raw if raw is not None else raw_fields(text)
-    parts = []
+    parts = [F.when(raw.isNull(), F.lit(MALFORMED))]
     for f in expected:
         v = raw[f.name]
         if f.name in text_fields or f.dataType.typeName() == "string":
             bad = v.isNull()
         else:
             bad = v.isNull() | v.try_cast(f.dataType).isNull()
-        parts.append(F.when(bad, F.lit(f"Field required or invalid: {f.name}")))
-    return F.when(raw.isNull(), F.lit(MALFORMED)).otherwise(_join_reasons(parts))
+        parts.append(
+            F.when(raw.isNotNull() & bad, F.lit(f"Field required or invalid: {f.name}"))
+        )
+    return _join_reasons(parts)
 
 
 def batch_route(
