@@ -40,11 +40,12 @@ def typed_payload(
 def raw_fields(text: Column | str) -> Column:
     """The object's top-level keys with their raw text values.
 
-    NULL when the text is not one JSON object (malformed, truncated, an
-    array, NULL or blank).  JSON ``null`` values map to NULL; strings lose
-    their quotes; nested values keep their JSON text.
+    NULL when the text is not one strict JSON object (malformed, truncated,
+    an array, NULL, blank, or holding a non-numeric literal such as NaN).
+    JSON ``null`` values map to NULL; strings lose their quotes; nested
+    values keep their JSON text.
     """
-    return F.from_json(text, RAW_MAP)
+    return F.from_json(text, RAW_MAP, CONTRACT_PARSE_OPTIONS)
 
 
 def decode_envelope(env: DataFrame) -> DataFrame:

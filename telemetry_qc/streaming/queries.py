@@ -31,6 +31,7 @@ class StreamRun:
     sinks: dict
     error_log: AppendParquetSink
     attempts: int
+    progress: list
 
 
 def land_envelope(spark: SparkSession, sf_dir: str, files: int = N_FILES) -> str:
@@ -64,18 +65,20 @@ def run_landed(
         on_error=on_error,
         trigger={"availableNow": True},
     )
-    attempts = 0
+    attempts, progress = 0, []
     while True:
         attempts += 1
         source = read_envelope_stream(spark, src, max_files_per_trigger=1)
         query = run_stream(spark, source, sinks, config, error_log)
         try:
             query.awaitTermination()
+            progress += query.recentProgress
             break
         except StreamingQueryException:
+            progress += query.recentProgress
             if attempts >= 2:
                 raise
-    return StreamRun(sinks, error_log, attempts)
+    return StreamRun(sinks, error_log, attempts, progress)
 
 
 _runs: dict[tuple, StreamRun] = {}

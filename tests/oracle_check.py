@@ -13,6 +13,7 @@ import sys
 import time
 
 HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
 sys.path.insert(0, os.path.dirname(HERE))
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
