@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators.qc import DEFAULT_RULES, Rule
 from ..paths import fresh_path
+from ..schemas import SINK_SCHEMAS
+from ..sinks.tables import check_frame
 from .batch import ROUTE, SINK_ORDER, annotate, route, spread, stage
 
 
@@ -45,7 +47,7 @@ def process(
     outputs = route(staged, rules)
     for name in SINK_ORDER:
         if sinks and name in sinks:
-            sinks[name].write(outputs[name], batch_id)
+            sinks[name].write(check_frame(outputs[name], SINK_SCHEMAS[name], name), batch_id)
     return BatchResult(staged, outputs)
 
 

@@ -9,6 +9,22 @@ from typing import Protocol, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..operators.contract import schema_diff
+
+
+class SinkSchemaError(ValueError):
+    pass
+
+
+def check_frame(df: DataFrame, expected: StructType, table: str) -> DataFrame:
+    """Refuse to write a frame whose columns differ from the table definition
+    (names and types; order and nullability ignored).  Metadata only."""
+    problems = schema_diff(df, expected)
+    if problems:
+        raise SinkSchemaError(f"{table}: " + "; ".join(problems))
+    return df
 
 
 class Sink(Protocol):

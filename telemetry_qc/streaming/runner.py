@@ -26,7 +26,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.qc import DEFAULT_RULES, Rule
 from ..plans.batch import CLEAN, CORRUPT, FAILED, ROUTE, SINK_ORDER, annotate, route, stage
+from ..schemas import SINK_SCHEMAS
 from ..sinks.error_log import log_error
+from ..sinks.tables import check_frame
 
 FAIL, LOG = "fail", "log"
 METRICS_NAME = "qc_batch"
@@ -101,7 +103,8 @@ def make_batch_writer(
             for name in SINK_ORDER:
                 if name in sinks:
                     target = name
-                    sinks[name].write(outputs[name], batch_id)
+                    frame = check_frame(outputs[name], SINK_SCHEMAS[name], name)
+                    sinks[name].write(frame, batch_id)
         except Exception as e:  # noqa: BLE001 - policy decides
             if config.on_error == FAIL:
                 raise

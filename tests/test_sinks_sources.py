@@ -75,3 +75,32 @@ def test_publish_frame_round_trip(spark):
     assert all(r["key"] == r["car_id"] for r in pairs)
     sample = json.loads(frame.first()["value"])
     assert list(sample) == PAYLOAD_SCHEMA.names
+
+
+def test_check_frame(spark):
+    import pytest
+    from telemetry_qc.schemas import CORRUPT_RECORDS_SCHEMA
+    from telemetry_qc.sinks.tables import SinkSchemaError, check_frame
+
+    good = Q.q07_corrupt_records(spark, SF_SMALL)
+    with pytest.raises(SinkSchemaError, match="Missing column: load_timestamp"):
+        check_frame(good, CORRUPT_RECORDS_SCHEMA, "corrupt_records")
+
+
+def test_consumer_plan_uses_caller_settings():
+    from telemetry_qc.streaming.consumer import ConsumerSettings, plan_consumer
+
+    s = ConsumerSettings(
+        app_label="group-1", bootstrap_servers="broker:9092", topic="telemetry",
+        checkpoint_dir="/shared/ckpt/group-1", jdbc_url="jdbc:postgresql://db:5432/x",
+        jdbc_options={"driver": "org.postgresql.Driver", "user": "u", "password": "p"},
+        tables={"device_data": "clean_rows"}, on_error="log", max_offsets_per_trigger=100000,
+    )
+    p = plan_consumer(s)
+    assert p.source_options["subscribe"] == "telemetry"
+    assert p.source_options["maxOffsetsPerTrigger"] == "100000"
+    assert p.sinks["device_data"].table == "clean_rows"
+    assert p.error_log.table == "consumer_error_log"
+    assert p.sinks["corrupt_records"].writer_options()["user"] == "u"
+    assert p.config.checkpoint_location == "/shared/ckpt/group-1"
+    assert p.config.on_error == "log" and p.config.app_label == "group-1"
