@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType, StructType
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from ..schemas import PAYLOAD_SCHEMA
 
@@ -18,6 +18,18 @@ CONTRACT_PARSE_OPTIONS = {"allowNonNumericNumbers": "false"}
 
 RAW_MAP = MapType(StringType(), StringType())
 
+# Field the typed parse fills with the record's text when any value fails to
+# parse to its declared type (or the text is not JSON at all).
+CORRUPT_FIELD = "_unparsed_text"
+
+
+def with_corrupt_field(schema: StructType) -> StructType:
+    return StructType(list(schema.fields) + [StructField(CORRUPT_FIELD, StringType())])
+
+
+def contract_parse_options() -> dict[str, str]:
+    return {**CONTRACT_PARSE_OPTIONS, "columnNameOfCorruptRecord": CORRUPT_FIELD}
+
 
 def as_text(c: Column | str) -> Column:
     """``cast(binary as string)`` (UTF-8), as done for Kafka key and value."""

@@ -6,14 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
-from ..functions.decode import (
-    CONTRACT_PARSE_OPTIONS,
-    decode_envelope,
-    raw_fields,
-    typed_payload,
-)
+from ..functions.decode import decode_envelope
 from ..schemas import PAYLOAD_SCHEMA
-from .contract import contract_errors
+from .contract import with_contract
 
 
 def parse_records(
@@ -21,25 +16,9 @@ def parse_records(
     expected: StructType = PAYLOAD_SCHEMA,
     allow_unexpected: bool = False,
 ) -> DataFrame:
-    """Envelope -> decoded record with ``parsed`` struct and ``error_reason``.
-
-    Each text is parsed twice, once typed and once as a raw key/text map;
-    both feed the per-row contract.  Pure projection: no shuffle.
-    """
-    decoded = decode_envelope(env)
-    text = F.col("value_str")
-    parsed = typed_payload(text, expected, CONTRACT_PARSE_OPTIONS)
-    return decoded.select(
-        "*",
-        parsed.alias("parsed"),
-        raw_fields(text).alias("raw"),
-    ).select(
-        *decoded.columns,
-        "parsed",
-        contract_errors(
-            text, F.col("parsed"), expected, allow_unexpected, raw=F.col("raw")
-        ).alias("error_reason"),
-    )
+    """Envelope -> decoded record with ``parsed`` struct and ``error_reason``
+    (see ``contract.with_contract``).  Pure projections: no shuffle."""
+    return with_contract(decode_envelope(env), "value_str", expected, allow_unexpected)
 
 
 def flatten_payload(expected: StructType = PAYLOAD_SCHEMA) -> list[Column]:

@@ -4,12 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from telemetry_qc.functions.decode import CONTRACT_PARSE_OPTIONS, raw_fields, typed_payload
 from telemetry_qc.operators.contract import (
     batch_route,
-    contract_errors,
     required_fields_errors,
     schema_diff,
+    with_contract,
 )
 from telemetry_qc.schemas import PAYLOAD_SCHEMA, TIMESTAMP_FIELDS
 
@@ -47,6 +46,13 @@ CASES = [
     ("extra key", '{"firmware":"v2",' + GOOD[1:], "Unexpected column: firmware"),
     ("two extra keys sorted", '{"zz":1,"aa":2,' + GOOD[1:],
      "Unexpected column: aa; Unexpected column: zz"),
+    ("missing, extra and mismatch together",
+     '{"zz":1,' + with_field("fuel_level", None)[1:].replace('"speed_kmph":50.5', '"speed_kmph":"x"'),
+     "Missing column: fuel_level; Unexpected column: zz; Type mismatch for column 'speed_kmph'"),
+    ("two mismatches in schema order",
+     with_field("speed_kmph", '"x"').replace('"latitude":22.5', '"latitude":true'),
+     "Type mismatch for column 'latitude'; Type mismatch for column 'speed_kmph'"),
+    ("duplicate key, last value wins", GOOD[:-1] + ',"fuel_level":41.0}', None),
     ("string for double", with_field("speed_kmph", '"fast"'),
      "Type mismatch for column 'speed_kmph'"),
     ("quoted number for double", with_field("speed_kmph", '"50.1"'),
@@ -66,10 +72,7 @@ CASES = [
 @pytest.fixture(scope="module")
 def checked(spark):
     df = spark.createDataFrame([(c[0], c[1]) for c in CASES], "tag string, value string")
-    parsed = typed_payload("value", options=CONTRACT_PARSE_OPTIONS)
-    out = df.select("tag", parsed.alias("p"), raw_fields("value").alias("raw")).select(
-        "tag", "p", contract_errors(F.lit(None), F.col("p"), raw=F.col("raw")).alias("err")
-    )
+    out = with_contract(df, "value").select("tag", F.col("parsed").alias("p"), F.col("error_reason").alias("err"))
     return {r["tag"]: r for r in out.collect()}
 
 
@@ -85,9 +88,7 @@ def test_partial_parse_keeps_other_fields(checked):
 
 def test_allow_unexpected(spark):
     df = spark.createDataFrame([('{"firmware":"v2",' + GOOD[1:],)], "value string")
-    parsed = typed_payload("value")
-    err = contract_errors(F.col("value"), parsed, allow_unexpected=True)
-    assert df.select(err.alias("e")).first()["e"] is None
+    assert with_contract(df, "value", allow_unexpected=True).first()["error_reason"] is None
 
 
 def test_schema_diff_messages():

@@ -6,8 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from telemetry_qc.functions.decode import typed_payload
-from telemetry_qc.operators.contract import contract_errors
+from telemetry_qc.operators.contract import with_contract
 from telemetry_qc.plans import queries as Q
 from telemetry_qc.plans.batch import schema_valid
 from telemetry_qc.schemas import ERROR_LOG_SCHEMA, PAYLOAD_SCHEMA
@@ -68,10 +67,9 @@ def test_publish_frame_round_trip(spark):
     valid = schema_valid(Q.staged_envelope(spark, SF_SMALL))
     frame = publish_frame(valid, topic="out")
     assert frame.columns == ["key", "value", "topic"]
-    back = frame.select("key", typed_payload("value").alias("p"), contract_errors(
-        F.col("value"), typed_payload("value")).alias("err"))
-    assert back.filter(F.col("err").isNotNull()).count() == 0
-    pairs = back.select("key", "p.car_id").distinct().collect()
+    back = with_contract(frame, "value")
+    assert back.filter(F.col("error_reason").isNotNull()).count() == 0
+    pairs = back.select("key", "parsed.car_id").distinct().collect()
     assert all(r["key"] == r["car_id"] for r in pairs)
     sample = json.loads(frame.first()["value"])
     assert list(sample) == PAYLOAD_SCHEMA.names
