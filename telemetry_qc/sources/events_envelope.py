@@ -29,11 +29,18 @@ def _pair(key: str, value: Column) -> Column:
     return F.concat(F.lit(f'"{key}":'), value)
 
 
-def payload_text(events: DataFrame) -> Column:
-    """The defect-injected JSON text for each ``events`` row."""
+def _pieces(events: DataFrame) -> DataFrame:
+    """Per row: the defect class, the good JSON text and the edited one.
+
+    A projection of its own, so the shared pieces (timestamp text, good
+    object) are computed once per row and not once per CASE branch."""
     eid, uid = F.col("event_id"), F.col("user_id")
     cls = eid % N_CLASSES
     ts_text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    base = events.select(
+        "event_id", "user_id", "ts", "value", cls.alias("cls"), ts_text.alias("ts_text")
+    )
+    cls, ts_text = F.col("cls"), F.col("ts_text")
 
     good = {
         "trip_id": _q(F.concat(F.lit("T"), uid.cast("string"))),
@@ -53,7 +60,7 @@ def payload_text(events: DataFrame) -> Column:
     value_edits = {
         "speed_kmph": {5: F.lit('"fast"')},
         "timestamp": {6: F.lit('"yesterday"')},
-        "fuel_level": {3: F.lit(None).cast("string"), 8: F.lit("null")},
+        "fuel_level": {8: F.lit("null")},
         "latitude": {9: F.lit("95.0")},
     }
     pairs = []
@@ -69,31 +76,40 @@ def payload_text(events: DataFrame) -> Column:
             pair = _pair(key, edited)
         pairs.append(pair)
 
-    body = F.concat_ws(",", *pairs)
     edited_obj = F.concat(
         F.lit("{"),
         F.when(cls == 4, F.lit('"firmware":"v2",')).otherwise(F.lit("")),
-        body,
+        F.concat_ws(",", *pairs),
         F.lit("}"),
     )
     good_obj = F.concat(
         F.lit("{"), F.concat_ws(",", *(_pair(k, v) for k, v in good.items())), F.lit("}")
     )
+    # Only classes 3-9 edit single pairs; other rows skip building that text.
+    edited = F.when(cls.between(3, 9), edited_obj)
+    return base.select(
+        "event_id", "user_id", "ts", "cls", good_obj.alias("good"), edited.alias("edited")
+    )
+
+
+def payload_text() -> Column:
+    """The defect-injected JSON text, over the columns of ``_pieces``."""
+    cls, good = F.col("cls"), F.col("good")
     return (
-        F.when(cls == 0, F.substring(good_obj, 1, 60))
+        F.when(cls == 0, F.substring(good, 1, 60))
         .when(cls == 1, F.lit("hello"))
         .when(cls == 2, F.lit(None).cast("string"))
-        .when(cls == 10, F.concat(F.lit("["), good_obj, F.lit("]")))
-        .otherwise(edited_obj)
+        .when(cls == 10, F.concat(F.lit("["), good, F.lit("]")))
+        .otherwise(F.coalesce(F.col("edited"), good))
     )
 
 
 def envelope_from_events(events: DataFrame) -> DataFrame:
     """Kafka-shaped envelope, one record per ``events`` row."""
     uid = F.col("user_id")
-    return events.select(
+    return _pieces(events).select(
         F.concat(F.lit("Car_"), (uid % N_CARS).cast("string")).cast("binary").alias("key"),
-        payload_text(events).cast("binary").alias("value"),
+        payload_text().cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
         (uid % N_PARTITIONS).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
