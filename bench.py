@@ -60,13 +60,15 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
 
     def timed(fn):
+        t = time.perf_counter()
         fn()  # warm-up (JIT, file listing), not counted
-        ts = []
+        ts = [time.perf_counter() - t]
         for _ in range(REPS):
             t = time.perf_counter()
             fn()
             ts.append(time.perf_counter() - t)
-        return round(statistics.median(ts), 3)
+        log("  runs (first = warm-up):", [round(x, 2) for x in ts])
+        return round(statistics.median(ts[1:]), 3)
 
     def pipeline():
         base = fresh_path(spark, "bench-pipeline")
@@ -99,7 +101,7 @@ def main() -> None:
         results[name] = timed(lambda n=name: noop(Q.QUERIES[n](spark, SF_DIR)))
         log(name, results[name])
 
-    # Streaming: envelope landed as 4 files, 4 micro-batches, 4 sinks each.
+    # Streaming: envelope landed as files, 4 micro-batches, 4 sinks each.
     results["stream_4_batches"] = timed(lambda: run_landed(spark, SF_DIR))
     log("stream_4_batches", results["stream_4_batches"])
 

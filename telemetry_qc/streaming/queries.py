@@ -20,7 +20,7 @@ from ..sources.files import land, read_envelope_stream
 from .faults import FailOnce
 from .runner import FAIL, LOG, StreamConfig, run_stream
 
-N_FILES = 4
+N_BATCHES = 4
 FAILING_BATCH = 1
 FAILING_SINK = "device_data"
 SINK_NAMES = ("qc_audit_log_table", "qc_failed_table", "corrupt_records", "device_data")
@@ -34,8 +34,17 @@ class StreamRun:
     progress: list
 
 
-def land_envelope(spark: SparkSession, sf_dir: str, files: int = N_FILES) -> str:
-    """The envelope as ``files`` parquet files, offset ranges in order."""
+def files_per_batch(spark: SparkSession) -> int:
+    """One file per core in each micro-batch: a batch is read by as many
+    tasks as the cluster runs at once (the file-source analogue of Kafka's
+    ``minPartitions``), with no shuffle."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
+def land_envelope(spark: SparkSession, sf_dir: str, batches: int = N_BATCHES) -> str:
+    """The envelope as ``batches`` x ``files_per_batch`` parquet files, each
+    holding one range of offsets."""
+    files = batches * files_per_batch(spark)
     return land(envelope(spark, sf_dir), fresh_path(spark, "envelope-files"), files, "offset")
 
 
@@ -68,7 +77,7 @@ def run_landed(
     attempts, progress = 0, []
     while True:
         attempts += 1
-        source = read_envelope_stream(spark, src, max_files_per_trigger=1)
+        source = read_envelope_stream(spark, src, max_files_per_trigger=files_per_batch(spark))
         query = run_stream(spark, source, sinks, config, error_log)
         try:
             query.awaitTermination()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from telemetry_qc.plans import queries as Q
 from telemetry_qc.plans.process import drop_run_columns
-from telemetry_qc.streaming.queries import FAILING_BATCH, N_FILES, run_landed
+from telemetry_qc.streaming.queries import FAILING_BATCH, N_BATCHES, files_per_batch, run_landed
 from telemetry_qc.streaming.runner import FAIL, LOG, METRICS_NAME, StreamConfig
 
 
@@ -36,7 +36,7 @@ def test_stream_equals_batch(spark, batch_tables):
     for name, expected in batch_tables.items():
         assert table_rows(spark, run, name) == expected, name
     batches = [p for p in run.progress if p["numInputRows"] > 0]
-    assert len(batches) == N_FILES
+    assert len(batches) == N_BATCHES
     metrics = [p["observedMetrics"][METRICS_NAME] for p in batches]
     total = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
     assert sum(int(m["records"]) for m in metrics) == total
@@ -86,6 +86,6 @@ def test_stage_materialization(spark, scratch, batch_tables):
     sinks = {"device_data": ParquetTableSink("device_data", f"{base}/device_data")}
     cfg = StreamConfig(checkpoint_location=f"{base}/_ckpt", materialize="stage",
                        stage_dir=f"{base}/_stage", trigger={"availableNow": True})
-    q = run_stream(spark, read_envelope_stream(spark, src, 1), sinks, cfg)
+    q = run_stream(spark, read_envelope_stream(spark, src, files_per_batch(spark)), sinks, cfg)
     q.awaitTermination()
     assert rows(drop_run_columns(sinks["device_data"].read(spark))) == batch_tables["device_data"]
