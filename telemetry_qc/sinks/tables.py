@@ -4,6 +4,7 @@ each one states how a replay is absorbed."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Protocol, Sequence
 
@@ -80,24 +81,44 @@ class AppendParquetSink:
 
 @dataclass
 class CatalogTableSink:
-    """A catalog table (``saveAsTable``), appended per batch.
+    """A catalog table partitioned by ``batch_id`` (plus ``partition_by``).
 
-    Replays are absorbed by ``delete_batch``: the rows of a batch carry the
-    ``batch_id`` column and are first removed when the table format supports
-    deletes; otherwise readers should de-duplicate on the record identity.
+    The first batch creates the table (data at ``path`` when given); later
+    batches are inserted with ``INSERT OVERWRITE ... PARTITION (batch_id =
+    N, ...)``, which replaces that batch's partitions only.  A replayed
+    batch therefore replaces its own rows and never doubles them.
     """
 
     name: str
     table: str
     partition_by: Sequence[str] = field(default_factory=tuple)
     format: str = "parquet"
+    path: str | None = None
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        w = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write
-        w = w.mode("append").format(self.format)
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.saveAsTable(self.table)
+        spark = df.sparkSession
+        framed = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+        parts = ["batch_id", *self.partition_by]
+        if not spark.catalog.tableExists(self.table):
+            w = framed.write.format(self.format).partitionBy(*parts)
+            if self.path:
+                w = w.option("path", self.path)
+            w.saveAsTable(self.table)
+            return
+        # Static batch_id in the partition spec: the overwrite replaces that
+        # batch's partitions and nothing else.
+        data_cols = [c for c in spark.table(self.table).columns if c not in parts]
+        view = f"_batch_{uuid.uuid4().hex[:12]}"
+        df.createOrReplaceTempView(view)
+        try:
+            spec = ", ".join([f"batch_id = {int(batch_id)}", *self.partition_by])
+            cols = ", ".join(f"`{c}`" for c in [*data_cols, *self.partition_by])
+            spark.sql(
+                f"INSERT OVERWRITE TABLE {self.table} PARTITION ({spec}) "
+                f"SELECT {cols} FROM {view}"
+            )
+        finally:
+            spark.catalog.dropTempView(view)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.table(self.table)

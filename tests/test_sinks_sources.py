@@ -102,3 +102,19 @@ def test_consumer_plan_uses_caller_settings():
     assert p.sinks["corrupt_records"].writer_options()["user"] == "u"
     assert p.config.checkpoint_location == "/shared/ckpt/group-1"
     assert p.config.on_error == "log" and p.config.app_label == "group-1"
+
+
+def test_catalog_sink_replay_replaces_batch(spark, scratch):
+    import uuid
+    from telemetry_qc.sinks.tables import CatalogTableSink
+
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    sink = CatalogTableSink("t", name, ("d",), path=scratch("catalog"))
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, d string")
+    sink.write(df, 0)
+    sink.write(df, 1)
+    sink.write(df.limit(1), 1)  # replay of batch 1, partly different
+    out = sink.read(spark)
+    assert out.filter("batch_id = 0").count() == 2
+    assert out.filter("batch_id = 1").count() == 1
+    spark.sql(f"DROP TABLE {name}")
