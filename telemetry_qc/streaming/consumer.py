@@ -52,6 +52,11 @@ class ConsumerSettings:
     min_partitions: int | None = None
     starting_offsets: str = "earliest"
     kafka_options: Mapping[str, str] = field(default_factory=dict)
+    # Without a rate limit the first micro-batch is the topic's whole
+    # backlog, so batches are staged to shared storage by default rather
+    # than held in executor memory.
+    materialize: str = "stage"
+    stage_dir: str | None = None
 
 
 def plan_consumer(s: ConsumerSettings) -> ConsumerPlan:
@@ -69,6 +74,8 @@ def plan_consumer(s: ConsumerSettings) -> ConsumerPlan:
         rules=s.rules,
         trigger=s.trigger,
         app_label=s.app_label,
+        materialize=s.materialize,
+        stage_dir=s.stage_dir or f"{s.checkpoint_dir.rstrip('/')}_stage",
     )
     source = kafka_source_options(
         s.bootstrap_servers,

@@ -42,9 +42,10 @@ class StreamConfig:
     ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}`` or
     ``{"processingTime": "10 seconds"}``); unset means back-to-back batches.
     ``materialize``: ``"persist"`` keeps a micro-batch in executor memory /
-    disk while its outputs are written; ``"stage"`` writes it to
-    ``stage_dir/batch_id=N`` first (survives executor loss without
-    re-reading the source).  ``spread_partitions`` round-robins each batch
+    disk while its outputs are written (bounded batches); ``"stage"`` writes
+    it once to ``stage_dir`` in shared storage first, which bounds memory
+    whatever the batch size and survives executor loss without re-reading
+    the source.  ``spread_partitions`` round-robins each batch
     over that many tasks when the source has few partitions.
     """
 
@@ -96,7 +97,9 @@ def make_batch_writer(
         held = None
         try:
             if config.materialize == "stage":
-                held = stage(batch, f"{config.stage_dir}/batch_id={int(batch_id)}")
+                # One location, overwritten by every batch (and by a replay):
+                # batches run one after another, so nothing else reads it.
+                held = stage(batch, f"{config.stage_dir}/current")
             else:
                 held = batch.persist(StorageLevel.MEMORY_AND_DISK)
             outputs = route(held, config.rules)

@@ -102,6 +102,7 @@ def test_consumer_plan_uses_caller_settings():
     assert p.sinks["corrupt_records"].writer_options()["user"] == "u"
     assert p.config.checkpoint_location == "/shared/ckpt/group-1"
     assert p.config.on_error == "log" and p.config.app_label == "group-1"
+    assert p.config.materialize == "stage" and p.config.stage_dir == "/shared/ckpt/group-1_stage"
 
 
 def test_catalog_sink_replay_replaces_batch(spark, scratch):
