@@ -1,0 +1,109 @@
+"""Property tests: the row contract and the QC rules against plain-Python
+brute force on generated records (one Spark job per generated batch)."""
+
+import json
+import math
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from telemetry_qc.operators.contract import with_contract
+from telemetry_qc.operators.qc import Rule, apply_rules
+from telemetry_qc.schemas import PAYLOAD_SCHEMA
+
+STRING_FIELDS = {"trip_id", "car_id"}
+TIME_FIELDS = {"timestamp", "trip_start_time"}
+NAMES = PAYLOAD_SCHEMA.names
+
+MISSING = object()
+
+# (json text of the value, does it fit the field's type?)
+double_values = st.one_of(
+    st.integers(-10**6, 10**6).map(lambda v: (json.dumps(v), True)),
+    st.floats(-1e6, 1e6, allow_nan=False).map(lambda v: (json.dumps(v), True)),
+    st.sampled_from([('"fast"', False), ('"50.1"', False), ("true", False), ("null", True)]),
+)
+string_values = st.one_of(
+    st.text("abcXYZ_0123", min_size=1, max_size=8).map(lambda v: (json.dumps(v), True)),
+    st.integers(0, 999).map(lambda v: (json.dumps(v), True)),
+    st.just(("null", True)),
+)
+time_values = st.sampled_from([
+    ('"2024-01-02T03:04:05.123456"', True),
+    ('"2024-01-02T03:04:05"', True),
+    ('"yesterday"', False),
+    ("null", True),
+])
+
+
+def field_value(name):
+    base = string_values if name in STRING_FIELDS else time_values if name in TIME_FIELDS else double_values
+    return st.one_of(base, st.just(MISSING))
+
+
+record = st.tuples(
+    st.tuples(*[field_value(n) for n in NAMES]),
+    st.lists(st.sampled_from(["firmware", "zz", "Car_ID", "extra_1"]), max_size=2, unique=True),
+    st.randoms(use_true_random=False),
+)
+
+
+def render(rec):
+    values, extras, rnd = rec
+    pairs = [(n, v) for n, v in zip(NAMES, values) if v is not MISSING]
+    pairs += [(e, ('"x"', True)) for e in extras]
+    rnd.shuffle(pairs)
+    text = "{" + ",".join(f'"{k}":{v[0]}' for k, v in pairs) + "}"
+    return text, expected_reason(values, extras)
+
+
+def expected_reason(values, extras):
+    parts = [f"Missing column: {n}" for n, v in zip(NAMES, values) if v is MISSING]
+    parts += [f"Unexpected column: {e}" for e in sorted(extras)]
+    parts += [
+        f"Type mismatch for column '{n}'"
+        for n, v in zip(NAMES, values)
+        if v is not MISSING and not v[1]
+    ]
+    return "; ".join(parts) or None
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(record, min_size=20, max_size=60))
+def test_contract_matches_brute_force(spark, batch):
+    rows = [render(r) for r in batch]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i int, value string")
+    got = dict(with_contract(df, "value").select("i", "error_reason").collect())
+    for i, (text, want) in enumerate(rows):
+        assert got[i] == want, text
+
+
+def py_reason(rule, x):
+    c = rule.column
+    if x is None:
+        return f"{c} null" if rule.not_null else None
+    if math.isnan(x):
+        return f"{c} NaN"
+    if rule.min is not None and x < rule.min:
+        return f"{c} below {rule.min}"
+    if rule.max is not None and x > rule.max:
+        return f"{c} above {rule.max}"
+    return None
+
+
+values = st.one_of(st.none(), st.just(float("nan")), st.floats(-300, 300, allow_nan=False),
+                   st.sampled_from([0.0, -0.0, 100.0, 200.0, -90.0, 90.0]))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(values, values, values), min_size=20, max_size=80))
+def test_rules_match_brute_force(spark, batch):
+    rules = [Rule("a", True, 0, 100), Rule("b", False, None, 200), Rule("c", True, -90, None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(batch)], "i int, a double, b double, c double")
+    got = {r["i"]: (r["qc_status"], r["qc_summary"]) for r in apply_rules(df, rules).collect()}
+    for i, (a, b, c) in enumerate(batch):
+        reasons = [py_reason(rule, x) for rule, x in zip(rules, (a, b, c))]
+        reasons = [r for r in reasons if r]
+        want = ("fail", "; ".join(reasons)) if reasons else ("success", None)
+        assert got[i] == want, (a, b, c)
