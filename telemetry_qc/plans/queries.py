@@ -26,6 +26,7 @@ from ..operators.qc import (
     null_check,
     threshold,
 )
+from ..operators.rollup import vehicle_qc
 from ..paths import fresh_path
 from ..schemas import PAYLOAD_SCHEMA, TIMESTAMP_FIELDS
 from ..sinks.tables import ParquetTableSink
@@ -274,8 +275,6 @@ def q25_required_fields(spark, sf_dir):
 
 
 def q26_vehicle_qc(spark, sf_dir):
-    from ..operators.rollup import vehicle_qc
-
     return vehicle_qc(schema_valid(staged_envelope(spark, sf_dir)), DEFAULT_RULES)
 
 
@@ -289,8 +288,7 @@ def q27_date_partitioned(spark, sf_dir):
     sink = ParquetTableSink("device_data", fresh_path(spark, "device_data"), ("trip_start_date",))
     sink.write(device_data(staged), batch_id=0)
     day = sink.read(spark).filter(F.col("trip_start_date") == F.lit(REPORT_DAY).cast("date"))
-    cols = [c for c in device_data(staged).columns]
-    return drop_run_columns(day.select(*cols))
+    return drop_run_columns(day.select(*device_data(staged).columns))
 
 
 QUERIES: dict[str, Query] = {

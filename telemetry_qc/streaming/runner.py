@@ -16,6 +16,7 @@ with the name of the table whose write failed, and the batch is committed.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 from typing import Callable, Mapping, Sequence
 
@@ -153,3 +154,18 @@ def run_stream(
     if await_termination:
         query.awaitTermination()
     return query
+
+
+def stop_gracefully(query: StreamingQuery, poll_seconds: float = 0.5, timeout_seconds: float | None = None) -> bool:
+    """Stop ``query`` between micro-batches: wait until no trigger is running
+    (the batch in flight has written and committed), then stop.  Returns
+    False if the timeout passed first (the query is stopped regardless)."""
+    deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
+    clean = True
+    while query.isActive and query.status.get("isTriggerActive", False):
+        if deadline is not None and time.monotonic() > deadline:
+            clean = False
+            break
+        time.sleep(poll_seconds)
+    query.stop()
+    return clean

@@ -89,3 +89,22 @@ def test_stage_materialization(spark, scratch, batch_tables):
     q = run_stream(spark, read_envelope_stream(spark, src, files_per_batch(spark)), sinks, cfg)
     q.awaitTermination()
     assert rows(drop_run_columns(sinks["device_data"].read(spark))) == batch_tables["device_data"]
+
+
+def test_stop_gracefully_between_batches(spark, scratch):
+    from telemetry_qc.sinks.tables import ParquetTableSink
+    from telemetry_qc.sources.files import read_envelope_stream
+    from telemetry_qc.streaming.queries import land_envelope
+    from telemetry_qc.streaming.runner import run_stream, stop_gracefully
+
+    src = land_envelope(spark, SF_SMALL)
+    base = scratch("graceful")
+    sinks = {"corrupt_records": ParquetTableSink("corrupt_records", f"{base}/corrupt")}
+    cfg = StreamConfig(checkpoint_location=f"{base}/_ckpt", trigger={"processingTime": "1 second"})
+    q = run_stream(spark, read_envelope_stream(spark, src, files_per_batch(spark)), sinks, cfg)
+    q.processAllAvailable()
+    assert stop_gracefully(q, timeout_seconds=60)
+    assert not q.isActive
+    done = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    written = sinks["corrupt_records"].read(spark).select("batch_id").distinct().count()
+    assert written == len(done) == N_BATCHES
