@@ -77,7 +77,8 @@ def main(argv):
 
     spark = (SparkSession.builder.master("local[8]")
              .config("spark.sql.shuffle.partitions", "8")
-             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.session.timeZone", os.environ.get("SESSION_TZ", "UTC"))
+             .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
