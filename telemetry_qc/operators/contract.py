@@ -190,3 +190,17 @@ def batch_route(
     """
     reasons = schema_diff(batch, expected)
     return ("corrupt" if reasons else "clean"), reasons
+
+
+def route_by_schema(
+    df: DataFrame, expected: StructType = PAYLOAD_SCHEMA
+) -> DataFrame:
+    """Batch-level routing of a whole frame: every row gets ``route``
+    ('corrupt' when the frame's schema differs from ``expected``, else
+    'clean') and ``error_reason`` (the differences joined by "; ", or NULL).
+
+    The decision is made once from metadata; the rows are only projected.
+    """
+    target, reasons = batch_route(df, expected)
+    reason = F.lit(SEP.join(reasons)) if reasons else F.lit(None).cast("string")
+    return df.select("*", F.lit(target).alias("route"), reason.alias("error_reason"))

@@ -17,7 +17,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.decode import raw_fields
 from ..functions.json_text import payload_json
-from ..operators.contract import batch_route, required_fields_errors, schema_diff
+from ..operators.contract import required_fields_errors, route_by_schema, schema_diff
 from ..operators.enrich import enrich, parse_records, wall_clock
 from ..operators.qc import (
     DEFAULT_RULES,
@@ -175,13 +175,7 @@ def _orders_routed(spark, sf_dir, drift: bool) -> DataFrame:
                 for f in orders.schema
             ]
         )
-    target, reasons = batch_route(orders, expected)
-    reason = F.lit("; ".join(reasons)) if reasons else F.lit(None).cast("string")
-    return orders.select(
-        *orders.columns,
-        F.lit(target).alias("route"),
-        reason.alias("error_reason"),
-    )
+    return route_by_schema(orders, expected)
 
 
 def q10_batch_route_drift(spark, sf_dir):
