@@ -279,7 +279,9 @@ REPORT_DAY = "2024-01-15"
 
 def q27_date_partitioned(spark, sf_dir):
     staged = staged_envelope(spark, sf_dir)
-    sink = ParquetTableSink("device_data", fresh_path(spark, "device_data"), ("trip_start_date",))
+    sink = ParquetTableSink(
+        "device_data", fresh_path(spark, "device_data"), ("trip_start_date",), rebalance=True
+    )
     sink.write(device_data(staged), batch_id=0)
     day = sink.read(spark).filter(F.col("trip_start_date") == F.lit(REPORT_DAY).cast("date"))
     return drop_run_columns(day.select(*device_data(staged).columns))

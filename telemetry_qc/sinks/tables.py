@@ -50,11 +50,18 @@ class ParquetTableSink:
     path: str
     partition_by: Sequence[str] = field(default_factory=tuple)
     options: dict[str, str] = field(default_factory=dict)
+    # Cluster rows by the partition columns before writing (REBALANCE hint),
+    # so each partition folder gets a few full files instead of one small
+    # file per task; AQE splits a hot value (one day with a third of all
+    # rows) over several tasks and merges small ones.  Costs one shuffle.
+    rebalance: bool = False
 
     def batch_path(self, batch_id: int) -> str:
         return f"{self.path}/batch_id={int(batch_id)}"
 
     def write(self, df: DataFrame, batch_id: int) -> None:
+        if self.rebalance and self.partition_by:
+            df = df.hint("rebalance", *self.partition_by)
         w = df.write.mode("overwrite").options(**self.options)
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)

@@ -62,10 +62,10 @@ def run_landed(
     """
     src = land_envelope(spark, sf_dir)
     base = fresh_path(spark, "stream")
-    sinks = {
-        n: ParquetTableSink(n, f"{base}/{n}", ("trip_start_date",) if n == "device_data" else ())
-        for n in SINK_NAMES
-    }
+    sinks = {n: ParquetTableSink(n, f"{base}/{n}") for n in SINK_NAMES}
+    sinks["device_data"] = ParquetTableSink(
+        "device_data", f"{base}/device_data", ("trip_start_date",), rebalance=True
+    )
     if fail_batch is not None:
         sinks[FAILING_SINK] = FailOnce(sinks[FAILING_SINK], fail_batch)
     error_log = AppendParquetSink("consumer_error_log", f"{base}/consumer_error_log")

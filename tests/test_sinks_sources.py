@@ -119,3 +119,22 @@ def test_catalog_sink_replay_replaces_batch(spark, scratch):
     assert out.filter("batch_id = 0").count() == 2
     assert out.filter("batch_id = 1").count() == 1
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_rebalanced_partitioned_write(spark, scratch):
+    import glob
+
+    from telemetry_qc.plans.batch import device_data
+
+    staged = Q.staged_envelope(spark, SF_SMALL)
+    clean = device_data(staged)
+    plan = clean.hint("rebalance", "trip_start_date")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    base = scratch("rebalance")
+    sink = ParquetTableSink("device_data", base, ("trip_start_date",), rebalance=True)
+    sink.write(clean, 0)
+    back = sink.read(spark)
+    assert back.count() == clean.count()
+    days = back.select("trip_start_date").distinct().count()
+    files = glob.glob(f"{base}/batch_id=0/trip_start_date=*/*.parquet")
+    assert len(files) <= 2 * days
