@@ -1,7 +1,8 @@
 """Batch plan: envelope -> row contract -> QC -> routed outputs.
 
-``annotate`` is one row-wise projection (decode, two JSON parses, contract,
-enrichment, QC verdict, route).  Nothing in it shuffles: each record is handled
+``annotate`` is a chain of row-wise projections (decode; typed parse + key
+scan; raw key map for flagged records only; contract, enrichment, QC verdict,
+route).  Nothing in it shuffles: each record is handled
 in the partition it was read in, so the work spreads over as many tasks as
 the source has partitions (Kafka partitions, file splits) and no key can
 skew it.
@@ -83,6 +84,17 @@ def annotate(
     return checked.withColumn(ROUTE, route)
 
 
+def route_count_columns() -> list[Column]:
+    """Aggregates for ``DataFrame.observe``: records in total and per route."""
+    r = F.col(ROUTE)
+    return [
+        F.count(F.lit(1)).alias("records"),
+        F.count(F.when(r == CORRUPT, 1)).alias(CORRUPT),
+        F.count(F.when(r == CLEAN, 1)).alias(CLEAN),
+        F.count(F.when(r == FAILED, 1)).alias(FAILED),
+    ]
+
+
 def stage(annotated: DataFrame, path: str) -> DataFrame:
     """Write the annotated rows once, partitioned by route; read them back.
 

@@ -22,11 +22,10 @@ from typing import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.qc import DEFAULT_RULES, Rule
-from ..plans.batch import CLEAN, CORRUPT, FAILED, ROUTE, SINK_ORDER, annotate, route, stage
+from ..plans.batch import SINK_ORDER, annotate, route, route_count_columns, stage
 from ..schemas import SINK_SCHEMAS
 from ..sinks.error_log import log_error
 from ..sinks.tables import check_frame
@@ -73,14 +72,7 @@ class StreamConfig:
 def batch_metrics(annotated: DataFrame) -> DataFrame:
     """Per-batch counts by route, reported in the query progress
     (``observedMetrics``) instead of printing rows."""
-    r = F.col(ROUTE)
-    return annotated.observe(
-        METRICS_NAME,
-        F.count(F.lit(1)).alias("records"),
-        F.count(F.when(r == CORRUPT, 1)).alias("corrupt"),
-        F.count(F.when(r == CLEAN, 1)).alias("clean"),
-        F.count(F.when(r == FAILED, 1)).alias("failed"),
-    )
+    return annotated.observe(METRICS_NAME, *route_count_columns())
 
 
 def make_batch_writer(

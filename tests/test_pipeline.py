@@ -73,7 +73,8 @@ def test_process_writes_idempotent_sinks(spark, scratch):
     sinks = {n: ParquetTableSink(n, f"{base}/{n}") for n in SINK_SCHEMAS if n != "consumer_error_log"}
     env = Q.envelope(spark, SF_SMALL)
     r1 = process(env, sinks, stage_path=f"{base}/_stage", batch_id=7)
-    assert sum(r1.counts().values()) == env.count()
+    assert sum(r1.counts().values()) == env.count() == r1.metrics["records"]
+    assert r1.counts()["corrupt"] == sinks["corrupt_records"].read(spark).count()
     first = {n: s.read(spark).count() for n, s in sinks.items()}
     process(env, sinks, stage_path=f"{base}/_stage", batch_id=7)  # replay of batch 7
     again = {n: s.read(spark).count() for n, s in sinks.items()}
