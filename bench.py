@@ -72,10 +72,10 @@ def main() -> None:
 
     def pipeline():
         base = fresh_path(spark, "bench-pipeline")
-        sinks = {
-            n: ParquetTableSink(n, f"{base}/{n}", ("trip_start_date",) if n == "device_data" else ())
-            for n in SINK_ORDER
-        }
+        sinks = {n: ParquetTableSink(n, f"{base}/{n}") for n in SINK_ORDER}
+        sinks["device_data"] = ParquetTableSink(
+            "device_data", f"{base}/device_data", ("trip_start_date",), rebalance=True
+        )
         process(Q.envelope(spark, SF_DIR), sinks, stage_path=f"{base}/_stage")
 
     results: dict[str, float] = {}

@@ -1,5 +1,6 @@
-"""Registered streaming queries: the envelope of ``events`` landed as several
-files and consumed as a file stream, one file per micro-batch."""
+"""Registered streaming queries: the envelope of ``events`` landed as parquet
+files (offset ranges in order) and consumed as a file stream in four
+micro-batches of one file per core each."""
 
 from __future__ import annotations
 
@@ -103,8 +104,7 @@ def _memo(spark: SparkSession, sf_dir: str, kind: str, **kw) -> StreamRun:
 
 
 def _clean_table(run: StreamRun, spark: SparkSession) -> DataFrame:
-    cols = [c for c in DEVICE_DATA_SCHEMA.names]
-    return drop_run_columns(run.sinks["device_data"].read(spark).select(*cols))
+    return drop_run_columns(run.sinks["device_data"].read(spark).select(*DEVICE_DATA_SCHEMA.names))
 
 
 def q19_error_log(spark, sf_dir):
