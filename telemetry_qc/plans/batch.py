@@ -26,6 +26,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.enrich import enrich, parse_records, wall_clock
 from ..operators.qc import DEFAULT_RULES, SUCCESS, Rule, apply_rules, audit
+from ..sinks.routing import SINK_ORDER  # noqa: F401 - re-exported
 from ..schemas import (
     CORRUPT_RECORDS_SCHEMA,
     DEVICE_DATA_SCHEMA,
@@ -37,10 +38,6 @@ from ..schemas import (
 ROUTE = "route"
 CORRUPT, CLEAN, FAILED = "corrupt", "clean", "failed"
 
-# Output names, in the order a batch writes them: the clean table last, so a
-# reader of the clean table never sees a batch whose side tables are missing.
-SINK_ORDER = ("qc_audit_log_table", "qc_failed_table", "corrupt_records", "device_data")
-
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the

@@ -10,13 +10,11 @@ from pyspark.sql import functions as F
 
 from ..operators.qc import DEFAULT_RULES, Rule
 from ..paths import fresh_path
-from ..schemas import SINK_SCHEMAS
-from ..sinks.tables import check_frame
+from ..sinks.routing import write_routed
 from .batch import (
     CLEAN,
     CORRUPT,
     FAILED,
-    SINK_ORDER,
     annotate,
     route,
     route_count_columns,
@@ -44,11 +42,12 @@ def process(
     stage_path: str | None = None,
     batch_id: int = 0,
     min_partitions: int | None = None,
+    concurrent_writes: bool = True,
 ) -> BatchResult:
     """Annotate and stage ``env`` once, then write each output to its sink.
 
     One pass parses every record; each sink reads its own route partition of
-    the staged table.  Without ``sinks`` the routed frames are returned for
+    the staged table (side tables as concurrent jobs, the clean table last).  Without ``sinks`` the routed frames are returned for
     the caller to use.
     """
     spark: SparkSession = env.sparkSession
@@ -58,9 +57,8 @@ def process(
     staged = stage(annotated, path)
     metrics = {k: int(v) for k, v in observed.get.items()}
     outputs = route(staged, rules)
-    for name in SINK_ORDER:
-        if sinks and name in sinks:
-            sinks[name].write(check_frame(outputs[name], SINK_SCHEMAS[name], name), batch_id)
+    if sinks:
+        write_routed(outputs, sinks, batch_id, concurrent=concurrent_writes)
     return BatchResult(staged, outputs, metrics)
 
 

@@ -25,10 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.qc import DEFAULT_RULES, Rule
-from ..plans.batch import SINK_ORDER, annotate, route, route_count_columns, stage
-from ..schemas import SINK_SCHEMAS
+from ..plans.batch import annotate, route, route_count_columns, stage
 from ..sinks.error_log import log_error
-from ..sinks.tables import check_frame
+from ..sinks.routing import SinkWriteError, write_routed
 
 FAIL, LOG = "fail", "log"
 METRICS_NAME = "qc_batch"
@@ -56,6 +55,7 @@ class StreamConfig:
     materialize: str = "persist"
     stage_dir: str | None = None
     spread_partitions: int | None = None
+    concurrent_writes: bool = True
     app_label: str | None = None
     output_mode: str = "append"
     extra: dict = field(default_factory=dict)
@@ -86,7 +86,6 @@ def make_batch_writer(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        target = "materialize"
         held = None
         try:
             if config.materialize == "stage":
@@ -95,16 +94,21 @@ def make_batch_writer(
                 held = stage(batch, f"{config.stage_dir}/current")
             else:
                 held = batch.persist(StorageLevel.MEMORY_AND_DISK)
-            outputs = route(held, config.rules)
-            for name in SINK_ORDER:
-                if name in sinks:
-                    target = name
-                    frame = check_frame(outputs[name], SINK_SCHEMAS[name], name)
-                    sinks[name].write(frame, batch_id)
+            write_routed(
+                route(held, config.rules),
+                sinks,
+                batch_id,
+                concurrent=config.concurrent_writes,
+                warm_first=config.materialize == "persist",
+            )
+        except SinkWriteError as e:
+            if config.on_error == FAIL:
+                raise
+            log_error(error_log, spark, str(e.cause), batch_id, e.table)
         except Exception as e:  # noqa: BLE001 - policy decides
             if config.on_error == FAIL:
                 raise
-            log_error(error_log, spark, str(e), batch_id, target)
+            log_error(error_log, spark, str(e), batch_id, "materialize")
         finally:
             if held is not None and config.materialize == "persist":
                 held.unpersist()

@@ -138,3 +138,27 @@ def test_rebalanced_partitioned_write(spark, scratch):
     days = back.select("trip_start_date").distinct().count()
     files = glob.glob(f"{base}/batch_id=0/trip_start_date=*/*.parquet")
     assert len(files) <= 2 * days
+
+
+def test_write_routed_clean_last_and_named_failure(spark, scratch):
+    import pytest
+    from telemetry_qc.plans.batch import route
+    from telemetry_qc.sinks.routing import SINK_ORDER, SinkWriteError, write_routed
+    from telemetry_qc.streaming.faults import FailOnce
+
+    outs = route(Q.staged_envelope(spark, SF_SMALL))
+    base = scratch("routed")
+    sinks = {n: ParquetTableSink(n, f"{base}/{n}") for n in SINK_ORDER}
+    sinks["corrupt_records"] = FailOnce(sinks["corrupt_records"], batch_id=0)
+    with pytest.raises(SinkWriteError) as err:
+        write_routed(outs, sinks, 0)
+    assert err.value.table == "corrupt_records"
+    assert str(err.value) == "sink corrupt_records unavailable"
+    import os
+    assert not os.path.exists(f"{base}/device_data")  # clean table not written
+    write_routed(outs, sinks, 0)  # replay succeeds and completes every table
+    for concurrent in (True, False):
+        other = {n: ParquetTableSink(n, f"{base}-{concurrent}/{n}") for n in SINK_ORDER}
+        write_routed(outs, other, 0, concurrent=concurrent)
+        for n in SINK_ORDER:
+            assert other[n].read(spark).count() == sinks[n].read(spark).count(), n
