@@ -13,7 +13,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..schemas import RECORD_ID
 
@@ -51,7 +50,3 @@ def dedupe_records(df: DataFrame, key: tuple[str, ...] = RECORD_ID) -> DataFrame
     present = [k for k in key if k in df.columns]
     return df.dropDuplicates(present) if present else df
 
-
-def load_time_ordered(df: DataFrame) -> DataFrame:
-    """Most recent load first (a small helper for inspection queries)."""
-    return df.orderBy(F.col("load_timestamp").desc_nulls_last())

@@ -162,3 +162,14 @@ def test_write_routed_clean_last_and_named_failure(spark, scratch):
         write_routed(outs, other, 0, concurrent=concurrent)
         for n in SINK_ORDER:
             assert other[n].read(spark).count() == sinks[n].read(spark).count(), n
+
+
+def test_shared_dir_comes_from_the_session(spark):
+    from telemetry_qc.paths import fresh_path, shared_dir
+
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    folder = shared_dir(spark)
+    if conf:
+        assert folder == conf.rstrip("/")
+    assert fresh_path(spark, "x") != fresh_path(spark, "x")
+    assert fresh_path(spark, "x").startswith(folder + "/x-")
