@@ -37,6 +37,32 @@ class Rule:
     def has_range(self) -> bool:
         return self.min is not None or self.max is not None
 
+    @classmethod
+    def from_dict(cls, d: dict) -> "Rule":
+        """``{"column": "speed_kmph", "not_null": true, "min": 0, "max": 200}``
+        (``not_null`` defaults to true; ``min`` / ``max`` are optional)."""
+        unknown = set(d) - {"column", "not_null", "min", "max"}
+        if unknown or "column" not in d:
+            raise ValueError(f"bad rule {d!r}: unknown keys {sorted(unknown)}")
+        return cls(d["column"], bool(d.get("not_null", True)), d.get("min"), d.get("max"))
+
+    def to_dict(self) -> dict:
+        out = {"column": self.column, "not_null": self.not_null}
+        if self.min is not None:
+            out["min"] = self.min
+        if self.max is not None:
+            out["max"] = self.max
+        return out
+
+
+def rules_from_config(items: Sequence[dict]) -> tuple[Rule, ...]:
+    """Rules from plain data (e.g. a JSON or YAML file), in the given order."""
+    rules = tuple(Rule.from_dict(d) for d in items)
+    names = [r.column for r in rules]
+    if len(set(names)) != len(names):
+        raise ValueError("one rule per column")
+    return rules
+
 
 def null_check(column: str) -> Rule:
     return Rule(column, not_null=True)

@@ -100,3 +100,16 @@ def test_default_rules_cover_payload():
     assert cols == ["event_timestamp" if n == "timestamp" else n for n in PAYLOAD_SCHEMA.names]
     assert all(r.not_null for r in DEFAULT_RULES)
     assert not math.isnan(0.0)
+
+
+def test_rules_round_trip_through_plain_data():
+    import json
+
+    from telemetry_qc.operators.qc import rules_from_config
+
+    text = json.dumps([r.to_dict() for r in DEFAULT_RULES])
+    assert rules_from_config(json.loads(text)) == DEFAULT_RULES
+    with pytest.raises(ValueError):
+        rules_from_config([{"column": "x", "maximum": 3}])
+    with pytest.raises(ValueError):
+        rules_from_config([{"column": "x"}, {"column": "x", "max": 1}])
