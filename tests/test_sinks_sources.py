@@ -173,3 +173,19 @@ def test_shared_dir_comes_from_the_session(spark):
         assert folder == conf.rstrip("/")
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
     assert fresh_path(spark, "x").startswith(folder + "/x-")
+
+
+def test_consumer_reaches_the_kafka_source(spark, scratch):
+    """Without the Kafka connector on the classpath the consumer fails at
+    Spark's data-source lookup, i.e. after building its whole plan."""
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from telemetry_qc.streaming.consumer import ConsumerSettings, consume_topic
+
+    s = ConsumerSettings(
+        app_label="t", bootstrap_servers="localhost:1", topic="t",
+        checkpoint_dir=scratch("kafka-ckpt"), jdbc_url="jdbc:none",
+    )
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        consume_topic(spark, s)
