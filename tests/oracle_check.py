@@ -79,6 +79,7 @@ def main(argv):
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.sql.session.timeZone", os.environ.get("SESSION_TZ", "UTC"))
              .config("spark.ui.enabled", "false")
+             .config("spark.sql.ansi.enabled", os.environ.get("SPARK_ANSI", "true"))
              .config("spark.ui.showConsoleProgress", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
