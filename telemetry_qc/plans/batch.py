@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.enrich import enrich, parse_records, wall_clock
-from ..operators.qc import DEFAULT_RULES, SUCCESS, Rule, apply_rules, audit
+from ..operators.qc import DEFAULT_RULES, SUCCESS, Rule, apply_rules, audit, rule_reason
 from ..sinks.routing import SINK_ORDER  # noqa: F401 - re-exported
 from ..schemas import (
     CORRUPT_RECORDS_SCHEMA,
@@ -81,15 +81,24 @@ def annotate(
     return checked.withColumn(ROUTE, route)
 
 
-def route_count_columns() -> list[Column]:
-    """Aggregates for ``DataFrame.observe``: records in total and per route."""
+def route_count_columns(rules: Sequence[Rule] = ()) -> list[Column]:
+    """Aggregates for ``DataFrame.observe``: records in total and per route,
+    and per ruled column the schema-valid records failing it
+    (``failed_<column>``).  Computed while the batch is processed anyway."""
     r = F.col(ROUTE)
-    return [
+    cols = [
         F.count(F.lit(1)).alias("records"),
         F.count(F.when(r == CORRUPT, 1)).alias(CORRUPT),
         F.count(F.when(r == CLEAN, 1)).alias(CLEAN),
         F.count(F.when(r == FAILED, 1)).alias(FAILED),
     ]
+    cols += [
+        F.count(F.when((r == FAILED) & rule_reason(rule).isNotNull(), 1)).alias(
+            f"failed_{rule.column}"
+        )
+        for rule in rules
+    ]
+    return cols
 
 
 def stage(annotated: DataFrame, path: str) -> DataFrame:

@@ -53,7 +53,7 @@ def process(
     spark: SparkSession = env.sparkSession
     path = stage_path or fresh_path(spark, "stage")
     observed = Observation("qc_batch")
-    annotated = route_counts(annotate(spread(env, min_partitions), rules), observed)
+    annotated = route_counts(annotate(spread(env, min_partitions), rules), observed, rules)
     staged = stage(annotated, path)
     metrics = {k: int(v) for k, v in observed.get.items()}
     outputs = route(staged, rules)
@@ -62,10 +62,11 @@ def process(
     return BatchResult(staged, outputs, metrics)
 
 
-def route_counts(annotated: DataFrame, observation) -> DataFrame:
-    """Count records per route as a side effect of the next action on the
-    frame (``DataFrame.observe``): no extra pass over the data."""
-    return annotated.observe(observation, *route_count_columns())
+def route_counts(annotated: DataFrame, observation, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
+    """Count records per route (and failures per ruled column) as a side
+    effect of the next action on the frame (``DataFrame.observe``): no extra
+    pass over the data."""
+    return annotated.observe(observation, *route_count_columns(rules))
 
 
 def drop_run_columns(df: DataFrame) -> DataFrame:

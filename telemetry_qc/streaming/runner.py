@@ -68,10 +68,10 @@ class StreamConfig:
             raise ValueError("materialize='stage' needs stage_dir")
 
 
-def batch_metrics(annotated: DataFrame) -> DataFrame:
+def batch_metrics(annotated: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
     """Per-batch counts by route, reported in the query progress
     (``observedMetrics``) instead of printing rows."""
-    return annotated.observe(METRICS_NAME, *route_count_columns())
+    return annotated.observe(METRICS_NAME, *route_count_columns(rules))
 
 
 def make_batch_writer(
@@ -117,7 +117,7 @@ def make_batch_writer(
 
 def annotated_stream(source: DataFrame, config: StreamConfig) -> DataFrame:
     src = source.repartition(config.spread_partitions) if config.spread_partitions else source
-    return batch_metrics(annotate(src, config.rules))
+    return batch_metrics(annotate(src, config.rules), config.rules)
 
 
 def run_stream(

@@ -108,3 +108,14 @@ def test_stop_gracefully_between_batches(spark, scratch):
     done = [p for p in q.recentProgress if p["numInputRows"] > 0]
     written = sinks["corrupt_records"].read(spark).select("batch_id").distinct().count()
     assert written == len(done) == N_BATCHES
+
+
+def test_per_column_failure_metrics(spark, batch_tables):
+    run = run_landed(spark, SF_SMALL)
+    metrics = [p["observedMetrics"][METRICS_NAME] for p in run.progress if p["numInputRows"] > 0]
+    failed = Q.q16_qc_failed(spark, SF_SMALL)
+    for col in ("fuel_level", "latitude", "speed_kmph", "engine_temp_c"):
+        want = failed.filter(F.col("qc_summary").contains(f"{col} ")).count()
+        if col == "latitude":  # "trip_start_latitude" never fails here
+            want = failed.filter(F.col("qc_summary").rlike(r"(^|; )latitude ")).count()
+        assert sum(int(m[f"failed_{col}"]) for m in metrics) == want, col
