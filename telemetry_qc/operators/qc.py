@@ -123,6 +123,27 @@ def rule_reason(rule: Rule, df: DataFrame | None = None) -> Column:
     return out if out is not None else F.lit(None).cast("string")
 
 
+def rule_fails(rule: Rule, df: DataFrame | None = None) -> Column:
+    """TRUE when the rule fails on a row (the same decision as
+    ``rule_reason`` without building the text)."""
+    c = F.col(rule.column)
+    conds = []
+    if rule.not_null:
+        conds.append(c.isNull())
+    if rule.has_range and _is_floating(df, rule.column):
+        conds.append(F.isnan(c))
+    if rule.min is not None:
+        conds.append(c < F.lit(rule.min))
+    if rule.max is not None:
+        conds.append(c > F.lit(rule.max))
+    if not conds:
+        return F.lit(False)
+    out = conds[0]
+    for x in conds[1:]:
+        out = out | x
+    return F.coalesce(out, F.lit(False))
+
+
 def summary(rules: Sequence[Rule], df: DataFrame | None = None) -> Column:
     """Failing rules' reasons in rule order, joined by "; "; NULL if none.
 

@@ -8,12 +8,12 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .qc import DEFAULT_RULES, FAIL, Rule, rule_reason
+from .qc import DEFAULT_RULES, FAIL, Rule, rule_fails
 
 
 def failed_cells(rules: Sequence[Rule], df: DataFrame | None = None):
     """Number of ruled cells of a row that fail (an INT column expression)."""
-    flags = [F.when(rule_reason(r, df).isNotNull(), 1).otherwise(0) for r in rules]
+    flags = [F.when(rule_fails(r, df), 1).otherwise(0) for r in rules]
     return reduce(lambda a, b: a + b, flags)
 
 

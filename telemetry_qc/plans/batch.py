@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.enrich import enrich, parse_records, wall_clock
-from ..operators.qc import DEFAULT_RULES, SUCCESS, Rule, apply_rules, audit, rule_reason
+from ..operators.qc import DEFAULT_RULES, SUCCESS, Rule, apply_rules, audit, rule_fails
 from ..sinks.routing import SINK_ORDER  # noqa: F401 - re-exported
 from ..schemas import (
     CORRUPT_RECORDS_SCHEMA,
@@ -93,7 +93,7 @@ def route_count_columns(rules: Sequence[Rule] = ()) -> list[Column]:
         F.count(F.when(r == FAILED, 1)).alias(FAILED),
     ]
     cols += [
-        F.count(F.when((r == FAILED) & rule_reason(rule).isNotNull(), 1)).alias(
+        F.count(F.when((r == FAILED) & rule_fails(rule), 1)).alias(
             f"failed_{rule.column}"
         )
         for rule in rules

@@ -43,6 +43,7 @@ def process(
     batch_id: int = 0,
     min_partitions: int | None = None,
     concurrent_writes: bool = True,
+    column_metrics: bool = False,
 ) -> BatchResult:
     """Annotate and stage ``env`` once, then write each output to its sink.
 
@@ -53,7 +54,8 @@ def process(
     spark: SparkSession = env.sparkSession
     path = stage_path or fresh_path(spark, "stage")
     observed = Observation("qc_batch")
-    annotated = route_counts(annotate(spread(env, min_partitions), rules), observed, rules)
+    metric_rules = rules if column_metrics else ()
+    annotated = route_counts(annotate(spread(env, min_partitions), rules), observed, metric_rules)
     staged = stage(annotated, path)
     metrics = {k: int(v) for k, v in observed.get.items()}
     outputs = route(staged, rules)
@@ -62,7 +64,7 @@ def process(
     return BatchResult(staged, outputs, metrics)
 
 
-def route_counts(annotated: DataFrame, observation, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
+def route_counts(annotated: DataFrame, observation, rules: Sequence[Rule] = ()) -> DataFrame:
     """Count records per route (and failures per ruled column) as a side
     effect of the next action on the frame (``DataFrame.observe``): no extra
     pass over the data."""

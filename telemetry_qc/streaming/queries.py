@@ -54,6 +54,7 @@ def run_landed(
     sf_dir: str,
     on_error: str = FAIL,
     fail_batch: int | None = None,
+    column_metrics: bool = False,
 ) -> StreamRun:
     """Stream the landed envelope to parquet sinks (``availableNow``).
 
@@ -74,6 +75,7 @@ def run_landed(
         checkpoint_location=f"{base}/_checkpoint",
         on_error=on_error,
         trigger={"availableNow": True},
+        column_metrics=column_metrics,
     )
     attempts, progress = 0, []
     while True:

@@ -56,6 +56,7 @@ class StreamConfig:
     stage_dir: str | None = None
     spread_partitions: int | None = None
     concurrent_writes: bool = True
+    column_metrics: bool = False
     app_label: str | None = None
     output_mode: str = "append"
 
@@ -68,7 +69,7 @@ class StreamConfig:
             raise ValueError("materialize='stage' needs stage_dir")
 
 
-def batch_metrics(annotated: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
+def batch_metrics(annotated: DataFrame, rules: Sequence[Rule] = ()) -> DataFrame:
     """Per-batch counts by route, reported in the query progress
     (``observedMetrics``) instead of printing rows."""
     return annotated.observe(METRICS_NAME, *route_count_columns(rules))
@@ -117,7 +118,8 @@ def make_batch_writer(
 
 def annotated_stream(source: DataFrame, config: StreamConfig) -> DataFrame:
     src = source.repartition(config.spread_partitions) if config.spread_partitions else source
-    return batch_metrics(annotate(src, config.rules), config.rules)
+    metric_rules = config.rules if config.column_metrics else ()
+    return batch_metrics(annotate(src, config.rules), metric_rules)
 
 
 def run_stream(

@@ -113,3 +113,11 @@ def test_rules_round_trip_through_plain_data():
         rules_from_config([{"column": "x", "maximum": 3}])
     with pytest.raises(ValueError):
         rules_from_config([{"column": "x"}, {"column": "x", "max": 1}])
+
+
+@pytest.mark.parametrize("rule,value,expected", EDGES)
+def test_rule_fails_agrees_with_reason(spark, rule, value, expected):
+    from telemetry_qc.operators.qc import rule_fails
+
+    df = spark.createDataFrame([(value,)], "x double")
+    assert df.select(rule_fails(rule, df).alias("f")).first()["f"] == (expected is not None)

@@ -111,7 +111,7 @@ def test_stop_gracefully_between_batches(spark, scratch):
 
 
 def test_per_column_failure_metrics(spark, batch_tables):
-    run = run_landed(spark, SF_SMALL)
+    run = run_landed(spark, SF_SMALL, column_metrics=True)
     metrics = [p["observedMetrics"][METRICS_NAME] for p in run.progress if p["numInputRows"] > 0]
     failed = Q.q16_qc_failed(spark, SF_SMALL)
     for col in ("fuel_level", "latitude", "speed_kmph", "engine_temp_c"):
