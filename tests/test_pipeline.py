@@ -118,3 +118,37 @@ def test_flagship_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "qc_status" in df.columns and "event_timestamp" in df.columns
+
+
+def test_spread_only_when_few_partitions(spark):
+    from telemetry_qc.plans.batch import spread
+
+    par = spark.sparkContext.defaultParallelism
+    few = spark.range(1000).coalesce(1)
+    assert spread(few).rdd.getNumPartitions() == par
+    many = spark.range(1000).repartition(par * 2)
+    assert spread(many) is many
+
+
+def test_wall_clock_is_zone_independent(spark):
+    import datetime
+
+    from telemetry_qc.operators.enrich import enrich, wall_clock
+    from telemetry_qc.operators.contract import with_contract
+
+    text = ('{"trip_id":"T","car_id":"C","latitude":1.0,"longitude":2.0,'
+            '"timestamp":"2024-01-01T23:30:00.000001","speed_kmph":3.0,"fuel_level":4.0,'
+            '"engine_temp_c":5.0,"trip_start_time":"2024-01-01T23:00:00",'
+            '"trip_start_latitude":6.0,"trip_start_longitude":7.0}')
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(text, "k", "t", 0, 1)],
+                                       "value_str string, message_key string, topic_name string, "
+                                       "kafka_partition int, kafka_offset bigint")
+            row = wall_clock(enrich(with_contract(df)).drop("load_timestamp")).first()
+            assert row["timestamp"] == datetime.datetime(2024, 1, 1, 23, 30, 0, 1), zone
+            assert row["trip_start_date"] == datetime.date(2024, 1, 1), zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
