@@ -55,14 +55,16 @@ def run_landed(
     on_error: str = FAIL,
     fail_batch: int | None = None,
     column_metrics: bool = False,
+    landed: str | None = None,
 ) -> StreamRun:
     """Stream the landed envelope to parquet sinks (``availableNow``).
 
+    ``landed`` reuses envelope files landed before (``land_envelope``).
     With ``fail_batch`` the clean sink raises once on that batch.  Under
     policy ``fail`` the query stops; it is then restarted from the same
     checkpoint, which replays the failed batch.
     """
-    src = land_envelope(spark, sf_dir)
+    src = landed or land_envelope(spark, sf_dir)
     base = fresh_path(spark, "stream")
     sinks = {n: ParquetTableSink(n, f"{base}/{n}") for n in SINK_NAMES}
     sinks["device_data"] = ParquetTableSink(
