@@ -12,7 +12,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 SUCCESS = "success"
 FAIL = "fail"
@@ -94,18 +94,25 @@ DEFAULT_RULES: tuple[Rule, ...] = (
 )
 
 
-def _is_floating(df: DataFrame | None, column: str) -> bool:
-    if df is None:
+def _schema(df: DataFrame | StructType | None) -> StructType | None:
+    """Resolve a frame's schema once (``DataFrame.schema`` is a JVM round
+    trip on every access)."""
+    return df.schema if isinstance(df, DataFrame) else df
+
+
+def _is_floating(schema: StructType | None, column: str) -> bool:
+    if schema is None or column not in schema.names:
         return True
-    return isinstance(df.schema[column].dataType, (DoubleType, FloatType))
+    return isinstance(schema[column].dataType, (DoubleType, FloatType))
 
 
-def rule_reason(rule: Rule, df: DataFrame | None = None) -> Column:
+def rule_reason(rule: Rule, df: DataFrame | StructType | None = None) -> Column:
     """Reason the rule fails on a row (``"<col> null"``, ``"<col> NaN"``,
     ``"<col> below <min>"``, ``"<col> above <max>"``), or NULL if it passes.
     One reason per column, checked in that order; limits print as given."""
     c = F.col(rule.column)
     name = rule.column
+    schema = _schema(df)
     out = None
 
     def add(cond: Column, text: str) -> None:
@@ -114,7 +121,7 @@ def rule_reason(rule: Rule, df: DataFrame | None = None) -> Column:
 
     if rule.not_null:
         add(c.isNull(), f"{name} null")
-    if rule.has_range and _is_floating(df, name):
+    if rule.has_range and _is_floating(schema, name):
         add(F.isnan(c), f"{name} NaN")
     if rule.min is not None:
         add(c < F.lit(rule.min), f"{name} below {rule.min}")
@@ -123,14 +130,14 @@ def rule_reason(rule: Rule, df: DataFrame | None = None) -> Column:
     return out if out is not None else F.lit(None).cast("string")
 
 
-def rule_fails(rule: Rule, df: DataFrame | None = None) -> Column:
+def rule_fails(rule: Rule, df: DataFrame | StructType | None = None) -> Column:
     """TRUE when the rule fails on a row (the same decision as
     ``rule_reason`` without building the text)."""
     c = F.col(rule.column)
     conds = []
     if rule.not_null:
         conds.append(c.isNull())
-    if rule.has_range and _is_floating(df, rule.column):
+    if rule.has_range and _is_floating(_schema(df), rule.column):
         conds.append(F.isnan(c))
     if rule.min is not None:
         conds.append(c < F.lit(rule.min))
@@ -149,7 +156,8 @@ def summary(rules: Sequence[Rule], df: DataFrame | None = None) -> Column:
 
     ``concat_ws`` skips NULLs, so the expression needs no array or lambda and
     stays inside whole-stage code generation."""
-    parts = [rule_reason(r, df) for r in rules]
+    schema = _schema(df)
+    parts = [rule_reason(r, schema) for r in rules]
     return F.nullif(F.concat_ws(SEP, *parts), F.lit(""))
 
 
@@ -173,9 +181,10 @@ def split_qc(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def audit_cells(rules: Sequence[Rule], df: DataFrame | None = None) -> Column:
     """One struct per ruled column: ``column_name, passed, fail_reason``."""
+    schema = _schema(df)
     cells = []
     for r in rules:
-        why = rule_reason(r, df)
+        why = rule_reason(r, schema)
         cells.append(
             F.struct(
                 F.lit(r.column).alias("column_name"),
@@ -192,13 +201,16 @@ def audit(
     checked_at: Column | None = None,
     key_columns: Sequence[str] = ("trip_id",),
     id_columns: Sequence[str] = ("kafka_partition", "kafka_offset"),
+    cells: Column | None = None,
 ) -> DataFrame:
     """Cell-wise audit: one row per (row, ruled column), passed and failed.
 
     A generator over each row (``inline``); rows never leave their partition.
+    ``cells`` may pass ``audit_cells(rules, schema)`` built once, for callers
+    that audit many batches of the same schema.
     """
     checked_at = checked_at if checked_at is not None else F.current_timestamp()
-    cells = audit_cells(rules, df)
+    cells = cells if cells is not None else audit_cells(rules, df)
     return df.select(
         *key_columns, *id_columns, checked_at.alias("checked_at"), F.inline(cells)
     ).select(

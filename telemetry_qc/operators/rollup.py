@@ -13,7 +13,8 @@ from .qc import DEFAULT_RULES, FAIL, Rule, rule_fails
 
 def failed_cells(rules: Sequence[Rule], df: DataFrame | None = None):
     """Number of ruled cells of a row that fail (an INT column expression)."""
-    flags = [F.when(rule_fails(r, df), 1).otherwise(0) for r in rules]
+    schema = df.schema if isinstance(df, DataFrame) else df
+    flags = [F.when(rule_fails(r, schema), 1).otherwise(0) for r in rules]
     return reduce(lambda a, b: a + b, flags)
 
 

@@ -22,9 +22,9 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampNTZType
 
-from ..operators.enrich import enrich, parse_records, wall_clock
+from ..operators.enrich import enrich, parse_records
 from ..operators.qc import DEFAULT_RULES, SUCCESS, Rule, apply_rules, audit, rule_fails
 from ..sinks.routing import SINK_ORDER  # noqa: F401 - re-exported
 from ..schemas import (
@@ -125,7 +125,17 @@ def schema_invalid(annotated: DataFrame) -> DataFrame:
 
 
 def _shape(df: DataFrame, schema: StructType) -> DataFrame:
-    return wall_clock(df.select(*schema.names))
+    """The sink's columns in its order, times as wall clock: one projection
+    (each DataFrame call re-analyses the plan below it, so fewer calls keep
+    per-batch planning short)."""
+    return df.select(
+        *(
+            F.col(f.name).cast("timestamp_ntz").alias(f.name)
+            if isinstance(f.dataType, TimestampNTZType)
+            else F.col(f.name)
+            for f in schema
+        )
+    )
 
 
 def corrupt_records(annotated: DataFrame) -> DataFrame:
@@ -144,8 +154,9 @@ def qc_audit(
     annotated: DataFrame,
     rules: Sequence[Rule] = DEFAULT_RULES,
     checked_at: Column | None = None,
+    cells: Column | None = None,
 ) -> DataFrame:
-    out = audit(schema_valid(annotated), rules, checked_at)
+    out = audit(schema_valid(annotated), rules, checked_at, cells=cells)
     return _shape(out, QC_AUDIT_SCHEMA)
 
 
@@ -153,11 +164,13 @@ def route(
     annotated: DataFrame,
     rules: Sequence[Rule] = DEFAULT_RULES,
     checked_at: Column | None = None,
+    cells: Column | None = None,
 ) -> dict[str, DataFrame]:
     """The four sink frames of one batch, keyed by table name.  Pass a staged
-    (or persisted) annotation, see the module note."""
+    (or persisted) annotation, see the module note.  ``cells``: audit cells
+    built once (``audit_cells``) and reused across batches."""
     return {
-        "qc_audit_log_table": qc_audit(annotated, rules, checked_at),
+        "qc_audit_log_table": qc_audit(annotated, rules, checked_at, cells),
         "qc_failed_table": qc_failed(annotated),
         "corrupt_records": corrupt_records(annotated),
         "device_data": device_data(annotated),

@@ -24,7 +24,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.qc import DEFAULT_RULES, Rule
+from ..operators.qc import DEFAULT_RULES, Rule, audit_cells
 from ..plans.batch import annotate, route, route_count_columns, stage
 from ..sinks.error_log import log_error
 from ..sinks.routing import SinkWriteError, write_routed
@@ -84,6 +84,10 @@ def make_batch_writer(
     if config.on_error == LOG and error_log is None:
         raise ValueError("policy 'log' needs an error_log sink")
 
+    # Column expressions are plain values: the audit cells are built on the
+    # first batch and reused (building them costs hundreds of JVM calls).
+    prepared: dict[str, object] = {}
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         held = None
@@ -94,8 +98,10 @@ def make_batch_writer(
                 held = stage(batch, f"{config.stage_dir}/current")
             else:
                 held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            if "cells" not in prepared:
+                prepared["cells"] = audit_cells(config.rules, held.schema)
             write_routed(
-                route(held, config.rules),
+                route(held, config.rules, cells=prepared["cells"]),
                 sinks,
                 batch_id,
                 concurrent=config.concurrent_writes,
