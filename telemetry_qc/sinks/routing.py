@@ -5,6 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from typing import Mapping, Sequence
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from ..schemas import SINK_SCHEMAS
@@ -59,8 +60,12 @@ def write_routed(
         one(side[0])
         side = side[1:]
     if concurrent and len(side) > 1:
+        # Worker threads inherit the caller's JVM local properties and job
+        # tags (streaming query id, job group), so their jobs belong to, and
+        # are cancelled with, the caller's query.
+        inherit = inheritable_thread_target(outputs[side[0]].sparkSession)
         with ThreadPoolExecutor(max_workers=len(side), thread_name_prefix="sink") as pool:
-            futures = [pool.submit(one, n) for n in side]
+            futures = [pool.submit(inherit(one), n) for n in side]
         for f in futures:
             if f.exception() is not None:
                 raise f.exception()

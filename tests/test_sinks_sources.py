@@ -189,3 +189,30 @@ def test_consumer_reaches_the_kafka_source(spark, scratch):
     )
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         consume_topic(spark, s)
+
+
+def test_concurrent_writes_keep_the_callers_job_group(spark, scratch):
+    """Jobs of concurrent sink writes carry the caller's job group (and so
+    are cancelled with it)."""
+    from telemetry_qc.sinks.routing import write_routed
+
+    seen = []
+
+    class Probe:
+        name = "probe"
+
+        def write(self, df, batch_id):
+            seen.append(spark.sparkContext.getLocalProperty("spark.jobGroup.id"))
+
+    outs = {n: spark.range(1) for n in ("a", "b", "c")}
+    sc = spark.sparkContext
+    sc.setJobGroup("tqc-test-group", "probe")
+    try:
+        import telemetry_qc.sinks.routing as R
+        old = R.SINK_SCHEMAS
+        R.SINK_SCHEMAS = {n: outs[n].schema for n in outs}
+        write_routed(outs, {n: Probe() for n in outs}, 0, order=("a", "b", "c"))
+    finally:
+        R.SINK_SCHEMAS = old
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert seen == ["tqc-test-group"] * 3
