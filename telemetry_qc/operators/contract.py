@@ -21,8 +21,16 @@ from ..functions.decode import (
 )
 from ..schemas import PAYLOAD_SCHEMA
 
-MALFORMED = "Malformed JSON"
+# --- fixed values: discrepancy messages and their separator ---
+MISSING = "Missing column: "
+UNEXPECTED = "Unexpected column: "
+MISMATCH = "Type mismatch for column '{name}'"
+MISMATCH_TYPES = "Type mismatch for column '{name}': expected {expected}, got {actual}"
 SEP = "; "
+# --- end of fixed values ---
+
+# Reason for a text that is not one JSON object (row-level contract only).
+MALFORMED = "Malformed JSON"
 
 
 def _schema_of(df_or_schema: DataFrame | StructType) -> StructType:
@@ -47,13 +55,14 @@ def schema_diff(
     out: list[str] = []
     for name, t in wanted.items():
         if name not in actual:
-            out.append(f"Missing column: {name}")
+            out.append(MISSING + name)
         elif actual[name] != t:
             out.append(
-                f"Type mismatch for column '{name}': expected {_type_text(t)}, "
-                f"got {_type_text(actual[name])}"
+                MISMATCH_TYPES.format(
+                    name=name, expected=_type_text(t), actual=_type_text(actual[name])
+                )
             )
-    out.extend(f"Unexpected column: {n}" for n in sorted(set(actual) - set(wanted)))
+    out.extend(UNEXPECTED + n for n in sorted(set(actual) - set(wanted)))
     return out
 
 
@@ -95,16 +104,16 @@ def contract_errors(
     odd_keys = keys != names
     parts = [
         F.when(keys.isNull(), F.lit(MALFORMED)),
-        F.when(odd_keys, _listed("Missing column: ", F.array_except(names, keys))),
+        F.when(odd_keys, _listed(MISSING, F.array_except(names, keys))),
     ]
     if not allow_unexpected:
         extra = F.sort_array(F.array_except(keys, names))
-        parts.append(F.when(odd_keys, _listed("Unexpected column: ", extra)))
+        parts.append(F.when(odd_keys, _listed(UNEXPECTED, extra)))
     # ``raw`` is NULL unless the typed parse flagged a failure.
     mismatch = [
         F.when(
             raw[n].isNotNull() & parsed[n].isNull(),
-            F.lit(f"Type mismatch for column '{n}'"),
+            F.lit(MISMATCH.format(name=n)),
         )
         for n in expected.names
     ]

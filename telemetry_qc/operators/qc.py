@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
+# --- fixed values: row QC status ---
 SUCCESS = "success"
 FAIL = "fail"
+# --- end of fixed values ---
 SEP = "; "
 
 

@@ -62,6 +62,8 @@ RECORD_ID = ("topic_name", "kafka_partition", "kafka_offset")
 # Device times carry no zone; outputs hold them as wall-clock TIMESTAMP_NTZ.
 _TS = TimestampNTZType()
 
+# --- fixed values: sink table names, column names and column order ---
+
 CLEAN_COLUMNS = (
     "trip_id",
     "car_id",
@@ -151,3 +153,4 @@ SINK_SCHEMAS = {
     "qc_failed_table": QC_FAILED_SCHEMA,
     "qc_audit_log_table": QC_AUDIT_SCHEMA,
 }
+# --- end of fixed values ---
