@@ -38,7 +38,6 @@ PAYLOAD_SCHEMA = StructType(
 )
 # --- end of fixed values ---
 
-PAYLOAD_FIELDS = tuple(PAYLOAD_SCHEMA.names)
 TIMESTAMP_FIELDS = tuple(
     f.name for f in PAYLOAD_SCHEMA if isinstance(f.dataType, TimestampType)
 )
@@ -64,24 +63,6 @@ _TS = TimestampNTZType()
 
 # --- fixed values: sink table names, column names and column order ---
 
-CLEAN_COLUMNS = (
-    "trip_id",
-    "car_id",
-    "latitude",
-    "longitude",
-    "event_timestamp",
-    "speed_kmph",
-    "fuel_level",
-    "engine_temp_c",
-    "trip_start_time",
-    "trip_start_latitude",
-    "trip_start_longitude",
-    "trip_start_date",
-    "message_key",
-    "kafka_partition",
-    "kafka_offset",
-)
-
 DEVICE_DATA_SCHEMA = StructType(
     [
         StructField("trip_id", StringType()),
