@@ -152,3 +152,15 @@ def test_wall_clock_is_zone_independent(spark):
             assert row["trip_start_date"] == datetime.date(2024, 1, 1), zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_process_column_metrics(spark, scratch):
+    r = process(Q.envelope(spark, SF_SMALL), stage_path=scratch("colmetrics"), column_metrics=True)
+    failed = r.outputs["qc_failed_table"]
+    assert r.metrics["failed"] == failed.count()
+    want = failed.filter(F.col("qc_summary").contains("fuel_level ")).count()
+    assert r.metrics["failed_fuel_level"] == want
+    assert r.metrics["failed_engine_temp_c"] == failed.filter(
+        F.col("qc_summary").contains("engine_temp_c ")).count()
+    plain = process(Q.envelope(spark, SF_SMALL), stage_path=scratch("plain"))
+    assert not any(k.startswith("failed_") for k in plain.metrics)
