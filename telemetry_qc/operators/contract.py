@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from ..functions.decode import (
+    CONTRACT_PARSE_OPTIONS,
     CORRUPT_FIELD,
     contract_parse_options,
     raw_fields,
@@ -167,22 +168,31 @@ def required_fields_errors(
     expected: StructType = PAYLOAD_SCHEMA,
     text_fields: tuple[str, ...] = (),
     raw: Column | None = None,
+    coerce_numeric_text: bool = True,
+    parsed: Column | None = None,
 ) -> Column:
     """Validation of an ingest gateway's request model (all fields required).
 
     The text must be one JSON object; every expected key must be present and
-    non-null; extra keys are ignored; numeric fields accept numbers and
-    numeric text (coerced with ``try_cast``); ``text_fields`` only need to be
-    present.  Returns the reasons joined by "; ", or NULL when accepted.
+    non-null; extra keys are ignored; ``text_fields`` only need to be
+    present.  Numeric fields accept numbers and, with
+    ``coerce_numeric_text``, numeric text (``try_cast``); without it they
+    must be JSON numbers, judged by the typed parse ``parsed`` (default:
+    ``from_json(text, expected)``).  Returns the reasons joined by "; ", or
+    NULL when accepted.
     """
     raw = raw if raw is not None else raw_fields(text)
+    if not coerce_numeric_text and parsed is None:
+        parsed = typed_payload(text, expected, CONTRACT_PARSE_OPTIONS)
     parts = [F.when(raw.isNull(), F.lit(MALFORMED))]
     for f in expected:
         v = raw[f.name]
         if f.name in text_fields or f.dataType.typeName() == "string":
             bad = v.isNull()
-        else:
+        elif coerce_numeric_text:
             bad = v.isNull() | v.try_cast(f.dataType).isNull()
+        else:
+            bad = v.isNull() | parsed[f.name].isNull()
         parts.append(
             F.when(raw.isNotNull() & bad, F.lit(f"Field required or invalid: {f.name}"))
         )

@@ -139,3 +139,12 @@ def test_required_fields(spark):
     why = required_fields_errors(F.col("value"), text_fields=TIMESTAMP_FIELDS)
     got = [r["w"] for r in df.select(why.alias("w")).collect()]
     assert got == [e for _, e in REQUIRED]
+
+
+def test_required_fields_without_coercion(spark):
+    rows = [GOOD, with_field("speed_kmph", '"50.1"'), with_field("speed_kmph", "50")]
+    df = spark.createDataFrame([(t,) for t in rows], "value string")
+    strict = required_fields_errors(F.col("value"), text_fields=TIMESTAMP_FIELDS,
+                                    coerce_numeric_text=False)
+    got = [r["w"] for r in df.select(strict.alias("w")).collect()]
+    assert got == [None, "Field required or invalid: speed_kmph", None]
