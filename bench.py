@@ -59,7 +59,17 @@ def main() -> None:
     def noop(df):
         df.write.format("noop").mode("overwrite").save()
 
-    def timed(fn):
+    failed: list[str] = []
+
+    def timed(fn, name=None):
+        try:
+            return _timed(fn)
+        except Exception as e:  # noqa: BLE001 - report, keep the other timings
+            log(f"FAILED {name}: {type(e).__name__}: {e}")
+            failed.append(name or "?")
+            return None
+
+    def _timed(fn):
         t = time.perf_counter()
         fn()  # warm-up (JIT, file listing), not counted
         ts = [time.perf_counter() - t]
@@ -80,19 +90,20 @@ def main() -> None:
 
     results: dict[str, float] = {}
     # Whole batch path: parse once, stage, write the four tables.
-    results["pipeline_batch"] = timed(pipeline)
+    results["pipeline_batch"] = timed(pipeline, "pipeline_batch")
     log("pipeline_batch", results["pipeline_batch"])
 
     # Record-level projections over the envelope.
     for name in ("q01_envelope_scan", "q03_parse_typed", "q06_contract_errors",
                  "q05_enriched", "q25_required_fields"):
-        results[name] = timed(lambda n=name: noop(Q.QUERIES[n](spark, SF_DIR)))
+        results[name] = timed(lambda n=name: noop(Q.QUERIES[n](spark, SF_DIR)), name)
         log(name, results[name])
 
     # Staging (the shared first step of the routed queries), then the routed
     # outputs reading their partitions of it.
     results["stage_annotated"] = timed(
-        lambda: stage(annotate(Q.envelope(spark, SF_DIR)), fresh_path(spark, "bench-stage"))
+        lambda: stage(annotate(Q.envelope(spark, SF_DIR)), fresh_path(spark, "bench-stage")),
+        "stage_annotated",
     )
     log("stage_annotated", results["stage_annotated"])
     Q.staged_envelope(spark, SF_DIR)
@@ -100,26 +111,31 @@ def main() -> None:
                  "q17_device_data", "q18_qc_audit", "q24_publish_frame",
                  "q26_vehicle_qc", "q13_qc_threshold", "q14_qc_bounds",
                  "q10_batch_route_drift", "q09_schema_diff"):
-        results[name] = timed(lambda n=name: noop(Q.QUERIES[n](spark, SF_DIR)))
+        results[name] = timed(lambda n=name: noop(Q.QUERIES[n](spark, SF_DIR)), name)
         log(name, results[name])
 
     # Streaming: the envelope already landed as files (the topic's content,
     # not timed); 4 micro-batches, 4 sinks each, from a fresh checkpoint.
     landed = land_envelope(spark, SF_DIR)
-    results["stream_4_batches"] = timed(lambda: run_landed(spark, SF_DIR, landed=landed))
+    results["stream_4_batches"] = timed(
+        lambda: run_landed(spark, SF_DIR, landed=landed), "stream_4_batches"
+    )
     log("stream_4_batches", results["stream_4_batches"])
 
     m = re.search(r"sf([0-9.]+)$", SF_DIR)
     out = {
         "metric": "total_sec",
-        "value": round(sum(results.values()), 3),
+        "value": round(sum(v for v in results.values() if v is not None), 3),
         "unit": "sec",
         "queries": results,
         "sf": float(m.group(1)) if m else SF_DIR,
         "cpus": CPUS,
         "reps": REPS,
         "events": n_events,
-        "pipeline_rows_per_sec": round(n_events / results["pipeline_batch"], 1),
+        "pipeline_rows_per_sec": (
+            round(n_events / results["pipeline_batch"], 1) if results["pipeline_batch"] else None
+        ),
+        "failed": failed,
     }
     print(json.dumps(out), flush=True)
     spark.stop()
