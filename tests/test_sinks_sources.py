@@ -216,3 +216,33 @@ def test_concurrent_writes_keep_the_callers_job_group(spark, scratch):
         R.SINK_SCHEMAS = old
         sc.setLocalProperty("spark.jobGroup.id", None)
     assert seen == ["tqc-test-group"] * 3
+
+
+def test_command_line_process(spark, scratch, tmp_path):
+    import json
+
+    from telemetry_qc.__main__ import main
+    from telemetry_qc.sources.files import land
+
+    src = land(Q.envelope(spark, SF_SMALL), scratch("cli-input"))
+    rules = tmp_path / "rules.json"
+    rules.write_text(json.dumps([{"column": "speed_kmph", "min": 0, "max": 200}]))
+    out = scratch("cli-output")
+    metrics = main(["process", "--input", src, "--output", out, "--rules", str(rules)])
+    total = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert metrics["records"] == total
+    clean = ParquetTableSink("device_data", f"{out}/device_data").read(spark)
+    assert clean.count() == metrics["clean"]
+    assert metrics["corrupt"] + metrics["clean"] + metrics["failed"] == total
+
+
+def test_command_line_consume_arguments():
+    from telemetry_qc.__main__ import _options, parser
+
+    a = parser().parse_args([
+        "consume", "--bootstrap-servers", "b:9092", "--topic", "t", "--checkpoint-dir", "/c",
+        "--jdbc-url", "jdbc:x", "--jdbc-option", "driver=org.x.Driver",
+        "--jdbc-password-env", "PW", "--max-offsets-per-trigger", "100",
+    ])
+    assert _options(a.jdbc_option) == {"driver": "org.x.Driver"}
+    assert a.jdbc_password_env == "PW" and a.max_offsets_per_trigger == 100
