@@ -57,14 +57,14 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope_from_events(spread(ev))
 
 
-# One staged annotation per (session, input folder): several queries read
-# different routes of the same run.
+# One staged annotation per (application, session, input folder): several
+# queries read different routes of the same run.
 _staged: dict[tuple[str, str], DataFrame] = {}
 _lock = threading.Lock()
 
 
 def staged_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
     with _lock:
         if key not in _staged:
             annotated = annotate(envelope(spark, sf_dir), DEFAULT_RULES)

@@ -100,7 +100,7 @@ _lock = threading.Lock()
 
 
 def _memo(spark: SparkSession, sf_dir: str, kind: str, **kw) -> StreamRun:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), kind)
     with _lock:
         if key not in _runs:
             _runs[key] = run_landed(spark, sf_dir, **kw)
