@@ -12,8 +12,9 @@ from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from ..schemas import PAYLOAD_SCHEMA
 
-# Options of the typed parse used by the row contract: non-numeric literals
-# such as NaN are not accepted as numbers, so they surface as type mismatches.
+# Options of the parses used by the row contract: strict JSON, so a text with
+# a non-numeric literal such as NaN is not one JSON object (the key scan
+# refuses it too) and is reported as malformed.
 CONTRACT_PARSE_OPTIONS = {"allowNonNumericNumbers": "false"}
 
 RAW_MAP = MapType(StringType(), StringType())
