@@ -17,6 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import RECORD_ID
 
 
+# Write defaults sized for a large cluster writing into one database: Spark
+# coalesces to ``numPartitions`` before writing, so at most that many
+# connections are open at once, and ``batchsize`` rows go per round trip.
+# Callers override either through ``options``.
+WRITE_DEFAULTS = {"numPartitions": "64", "batchsize": "10000"}
+
+
 @dataclass
 class JdbcSink:
     name: str
@@ -26,7 +33,7 @@ class JdbcSink:
     mode: str = "append"
 
     def writer_options(self) -> dict[str, str]:
-        return {"url": self.url, "dbtable": self.table, **self.options}
+        return {"url": self.url, "dbtable": self.table, **WRITE_DEFAULTS, **self.options}
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.format("jdbc").mode(self.mode).options(**self.writer_options()).save()

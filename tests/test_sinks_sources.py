@@ -33,6 +33,8 @@ def test_jdbc_options_pass_through():
         "url": "jdbc:postgresql://db/x", "dbtable": "device_data",
         "driver": "org.postgresql.Driver", "batchsize": "5000", "numPartitions": "16",
     }
+    bounded = JdbcSink("t", "jdbc:x", "t").writer_options()
+    assert bounded["numPartitions"] == "64" and bounded["batchsize"] == "10000"
 
 
 def test_dedupe_on_record_identity(spark):
