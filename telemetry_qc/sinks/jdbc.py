@@ -43,7 +43,7 @@ class JdbcSink:
         ``lowerBound``, ``upperBound``, ``numPartitions`` for parallel reads."""
         return (
             spark.read.format("jdbc")
-            .options(**self.writer_options(), **read_options)
+            .options(url=self.url, dbtable=self.table, **self.options, **read_options)
             .load()
         )
 
