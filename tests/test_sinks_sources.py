@@ -248,3 +248,17 @@ def test_command_line_consume_arguments():
     ])
     assert _options(a.jdbc_option) == {"driver": "org.x.Driver"}
     assert a.jdbc_password_env == "PW" and a.max_offsets_per_trigger == 100
+
+
+def test_published_json_parses_back_to_the_same_values(spark):
+    from telemetry_qc.functions.json_text import payload_json
+    from telemetry_qc.operators.enrich import flatten_payload, wall_clock
+    from telemetry_qc.schemas import PAYLOAD_SCHEMA
+
+    valid = schema_valid(Q.staged_envelope(spark, SF_SMALL))
+    frame = valid.select("kafka_offset", payload_json().alias("value"))
+    back = wall_clock(with_contract(frame, "value").select("kafka_offset", *flatten_payload()))
+    names = ["event_timestamp" if n == "timestamp" else n for n in PAYLOAD_SCHEMA.names]
+    orig = wall_clock(valid.select("kafka_offset", *names)).toDF("kafka_offset", *PAYLOAD_SCHEMA.names)
+    diff = back.exceptAll(orig).count() + orig.exceptAll(back).count()
+    assert diff == 0
