@@ -44,6 +44,7 @@ def process(
     min_partitions: int | None = None,
     concurrent_writes: bool = True,
     column_metrics: bool = False,
+    allow_unexpected: bool = False,
 ) -> BatchResult:
     """Annotate and stage ``env`` once, then write each output to its sink.
 
@@ -55,7 +56,11 @@ def process(
     path = stage_path or fresh_path(spark, "stage")
     observed = Observation("qc_batch")
     metric_rules = rules if column_metrics else ()
-    annotated = route_counts(annotate(spread(env, min_partitions), rules), observed, metric_rules)
+    annotated = route_counts(
+        annotate(spread(env, min_partitions), rules, allow_unexpected=allow_unexpected),
+        observed,
+        metric_rules,
+    )
     staged = stage(annotated, path)
     metrics = {k: int(v) for k, v in observed.get.items()}
     outputs = route(staged, rules)

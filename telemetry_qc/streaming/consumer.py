@@ -57,6 +57,7 @@ class ConsumerSettings:
     # than held in executor memory.
     materialize: str = "stage"
     stage_dir: str | None = None
+    allow_unexpected: bool = False
 
 
 def plan_consumer(s: ConsumerSettings) -> ConsumerPlan:
@@ -76,6 +77,7 @@ def plan_consumer(s: ConsumerSettings) -> ConsumerPlan:
         app_label=s.app_label,
         materialize=s.materialize,
         stage_dir=s.stage_dir or f"{s.checkpoint_dir.rstrip('/')}_stage",
+        allow_unexpected=s.allow_unexpected,
     )
     source = kafka_source_options(
         s.bootstrap_servers,

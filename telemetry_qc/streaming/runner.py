@@ -57,6 +57,7 @@ class StreamConfig:
     spread_partitions: int | None = None
     concurrent_writes: bool = True
     column_metrics: bool = False
+    allow_unexpected: bool = False
     app_label: str | None = None
     output_mode: str = "append"
 
@@ -125,7 +126,8 @@ def make_batch_writer(
 def annotated_stream(source: DataFrame, config: StreamConfig) -> DataFrame:
     src = source.repartition(config.spread_partitions) if config.spread_partitions else source
     metric_rules = config.rules if config.column_metrics else ()
-    return batch_metrics(annotate(src, config.rules), metric_rules)
+    annotated = annotate(src, config.rules, allow_unexpected=config.allow_unexpected)
+    return batch_metrics(annotated, metric_rules)
 
 
 def run_stream(

@@ -164,3 +164,14 @@ def test_process_column_metrics(spark, scratch):
         F.col("qc_summary").contains("engine_temp_c ")).count()
     plain = process(Q.envelope(spark, SF_SMALL), stage_path=scratch("plain"))
     assert not any(k.startswith("failed_") for k in plain.metrics)
+
+
+def test_process_allow_unexpected(spark, scratch):
+    strict = process(Q.envelope(spark, SF_SMALL), stage_path=scratch("strict"))
+    lenient = process(Q.envelope(spark, SF_SMALL), stage_path=scratch("lenient"), allow_unexpected=True)
+    total = strict.metrics["records"]
+    # class 4 carries one extra key and nothing else wrong: it becomes valid
+    assert strict.metrics["corrupt"] - lenient.metrics["corrupt"] == total // 40
+    reasons = {r["error_reason"] for r in lenient.outputs["corrupt_records"].select("error_reason").distinct().collect()}
+    assert not any("Unexpected column" in x for x in reasons)
+    assert "Missing column: car_id" in reasons
