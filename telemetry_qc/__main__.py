@@ -56,6 +56,7 @@ def cmd_process(spark: SparkSession, a: argparse.Namespace) -> dict:
         rules=_rules(a.rules),
         stage_path=f"{a.output}/_stage",
         batch_id=a.batch_id,
+        allow_unexpected=a.allow_unexpected,
     )
     return result.metrics
 
@@ -78,6 +79,7 @@ def cmd_consume(spark: SparkSession, a: argparse.Namespace) -> None:
         max_offsets_per_trigger=a.max_offsets_per_trigger,
         min_partitions=a.min_partitions,
         kafka_options=_options(a.kafka_option),
+        allow_unexpected=a.allow_unexpected,
     )
     consume_topic(spark, settings, await_termination=True)
 
@@ -91,6 +93,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--output", required=True)
     b.add_argument("--rules", help="JSON list of rules (default: built-in rules)")
     b.add_argument("--batch-id", type=int, default=0)
+    b.add_argument("--allow-unexpected", action="store_true", help="accept extra JSON keys")
 
     c = sub.add_parser("consume", help="Kafka topic -> routed JDBC tables (streaming)")
     c.add_argument("--app-label", default="telemetry-qc")
@@ -106,6 +109,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--rules")
     c.add_argument("--max-offsets-per-trigger", type=int)
     c.add_argument("--min-partitions", type=int)
+    c.add_argument("--allow-unexpected", action="store_true", help="accept extra JSON keys")
     return p
 
 
