@@ -107,3 +107,28 @@ def test_rules_match_brute_force(spark, batch):
         reasons = [r for r in reasons if r]
         want = ("fail", "; ".join(reasons)) if reasons else ("success", None)
         assert got[i] == want, (a, b, c)
+
+
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType  # noqa: E402
+
+from telemetry_qc.operators.contract import schema_diff  # noqa: E402
+
+TYPES = [StringType(), DoubleType(), LongType()]
+field_names = st.sampled_from(["a", "b", "c", "d", "e", "f", "Z"])
+schemas = st.lists(st.tuples(field_names, st.integers(0, 2)), max_size=6, unique_by=lambda t: t[0])
+
+
+@settings(max_examples=200, deadline=None)
+@given(schemas, schemas)
+def test_schema_diff_matches_brute_force(expected, actual):
+    exp = StructType([StructField(n, TYPES[t]) for n, t in expected])
+    act = StructType([StructField(n, TYPES[t]) for n, t in actual])
+    a = dict(actual)
+    want = []
+    for n, t in expected:  # expected order: missing and retyped columns
+        if n not in a:
+            want.append(f"Missing column: {n}")
+        elif a[n] != t:
+            want.append(f"Type mismatch for column '{n}': expected {TYPES[t]!r}, got {TYPES[a[n]]!r}")
+    want += [f"Unexpected column: {n}" for n in sorted(set(a) - set(dict(expected)))]
+    assert schema_diff(act, exp) == want
