@@ -175,3 +175,16 @@ def test_process_allow_unexpected(spark, scratch):
     reasons = {r["error_reason"] for r in lenient.outputs["corrupt_records"].select("error_reason").distinct().collect()}
     assert not any("Unexpected column" in x for x in reasons)
     assert "Missing column: car_id" in reasons
+
+
+@pytest.mark.parametrize("name", [
+    "q07_corrupt_records", "q08_schema_valid", "q12_qc_nulls", "q15_qc_status",
+    "q16_qc_failed", "q17_device_data", "q18_qc_audit", "q24_publish_frame",
+    "q26_vehicle_qc", "q27_date_partitioned",
+])
+def test_routed_queries_never_reparse(spark, name):
+    """Routed outputs read the staged annotation: no JSON parse in their plan
+    (a filter on the lazy annotation would re-parse every record)."""
+    df = Q.QUERIES[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "json_object_keys" not in plan, name
