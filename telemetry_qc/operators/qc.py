@@ -163,10 +163,31 @@ def summary(rules: Sequence[Rule], df: DataFrame | None = None) -> Column:
     return F.nullif(F.concat_ws(SEP, *parts), F.lit(""))
 
 
+def validate_rules(rules: Sequence[Rule], schema: StructType) -> None:
+    """Refuse rules that cannot run: unknown columns, ``min`` above ``max``,
+    limits on non-numeric columns, two rules for one column."""
+    problems = []
+    names = [r.column for r in rules]
+    if len(set(names)) != len(names):
+        problems.append("more than one rule for a column")
+    for r in rules:
+        if r.column not in schema.names:
+            problems.append(f"{r.column}: no such column")
+            continue
+        if r.min is not None and r.max is not None and r.min > r.max:
+            problems.append(f"{r.column}: min {r.min} is above max {r.max}")
+        if r.has_range and schema[r.column].dataType.typeName() in ("string", "boolean", "binary"):
+            problems.append(f"{r.column}: limits on a {schema[r.column].dataType.typeName()} column")
+    if problems:
+        raise ValueError("invalid QC rules: " + "; ".join(problems))
+
+
 def apply_rules(df: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
     """Adds ``qc_summary`` (reasons joined by "; ", NULL when the row passes)
     and ``qc_status`` ('success' / 'fail')."""
-    with_summary = df.withColumn("qc_summary", summary(rules, df))
+    schema = df.schema
+    validate_rules(rules, schema)
+    with_summary = df.withColumn("qc_summary", summary(rules, schema))
     return with_summary.withColumn(
         "qc_status",
         F.when(F.col("qc_summary").isNull(), F.lit(SUCCESS)).otherwise(F.lit(FAIL)),

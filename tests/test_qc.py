@@ -121,3 +121,18 @@ def test_rule_fails_agrees_with_reason(spark, rule, value, expected):
 
     df = spark.createDataFrame([(value,)], "x double")
     assert df.select(rule_fails(rule, df).alias("f")).first()["f"] == (expected is not None)
+
+
+def test_invalid_rules_are_refused_up_front(spark):
+    from telemetry_qc.operators.qc import validate_rules
+
+    df = spark.createDataFrame([(1.0, "x")], "a double, s string")
+    for rules, text in [
+        ([null_check("nope")], "nope: no such column"),
+        ([bounds("a", 10, 1)], "a: min 10 is above max 1"),
+        ([bounds("s", 0, 1)], "s: limits on a string column"),
+        ([null_check("a"), threshold("a", max=3)], "more than one rule for a column"),
+    ]:
+        with pytest.raises(ValueError, match=text):
+            apply_rules(df, rules)
+    validate_rules(DEFAULT_RULES[:2], spark.createDataFrame([("t", "c")], "trip_id string, car_id string").schema)
