@@ -102,3 +102,14 @@ def blocks(lengths, limit: int):
         total += n
     if len(lengths) > first:
         yield first, len(lengths)
+
+
+def order_key(doc_id="doc_id", text="text"):
+    """One bigint that tells documents apart and keeps their order: the
+    doc_id above 20 bits of a hash of the text.  Documents with a null doc_id
+    or one outside 0 .. 2**42 - 1 come first, in the order of a hash."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    ident = F.col(doc_id)
+    return F.when(
+        ident.between(0, 2**42 - 1), F.shiftleft(ident, 20) + F.xxhash64(body).bitwiseAND(F.lit(2**20 - 1))
+    ).otherwise(F.xxhash64(ident, body).bitwiseOR(F.lit(-(2**63))))

@@ -7,28 +7,59 @@ from typing import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann_tree import search
 from .bpe_fst import encode_documents
 from .common import table
+from .fingerprints import edited_fingerprints
+from .gear_chunks import dedup_substrings
+from .line_windows import dedup_lines
+from .order_minhash import near_duplicates
 from .sos_packing import pack_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ann_tree(spark, sf_dir):
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op2_best_fit_packing(spark, sf_dir):
     return pack_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
     )
 
 
+def op3_order_minhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark, sf_dir):
     return encode_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )
 
 
+def op5_fingerprints(spark, sf_dir):
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op7_line_windows(spark, sf_dir):
+    found = dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op9_gear_chunks(spark, sf_dir):
+    return dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
+    "op1_ann_tree": op1_ann_tree,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_order_minhash": op3_order_minhash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_fingerprints": op5_fingerprints,
+    "op7_line_windows": op7_line_windows,
+    "op9_gear_chunks": op9_gear_chunks,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {}
