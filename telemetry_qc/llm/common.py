@@ -64,17 +64,6 @@ def documents(df: DataFrame, *names: str) -> DataFrame:
     return pick(df, {n: DOC_COLUMNS[n] for n in names or DOC_COLUMNS})
 
 
-def with_key(df: DataFrame) -> DataFrame:
-    """Adds ``k1``, ``k2``: what tells documents apart (doc_id and a hash of
-    the text).  Rows equal in both are one document, stated many times."""
-    return df.withColumns(
-        {
-            "k1": F.coalesce(F.col("doc_id"), F.lit(-(2**63))),
-            "k2": F.xxhash64(F.coalesce(F.col("text"), F.lit(""))),
-        }
-    )
-
-
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: cuts the lineage and is
     there for every executor, also after one is lost."""
@@ -91,19 +80,6 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def blocks(lengths, limit: int):
-    """Splits consecutive items into runs of at most ``limit`` in total (one
-    longer item makes a run of its own): yields (first, end)."""
-    first, total = 0, 0
-    for i, n in enumerate(lengths):
-        if i > first and total + n > limit:
-            yield first, i
-            first, total = i, 0
-        total += n
-    if len(lengths) > first:
-        yield first, len(lengths)
-
-
 def order_key(doc_id="doc_id", text="text"):
     """One bigint that tells documents apart and keeps their order: the
     doc_id above 20 bits of a hash of the text.  Documents with a null doc_id

@@ -17,7 +17,6 @@ null.  An empty table gives an empty table.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import os
 import zlib
@@ -27,8 +26,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import blocks, documents, ship
-from .pretokens import halve, splitter
+from . import words
+from .common import documents, ship
+from .pretokens import UnitCache
 
 
 def sum_of_squares(sizes, capacity: int) -> tuple[list[int], list[int]]:
@@ -66,52 +66,31 @@ def sum_of_squares(sizes, capacity: int) -> tuple[list[int], list[int]]:
     return where, offsets
 
 
-class Encoder:
-    """Ids by the ``tokenizers`` library; those of what it has met are kept
-    (at most ``max_words`` units and pretokens, then the older half goes)."""
+_encoders: dict[tuple[str, bool], UnitCache] = {}
 
-    def __init__(self, content: str, pattern: str | None, max_words: int = 800_000):
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.encode_special_tokens = True
-        self.units, self.split = splitter(pattern) if pattern else (lambda text: [text],) * 2
-        self.pattern, self.max_words = pattern, max_words
-        self.words: dict[str, bytes] = {}
-        words, split = self.words, self.split
-
-        class Units(dict):
-            def __missing__(self, unit: str) -> bytes:
-                out = self[unit] = b"".join(map(words.__getitem__, split(unit)))
-                return out
-
-        self.known = Units()
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        halve(self.words, self.max_words if self.pattern else 0)
-        halve(self.known, self.max_words if self.pattern else 0)
-        units = [self.units(t) for t in texts]
-        new = set().union(*units).difference(self.known)
-        new = list({w for u in new for w in self.split(u)}.difference(self.words))
-        for first in range(0, len(new), 20_000):
-            some = new[first : first + 20_000]
-            got = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            ends = np.searchsorted(np.array(got.word_ids), np.arange(len(some) + 1))
-            for word, a, b in zip(some, ends.tolist(), ends[1:].tolist()):
-                self.words[word] = ids[a:b].tobytes()
-        return [b"".join(map(self.known.__getitem__, u)) for u in units]
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(content: str, pattern: str | None) -> Encoder:
-    key = hashlib.sha256((content + repr(pattern)).encode()).hexdigest()
+def encoder(content: str, spaced: bool) -> UnitCache:
+    """Ids by the ``tokenizers`` library.  One a worker process, as it keeps
+    the ids of words it has met."""
+    key = (hashlib.sha256(content.encode()).hexdigest(), spaced)
     if key not in _encoders:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(content)
+        tokenizer.encode_special_tokens = True
+
+        def encode(texts: list[str]) -> list[np.ndarray]:
+            out = []
+            for first in range(0, len(texts), 20_000):
+                some = texts[first : first + 20_000]
+                got = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+                ids = np.array(got.ids, np.uint32)
+                ends = np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(some) + 1))
+                out += [ids[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+            return out
+
         _encoders.clear()
-        _encoders[key] = Encoder(content, pattern)
-        gc.freeze()
+        _encoders[key] = UnitCache(encode, spaced)
     return _encoders[key]
 
 
@@ -124,30 +103,30 @@ def cut(total: int, capacity: int) -> list[tuple[int, int]]:
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, tokenizer_file: str, pattern: str | None, capacity: int = 2048, separator: int = 0) -> DataFrame:
-    """Tokenised pieces.  ``pattern`` must be the tokenizer's own pretoken
-    split (it only lets equal pretokens be encoded once); None: encode whole
-    texts."""
+def pieces(docs: DataFrame, tokenizer_file: str, spaced: bool, capacity: int = 2048, separator: int = 0) -> DataFrame:
+    """Tokenised pieces.  ``spaced``: the tokenizer begins a pretoken at every
+    single blank between words, so that words may be encoded one by one."""
     spark = docs.sparkSession
     ship(spark)
     with open(tokenizer_file, encoding="utf-8") as f:
         content = spark.sparkContext.broadcast(f.read())
-    end = np.array([separator], "<u4").tobytes()
 
     def tokenise(batches):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        encode = encoder(content.value, pattern)
+        encode = encoder(content.value, spaced)
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+            data, offsets = words.utf8(batch.column("text"))
             doc_ids = batch.column("doc_id").to_pylist()
-            for a, b in blocks([len(t) for t in texts], 1 << 20):
+            for a, b in words.parts(offsets, 2 * words.PART_BYTES):
                 rows = []
-                for doc_id, ids in zip(doc_ids[a:b], encode(texts[a:b])):
-                    ids += end
-                    for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
-                        rows.append((doc_id, k, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)])))
+                found = encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                for doc_id, ids in zip(doc_ids[a:b], found):
+                    raw = np.append(ids, np.uint32(separator)).astype("<u4").tobytes()
+                    for k, (start, n) in enumerate(cut(len(ids) + 1, capacity)):
+                        rows.append((doc_id, k, start, n, zlib.crc32(raw[4 * start : 4 * (start + n)])))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
+                    [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
@@ -181,8 +160,8 @@ def pack(found: DataFrame, tasks: int, capacity: int = 2048) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer_file: str, pattern: str | None, capacity: int = 2048, items: int = 16_384
+    docs: DataFrame, tokenizer_file: str, spaced: bool, capacity: int = 2048, items: int = 16_384
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     tasks = max(1, round(docs.count() / items))
-    return pack(pieces(docs, tokenizer_file, pattern, capacity), tasks, capacity)
+    return pack(pieces(docs, tokenizer_file, spaced, capacity), tasks, capacity)

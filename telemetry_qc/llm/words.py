@@ -85,22 +85,19 @@ def spans(data: np.ndarray, offsets: np.ndarray):
     return s, e, np.diff(np.searchsorted(s, offsets))
 
 
-def span_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray, lower: bool = False) -> np.ndarray:
-    if lower:
-        data = _LOWER[data]
+def lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z in lower case."""
+    return _LOWER[data]
+
+
+def span_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data)), out=sums[1:])
     inverse = _power(_INVERSE, len(data) + 1)
     return mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+def word_hashes(data: np.ndarray, offsets: np.ndarray):
     """(hash of every word, words per document)."""
     s, e, n = spans(data, offsets)
-    return span_hashes(data, s, e, lower), n
-
-
-def hash_bytes(word: bytes, lower: bool = False) -> int:
-    """The hash of one word, for tests and fixed symbols."""
-    data = np.frombuffer(word, np.uint8)
-    return int(span_hashes(data, np.array([0]), np.array([len(word)]), lower)[0])
+    return span_hashes(data, s, e), n
