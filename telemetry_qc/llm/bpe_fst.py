@@ -1,7 +1,8 @@
 """Byte-level BPE as a finite-state transducer.
 
 Encoding.  The transducer reads the bytes of one pretoken.  Its state is the
-last token already emitted and the bytes read since.  For every end position
+bytes read since the token emitted last; where a transition depends on that
+token too, it has a test with two outcomes.  For every end position
 among those bytes the last token of that prefix's encoding is known (there is
 exactly one token that ends there and forms a stable pair with the token
 before it), so the encoding of any prefix is a chain of tokens back to the
@@ -24,14 +25,15 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
+from . import words
 from .common import documents, ship
-from .pretokens import halve, splitter
+from .pretokens import UnitCache
 
 
 class Transducer:
@@ -48,13 +50,14 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        # State n: (token emitted last or -1, bytes read since), and the last
-        # token of each prefix of those bytes.  Transitions: n << 8 | byte ->
-        # m << 24 | k, k naming the tokens emitted (0: none).
-        self._states: list[tuple[int, bytes]] = [(-1, b"")]
-        self._lasts: list[tuple[int, ...]] = [()]
-        self._known = {(-1, b""): 0}
+        # State n: the bytes read since the last emitted token, and the last
+        # token of each prefix of those.  Transitions: n << 8 | byte ->
+        # m << 24 | k, k naming the tokens emitted (0: none); or, where it
+        # depends on the token emitted last, -1 - t, t naming a test.
+        self._states: list[tuple[bytes, tuple[int, ...]]] = [(b"", ())]
+        self._known = {self._states[0]: 0}
         self._moves: dict[int, int] = {}
+        self._tests: list[list[int]] = []  # token; moves if stable, if not
         self._emits: list[tuple[int, ...]] = [()]
         self._emit_ids: dict[tuple[int, ...], int] = {(): 0}
         self._rests: dict[int, tuple[int, ...]] = {0: ()}
@@ -88,16 +91,17 @@ class Transducer:
             self._pairs[left << 32 | right] = known
         return known
 
-    def _last(self, root: int, text: bytes, lasts: tuple[int, ...]) -> int:
-        """The token that ends the encoding of root + text; ``lasts`` has
-        those of the shorter prefixes."""
+    def _last(self, text: bytes, lasts: tuple[int, ...], whole: bool) -> int:
+        """The token that ends the encoding of what was emitted and text;
+        ``lasts`` has those of the shorter prefixes.  ``whole``: all of text
+        is a token, stable after the one emitted."""
         get, n = self.ranks.get, len(text)
-        for start in range(max(0, n - self.longest), n):
+        if whole:
+            return get(text)
+        for start in range(max(1, n - self.longest), n):
             token = get(text[start:])
-            if token is not None:
-                before = lasts[start - 1] if start else root
-                if before < 0 or self._stable(before, token):
-                    return token
+            if token is not None and self._stable(lasts[start - 1], token):
+                return token
         raise ValueError("the vocabulary lacks a byte")
 
     def _chain(self, lasts: tuple[int, ...], end: int) -> tuple[int, ...]:
@@ -107,12 +111,22 @@ class Transducer:
             end -= self.lengths[out[-1]]
         return tuple(out[::-1])
 
-    def step(self, state: int, byte: int) -> int:
-        """Makes the transition."""
-        (root, text), lasts = self._states[state], self._lasts[state]
+    def _plan(self, state: int, byte: int) -> int:
+        """The transition, or the test it depends on."""
+        token = self.ranks.get(self._states[state][0] + bytes((byte,)))
+        if token is None:
+            move = self._make(state, byte, False)
+        else:
+            self._tests.append([token, -1, -1])
+            move = -len(self._tests)
+        self._moves[state << 8 | byte] = move
+        return move
+
+    def _make(self, state: int, byte: int, whole: bool) -> int:
+        text, lasts = self._states[state]
         text += bytes((byte,))
         n = len(text)
-        lasts += (self._last(root, text, lasts),)
+        lasts += (self._last(text, lasts, whole),)
         # The next token can start here or where the bytes begin a token;
         # ``cut`` is where the chains from all these places meet.
         prefixes, lengths, cut = self.prefixes, self.lengths, n
@@ -129,33 +143,39 @@ class Transducer:
                     if not cut:
                         break
         sure = self._chain(lasts, cut) if cut else ()
-        after = (sure[-1] if cut else root, text[cut:])
+        after = (text[cut:], lasts[cut:])
         to = self._known.get(after)
         if to is None:
             to = self._known[after] = len(self._states)
             self._states.append(after)
-            self._lasts.append(lasts[cut:])
         emit = self._emit_ids.get(sure)
         if emit is None:
             emit = self._emit_ids[sure] = len(self._emits)
             self._emits.append(sure)
-        self._moves[state << 8 | byte] = move = to << 24 | emit
-        return move
+        return to << 24 | emit
 
     def encode(self, word: bytes) -> list[int]:
         if len(self._states) >= self.max_states:
             self._reset()
-        state, out, moves = 0, [], self._moves
+        state, root, out, moves = 0, -1, [], self._moves
         for byte in word:
             move = moves.get(state << 8 | byte)
             if move is None:
-                move = self.step(state, byte)
+                move = self._plan(state, byte)
+            if move < 0:
+                test = self._tests[-1 - move]
+                whole = root < 0 or self._stable(root, test[0])
+                move = test[1 if whole else 2]
+                if move < 0:
+                    move = test[1 if whole else 2] = self._make(state, byte, whole)
             state = move >> 24
             if move & 0xFFFFFF:
-                out += self._emits[move & 0xFFFFFF]
+                emit = self._emits[move & 0xFFFFFF]
+                out += emit
+                root = emit[-1]
         rest = self._rests.get(state)
         if rest is None:
-            lasts = self._lasts[state]
+            lasts = self._states[state][1]
             rest = self._rests[state] = self._chain(lasts, len(lasts))
         out += rest
         return out
@@ -246,33 +266,21 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
 
 
 class Codec:
-    """Text to ids and back; keeps the ids of what it has met (at most
-    ``max_words`` units and as many pretokens, then the older half goes)."""
+    """Texts to ids and back.  Keeps the ids of what it has met."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_words: int = 500_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 1_000_000):
         self.transducer = Transducer(ranks)
         self.decoder = StreamDecoder(self.transducer.tokens)
-        self.units, words = splitter(pattern)
-        self.max_words = max_words
-        encode = self.transducer.encode
-
-        class Words(dict):
-            def __missing__(self, word: str) -> bytes:
-                out = self[word] = array("I", encode(word.encode())).tobytes()
-                return out
+        split, encode = regex.compile(pattern).findall, self.transducer.encode
 
-        class Units(dict):
-            def __missing__(self, unit: str) -> bytes:
-                out = self[unit] = b"".join(map(get, words(unit)))
-                return out
+        def pretokens(texts: list[str]) -> list[np.ndarray]:
+            return [np.array([i for w in split(t) for i in encode(w.encode())], np.uint32) for t in texts]
 
-        self.words, self.known = Words(), Units()
-        get = self.words.__getitem__
+        self.units = UnitCache(pretokens, " ?" in pattern, limit)
 
     def encode(self, text: str) -> np.ndarray:
-        halve(self.words, self.max_words)
-        halve(self.known, self.max_words)
-        return np.frombuffer(b"".join(map(self.known.__getitem__, self.units(text))), np.uint32)
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return self.units(raw, np.array([0, len(raw)]))[0]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return self.decoder.feed(ids) + self.decoder.finish()
@@ -304,22 +312,29 @@ def encode_documents(docs: DataFrame, ranks_file: str, pattern: str, arrays: boo
         own = codec(content.value, pattern)
         decimal = [str(i) for i in range(max(own.transducer.tokens) + 1)]
         for batch in batches:
-            counts, ids_sha, decoded_sha, ids_list, decoded_list = [], [], [], [], []
-            for text in batch.column("text"):
-                ids = own.encode(text.as_py() or "")
-                decoded = own.decode(ids)
-                counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids.tolist())).encode()).hexdigest())
-                decoded_sha.append(hashlib.sha256(decoded).hexdigest())
+            data, offsets = words.utf8(batch.column("text"))
+            for a, b in words.parts(offsets, 2 * words.PART_BYTES):
+                counts, ids_sha, decoded_sha, ids_list, decoded_list = [], [], [], [], []
+                for ids in own.units(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]):
+                    decoded = own.decode(ids)
+                    counts.append(len(ids))
+                    text = " ".join(map(decimal.__getitem__, ids.tolist()))
+                    ids_sha.append(hashlib.sha256(text.encode()).hexdigest())
+                    decoded_sha.append(hashlib.sha256(decoded).hexdigest())
+                    if arrays:
+                        ids_list.append(ids.tolist())
+                        decoded_list.append(decoded.decode("utf-8", "replace"))
+                columns = [
+                    batch.column("doc_id").slice(a, b - a),
+                    pa.array(counts, pa.int64()),
+                    pa.array(ids_sha, pa.string()),
+                    pa.array(decoded_sha, pa.string()),
+                ]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if arrays:
-                    ids_list.append(ids.tolist())
-                    decoded_list.append(decoded.decode("utf-8", "replace"))
-            columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if arrays:
-                columns += [pa.array(ids_list, pa.list_(pa.int32())), pa.array(decoded_list, pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(columns, names)
+                    columns += [pa.array(ids_list, pa.list_(pa.int32())), pa.array(decoded_list, pa.string())]
+                    names += ["ids", "decoded"]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return documents(docs, "doc_id", "text").mapInArrow(encode, schema + (", ids array<int>, decoded string" if arrays else ""))
