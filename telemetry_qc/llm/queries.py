@@ -12,9 +12,12 @@ from .bpe_fst import encode_documents
 from .common import table
 from .fingerprints import edited_fingerprints
 from .gear_chunks import dedup_substrings
+from .kneser_ney import classify
 from .line_windows import dedup_lines
+from .log_bilinear import score_documents
 from .order_minhash import near_duplicates
 from .sos_packing import pack_documents
+from .surrogates import replace_entities
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,7 +28,7 @@ def op1_ann_tree(spark, sf_dir):
 
 def op2_best_fit_packing(spark, sf_dir):
     return pack_documents(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), " ?" in public_tokenizers.PATTERN
     )
 
 
@@ -43,23 +46,43 @@ def op5_fingerprints(spark, sf_dir):
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+#: For tests and checks; a real run takes its own.
+SURROGATE_KEY = b"a key for trial runs"
+
+
+def op6_surrogates(spark, sf_dir):
+    found = replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return found.select("doc_id", "text", "n_chars", "kinds")
+
+
 def op7_line_windows(spark, sf_dir):
     found = dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op8_kneser_ney(spark, sf_dir):
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_gear_chunks(spark, sf_dir):
     return dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def op10_log_bilinear(spark, sf_dir):
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_ann_tree": op1_ann_tree,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_order_minhash": op3_order_minhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_fingerprints": op5_fingerprints,
+    "op6_surrogates": op6_surrogates,
     "op7_line_windows": op7_line_windows,
+    "op8_kneser_ney": op8_kneser_ney,
     "op9_gear_chunks": op9_gear_chunks,
+    "op10_log_bilinear": op10_log_bilinear,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {}
