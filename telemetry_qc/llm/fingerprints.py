@@ -207,7 +207,7 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     def of(w):
         n, k = len(w), min(SHINGLE, len(w))
         w = w.astype(np.uint64)
-        return np.unique(words.mix(sum((w[i : n - k + 1 + i] * _FACTORS[i] for i in range(k)), np.zeros(max(n - k + 1, 0), np.uint64))))
+        return np.unique(words.mix(sum((w[i : n - k + 1 + i] * _FACTORS[i] for i in range(k)), np.full(max(n - k + 1, 0), k, np.uint64))))
 
     if not len(a) and not len(b):
         return 1.0

@@ -34,16 +34,19 @@ from . import words
 from .common import documents, saved, ship
 
 CLASSES = 128
-FREQUENT = 383
+FREQUENT = 127
 OUTPUTS = CLASSES + FREQUENT + 1
 START = OUTPUTS  # only ever read
 CONTEXT = 3
 WIDTH = 24
 NOISE = 64
 NOISE_WEIGHT = 10.0
-BATCH = 4096
-ROUNDS = 2
+BATCH = 1024
 RATE = 0.1
+#: Rounds go over all training tokens until so many have been read: one round
+#: over a large table, more over a small one, ROUNDS at most.
+TOKENS = 4_000_000
+ROUNDS = 12
 #: Tokens in a block.
 BLOCK = 2_000_000
 
@@ -168,8 +171,10 @@ class Model:
             x = self.predicted(context[a : a + BATCH]) @ self.out.T
             x += self.bias
             own = x[np.arange(len(x)), target[a : a + BATCH]]
-            top = x.max(1)
-            x -= top[:, None]
+            # Products of trained vectors are small; exp is safe up to 80.
+            top = max(0.0, float(x.max()) - 80)
+            if top:
+                x -= top
             np.exp(x, out=x)
             out[a : a + BATCH] = own - top - np.log(x.sum(1))
         return out
@@ -179,7 +184,7 @@ class Model:
         share their noise."""
         rng = np.random.default_rng(seed)
         log_noise = np.log(NOISE_WEIGHT * self.unigram).astype(np.float32)
-        steps = state.setdefault("squares", {n: np.full_like(getattr(self, n), 1e-3) for n in ("read", "out", "weight", "bias")})
+        steps = state.setdefault("squares", {n: np.full_like(getattr(self, n), 1e-6) for n in ("read", "out", "weight", "bias")})
         order = rng.permutation((len(target) + BATCH - 1) // BATCH)
         noises = rng.choice(OUTPUTS, size=(len(order), NOISE), p=self.unigram)
         share = np.float32(NOISE_WEIGHT / NOISE)
@@ -250,10 +255,10 @@ class Reader:
         return target, context, begin, ends
 
 
-def fit(blocks: DataFrame, reader: Reader, unigram: np.ndarray) -> Model:
+def fit(blocks: DataFrame, reader: Reader, unigram: np.ndarray, total: int) -> Model:
     """Rounds of training in every task, averaged by tokens."""
     model = Model(unigram)
-    for round_ in range(ROUNDS):
+    for round_ in range(min(ROUNDS, -(-TOKENS // total)) if total else 0):
         start = model.flat()
 
         def learn(batches, start=start, round_=round_):
@@ -266,7 +271,7 @@ def fit(blocks: DataFrame, reader: Reader, unigram: np.ndarray) -> Model:
                     target, context = target[mine], context[mine]
                     if len(target):
                         seed = [row["block"] >> 32, row["block"] & 0xFFFFFFFF, round_]
-                        own.train(context, target, seed, state, RATE / (1 + round_))
+                        own.train(context, target, seed, state, RATE / np.sqrt(1 + round_))
                         seen += len(target)
             if seen:
                 flat = own.flat()
@@ -302,12 +307,13 @@ def score_documents(docs: DataFrame) -> DataFrame:
         class_n[r["class"]], class_types[r["class"]] = r["n"], r["types"]
     total = int(class_n.sum() + frequent_n.sum())
     n_types = int(class_types.sum() + (frequent_n > 0).sum())
-    share = np.ones(OUTPUTS)
-    share[:CLASSES] += class_n
-    share[CLASSES : CLASSES + len(frequent)] += frequent_n
+    share = np.zeros(OUTPUTS)
+    share[:CLASSES] = class_n
+    share[CLASSES : CLASSES + len(frequent)] = frequent_n
+    share = np.maximum(share, 0.1)  # no output is impossible
     unigram = share / share.sum()
     reader = Reader(frequent)
-    model = fit(blocks, reader, unigram)
+    model = fit(blocks, reader, unigram, total)
     log_class = np.zeros(OUTPUTS)
     log_class[:CLASSES] = np.log10(class_n + class_types + 1)  # and 0 for a word that is an output
     # Counts of a block's rare words; the others' are known everywhere.

@@ -85,4 +85,30 @@ LLM_QUERIES: dict[str, Query] = {
     "op10_log_bilinear": op10_log_bilinear,
 }
 
-LLM_ORACLE_SQL: dict[str, str] = {}
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op7_line_windows": """
+WITH split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+),
+windows AS (
+    SELECT doc_id, i, lines[i] || chr(10) || lines[i + 1] || chr(10) || lines[i + 2] AS body
+    FROM (SELECT doc_id, lines, unnest(generate_series(1, len(lines) - 2)) AS i FROM split) t
+),
+repeats AS (
+    SELECT doc_id, i FROM (
+        SELECT doc_id, i, row_number() OVER (PARTITION BY body ORDER BY doc_id, i) AS nth FROM windows
+    ) t WHERE nth > 1
+),
+covered AS (
+    SELECT DISTINCT doc_id, i + k AS j FROM repeats CROSS JOIN (VALUES (0), (1), (2)) AS v(k)
+),
+every AS (
+    SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS j FROM split
+)
+SELECT e.doc_id,
+       coalesce(string_agg(e.line, chr(10) ORDER BY e.j) FILTER (WHERE c.j IS NULL), '') AS text,
+       count(*) AS n_lines,
+       count(c.j) AS n_removed
+FROM every e LEFT JOIN covered c ON c.doc_id = e.doc_id AND c.j = e.j
+GROUP BY e.doc_id""",
+}

@@ -102,7 +102,8 @@ def _valid(kind: str, found: str) -> bool:
         return all(int(p) < 256 for p in found.split("."))
     if kind == "phone":
         n = len(_DIGITS.findall(found))
-        return 8 <= n <= 15 and (found[0] in "+(" or n >= 10)
+        dotted = regex.fullmatch(r"\d{1,3}(?:\.\d{1,3}){3}", found)  # like an IP address
+        return 8 <= n <= 15 and (found[0] in "+(" or n >= 10) and not dotted
     return True
 
 
