@@ -1,0 +1,177 @@
+"""Line windows and gear chunks."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+from helpers import clashing, docs, tuples, words
+
+from telemetry_qc.llm import gear_chunks as G
+from telemetry_qc.llm import line_windows as L
+from telemetry_qc.llm import words as W
+
+
+def brute_lines(rows):
+    """rows of (doc_id, text), doc_ids different, in order."""
+    seen, out = set(), []
+    for doc_id, text in sorted(rows):
+        lines = (text or "").split("\n")
+        covered = set()
+        for i in range(len(lines) - 2):
+            window = tuple(lines[i : i + 3])
+            if window in seen:
+                covered |= {i, i + 1, i + 2}
+            seen.add(window)
+        kept = "\n".join(x for i, x in enumerate(lines) if i not in covered)
+        out.append((doc_id, kept, len(lines), len(covered)))
+    return out
+
+
+def test_lines_against_brute_force(spark):
+    rnd = random.Random(1)
+    pool = [f"line {i}" for i in range(12)] + ["", " "]
+    rows = [(i, "\n".join(rnd.choice(pool) for _ in range(rnd.randint(1, 12)))) for i in range(150)]
+    rows += [(200, "a\nb\na\nb\na\nb\na"), (201, None), (202, ""), (203, "é\n中\n😀\né\n中\n😀"), (204, "x\n" * 9000)]
+    got = L.dedup_lines(docs(spark, rows).repartition(5))
+    assert tuples(got, "doc_id", "text", "n_lines", "n_removed") == sorted(brute_lines(rows), key=repr)
+    assert all(r["n_chars"] == len(r["text"]) for r in got.collect())
+
+
+def test_lines_edge_cases(spark):
+    text = "one\ntwo\nthree"
+    out = L.dedup_lines(docs(spark, [(None, text), (3, text), (3, text), (4, text + "\nfour")]))
+    got = tuples(out, "doc_id", "text")
+    # The one without an id comes first; equal rows are one document.
+    assert got == sorted([(None, text), (3, ""), (3, ""), (4, "four")], key=repr)
+    assert L.dedup_lines(docs(spark, [])).count() == 0
+    assert tuples(L.dedup_lines(clashing(spark, [(1, text), (2, text)])), "doc_id", "text") == [(1, text), (2, "")]
+
+
+def test_equal_rows_alone_stay(spark):
+    out = L.dedup_lines(docs(spark, [(3, "a\nb\nc")] * 4))
+    assert tuples(out, "text", "n_removed") == [("a\nb\nc", 0)] * 4
+
+
+def spans_of(text):
+    data, offsets = W.utf8(pa.array([text]))
+    starts, ends, _ = G.chunks(data, offsets)
+    return [bytes(data[a:b]) for a, b in zip(starts, ends)]
+
+
+def test_gear_against_brute_force():
+    rnd = random.Random(2)
+    texts = ["".join(rnd.choice("abcdé \n") for _ in range(n)) for n in (0, 1, 16, 500, 0, 2000)]
+    data, offsets = W.utf8(pa.array(texts))
+    got, at = G.gear(data, offsets), 0
+    for text in texts:
+        h = 0
+        for byte in text.encode():
+            h = ((h << 1) + int(G._GEAR[byte])) & 0xFFFF
+            assert got[at] == h
+            at += 1
+    for text in texts:
+        raw, chunks, start, h = text.encode(), [], 0, 0
+        for i, byte in enumerate(raw):
+            h = ((h << 1) + int(G._GEAR[byte])) & 0xFFFF
+            if i + 1 == len(raw) or (h < 65536 // G.MEAN and raw[i + 1] & 0xC0 != 0x80):
+                chunks.append(raw[start : i + 1])
+                start = i + 1
+        assert spans_of(text) == chunks
+
+
+def test_chunks_resist_an_insertion():
+    rnd = random.Random(3)
+    text = " ".join(words(rnd, 600, 5000))
+    moved = text[:900] + "something put in" + text[900:]
+    a, b = spans_of(text), spans_of(moved)
+    assert len(set(a) - set(b)) <= 3 and len(a) > 60
+
+
+def brute_chunks(rows, least=G.LEAST):
+    seen, out = {}, []
+    for doc_id, text in sorted(rows):
+        chunks = spans_of(text or "")
+        again, own = [], set()
+        for c in chunks:
+            again.append(c in seen or c in own)
+            own.add(c)
+        seen.update(dict.fromkeys(own))
+        kept, i = [], 0
+        while i < len(chunks):
+            j = i
+            while j < len(chunks) and again[j]:
+                j += 1
+            run = b"".join(chunks[i:j])
+            if j > i and len(run) >= least:
+                i = j
+            else:
+                kept += chunks[i : max(j, i + 1)]
+                i = max(j, i + 1)
+        out.append((doc_id, b"".join(kept).decode(), len(chunks), sum(again)))
+    return out
+
+
+def test_chunks_against_brute_force(spark):
+    rnd = random.Random(4)
+    passage = " ".join(words(rnd, 60, 5000))
+    rows = []
+    for i in range(60):
+        w = words(rnd, 120, 5000)
+        if i % 3 == 0:
+            w.insert(rnd.randrange(120), passage)
+        if i % 5 == 0:
+            w.append("né 中文 " * 30)
+        rows.append((i, " ".join(w)))
+    rows += [(100, rows[1][1]), (101, None), (102, ""), (103, "a" * 5000), (104, "long word " * 20_000)]
+    got = G.dedup_substrings(docs(spark, rows).repartition(5))
+    assert tuples(got, "doc_id", "text", "n_chunks", "n_repeated") == sorted(brute_chunks(rows), key=repr)
+    text = dict(rows)
+    for r in got.collect():
+        t = text[r["doc_id"]] or ""
+        cut = sorted((s["start"], s["end"]) for s in r["removed"])
+        keep, at = "", 0
+        for a, b in cut:
+            keep, at = keep + t[at:a], b
+        assert keep + t[at:] == r["text"] and r["n_removed"] == sum(b - a for a, b in cut)
+    after = {r["doc_id"]: r["text"] for r in got.collect()}
+    assert after[1] == text[1] and after[100] == ""  # a whole copy goes
+    for i in range(3, 60, 3):
+        assert passage not in after[i] and len(passage) - 100 < len(text[i]) - len(after[i])
+    for i in (4, 7, 8, 11):  # without a passage: as they were
+        assert after[i] == text[i]
+
+
+def test_chunks_edge_cases(spark):
+    text = " ".join(words(random.Random(5), 90))
+    out = G.dedup_substrings(docs(spark, [(None, text), (3, text), (3, text)]))
+    assert tuples(out, "doc_id", "text") == sorted([(None, text), (3, ""), (3, "")], key=repr)
+    assert G.dedup_substrings(docs(spark, [])).count() == 0
+    assert G.dedup_substrings(clashing(spark, [(1, text), (2, text)])).where("text = ''").count() == 1
+
+
+def test_joins_without_broadcast_agree(spark, monkeypatch):
+    """Digests sent back by a shuffle instead."""
+    from telemetry_qc.llm import repeats
+
+    rnd = random.Random(6)
+    rows = [(i, "\n".join(f"l{rnd.randrange(5)}" for _ in range(8))) for i in range(40)]
+    monkeypatch.setattr(repeats, "BROADCAST_DIGESTS", 0)
+    got = L.dedup_lines(docs(spark, rows))
+    assert tuples(got, "doc_id", "text", "n_lines", "n_removed") == sorted(brute_lines(rows), key=repr)
+
+
+def test_word_hashes():
+    texts = ["the  cat\n sat", "", None, "the", " x", "a b", " ", "né 中", "a\x0bb\x0cc\rd"]
+    data, offsets = W.utf8(pa.array(texts))
+    got, count = W.word_hashes(data, offsets)
+    split = [[w for w in (t or "").encode().replace(b"\x0b", b" ").split() if w] for t in texts]
+    assert count.tolist() == [len(s) for s in split]
+    flat = [w for s in split for w in s]
+    table = {}
+    for w, h in zip(flat, got.tolist()):
+        assert table.setdefault(w, h) == h
+    assert len(set(table.values())) == len(table)
+    sliced = pa.array(["skip me", *texts])[1:]
+    assert (W.word_hashes(*W.utf8(sliced))[0] == got).all()
+    big = np.concatenate([W.word_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])[0] for a, b in W.parts(offsets, 4)])
+    assert (big == got).all()
