@@ -23,7 +23,7 @@ from pyspark.sql import SparkSession
 from .operators.qc import DEFAULT_RULES, rules_from_config
 from .plans.process import process
 from .sinks.routing import SINK_ORDER
-from .sinks.tables import ParquetTableSink
+from .sinks.tables import ParquetTableSink, checked_run_id, new_run_id
 from .sources.files import read_envelope
 from .streaming.consumer import ConsumerSettings, consume_topic
 
@@ -50,12 +50,14 @@ def cmd_process(spark: SparkSession, a: argparse.Namespace) -> dict:
     sinks["device_data"] = ParquetTableSink(
         "device_data", f"{a.output}/device_data", ("trip_start_date",), rebalance=True
     )
+    run_id = checked_run_id(a.run_id or new_run_id())
     result = process(
         read_envelope(spark, a.input),
         sinks,
         rules=_rules(a.rules),
-        stage_path=f"{a.output}/_stage",
+        stage_path=f"{a.output}/_stage/{run_id}",
         batch_id=a.batch_id,
+        run_id=run_id,
         allow_unexpected=a.allow_unexpected,
     )
     return result.metrics
@@ -92,6 +94,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--input", required=True)
     b.add_argument("--output", required=True)
     b.add_argument("--rules", help="JSON list of rules (default: built-in rules)")
+    b.add_argument("--run-id", help="name of this run (default: a fresh one); a run repeated under its name replaces what it wrote")
     b.add_argument("--batch-id", type=int, default=0)
     b.add_argument("--allow-unexpected", action="store_true", help="accept extra JSON keys")
 

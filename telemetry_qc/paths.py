@@ -28,6 +28,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, on whatever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused location under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -39,18 +39,16 @@ ROUTE = "route"
 CORRUPT, CLEAN, FAILED = "corrupt", "clean", "failed"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
-    cluster's parallelism) when the source has fewer partitions than that.
-
-    Parsing is CPU-bound; a source read as a handful of splits would leave
-    most cores idle.  A large source already has many more splits than cores
-    and is left untouched (no shuffle).
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``partitions`` tasks; without a number it stays
+    as it is.
+
+    Parsing is CPU-bound, so a source read as a handful of splits leaves most
+    cores idle, and dealing its rows out pays.  It moves every row, though:
+    only the caller, who knows the source, can ask for it.  Sources with
+    splits of their own (``minPartitions``, ``maxPartitionBytes``) need it not.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    return df.repartition(partitions) if partitions else df
 
 
 def annotate(
@@ -106,14 +104,17 @@ def stage(annotated: DataFrame, path: str) -> DataFrame:
 
     The raw text is kept for corrupt rows only (the clean and failed tables
     do not carry it), which keeps the staged table close to the typed size.
-    Overwrites ``path``, so a retried batch replaces its own partial output.
+    Overwrites ``path`` as a whole (static, whatever the session's mode), so
+    a retried batch replaces its own partial output.  Read back by the known
+    schema: a batch without rows leaves no file to infer one from.
     """
     slim = annotated.withColumn(
         "value_str",
         F.when(F.col(ROUTE) == CORRUPT, F.col("value_str")),
     )
-    slim.write.mode("overwrite").partitionBy(ROUTE).parquet(path)
-    return annotated.sparkSession.read.parquet(path)
+    w = slim.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w.partitionBy(ROUTE).parquet(path)
+    return annotated.sparkSession.read.schema(slim.schema).parquet(path)
 
 
 def schema_valid(annotated: DataFrame) -> DataFrame:

@@ -55,8 +55,15 @@ ENVELOPE_SCHEMA = StructType(
     ]
 )
 
-# Row identity of a record: unique per (topic, partition, offset).
-RECORD_ID = ("topic_name", "kafka_partition", "kafka_offset")
+# Identity of a record: unique per (topic, partition, offset).  A table
+# without topic_name holds the records of one topic; the audit table has one
+# row per record and ruled column.
+TABLE_KEYS = {
+    "device_data": ("kafka_partition", "kafka_offset"),
+    "qc_failed_table": ("kafka_partition", "kafka_offset"),
+    "corrupt_records": ("topic_name", "kafka_partition", "kafka_offset"),
+    "qc_audit_log_table": ("kafka_partition", "kafka_offset", "column_name"),
+}
 
 # Device times carry no zone; outputs hold them as wall-clock TIMESTAMP_NTZ.
 _TS = TimestampNTZType()

@@ -32,6 +32,8 @@ def error_row(
     ).select(*ERROR_LOG_SCHEMA.names)
 
 
-def log_error(sink, spark: SparkSession, error_message: str, batch_id: int, target_table: str) -> None:
+def log_error(
+    sink, spark: SparkSession, error_message: str, batch_id: int, target_table: str, run_id: str
+) -> None:
     """Append one row to the error log sink."""
-    sink.write(error_row(spark, error_message, batch_id, target_table), batch_id)
+    sink.write(error_row(spark, error_message, batch_id, target_table), batch_id, run_id)

@@ -3,9 +3,10 @@
 The caller supplies url, driver and credentials; nothing is hard-coded.
 Throughput options (``batchsize``, ``numPartitions``, ``isolationLevel``)
 pass straight through to Spark's JDBC writer.  Append is at-least-once: a
-replayed micro-batch appends its rows again, so the target table should hold
-a unique key on (topic_name, kafka_partition, kafka_offset), or readers
-de-duplicate on it (``dedupe_records``).
+replayed micro-batch appends its rows again.  Either the target table holds a
+unique key, or readers de-duplicate (``dedupe_records``); the key of each table
+is ``TABLE_KEYS``.  Tables without a topic column hold one topic's records: a
+second topic needs tables of its own.
 """
 
 from __future__ import annotations
@@ -14,13 +15,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import RECORD_ID
+from ..schemas import TABLE_KEYS
 
 
 # Write defaults sized for a large cluster writing into one database: Spark
 # coalesces to ``numPartitions`` before writing, so at most that many
 # connections are open at once, and ``batchsize`` rows go per round trip.
-# Callers override either through ``options``.
+# Callers override either through ``options``.  The frame written should be a
+# materialised one (staged, or cached and counted, as the stream runner has
+# it): whatever is still to be computed would run in so few tasks.
 WRITE_DEFAULTS = {"numPartitions": "64", "batchsize": "10000"}
 
 
@@ -35,7 +38,7 @@ class JdbcSink:
     def writer_options(self) -> dict[str, str]:
         return {"url": self.url, "dbtable": self.table, **WRITE_DEFAULTS, **self.options}
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch_id: int, run_id: str) -> None:
         df.write.format("jdbc").mode(self.mode).options(**self.writer_options()).save()
 
     def read(self, spark: SparkSession, **read_options: str) -> DataFrame:
@@ -48,12 +51,16 @@ class JdbcSink:
         )
 
 
-def dedupe_records(df: DataFrame, key: tuple[str, ...] = RECORD_ID) -> DataFrame:
-    """Drop replayed copies of a record: keep one row per record identity.
+def dedupe_records(df: DataFrame, table: str) -> DataFrame:
+    """Drop replayed copies: keep one row per key of ``table``
+    (``TABLE_KEYS``).  A frame without one of the key's columns is refused,
+    since a shorter key would merge different rows.
 
-    ``dropDuplicates`` shuffles on the key; the identity is unique per record,
-    so no key is hot and the shuffle spreads evenly.
+    ``dropDuplicates`` shuffles whole rows on the key; keys are unique but for
+    replays, so none is hot.
     """
-    present = [k for k in key if k in df.columns]
-    return df.dropDuplicates(present) if present else df
-
+    key = TABLE_KEYS[table]
+    missing = [k for k in key if k not in df.columns]
+    if missing:
+        raise ValueError(f"{table}: no column {', '.join(missing)} to tell rows apart")
+    return df.dropDuplicates(list(key))

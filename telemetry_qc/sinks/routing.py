@@ -29,18 +29,16 @@ def write_routed(
     outputs: Mapping[str, DataFrame],
     sinks: Mapping[str, object],
     batch_id: int,
+    run_id: str,
     order: Sequence[str] = SINK_ORDER,
     concurrent: bool = True,
-    warm_first: bool = False,
 ) -> None:
     """Check each frame against its table definition and write it.
 
     The side tables (all but the last in ``order``) are written as
     concurrent Spark jobs from driver threads; the last (the clean table)
     only after they all succeeded.  Concurrent jobs overlap their fixed
-    costs and fill each other's idle task slots.  ``warm_first`` writes one
-    side table alone before the others start, so a persisted (not yet
-    materialised) batch is computed once and then read from the cache.
+    costs and fill each other's idle task slots.
 
     Raises ``SinkWriteError`` for the first failing table in ``order``.
     """
@@ -51,18 +49,11 @@ def write_routed(
     def one(name: str) -> None:
         try:
             frame = check_frame(outputs[name], SINK_SCHEMAS[name], name)
-            sinks[name].write(frame, batch_id)
+            sinks[name].write(frame, batch_id, run_id)
         except Exception as e:  # noqa: BLE001 - re-raised with the table name
             raise SinkWriteError(name, e) from e
 
     side, last = names[:-1], names[-1]
-    if warm_first and side:
-        # The warm-up write computes the whole batch into the cache whatever
-        # it outputs; the corrupt records (last side table, normally the
-        # smallest) make it short and leave the large writes to overlap.
-        # Measured on the sf0.1 stream: 6.85 s -> 5.93 s (median, A/B).
-        one(side[-1])
-        side = side[:-1]
     if concurrent and len(side) > 1:
         # Worker threads inherit the caller's JVM local properties and job
         # tags (streaming query id, job group), so their jobs belong to, and

@@ -4,6 +4,7 @@ each one states how a replay is absorbed."""
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass, field
 from typing import Protocol, Sequence
@@ -28,22 +29,44 @@ def check_frame(df: DataFrame, expected: StructType, table: str) -> DataFrame:
     return df
 
 
+_RUN_ID = re.compile(r"[A-Za-z][A-Za-z0-9._-]*")
+
+
+def checked_run_id(run_id: str) -> str:
+    """A run id usable as a partition value: it starts with a letter, so no
+    reader takes it for a number or a date."""
+    if not _RUN_ID.fullmatch(run_id):
+        raise ValueError(f"run_id must start with a letter and hold letters, digits, . _ - only: {run_id!r}")
+    return run_id
+
+
+def new_run_id() -> str:
+    return f"run-{uuid.uuid4().hex}"
+
+
 class Sink(Protocol):
+    """``run_id`` names the run a batch belongs to: the id of the streaming
+    query (kept in its checkpoint), or of one batch run.  Batch ids start at
+    0 in every run, so the two together identify a batch."""
+
     name: str
 
-    def write(self, df: DataFrame, batch_id: int) -> None: ...
+    def write(self, df: DataFrame, batch_id: int, run_id: str) -> None: ...
 
 
 @dataclass
 class ParquetTableSink:
-    """A parquet table under ``path``, one directory per batch.
+    """A parquet table under ``path``, one directory per run and batch.
 
-    Batch N is written with mode overwrite to ``path/batch_id=N``: a replayed
-    batch (same id, same records) replaces its earlier, possibly partial,
-    output, so replays never duplicate rows.  ``partition_by`` adds Hive-style
+    Batch N of run R is written with mode overwrite to
+    ``path/run_id=R/batch_id=N``: a replayed batch (same run, same id, same
+    records) replaces its earlier, possibly partial, output, so replays never
+    duplicate rows; other runs append.  ``partition_by`` adds Hive-style
     partitions inside each batch (e.g. ``trip_start_date``); readers of
-    ``path`` see ``batch_id`` and those columns as partition columns and get
-    partition pruning on them.
+    ``path`` see ``run_id``, ``batch_id`` and those columns as partition
+    columns and get partition pruning on them.  The overwrite is static
+    whatever the session says: a replay that has no rows for a partition must
+    not keep the earlier ones.
     """
 
     name: str
@@ -56,16 +79,16 @@ class ParquetTableSink:
     # rows) over several tasks and merges small ones.  Costs one shuffle.
     rebalance: bool = False
 
-    def batch_path(self, batch_id: int) -> str:
-        return f"{self.path}/batch_id={int(batch_id)}"
+    def batch_path(self, batch_id: int, run_id: str) -> str:
+        return f"{self.path}/run_id={checked_run_id(run_id)}/batch_id={int(batch_id)}"
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch_id: int, run_id: str) -> None:
         if self.rebalance and self.partition_by:
             df = df.hint("rebalance", *self.partition_by)
-        w = df.write.mode("overwrite").options(**self.options)
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").options(**self.options)
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
-        w.parquet(self.batch_path(batch_id))
+        w.parquet(self.batch_path(batch_id, run_id))
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
@@ -79,7 +102,7 @@ class AppendParquetSink:
     name: str
     path: str
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch_id: int, run_id: str) -> None:
         df.write.mode("append").parquet(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -88,12 +111,13 @@ class AppendParquetSink:
 
 @dataclass
 class CatalogTableSink:
-    """A catalog table partitioned by ``batch_id`` (plus ``partition_by``).
+    """A catalog table partitioned by ``run_id`` and ``batch_id`` (plus
+    ``partition_by``).
 
     The first batch creates the table (data at ``path`` when given); later
-    batches are inserted with ``INSERT OVERWRITE ... PARTITION (batch_id =
-    N, ...)``, which replaces that batch's partitions only.  A replayed
-    batch therefore replaces its own rows and never doubles them.
+    batches are inserted with ``INSERT OVERWRITE ... PARTITION (run_id = R,
+    batch_id = N, ...)``, which replaces that batch's partitions only.  A
+    replayed batch therefore replaces its own rows and never doubles them.
     """
 
     name: str
@@ -102,23 +126,27 @@ class CatalogTableSink:
     format: str = "parquet"
     path: str | None = None
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch_id: int, run_id: str) -> None:
         spark = df.sparkSession
-        framed = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-        parts = ["batch_id", *self.partition_by]
+        framed = df.withColumns(
+            {"run_id": F.lit(checked_run_id(run_id)), "batch_id": F.lit(int(batch_id)).cast("bigint")}
+        )
+        parts = ["run_id", "batch_id", *self.partition_by]
         if not spark.catalog.tableExists(self.table):
             w = framed.write.format(self.format).partitionBy(*parts)
             if self.path:
                 w = w.option("path", self.path)
             w.saveAsTable(self.table)
             return
-        # Static batch_id in the partition spec: the overwrite replaces that
-        # batch's partitions and nothing else.
+        # Static run and batch in the partition spec: the overwrite replaces
+        # that batch's partitions and nothing else.
         data_cols = [c for c in spark.table(self.table).columns if c not in parts]
         view = f"_batch_{uuid.uuid4().hex[:12]}"
         df.createOrReplaceTempView(view)
         try:
-            spec = ", ".join([f"batch_id = {int(batch_id)}", *self.partition_by])
+            spec = ", ".join(
+                [f"run_id = '{run_id}'", f"batch_id = {int(batch_id)}", *self.partition_by]
+            )
             cols = ", ".join(f"`{c}`" for c in [*data_cols, *self.partition_by])
             spark.sql(
                 f"INSERT OVERWRITE TABLE {self.table} PARTITION ({spec}) "

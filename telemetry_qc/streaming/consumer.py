@@ -15,17 +15,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.qc import DEFAULT_RULES, Rule
+from ..schemas import SINK_SCHEMAS
 from ..sinks.jdbc import JdbcSink
+from ..sinks.routing import SINK_ORDER
 from ..sources.kafka import kafka_source_options, read_kafka_stream
 from .runner import FAIL, StreamConfig, run_stream
 
-DEFAULT_TABLES = {
-    "device_data": "device_data",
-    "corrupt_records": "corrupt_records",
-    "qc_failed_table": "qc_failed_table",
-    "qc_audit_log_table": "qc_audit_log_table",
-    "consumer_error_log": "consumer_error_log",
-}
+DEFAULT_TABLES = {name: name for name in SINK_SCHEMAS}
 
 
 @dataclass
@@ -66,7 +62,7 @@ def plan_consumer(s: ConsumerSettings) -> ConsumerPlan:
     opts = dict(s.jdbc_options)
     sinks = {
         name: JdbcSink(name, s.jdbc_url, tables[name], opts)
-        for name in ("qc_audit_log_table", "qc_failed_table", "corrupt_records", "device_data")
+        for name in SINK_ORDER
     }
     error_log = JdbcSink("consumer_error_log", s.jdbc_url, tables["consumer_error_log"], opts)
     config = StreamConfig(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -13,22 +13,22 @@ class SinkUnavailable(RuntimeError):
 
 @dataclass
 class FailOnce:
-    """Wraps a sink; the first write of ``batch_id`` raises, later writes
-    (a replay after restart) go through."""
+    """Wraps a sink; the first write of each of ``batches`` raises, later
+    writes (a replay after restart) go through."""
 
     inner: object
-    batch_id: int = 1
-    failed: bool = False
+    batches: tuple[int, ...] = (1,)
+    failed: set = field(default_factory=set)
 
     @property
     def name(self) -> str:
         return self.inner.name
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        if batch_id == self.batch_id and not self.failed:
-            self.failed = True
+    def write(self, df: DataFrame, batch_id: int, run_id: str) -> None:
+        if batch_id in self.batches and batch_id not in self.failed:
+            self.failed.add(batch_id)
             raise SinkUnavailable(f"sink {self.name} unavailable")
-        self.inner.write(df, batch_id)
+        self.inner.write(df, batch_id, run_id)
 
     def read(self, spark):
         return self.inner.read(spark)

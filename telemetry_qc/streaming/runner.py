@@ -7,8 +7,9 @@ micro-batch once and writes its four outputs.  Replay safety:
 * the checkpoint records offsets; a batch that raises under policy ``fail``
   is not committed, and the restarted query runs it again with the same id
   and the same records;
-* every table sink absorbs a replay (per-batch overwrite, see ``sinks``), so
-  the replay neither loses nor doubles rows.
+* every table sink absorbs a replay (overwrite per run and batch, see
+  ``sinks``; the run is the query's id, which its checkpoint keeps), so the
+  replay neither loses nor doubles rows, and other runs only add.
 
 Policy ``log`` keeps the original behaviour: the error goes to the error log
 with the name of the table whose write failed, and the batch is committed.
@@ -17,15 +18,20 @@ with the name of the table whose write failed, and the batch is committed.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 from typing import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from ..operators.contract import SEP, batch_route
 from ..operators.qc import DEFAULT_RULES, Rule, audit_cells
-from ..plans.batch import annotate, route, route_count_columns, stage
+from ..paths import remove_path
+from ..plans.batch import CLEAN, annotate, route, route_count_columns, stage
 from ..sinks.error_log import log_error
 from ..sinks.routing import SinkWriteError, write_routed
 
@@ -40,19 +46,20 @@ class StreamConfig:
     ``app_label`` only names the query.  ``trigger`` is passed to
     ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}`` or
     ``{"processingTime": "10 seconds"}``); unset means back-to-back batches.
-    ``materialize``: ``"persist"`` keeps a micro-batch in executor memory /
-    disk while its outputs are written (bounded batches); ``"stage"`` writes
-    it once to ``stage_dir`` in shared storage first, which bounds memory
-    whatever the batch size and survives executor loss without re-reading
-    the source.  ``spread_partitions`` round-robins each batch
-    over that many tasks when the source has few partitions.
+    ``materialize``: ``"stage"`` (default) writes a micro-batch once to
+    ``stage_dir`` in shared storage (default: beside the checkpoint) before
+    its outputs are written, and removes it after; that bounds memory
+    whatever the batch size and survives executor loss without re-reading the
+    source.  ``"persist"`` keeps it in executor memory / disk instead, for
+    bounded batches.  ``spread_partitions`` round-robins each batch over that
+    many tasks when the source has few partitions.
     """
 
     checkpoint_location: str
     on_error: str = FAIL
     rules: Sequence[Rule] = DEFAULT_RULES
     trigger: Mapping[str, object] | None = None
-    materialize: str = "persist"
+    materialize: str = "stage"
     stage_dir: str | None = None
     spread_partitions: int | None = None
     concurrent_writes: bool = True
@@ -67,7 +74,7 @@ class StreamConfig:
         if self.materialize not in ("persist", "stage"):
             raise ValueError("materialize must be 'persist' or 'stage'")
         if self.materialize == "stage" and not self.stage_dir:
-            raise ValueError("materialize='stage' needs stage_dir")
+            self.stage_dir = f"{self.checkpoint_location.rstrip('/')}_stage"
 
 
 def batch_metrics(annotated: DataFrame, rules: Sequence[Rule] = ()) -> DataFrame:
@@ -91,38 +98,89 @@ def make_batch_writer(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = None
+        run_id = _begin(spark)
+        held, path = None, None
         try:
             if config.materialize == "stage":
-                # One location, overwritten by every batch (and by a replay):
-                # batches run one after another, so nothing else reads it.
-                held = stage(batch, f"{config.stage_dir}/current")
+                path = f"{config.stage_dir}/{run_id}-{batch_id}-{uuid.uuid4().hex[:8]}"
+                held = stage(batch, path)
             else:
+                # Counted, so that it is computed by all of its tasks and not
+                # by the few that a sink may write with.
                 held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+                held.count()
             if "cells" not in prepared:
                 prepared["cells"] = audit_cells(config.rules, held.schema)
             write_routed(
                 route(held, config.rules, cells=prepared["cells"]),
                 sinks,
                 batch_id,
+                run_id,
                 concurrent=config.concurrent_writes,
-                warm_first=config.materialize == "persist",
             )
         except SinkWriteError as e:
             if config.on_error == FAIL:
                 raise
-            log_error(error_log, spark, str(e.cause), batch_id, e.table)
+            log_error(error_log, spark, str(e.cause), batch_id, e.table, run_id)
         except Exception as e:  # noqa: BLE001 - policy decides
             if config.on_error == FAIL:
                 raise
-            log_error(error_log, spark, str(e), batch_id, "materialize")
+            log_error(error_log, spark, str(e), batch_id, "materialize", run_id)
         finally:
-            if held is not None and config.materialize == "persist":
+            if path is not None:
+                remove_path(spark, path)
+            elif held is not None:
                 held.unpersist()
 
     return write_batch
 
 
+class StopRequested(RuntimeError):
+    """Ends a query before its next batch; that batch is not begun."""
+
+
+# Ids of the queries that shall begin no further batch.
+_stopping: set[str] = set()
+
+
+def _begin(spark: SparkSession) -> str:
+    """The run id of the query whose batch this is; refuses to begin one
+    after a stop was asked for."""
+    query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if query_id in _stopping:
+        raise StopRequested(f"stop of query {query_id} requested")
+    return f"query-{query_id}"
+
+
+def make_schema_batch_writer(
+    sinks: Mapping[str, object],
+    expected: StructType,
+    config: StreamConfig,
+    error_log=None,
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for typed sources: a micro-batch whose schema
+    differs from ``expected`` goes whole to ``sinks["corrupt_records"]``, with
+    the differences as ``error_reason``, any other to
+    ``sinks["device_data"]``."""
+    if config.on_error == LOG and error_log is None:
+        raise ValueError("policy 'log' needs an error_log sink")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run_id = _begin(spark)
+        target, reasons = batch_route(batch, expected)
+        table = "device_data" if target == CLEAN else "corrupt_records"
+        try:
+            frame = batch.withColumn("error_reason", F.lit(SEP.join(reasons))) if reasons else batch
+            sinks[table].write(frame, batch_id, run_id)
+        except Exception as e:  # noqa: BLE001 - policy decides
+            if config.on_error == FAIL:
+                raise
+            log_error(error_log, spark, str(e), batch_id, table, run_id)
+
+    return write_batch
+
+
 def annotated_stream(source: DataFrame, config: StreamConfig) -> DataFrame:
     src = source.repartition(config.spread_partitions) if config.spread_partitions else source
     metric_rules = config.rules if config.column_metrics else ()
@@ -137,17 +195,23 @@ def run_stream(
     config: StreamConfig,
     error_log=None,
     await_termination: bool = False,
+    expected: StructType | None = None,
 ) -> StreamingQuery:
     """Start the routed streaming query over an envelope stream.
 
     ``source`` is a streaming envelope (Kafka or file source).  With
+    ``expected`` it may be any typed stream instead, whose micro-batches are
+    checked and routed as a whole (``make_schema_batch_writer``).  With
     ``await_termination`` the call blocks until the query ends (for an
     ``availableNow`` trigger: when the backlog is done) and re-raises a
     failure.
     """
+    if expected is None:
+        frame, write = annotated_stream(source, config), make_batch_writer(sinks, config, error_log)
+    else:
+        frame, write = source, make_schema_batch_writer(sinks, expected, config, error_log)
     writer = (
-        annotated_stream(source, config)
-        .writeStream.foreachBatch(make_batch_writer(sinks, config, error_log))
+        frame.writeStream.foreachBatch(write)
         .outputMode(config.output_mode)
         .option("checkpointLocation", config.checkpoint_location)
     )
@@ -161,16 +225,25 @@ def run_stream(
     return query
 
 
-def stop_gracefully(query: StreamingQuery, poll_seconds: float = 0.5, timeout_seconds: float | None = None) -> bool:
-    """Stop ``query`` between micro-batches: wait until no trigger is running
-    (the batch in flight has written and committed), then stop.  Returns
-    False if the timeout passed first (the query is stopped regardless)."""
+def stop_gracefully(query: StreamingQuery, poll_seconds: float = 0.2, timeout_seconds: float | None = None) -> bool:
+    """End ``query`` after the micro-batch in flight.
+
+    That batch is written and committed; the next, if there is a backlog, is
+    refused before it begins, which ends the query with ``StopRequested`` (so
+    ``awaitTermination`` elsewhere raises).  An idle query is just stopped.
+    A restart from the checkpoint goes on with the refused batch.  Returns
+    False if the timeout passed first (the query is stopped regardless).
+    """
     deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
     clean = True
-    while query.isActive and query.status.get("isTriggerActive", False):
-        if deadline is not None and time.monotonic() > deadline:
-            clean = False
-            break
-        time.sleep(poll_seconds)
-    query.stop()
+    _stopping.add(str(query.id))
+    try:
+        while query.isActive and query.status.get("isTriggerActive", False):
+            if deadline is not None and time.monotonic() > deadline:
+                clean = False
+                break
+            time.sleep(poll_seconds)
+        query.stop()
+    finally:
+        _stopping.discard(str(query.id))
     return clean
