@@ -8,7 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from ..schemas import PAYLOAD_SCHEMA
 
@@ -28,6 +35,35 @@ def with_corrupt_field(schema: StructType) -> StructType:
     return StructType(list(schema.fields) + [StructField(CORRUPT_FIELD, StringType())])
 
 
+def wall_clock_schema(schema: StructType) -> StructType:
+    """``schema`` with its timestamps as wall-clock times (TIMESTAMP_NTZ)."""
+    return StructType(
+        [
+            StructField(f.name, TimestampNTZType(), f.nullable)
+            if isinstance(f.dataType, TimestampType)
+            else f
+            for f in schema
+        ]
+    )
+
+
+def zoned_as_wall_clock(text: Column) -> Column:
+    """Wall-clock time in the session zone of a text with a zone, or of a
+    number of seconds since the epoch; NULL for any other text."""
+    zoned = F.when(text.rlike(r"(?:[Zz]|[+-]\d\d:?\d\d)$"), text.try_cast("timestamp"))
+    epoch = F.when(text.rlike(r"^-?\d+(?:\.\d+)?$"), text.try_cast("double").try_cast("timestamp"))
+    return F.coalesce(zoned, epoch).cast("timestamp_ntz")
+
+
+def one_value(text: Column) -> Column:
+    """False where other text follows the first JSON value, which the parsers
+    ignore.  Only texts with something behind their first closing brace are
+    looked at more closely: as the only element of an array."""
+    body = F.rtrim(text, F.lit(" \t\r\n"))
+    within = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(F.instr(body, "}") < F.length(body), F.coalesce(within == 1, F.lit(False))).otherwise(True)
+
+
 def contract_parse_options() -> dict[str, str]:
     return {**CONTRACT_PARSE_OPTIONS, "columnNameOfCorruptRecord": CORRUPT_FIELD}
 
@@ -61,12 +97,15 @@ def raw_fields(text: Column | str) -> Column:
     return F.from_json(text, RAW_MAP, CONTRACT_PARSE_OPTIONS)
 
 
-def decode_envelope(env: DataFrame) -> DataFrame:
-    """Record envelope -> text value plus the record coordinates."""
+def decode_envelope(env: DataFrame, timestamp: bool = False) -> DataFrame:
+    """Record envelope -> text value plus the record coordinates; with
+    ``timestamp`` also the record's time as wall clock."""
+    more = [F.col("timestamp").cast("timestamp_ntz").alias("kafka_timestamp")] if timestamp else []
     return env.select(
         as_text("value").alias("value_str"),
         as_text("key").alias("message_key"),
         F.col("topic").alias("topic_name"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
+        *more,
     )

@@ -3,22 +3,26 @@
 ``schema_diff`` compares a frame's schema with the expected one on the driver
 (metadata only, no job).  ``contract_errors`` states, per row, why a JSON text
 breaks the contract, as column expressions over the parse results: no UDF, no
-shuffle, inside whole-stage code generation next to the parse.
+shuffle.  The parses are expressions that Spark evaluates outside generated
+code; the reasons over their results are inside it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, StructType, TimestampType
 
 from ..functions.decode import (
     CONTRACT_PARSE_OPTIONS,
     CORRUPT_FIELD,
     contract_parse_options,
+    one_value,
     raw_fields,
     typed_payload,
+    wall_clock_schema,
     with_corrupt_field,
+    zoned_as_wall_clock,
 )
 from ..schemas import PAYLOAD_SCHEMA
 
@@ -81,6 +85,7 @@ def contract_errors(
     raw: Column,
     expected: StructType = PAYLOAD_SCHEMA,
     allow_unexpected: bool = False,
+    parsed_fields: tuple[str, ...] = (),
 ) -> Column:
     """Why a JSON text breaks the contract, or NULL when it keeps it.
 
@@ -88,7 +93,9 @@ def contract_errors(
     strict JSON object), ``parsed`` the typed ``from_json`` and ``raw`` the
     raw key -> text map of the record (it may be NULL for records whose typed
     parse flagged no failure: they cannot hold a type mismatch).  Reasons,
-    joined by "; ": ``Malformed JSON`` alone when ``keys`` is NULL; else every
+    joined by "; ": ``Malformed JSON`` alone when ``keys`` is NULL, or when the
+    typed parse refused the text (``CORRUPT_FIELD`` is set) and nothing else
+    tells why, such as a raw control character in a string; else every
     expected key absent (``Missing column: X``, expected order), every other
     key (``Unexpected column: X``, sorted), then every field whose raw value
     is present but did not parse to its type (``Type mismatch for column
@@ -119,7 +126,12 @@ def contract_errors(
         for n in expected.names
     ]
     parts.append(F.when(raw.isNotNull(), _join_reasons(mismatch)))
-    return _join_reasons(parts)
+    reasons = _join_reasons(parts)
+    if CORRUPT_FIELD not in parsed_fields:
+        return reasons
+    # Flagged, and no raw map to say which field: the parsers refused it.
+    unread = parsed[CORRUPT_FIELD].isNotNull() & raw.isNull()
+    return F.coalesce(reasons, F.when(unread, F.lit(MALFORMED)))
 
 
 def _listed(prefix: str, names: Column) -> Column:
@@ -146,19 +158,32 @@ def with_contract(
     3. the contract expression over keys, typed fields and raw map.
 
     A record without type failures costs one typed parse and one key scan.
+    Times are parsed as wall clock, so a time without zone is kept as it
+    stands, also one that a change of clocks skips; a time with a zone, or a
+    number of seconds, becomes wall clock in the session's zone.
     """
     t = F.col(text)
-    flagged = typed_payload(t, with_corrupt_field(expected), contract_parse_options())
-    step1 = df.select("*", flagged.alias("parsed"), F.json_object_keys(t).alias("_keys"))
+    schema = with_corrupt_field(wall_clock_schema(expected))
+    flagged = typed_payload(t, schema, contract_parse_options())
+    keys = F.when(one_value(t), F.json_object_keys(t))
+    step1 = df.select("*", flagged.alias("parsed"), keys.alias("_keys"))
     step2 = step1.select(
         "*",
         F.when(F.col("parsed")[CORRUPT_FIELD].isNotNull(), raw_fields(t)).alias("_raw"),
     )
-    return step2.select(
+    raw = F.col("_raw")
+    # Only flagged records have a raw map, and so a time with a zone.
+    parsed = F.col("parsed")
+    for f in expected:
+        if isinstance(f.dataType, TimestampType):
+            time = F.coalesce(F.col("parsed")[f.name], zoned_as_wall_clock(raw[f.name]))
+            parsed = parsed.withField(f.name, time)
+    step3 = step2.withColumn("parsed", parsed)
+    return step3.select(
         *df.columns,
         "parsed",
         contract_errors(
-            F.col("_keys"), F.col("parsed"), F.col("_raw"), expected, allow_unexpected
+            F.col("_keys"), F.col("parsed"), raw, expected, allow_unexpected, tuple(schema.names)
         ).alias("error_reason"),
     )
 
@@ -199,6 +224,27 @@ def required_fields_errors(
     return _join_reasons(parts)
 
 
+def with_required_fields(
+    df: DataFrame,
+    text: str = "value_str",
+    expected: StructType = PAYLOAD_SCHEMA,
+    text_fields: tuple[str, ...] = (),
+) -> DataFrame:
+    """Adds ``refusal_reason`` to ``df``: ``required_fields_errors`` with
+    numeric text accepted.  The raw map is built only for texts whose typed
+    parse left something open: it flagged a failure, or a field is NULL."""
+    t = F.col(text)
+    typed = typed_payload(t, with_corrupt_field(wall_clock_schema(expected)), contract_parse_options())
+    step1 = df.select("*", typed.alias("_typed"), one_value(t).alias("_one"))
+    plain = F.col("_one") & F.col("_typed")[CORRUPT_FIELD].isNull()
+    for n in expected.names:
+        plain &= F.col("_typed")[n].isNotNull()
+    step2 = step1.withColumn("_open", F.coalesce(~plain, F.lit(True)))
+    step3 = step2.withColumn("_raw", F.when(F.col("_open") & F.col("_one"), raw_fields(t)))
+    why = required_fields_errors(t, expected, text_fields, raw=F.col("_raw"))
+    return step3.select(*df.columns, F.when(F.col("_open"), why).alias("refusal_reason"))
+
+
 def batch_route(
     batch: DataFrame, expected: StructType = PAYLOAD_SCHEMA
 ) -> tuple[str, list[str]]:
