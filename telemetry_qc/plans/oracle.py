@@ -3,23 +3,41 @@
 The expected answers are derived from *how each record was generated*: the
 typed values from the generator's formulas and the defect from
 ``event_id % 40``.  Nothing here parses JSON, so a parser bug cannot hide
-in both sides.  QC rules are rendered from the same rule data the engine
-uses (the rules are the specification), by an independent SQL renderer.
+in both sides.  QC limits are written out here as well, so that a wrong
+default of the engine shows.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import NamedTuple, Sequence
 
-from ..operators.qc import DEFAULT_RULES, Rule
-from .queries import (
-    CUSTOMER_RULES,
-    EVENTS_RULES,
-    LINEITEM_RULES,
-    NULL_RULES,
-    PUBLISH_TOPIC,
-    REPORT_DAY,
+
+class Rule(NamedTuple):
+    column: str
+    min: float | int | None = None
+    max: float | int | None = None
+    not_null: bool = True
+
+
+DEFAULT_RULES = (
+    Rule("trip_id"),
+    Rule("car_id"),
+    Rule("latitude", -90, 90),
+    Rule("longitude", -180, 180),
+    Rule("event_timestamp"),
+    Rule("speed_kmph", 0, 200),
+    Rule("fuel_level", 0, 100),
+    Rule("engine_temp_c", None, 130),
+    Rule("trip_start_time"),
+    Rule("trip_start_latitude", -90, 90),
+    Rule("trip_start_longitude", -180, 180),
 )
+NULL_RULES = tuple(Rule(r.column) for r in DEFAULT_RULES)
+LINEITEM_RULES = (Rule("l_quantity", None, 45), Rule("l_discount", 0.01, None))
+EVENTS_RULES = (Rule("value", None, 200),)
+CUSTOMER_RULES = (Rule("c_acctbal", 0, 9000),)
+PUBLISH_TOPIC = "telemetry-validated"
+REPORT_DAY = "2024-01-15"
 
 MALFORMED_CLASSES = "(0, 1, 2, 10)"
 
@@ -142,7 +160,7 @@ def summary_sql(rules: Sequence[Rule]) -> str:
     return f"NULLIF(concat_ws('; ', {parts}), '')"
 
 
-def _with(body: str, rules: Sequence[Rule] = DEFAULT_RULES) -> str:
+def with_records(body: str, rules: Sequence[Rule] = DEFAULT_RULES) -> str:
     """ENV CTEs + QC verdict + route, then ``body``."""
     return (
         "WITH "
@@ -215,7 +233,7 @@ def _cells_failed_sql() -> str:
 DEVICE_COLS = f"{PAYLOAD_COLS}, trip_start_date, message_key, kafka_partition, kafka_offset"
 
 ORACLE_SQL: dict[str, str] = {
-    "q01_envelope_scan": _with(
+    "q01_envelope_scan": with_records(
         "SELECT message_key, value_str, topic_name, kafka_partition, kafka_offset, "
         "kafka_timestamp FROM rec"
     ),
@@ -223,18 +241,18 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS prop_k "
         "FROM events"
     ),
-    "q03_parse_typed": _with(f"SELECT kafka_offset, {PAYLOAD_COLS_TS} FROM rec"),
-    "q04_trip_date": _with("SELECT kafka_offset, trip_start_date FROM rec"),
-    "q05_enriched": _with(
+    "q03_parse_typed": with_records(f"SELECT kafka_offset, {PAYLOAD_COLS_TS} FROM rec"),
+    "q04_trip_date": with_records("SELECT kafka_offset, trip_start_date FROM rec"),
+    "q05_enriched": with_records(
         f"SELECT {PAYLOAD_COLS_TS}, trip_start_date, message_key, kafka_partition, "
         "kafka_offset, value_str FROM rec"
     ),
-    "q06_contract_errors": _with("SELECT kafka_offset, error_reason FROM rec"),
-    "q07_corrupt_records": _with(
+    "q06_contract_errors": with_records("SELECT kafka_offset, error_reason FROM rec"),
+    "q07_corrupt_records": with_records(
         "SELECT message_key, kafka_partition, kafka_offset, value_str, error_reason, "
         "topic_name FROM rec WHERE error_reason IS NOT NULL"
     ),
-    "q08_schema_valid": _with(f"SELECT {DEVICE_COLS} FROM rec WHERE error_reason IS NULL"),
+    "q08_schema_valid": with_records(f"SELECT {DEVICE_COLS} FROM rec WHERE error_reason IS NULL"),
     "q09_schema_diff": """
 SELECT v.ordinal, v.discrepancy, (SELECT count(*) FROM lineitem) AS batch_rows
 FROM (VALUES
@@ -249,7 +267,7 @@ FROM (VALUES
     "q11_batch_route_ok": (
         "SELECT *, 'clean' AS route, CAST(NULL AS VARCHAR) AS error_reason FROM orders"
     ),
-    "q12_qc_nulls": _with(
+    "q12_qc_nulls": with_records(
         f"SELECT kafka_offset, null_summary FROM (SELECT kafka_offset, "
         f"{summary_sql(NULL_RULES)} AS null_summary FROM routed WHERE route <> 'corrupt') t "
         "WHERE null_summary IS NOT NULL"
@@ -257,19 +275,19 @@ FROM (VALUES
     "q13_qc_threshold": _qc_over("lineitem", "l_orderkey, l_linenumber", LINEITEM_RULES),
     "q13b_qc_threshold_events": _qc_over("events", "event_id", EVENTS_RULES),
     "q14_qc_bounds": _qc_over("customer", "c_custkey", CUSTOMER_RULES),
-    "q15_qc_status": _with(
+    "q15_qc_status": with_records(
         "SELECT kafka_offset, qc_status, qc_summary FROM routed WHERE route <> 'corrupt'"
     ),
-    "q16_qc_failed": _with(
+    "q16_qc_failed": with_records(
         f"SELECT {DEVICE_COLS}, qc_status, qc_summary FROM routed WHERE route = 'failed'"
     ),
-    "q17_device_data": _with(f"SELECT {DEVICE_COLS}, qc_status FROM routed WHERE route = 'clean'"),
-    "q18_qc_audit": _with(_audit_sql()),
-    "q24_publish_frame": _with(
-        f"SELECT kafka_offset, car_id AS key, {_json_sql()} AS value, "
+    "q17_device_data": with_records(f"SELECT {DEVICE_COLS}, qc_status FROM routed WHERE route = 'clean'"),
+    "q18_qc_audit": with_records(_audit_sql()),
+    "q24_publish_frame": with_records(
+        f"SELECT car_id AS key, {_json_sql()} AS value, "
         f"'{PUBLISH_TOPIC}' AS topic FROM routed WHERE route <> 'corrupt'"
     ),
-    "q25_required_fields": _with(
+    "q25_required_fields": with_records(
         """SELECT kafka_offset, refusal_reason IS NULL AS accepted, refusal_reason
 FROM (SELECT kafka_offset, CASE
         WHEN cls IN (0, 1, 2, 10) THEN 'Malformed JSON'
@@ -278,14 +296,28 @@ FROM (SELECT kafka_offset, CASE
         WHEN cls = 7 THEN 'Field required or invalid: car_id'
       END AS refusal_reason FROM rec) t"""
     ),
-    "q26_vehicle_qc": _with(
+    "q26_vehicle_qc": with_records(
         f"""SELECT car_id, count(*) AS rows_checked,
        count(*) FILTER (WHERE route = 'failed') AS rows_failed,
        CAST(sum({_cells_failed_sql()}) AS BIGINT) AS cells_failed
 FROM routed WHERE route <> 'corrupt' GROUP BY car_id"""
     ),
-    "q27_date_partitioned": _with(
+    "q27_date_partitioned": with_records(
         f"SELECT {DEVICE_COLS}, qc_status FROM routed WHERE route = 'clean' "
         f"AND trip_start_date = DATE '{REPORT_DAY}'"
     ),
+    "q28_strict_json": with_records(
+        """SELECT kafka_offset AS event_id,
+       CASE WHEN c <= 4 THEN 'Malformed JSON' END AS error_reason,
+       CASE c WHEN 0 THEN replace(good, '"T', '"T' || chr(9))
+              WHEN 1 THEN replace(good, '"T', '"T' || chr(10))
+              WHEN 2 THEN good || good
+              WHEN 3 THEN good || ',' || good
+              WHEN 4 THEN good || ' xyz' END AS corrupt_text,
+       CASE WHEN c > 4 THEN CAST(kafka_offset % 90 AS DOUBLE) + CAST(0.25 AS DOUBLE) END AS latitude,
+       CASE WHEN c > 4 THEN 'T' || CAST(user_id AS VARCHAR) END AS trip_id
+FROM (SELECT *, kafka_offset % 8 AS c FROM env) t"""
+    ),
+    "q29_dedupe_audit": with_records(_audit_sql()),
+    "q30_two_runs": with_records(f"SELECT {DEVICE_COLS}, qc_status FROM routed WHERE route = 'clean'"),
 }

@@ -15,9 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..functions.decode import raw_fields
-from ..functions.json_text import payload_json
-from ..operators.contract import required_fields_errors, route_by_schema, schema_diff
+from ..functions.decode import decode_envelope
+from ..operators.contract import route_by_schema, schema_diff, with_contract, with_required_fields
 from ..operators.enrich import enrich, parse_records, wall_clock
 from ..operators.qc import (
     DEFAULT_RULES,
@@ -28,9 +27,11 @@ from ..operators.qc import (
 )
 from ..operators.rollup import vehicle_qc
 from ..paths import fresh_path
-from ..schemas import PAYLOAD_SCHEMA, TIMESTAMP_FIELDS
-from ..sinks.tables import ParquetTableSink
-from ..sources.events_envelope import envelope_from_events
+from ..schemas import DEVICE_DATA_SCHEMA, PAYLOAD_SCHEMA, TIMESTAMP_FIELDS
+from ..sinks.jdbc import dedupe_records
+from ..sinks.tables import ParquetTableSink, new_run_id
+from ..sources.events_envelope import envelope_from_events, strict_cases
+from ..sources.kafka import publish_frame
 from .batch import (
     annotate,
     corrupt_records,
@@ -41,7 +42,7 @@ from .batch import (
     spread,
     stage,
 )
-from .process import drop_run_columns
+from .process import drop_run_columns, process
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,11 +51,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The envelope over ``events``; a source read as fewer splits than the
-    cluster has cores is spread first (only its four narrow columns move)."""
+def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events``; where it has fewer files than the cluster has cores, its
+    four narrow columns are dealt out first (file names only, no job)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    return envelope_from_events(spread(ev))
+    cores = spark.sparkContext.defaultParallelism
+    return spread(ev, cores if len(ev.inputFiles()) < cores else None)
+
+
+def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The envelope over ``events``."""
+    return envelope_from_events(spread_events(spark, sf_dir))
 
 
 # One staged annotation per (application, session, input folder): several
@@ -72,6 +79,12 @@ def staged_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _staged[key]
 
 
+def forget_staged() -> None:
+    """The next routed query stages anew (for timings)."""
+    with _lock:
+        _staged.clear()
+
+
 def _ntz_payload() -> list:
     return [
         F.col(f"parsed.{n}").cast("timestamp_ntz").alias(n) if n in TIMESTAMP_FIELDS
@@ -83,15 +96,7 @@ def _ntz_payload() -> list:
 # --- decode and parse (pure projections of the envelope) -------------------
 
 def q01_envelope_scan(spark, sf_dir):
-    env = envelope(spark, sf_dir)
-    return env.select(
-        F.col("key").cast("string").alias("message_key"),
-        F.col("value").cast("string").alias("value_str"),
-        F.col("topic").alias("topic_name"),
-        F.col("partition").alias("kafka_partition"),
-        F.col("offset").alias("kafka_offset"),
-        F.col("timestamp").cast("timestamp_ntz").alias("kafka_timestamp"),
-    )
+    return decode_envelope(envelope(spark, sf_dir), timestamp=True)
 
 
 def q02_json_props(spark, sf_dir):
@@ -247,22 +252,12 @@ PUBLISH_TOPIC = "telemetry-validated"
 
 
 def q24_publish_frame(spark, sf_dir):
-    valid = schema_valid(staged_envelope(spark, sf_dir))
-    return valid.select(
-        "kafka_offset",
-        F.col("car_id").alias("key"),
-        payload_json().alias("value"),
-        F.lit(PUBLISH_TOPIC).alias("topic"),
-    )
+    return publish_frame(schema_valid(staged_envelope(spark, sf_dir)), topic=PUBLISH_TOPIC)
 
 
 def q25_required_fields(spark, sf_dir):
-    p = envelope(spark, sf_dir).select(
-        F.col("offset").alias("kafka_offset"), F.col("value").cast("string").alias("value_str")
-    )
-    with_raw = p.select("kafka_offset", raw_fields("value_str").alias("raw"))
-    why = required_fields_errors(None, text_fields=TIMESTAMP_FIELDS, raw=F.col("raw"))
-    checked = with_raw.select("kafka_offset", why.alias("refusal_reason"))
+    p = decode_envelope(envelope(spark, sf_dir)).select("kafka_offset", "value_str")
+    checked = with_required_fields(p, text_fields=TIMESTAMP_FIELDS)
     return checked.select(
         "kafka_offset", F.col("refusal_reason").isNull().alias("accepted"), "refusal_reason"
     )
@@ -282,11 +277,41 @@ def q27_date_partitioned(spark, sf_dir):
     sink = ParquetTableSink(
         "device_data", fresh_path(spark, "device_data"), ("trip_start_date",), rebalance=True
     )
-    sink.write(device_data(staged), batch_id=0)
+    sink.write(device_data(staged), 0, new_run_id())
     day = sink.read(spark).filter(F.col("trip_start_date") == F.lit(REPORT_DAY).cast("date"))
     return drop_run_columns(day.select(*device_data(staged).columns))
 
 
+def q28_strict_json(spark, sf_dir):
+    """Records whose text is almost one JSON object, and good ones written
+    unusually; the text of a malformed one is kept."""
+    cases = strict_cases(spread_events(spark, sf_dir))
+    checked = with_contract(cases, "value_str")
+    good = F.col("error_reason").isNull()
+    return checked.select(
+        "event_id",
+        "error_reason",
+        F.when(~good, F.col("value_str")).alias("corrupt_text"),
+        F.when(good, F.col("parsed.latitude")).alias("latitude"),
+        F.when(good, F.col("parsed.trip_id")).alias("trip_id"),
+    )
+
+
+def q29_dedupe_audit(spark, sf_dir):
+    audit = qc_audit(staged_envelope(spark, sf_dir))
+    return drop_run_columns(dedupe_records(audit.unionByName(audit), "qc_audit_log_table"))
+
+
+def q30_two_runs(spark, sf_dir):
+    """Two runs of ``process`` with default arguments, each over half of the
+    records, into the same tables."""
+    env = envelope(spark, sf_dir)
+    sink = ParquetTableSink("device_data", fresh_path(spark, "two-runs"), ("trip_start_date",), rebalance=True)
+    for half in (0, 1):
+        process(env.where(F.col("offset") % 2 == half), {"device_data": sink})
+    return drop_run_columns(sink.read(spark).select(*DEVICE_DATA_SCHEMA.names))
+
+
 QUERIES: dict[str, Query] = {
     "q01_envelope_scan": q01_envelope_scan,
     "q02_json_props": q02_json_props,
@@ -311,4 +336,7 @@ QUERIES: dict[str, Query] = {
     "q25_required_fields": q25_required_fields,
     "q26_vehicle_qc": q26_vehicle_qc,
     "q27_date_partitioned": q27_date_partitioned,
+    "q28_strict_json": q28_strict_json,
+    "q29_dedupe_audit": q29_dedupe_audit,
+    "q30_two_runs": q30_two_runs,
 }

@@ -1,30 +1,36 @@
 """Registered streaming queries: the envelope of ``events`` landed as parquet
-files (offset ranges in order) and consumed as a file stream in four
-micro-batches of one file per core each."""
+files (offset ranges in order) and consumed as a file stream in micro-batches
+of one file per core each, of bounded size."""
 
 from __future__ import annotations
 
 import threading
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..paths import fresh_path
-from ..plans.oracle import ORACLE_SQL
+from ..plans.oracle import ORACLE_SQL, with_records
 from ..plans.process import drop_run_columns
 from ..plans.queries import envelope
-from ..schemas import DEVICE_DATA_SCHEMA, ERROR_LOG_SCHEMA
+from ..schemas import DEVICE_DATA_SCHEMA
+from ..sinks.routing import SINK_ORDER
 from ..sinks.tables import AppendParquetSink, ParquetTableSink
 from ..sources.files import land, read_envelope_stream
 from .faults import FailOnce
-from .runner import FAIL, LOG, StreamConfig, run_stream
+from .runner import FAIL, LOG, METRICS_NAME, StreamConfig, run_stream
 
+#: Batches a small input is read in; a larger one has more, of at most
+#: BATCH_ROWS records.
 N_BATCHES = 4
+BATCH_ROWS = 250_000
+FAILING_BATCHES = (1, 2)
 FAILING_BATCH = 1
 FAILING_SINK = "device_data"
-SINK_NAMES = ("qc_audit_log_table", "qc_failed_table", "corrupt_records", "device_data")
 
 
 @dataclass
@@ -33,6 +39,13 @@ class StreamRun:
     error_log: AppendParquetSink
     attempts: int
     progress: list
+    began: datetime
+    ended: datetime
+
+
+def wall_clock_now(spark: SparkSession) -> datetime:
+    """The session's wall clock, as the log has it."""
+    return spark.sql("SELECT CAST(current_timestamp() AS timestamp_ntz) AS t").first()["t"]
 
 
 def files_per_batch(spark: SparkSession) -> int:
@@ -42,9 +55,13 @@ def files_per_batch(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
-def land_envelope(spark: SparkSession, sf_dir: str, batches: int = N_BATCHES) -> str:
+def land_envelope(spark: SparkSession, sf_dir: str, batches: int | None = None) -> str:
     """The envelope as ``batches`` x ``files_per_batch`` parquet files, each
-    holding one range of offsets."""
+    holding one range of offsets; the number of batches follows the rows, so
+    that a batch is of bounded size."""
+    if batches is None:
+        rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").count()
+        batches = max(N_BATCHES, -(-rows // BATCH_ROWS))
     files = batches * files_per_batch(spark)
     return land(envelope(spark, sf_dir), fresh_path(spark, "envelope-files"), files, "offset")
 
@@ -53,33 +70,37 @@ def run_landed(
     spark: SparkSession,
     sf_dir: str,
     on_error: str = FAIL,
-    fail_batch: int | None = None,
+    fail_batches: tuple[int, ...] = (),
     column_metrics: bool = False,
     landed: str | None = None,
+    base: str | None = None,
+    materialize: str = "stage",
 ) -> StreamRun:
     """Stream the landed envelope to parquet sinks (``availableNow``).
 
-    ``landed`` reuses envelope files landed before (``land_envelope``).
-    With ``fail_batch`` the clean sink raises once on that batch.  Under
+    ``landed`` reuses envelope files landed before (``land_envelope``),
+    ``base`` the folder of the tables (the checkpoint is always a new one).
+    With ``fail_batches`` the clean sink raises once on each of them.  Under
     policy ``fail`` the query stops; it is then restarted from the same
     checkpoint, which replays the failed batch.
     """
     src = landed or land_envelope(spark, sf_dir)
-    base = fresh_path(spark, "stream")
-    sinks = {n: ParquetTableSink(n, f"{base}/{n}") for n in SINK_NAMES}
+    base = base or fresh_path(spark, "stream")
+    sinks = {n: ParquetTableSink(n, f"{base}/{n}") for n in SINK_ORDER}
     sinks["device_data"] = ParquetTableSink(
         "device_data", f"{base}/device_data", ("trip_start_date",), rebalance=True
     )
-    if fail_batch is not None:
-        sinks[FAILING_SINK] = FailOnce(sinks[FAILING_SINK], fail_batch)
+    if fail_batches:
+        sinks[FAILING_SINK] = FailOnce(sinks[FAILING_SINK], fail_batches)
     error_log = AppendParquetSink("consumer_error_log", f"{base}/consumer_error_log")
     config = StreamConfig(
-        checkpoint_location=f"{base}/_checkpoint",
+        checkpoint_location=fresh_path(spark, "stream-checkpoint"),
         on_error=on_error,
+        materialize=materialize,
         trigger={"availableNow": True},
         column_metrics=column_metrics,
     )
-    attempts, progress = 0, []
+    attempts, progress, began = 0, [], wall_clock_now(spark)
     while True:
         attempts += 1
         source = read_envelope_stream(spark, src, max_files_per_trigger=files_per_batch(spark))
@@ -90,9 +111,9 @@ def run_landed(
             break
         except StreamingQueryException:
             progress += query.recentProgress
-            if attempts >= 2:
+            if attempts > len(fail_batches):
                 raise
-    return StreamRun(sinks, error_log, attempts, progress)
+    return StreamRun(sinks, error_log, attempts, progress, began, wall_clock_now(spark))
 
 
 _runs: dict[tuple, StreamRun] = {}
@@ -112,7 +133,7 @@ def _clean_table(run: StreamRun, spark: SparkSession) -> DataFrame:
 
 
 def q19_error_log(spark, sf_dir):
-    run = _memo(spark, sf_dir, "log", on_error=LOG, fail_batch=FAILING_BATCH)
+    run = _memo(spark, sf_dir, "log", on_error=LOG, fail_batches=FAILING_BATCHES)
     log = run.error_log.read(spark)
     return log.filter(F.col("batch_id") == FAILING_BATCH).select(
         "error_message", "target_table", "batch_id"
@@ -124,14 +145,78 @@ def q21_stream_clean(spark, sf_dir):
 
 
 def q22_stream_replay(spark, sf_dir):
-    run = _memo(spark, sf_dir, "replay", on_error=FAIL, fail_batch=FAILING_BATCH)
+    run = _memo(spark, sf_dir, "replay", on_error=FAIL, fail_batches=(FAILING_BATCH,))
     return _clean_table(run, spark)
 
 
 def q23_error_log_scan(spark, sf_dir):
-    run = _memo(spark, sf_dir, "log", on_error=LOG, fail_batch=FAILING_BATCH)
-    names = [n for n in ERROR_LOG_SCHEMA.names if n != "log_time"]
-    return run.error_log.read(spark).select(*names)
+    """The log's rows beside what is left of the clean table: per failed
+    batch its row, that it was stamped while the stream ran, and no clean
+    record of the batch."""
+    run = _memo(spark, sf_dir, "log", on_error=LOG, fail_batches=FAILING_BATCHES)
+    log = run.error_log.read(spark)
+    written = run.sinks[FAILING_SINK].read(spark).groupBy("batch_id").count()
+    inside = F.col("log_time").between(F.lit(run.began), F.lit(run.ended))
+    return log.join(written, "batch_id", "left").select(
+        "error_message",
+        "target_table",
+        "batch_id",
+        inside.alias("stamped_in_run"),
+        F.coalesce("count", F.lit(0)).alias("clean_records"),
+    )
+
+
+def q31_stream_counts(spark, sf_dir):
+    """Records per route as the query's progress reported them, summed over
+    the micro-batches."""
+    run = _memo(spark, sf_dir, "clean")
+    names = ["records", "corrupt", "clean", "failed"]
+    seen = [
+        tuple(int(p["observedMetrics"][METRICS_NAME][n]) for n in names)
+        for p in run.progress
+        if p["numInputRows"] > 0
+    ]
+    frame = spark.createDataFrame(seen, ", ".join(f"{n} long" for n in names))
+    return frame.agg(*(F.sum(n).alias(n) for n in names))
+
+
+def q32_two_streams(spark, sf_dir):
+    """Two streams with checkpoints of their own into the same tables, each
+    over half of the records; one of the files between is empty, and the
+    session's overwrite mode is left as it is."""
+    env = envelope(spark, sf_dir)
+    base = fresh_path(spark, "two-streams")
+    for half in (0, 1):
+        mine = env.where(F.col("offset") % 2 == half)
+        landed = land(mine, fresh_path(spark, "envelope-half"), files_per_batch(spark), "offset")
+        mine.limit(0).coalesce(1).write.mode("append").parquet(landed)
+        run = run_landed(spark, sf_dir, landed=landed, base=base)
+    return _clean_table(run, spark)
+
+
+def q33_stream_batch_contract(spark, sf_dir):
+    """A typed stream (``orders``) checked batch by batch: once against its
+    own schema, once against a drifted one."""
+    path = fresh_path(spark, "orders-files")
+    orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+    orders.write.parquet(path)
+    drifted = StructType(
+        [StructField(f.name, StringType()) if f.name == "o_totalprice" else f for f in orders.schema]
+    )
+    out = None
+    for name, expected in (("matching", orders.schema), ("drifted", drifted)):
+        base = fresh_path(spark, "orders-stream")
+        sinks = {n: ParquetTableSink(n, f"{base}/{n}") for n in ("device_data", "corrupt_records")}
+        config = StreamConfig(f"{base}/_checkpoint", trigger={"availableNow": True})
+        source = spark.readStream.schema(orders.schema).parquet(path)
+        run_stream(spark, source, sinks, config, await_termination=True, expected=expected)
+        for table, sink in sinks.items():
+            if table == ("device_data" if name == "matching" else "corrupt_records"):
+                rows = sink.read(spark).withColumn("contract", F.lit(name)).withColumn("target", F.lit(table))
+                if "error_reason" not in rows.columns:
+                    rows = rows.withColumn("error_reason", F.lit(None).cast("string"))
+                out = rows if out is None else out.unionByName(rows)
+    return out.select("contract", "target", "error_reason", "o_orderkey", "o_totalprice")
 
 
 STREAM_QUERIES = {
@@ -139,17 +224,34 @@ STREAM_QUERIES = {
     "q21_stream_clean": q21_stream_clean,
     "q22_stream_replay": q22_stream_replay,
     "q23_error_log_scan": q23_error_log_scan,
+    "q31_stream_counts": q31_stream_counts,
+    "q32_two_streams": q32_two_streams,
+    "q33_stream_batch_contract": q33_stream_batch_contract,
 }
 
-_LOG_ROW = (
-    "SELECT 'sink device_data unavailable' AS error_message, "
-    "'device_data' AS target_table, CAST(1 AS BIGINT) AS batch_id "
-    "FROM (SELECT count(*) AS n FROM events) e WHERE n > 0"
-)
+_UNAVAILABLE = "'sink device_data unavailable' AS error_message, 'device_data' AS target_table"
+_SOME_EVENTS = "(SELECT count(*) AS n FROM events) e WHERE n > 0"
 
 STREAM_ORACLE_SQL = {
-    "q19_error_log": _LOG_ROW,
+    "q19_error_log": f"SELECT {_UNAVAILABLE}, CAST(1 AS BIGINT) AS batch_id FROM {_SOME_EVENTS}",
     "q21_stream_clean": ORACLE_SQL["q17_device_data"],
     "q22_stream_replay": ORACLE_SQL["q17_device_data"],
-    "q23_error_log_scan": _LOG_ROW,
+    "q23_error_log_scan": " UNION ALL ".join(
+        f"SELECT {_UNAVAILABLE}, CAST({b} AS BIGINT) AS batch_id, true AS stamped_in_run, "
+        f"CAST(0 AS BIGINT) AS clean_records FROM {_SOME_EVENTS}"
+        for b in FAILING_BATCHES
+    ),
+    "q31_stream_counts": with_records(
+        "SELECT count(*) AS records, count(*) FILTER (WHERE route = 'corrupt') AS corrupt, "
+        "count(*) FILTER (WHERE route = 'clean') AS clean, "
+        "count(*) FILTER (WHERE route = 'failed') AS failed FROM routed"
+    ),
+    "q32_two_streams": ORACLE_SQL["q17_device_data"],
+    "q33_stream_batch_contract": """
+SELECT 'matching' AS contract, 'device_data' AS target, CAST(NULL AS VARCHAR) AS error_reason,
+       o_orderkey, o_totalprice FROM orders
+UNION ALL
+SELECT 'drifted', 'corrupt_records',
+       'Type mismatch for column ''o_totalprice'': expected StringType(), got DoubleType()',
+       o_orderkey, o_totalprice FROM orders""",
 }

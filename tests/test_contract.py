@@ -7,6 +7,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from telemetry_qc.operators.contract import (
     batch_route,
     required_fields_errors,
+    with_required_fields,
     schema_diff,
     with_contract,
 )
@@ -65,7 +66,19 @@ CASES = [
     ("number for string kept as text", with_field("trip_id", "123"), None),
     ("NaN literal is not JSON", with_field("speed_kmph", "NaN"), "Malformed JSON"),
     ("empty object", "{}", "; ".join(f"Missing column: {n}" for n in PAYLOAD_SCHEMA.names)),
-    ("trailing text accepted", GOOD + " trailing", None),
+    ("trailing text", GOOD + " trailing", "Malformed JSON"),
+    ("second object", GOOD + GOOD, "Malformed JSON"),
+    ("comma and second object", GOOD + "," + GOOD, "Malformed JSON"),
+    ("blanks at the end", GOOD + " \n\t ", None),
+    ("brace inside a string", with_field("trip_id", '"a}b"'), None),
+    ("brace inside a string and trailing text", with_field("trip_id", '"a}b"') + "x", "Malformed JSON"),
+    ("raw tab in a string", with_field("trip_id", '"a\tb"'), "Malformed JSON"),
+    ("raw newline in a string", with_field("trip_id", '"a\nb"'), "Malformed JSON"),
+    ("escaped newline in a string", with_field("trip_id", r'"a\nb"'), None),
+    ("zoned time", with_field("timestamp", '"2024-01-01T10:00:00+02:00"'), None),
+    ("epoch seconds", with_field("timestamp", "1704103200"), None),
+    ("zoned nonsense", with_field("timestamp", '"2024-13-41T10:00:00Z"'),
+     "Type mismatch for column 'timestamp'"),
 ]
 
 
@@ -141,6 +154,30 @@ def test_required_fields(spark):
     assert got == [e for _, e in REQUIRED]
 
 
+def test_required_fields_in_steps(spark):
+    """The staged form gives the same, and refuses trailing content."""
+    cases = REQUIRED + [(GOOD + GOOD, "Malformed JSON"), (GOOD + " x", "Malformed JSON"), (None, "Malformed JSON")]
+    df = spark.createDataFrame(list(enumerate(t for t, _ in cases)), "i int, value string")
+    out = with_required_fields(df, "value", text_fields=TIMESTAMP_FIELDS)
+    assert out.columns == ["i", "value", "refusal_reason"]
+    got = [r["refusal_reason"] for r in out.orderBy("i").collect()]
+    assert got == [e for _, e in cases]
+
+
+def test_malformed_text_is_kept(spark, scratch):
+    """A record the parsers refuse reaches the corrupt table with its text."""
+    from telemetry_qc.plans.process import process
+    from telemetry_qc.schemas import ENVELOPE_SCHEMA
+
+    bad = with_field("trip_id", '"a\tb"')
+    env = spark.createDataFrame(
+        [(b"k", t.encode(), "t", 0, i, None) for i, t in enumerate([GOOD, bad])], ENVELOPE_SCHEMA
+    )
+    out = process(env, stage_path=scratch("malformed")).outputs
+    assert [r["value_str"] for r in out["corrupt_records"].collect()] == [bad]
+    assert out["qc_failed_table"].count() == 0
+
+
 def test_required_fields_without_coercion(spark):
     rows = [GOOD, with_field("speed_kmph", '"50.1"'), with_field("speed_kmph", "50")]
     df = spark.createDataFrame([(t,) for t in rows], "value string")

@@ -76,9 +76,11 @@ def test_process_writes_idempotent_sinks(spark, scratch):
     assert sum(r1.counts().values()) == env.count() == r1.metrics["records"]
     assert r1.counts()["corrupt"] == sinks["corrupt_records"].read(spark).count()
     first = {n: s.read(spark).count() for n, s in sinks.items()}
-    process(env, sinks, stage_path=f"{base}/_stage", batch_id=7)  # replay of batch 7
-    again = {n: s.read(spark).count() for n, s in sinks.items()}
-    assert first == again
+    # The same run again replaces what it wrote; another run adds to it.
+    process(env, sinks, stage_path=f"{base}/_stage", batch_id=7, run_id=r1.run_id)
+    assert {n: s.read(spark).count() for n, s in sinks.items()} == first
+    process(env, sinks, stage_path=f"{base}/_stage", batch_id=7)
+    assert {n: s.read(spark).count() for n, s in sinks.items()} == {n: 2 * c for n, c in first.items()}
 
 
 def test_annotation_has_no_shuffle_and_no_python(spark):
@@ -120,14 +122,81 @@ def test_flagship_entry(spark):
     assert "qc_status" in df.columns and "event_timestamp" in df.columns
 
 
-def test_spread_only_when_few_partitions(spark):
+def test_spread_only_on_request(spark):
     from telemetry_qc.plans.batch import spread
 
-    par = spark.sparkContext.defaultParallelism
     few = spark.range(1000).coalesce(1)
-    assert spread(few).rdd.getNumPartitions() == par
-    many = spark.range(1000).repartition(par * 2)
-    assert spread(many) is many
+    assert spread(few) is few
+    assert spread(few, 7).rdd.getNumPartitions() == 7
+
+
+def test_planning_starts_no_job(spark):
+    """Annotating a shuffled input runs nothing before its first action."""
+    from telemetry_qc.plans.batch import annotate, route, spread
+
+    env = Q.envelope(spark, SF_SMALL).repartition(5, "key")
+    sc = spark.sparkContext
+    sc.setJobGroup("planning", "no job expected")
+    try:
+        route(annotate(spread(env)))
+        assert sc.statusTracker().getJobIdsForGroup("planning") == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_process_on_no_records(spark, scratch):
+    env = Q.envelope(spark, SF_SMALL).limit(0)
+    out = process(env, stage_path=scratch("empty"))
+    assert all(df.count() == 0 for df in out.outputs.values())
+
+
+def test_stage_replaces_all_of_a_batch(spark, scratch):
+    """Also where the session overwrites partitions one by one."""
+    from telemetry_qc.plans.batch import annotate, stage
+
+    path = scratch("restage")
+    env = Q.envelope(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        stage(annotate(env), path)
+        # Records of these classes are never corrupt (FIXTURES.md).
+        again = stage(annotate(env.where(F.col("offset") % 40 > 10)), path)
+        assert {r[ROUTE] for r in again.select(ROUTE).distinct().collect()} == {"clean", "failed"}
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_stage_is_removed_after_the_writes(spark, scratch):
+    import os
+
+    base = scratch("cleanup")
+    sinks = {"corrupt_records": ParquetTableSink("corrupt_records", f"{base}/corrupt")}
+    process(Q.envelope(spark, SF_SMALL), sinks, stage_path=f"{base}/_stage")
+    assert not os.path.exists(f"{base}/_stage")
+
+
+@pytest.mark.parametrize("zone,skipped,repeated", [
+    ("America/New_York", "2024-03-10T02:30:00", "2024-11-03T01:30:00"),
+    ("Europe/Berlin", "2024-03-31T02:30:00", "2024-10-27T02:30:00"),
+])
+def test_times_without_zone_survive_clock_changes(spark, zone, skipped, repeated):
+    import datetime
+
+    from telemetry_qc.operators.contract import with_contract
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for text in (skipped, repeated):
+            df = spark.createDataFrame([('{"timestamp":"%s"}' % text,)], "value_str string")
+            got = with_contract(df).select("parsed.timestamp").first()[0]
+            assert got == datetime.datetime.fromisoformat(text), (zone, text)
+        zoned = spark.createDataFrame([('{"timestamp":"2024-07-01T12:00:00Z"}',)], "value_str string")
+        hour = with_contract(zoned).select("parsed.timestamp").first()[0].hour
+        assert hour == {"America/New_York": 8, "Europe/Berlin": 14}[zone]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
 
 
 def test_wall_clock_is_zone_independent(spark):

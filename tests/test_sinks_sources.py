@@ -2,7 +2,9 @@
 idempotent table writes, the error log, publishing round trip."""
 
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -42,7 +44,12 @@ def test_dedupe_on_record_identity(spark):
         [("t", 0, 1, "a"), ("t", 0, 1, "a"), ("t", 1, 1, "b")],
         "topic_name string, kafka_partition int, kafka_offset bigint, v string",
     )
-    assert dedupe_records(df).count() == 2
+    assert dedupe_records(df, "corrupt_records").count() == 2
+    assert dedupe_records(df, "device_data").count() == 2
+    with pytest.raises(ValueError, match="column_name"):
+        dedupe_records(df, "qc_audit_log_table")
+    with pytest.raises(ValueError, match="topic_name"):
+        dedupe_records(df.drop("topic_name"), "corrupt_records")
 
 
 def test_error_row_schema(spark):
@@ -56,12 +63,29 @@ def test_error_row_schema(spark):
 def test_parquet_sink_overwrites_per_batch(spark, scratch):
     sink = ParquetTableSink("t", scratch("sink"), ("d",))
     df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "x int, d string")
-    sink.write(df, 0)
-    sink.write(df, 0)
-    sink.write(df.limit(1), 1)
+    sink.write(df, 0, "a")
+    sink.write(df, 0, "a")
+    sink.write(df.limit(1), 1, "a")
     out = sink.read(spark)
     assert out.count() == 3
-    assert sorted(out.columns) == ["batch_id", "d", "x"]
+    assert sorted(out.columns) == ["batch_id", "d", "run_id", "x"]
+    sink.write(df, 0, "b")  # another run adds to the table
+    assert sink.read(spark).count() == 5
+    with pytest.raises(ValueError, match="run_id"):
+        sink.write(df, 0, "7")
+
+
+def test_replay_drops_partitions_it_has_no_rows_for(spark, scratch):
+    sink = ParquetTableSink("t", scratch("dynamic"), ("d",))
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, d string")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        sink.write(df, 0, "a")
+        sink.write(df.where("x = 1"), 0, "a")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert [r["x"] for r in sink.read(spark).collect()] == [1]
 
 
 def test_publish_frame_round_trip(spark):
@@ -78,7 +102,6 @@ def test_publish_frame_round_trip(spark):
 
 
 def test_check_frame(spark):
-    import pytest
     from telemetry_qc.schemas import CORRUPT_RECORDS_SCHEMA
     from telemetry_qc.sinks.tables import SinkSchemaError, check_frame
 
@@ -114,10 +137,12 @@ def test_catalog_sink_replay_replaces_batch(spark, scratch):
     name = f"t_{uuid.uuid4().hex[:8]}"
     sink = CatalogTableSink("t", name, ("d",), path=scratch("catalog"))
     df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, d string")
-    sink.write(df, 0)
-    sink.write(df, 1)
-    sink.write(df.limit(1), 1)  # replay of batch 1, partly different
-    out = sink.read(spark)
+    sink.write(df, 0, "a")
+    sink.write(df, 1, "a")
+    sink.write(df.limit(1), 1, "a")  # replay of batch 1, partly different
+    sink.write(df, 1, "b")
+    assert sink.read(spark).filter("run_id = 'b'").count() == 2
+    out = sink.read(spark).filter("run_id = 'a'")
     assert out.filter("batch_id = 0").count() == 2
     assert out.filter("batch_id = 1").count() == 1
     spark.sql(f"DROP TABLE {name}")
@@ -134,16 +159,15 @@ def test_rebalanced_partitioned_write(spark, scratch):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
     base = scratch("rebalance")
     sink = ParquetTableSink("device_data", base, ("trip_start_date",), rebalance=True)
-    sink.write(clean, 0)
+    sink.write(clean, 0, "a")
     back = sink.read(spark)
     assert back.count() == clean.count()
     days = back.select("trip_start_date").distinct().count()
-    files = glob.glob(f"{base}/batch_id=0/trip_start_date=*/*.parquet")
+    files = glob.glob(f"{base}/run_id=a/batch_id=0/trip_start_date=*/*.parquet")
     assert len(files) <= 2 * days
 
 
 def test_write_routed_clean_last_and_named_failure(spark, scratch):
-    import pytest
     from telemetry_qc.plans.batch import route
     from telemetry_qc.sinks.routing import SINK_ORDER, SinkWriteError, write_routed
     from telemetry_qc.streaming.faults import FailOnce
@@ -151,17 +175,17 @@ def test_write_routed_clean_last_and_named_failure(spark, scratch):
     outs = route(Q.staged_envelope(spark, SF_SMALL))
     base = scratch("routed")
     sinks = {n: ParquetTableSink(n, f"{base}/{n}") for n in SINK_ORDER}
-    sinks["corrupt_records"] = FailOnce(sinks["corrupt_records"], batch_id=0)
+    sinks["corrupt_records"] = FailOnce(sinks["corrupt_records"], (0,))
     with pytest.raises(SinkWriteError) as err:
-        write_routed(outs, sinks, 0)
+        write_routed(outs, sinks, 0, "a")
     assert err.value.table == "corrupt_records"
     assert str(err.value) == "sink corrupt_records unavailable"
     import os
     assert not os.path.exists(f"{base}/device_data")  # clean table not written
-    write_routed(outs, sinks, 0)  # replay succeeds and completes every table
+    write_routed(outs, sinks, 0, "a")  # replay succeeds and completes every table
     for concurrent in (True, False):
         other = {n: ParquetTableSink(n, f"{base}-{concurrent}/{n}") for n in SINK_ORDER}
-        write_routed(outs, other, 0, concurrent=concurrent)
+        write_routed(outs, other, 0, "a", concurrent=concurrent)
         for n in SINK_ORDER:
             assert other[n].read(spark).count() == sinks[n].read(spark).count(), n
 
@@ -180,7 +204,6 @@ def test_shared_dir_comes_from_the_session(spark):
 def test_consumer_reaches_the_kafka_source(spark, scratch):
     """Without the Kafka connector on the classpath the consumer fails at
     Spark's data-source lookup, i.e. after building its whole plan."""
-    import pytest
     from pyspark.errors import AnalysisException
 
     from telemetry_qc.streaming.consumer import ConsumerSettings, consume_topic
@@ -203,7 +226,7 @@ def test_concurrent_writes_keep_the_callers_job_group(spark, scratch):
     class Probe:
         name = "probe"
 
-        def write(self, df, batch_id):
+        def write(self, df, batch_id, run_id):
             seen.append(spark.sparkContext.getLocalProperty("spark.jobGroup.id"))
 
     outs = {n: spark.range(1) for n in ("a", "b", "c")}
@@ -213,7 +236,7 @@ def test_concurrent_writes_keep_the_callers_job_group(spark, scratch):
         import telemetry_qc.sinks.routing as R
         old = R.SINK_SCHEMAS
         R.SINK_SCHEMAS = {n: outs[n].schema for n in outs}
-        write_routed(outs, {n: Probe() for n in outs}, 0, order=("a", "b", "c"))
+        write_routed(outs, {n: Probe() for n in outs}, 0, "r", order=("a", "b", "c"))
     finally:
         R.SINK_SCHEMAS = old
         sc.setLocalProperty("spark.jobGroup.id", None)
@@ -236,6 +259,9 @@ def test_command_line_process(spark, scratch, tmp_path):
     clean = ParquetTableSink("device_data", f"{out}/device_data").read(spark)
     assert clean.count() == metrics["clean"]
     assert metrics["corrupt"] + metrics["clean"] + metrics["failed"] == total
+    main(["process", "--input", src, "--output", out, "--rules", str(rules)])
+    assert ParquetTableSink("device_data", f"{out}/device_data").read(spark).count() == 2 * clean.count()
+    assert not os.listdir(f"{out}/_stage")
 
 
 def test_command_line_consume_arguments():
@@ -267,7 +293,6 @@ def test_published_json_parses_back_to_the_same_values(spark):
 def test_publish_reaches_the_kafka_sink(spark):
     """The publish path builds its frame and options and fails only at
     Spark's data-source lookup (no Kafka connector here)."""
-    import pytest
     from pyspark.errors import AnalysisException
 
     from telemetry_qc.sources.kafka import publish

@@ -1,5 +1,7 @@
 """Streaming runner: stream = batch, failure policies, replay, metrics."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from telemetry_qc.streaming.runner import FAIL, LOG, METRICS_NAME, StreamConfig
 
 
 def rows(df):
-    cols = sorted(c for c in df.columns if c not in ("load_timestamp", "batch_id"))
+    cols = sorted(c for c in df.columns if c not in ("load_timestamp", "batch_id", "run_id"))
     return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
 
 
@@ -44,15 +46,15 @@ def test_stream_equals_batch(spark, batch_tables):
 
 
 def test_fail_policy_replays_without_loss_or_duplicates(spark, batch_tables):
-    run = run_landed(spark, SF_SMALL, on_error=FAIL, fail_batch=FAILING_BATCH)
+    run = run_landed(spark, SF_SMALL, on_error=FAIL, fail_batches=(FAILING_BATCH,))
     assert run.attempts == 2
     for name, expected in batch_tables.items():
         assert table_rows(spark, run, name) == expected, name
-    assert run.sinks["device_data"].failed
+    assert run.sinks["device_data"].failed == {FAILING_BATCH}
 
 
 def test_log_policy_logs_once_and_moves_on(spark, batch_tables):
-    run = run_landed(spark, SF_SMALL, on_error=LOG, fail_batch=FAILING_BATCH)
+    run = run_landed(spark, SF_SMALL, on_error=LOG, fail_batches=(FAILING_BATCH,))
     assert run.attempts == 1
     log = run.error_log.read(spark).collect()
     assert [(r["error_message"], r["target_table"], r["batch_id"]) for r in log] == [
@@ -72,26 +74,38 @@ def test_config_validation():
     with pytest.raises(ValueError):
         StreamConfig(checkpoint_location="x", on_error="ignore")
     with pytest.raises(ValueError):
-        StreamConfig(checkpoint_location="x", materialize="stage")
+        StreamConfig(checkpoint_location="x", materialize="memory")
+    assert StreamConfig(checkpoint_location="x/").stage_dir == "x_stage"
 
 
-def test_stage_materialization(spark, scratch, batch_tables):
+@pytest.mark.parametrize("materialize", ["stage", "persist"])
+def test_materialization(spark, scratch, batch_tables, materialize):
+    """Both ways write the same, an empty batch included, also where the
+    session overwrites partitions one by one; no staged batch is left."""
     from telemetry_qc.sinks.tables import ParquetTableSink
     from telemetry_qc.sources.files import read_envelope_stream
     from telemetry_qc.streaming.queries import land_envelope
     from telemetry_qc.streaming.runner import run_stream
 
     src = land_envelope(spark, SF_SMALL)
+    spark.read.parquet(src).limit(0).coalesce(1).write.mode("append").parquet(src)
     base = scratch("stage-stream")
-    sinks = {"device_data": ParquetTableSink("device_data", f"{base}/device_data")}
-    cfg = StreamConfig(checkpoint_location=f"{base}/_ckpt", materialize="stage",
+    sinks = {"device_data": ParquetTableSink("device_data", f"{base}/device_data", ("trip_start_date",))}
+    cfg = StreamConfig(checkpoint_location=f"{base}/_ckpt", materialize=materialize,
                        stage_dir=f"{base}/_stage", trigger={"availableNow": True})
-    q = run_stream(spark, read_envelope_stream(spark, src, files_per_batch(spark)), sinks, cfg)
-    q.awaitTermination()
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        q = run_stream(spark, read_envelope_stream(spark, src, files_per_batch(spark)), sinks, cfg)
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
     assert rows(drop_run_columns(sinks["device_data"].read(spark))) == batch_tables["device_data"]
+    if materialize == "stage":
+        assert not os.listdir(f"{base}/_stage")
 
 
-def test_stop_gracefully_between_batches(spark, scratch):
+def test_stop_gracefully_when_idle(spark, scratch):
     from telemetry_qc.sinks.tables import ParquetTableSink
     from telemetry_qc.sources.files import read_envelope_stream
     from telemetry_qc.streaming.queries import land_envelope
@@ -110,6 +124,34 @@ def test_stop_gracefully_between_batches(spark, scratch):
     assert written == len(done) == N_BATCHES
 
 
+def test_stop_gracefully_during_a_backlog(spark, scratch, batch_tables):
+    """The batch in flight is committed, the backlog left; a restart does it."""
+    import time
+
+    from telemetry_qc.sinks.tables import ParquetTableSink
+    from telemetry_qc.sources.files import read_envelope_stream
+    from telemetry_qc.streaming.queries import land_envelope
+    from telemetry_qc.streaming.runner import run_stream, stop_gracefully
+
+    src = land_envelope(spark, SF_SMALL, batches=2)  # one file a batch
+    base = scratch("graceful-backlog")
+    sink = ParquetTableSink("corrupt_records", f"{base}/corrupt")
+    cfg = StreamConfig(checkpoint_location=f"{base}/_ckpt")
+    q = run_stream(spark, read_envelope_stream(spark, src, 1), {"corrupt_records": sink}, cfg)
+    while not q.recentProgress:
+        time.sleep(0.05)
+    before = len(os.listdir(f"{base}/_ckpt/commits"))
+    assert stop_gracefully(q, timeout_seconds=60)
+    assert not q.isActive
+    committed = [f for f in os.listdir(f"{base}/_ckpt/commits") if f.isdigit()]
+    assert len(committed) < 2 * files_per_batch(spark)
+    written = sink.read(spark).select("batch_id").distinct().count()
+    assert written == len(committed) <= before + 1
+    again = StreamConfig(checkpoint_location=f"{base}/_ckpt", trigger={"availableNow": True})
+    run_stream(spark, read_envelope_stream(spark, src, 1), {"corrupt_records": sink}, again, await_termination=True)
+    assert rows(drop_run_columns(sink.read(spark))) == batch_tables["corrupt_records"]
+
+
 def test_per_column_failure_metrics(spark, batch_tables):
     run = run_landed(spark, SF_SMALL, column_metrics=True)
     metrics = [p["observedMetrics"][METRICS_NAME] for p in run.progress if p["numInputRows"] > 0]
@@ -135,7 +177,7 @@ def test_catalog_sink_replay_in_a_stream(spark, scratch, batch_tables):
     src = land_envelope(spark, SF_SMALL)
     base = scratch("catalog-stream")
     table = f"clean_{uuid.uuid4().hex[:8]}"
-    sink = FailOnce(CatalogTableSink("device_data", table, path=f"{base}/table"), batch_id=1)
+    sink = FailOnce(CatalogTableSink("device_data", table, path=f"{base}/table"), (1,))
     cfg = StreamConfig(checkpoint_location=f"{base}/_ckpt", trigger={"availableNow": True})
     for attempt in range(2):
         q = run_stream(spark, read_envelope_stream(spark, src, files_per_batch(spark)),
