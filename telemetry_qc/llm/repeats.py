@@ -18,10 +18,6 @@ from pyspark.sql import functions as F
 from . import words
 from .common import order_key, saved, ship
 
-#: Digests to send back that may be broadcast with their documents (64 MB).
-BROADCAST_DIGESTS = 4_000_000
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("key", order_key())
 
@@ -60,12 +56,7 @@ def held_before(found: DataFrame) -> DataFrame:
 
 
 def attach(docs: DataFrame, later: DataFrame) -> DataFrame:
-    """``docs`` with the column ``digests``.  These are sent to the documents
-    if they are few (checked), otherwise both are shuffled by document."""
-    later = saved(later, "later")
-    size = later.agg(F.sum(F.size("digests") + F.lit(4))).first()[0] or 0
-    if size <= BROADCAST_DIGESTS:
-        later = F.broadcast(later)
+    """``docs`` with the column ``digests``; both are shuffled by document."""
     return keyed(docs).join(later, "key", "left").drop("key")
 
 
