@@ -48,7 +48,7 @@ RATE = 0.1
 TOKENS = 4_000_000
 ROUNDS = 12
 #: Tokens in a block.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 
 _END = int(words.mix(np.array([0xE0D], np.uint64))[0])
 
@@ -60,12 +60,29 @@ def class_of(data: np.ndarray, e: np.ndarray, s: np.ndarray) -> np.ndarray:
     return (words.mix(last * np.uint64(257) + before + np.uint64(1)) % np.uint64(CLASSES)).astype(np.uint8)
 
 
+_CODEC = pa.Codec("zstd")
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers byte by byte, compressed: the high bytes of token
+    numbers are nearly all alike."""
+    raw = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(numbers).to_bytes(8, "little") + _CODEC.compress(raw.tobytes(), asbytes=True)
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    raw = np.frombuffer(_CODEC.decompress(blob[8:], 4 * n), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+
+
 BLOCKS = "block long, doc_ids array<long>, held binary, ends binary, tokens binary, types binary, classes binary, trained binary"
 
 
 def token_blocks(docs: DataFrame) -> DataFrame:
-    """Documents as rows of many: tokens are places in the block's types
-    (different hashes, sorted), trained their counts in training text."""
+    """Documents as rows of many: tokens are places in the block's types (its
+    different words, most frequent first), trained their counts in training
+    text."""
 
     def find(batches):
         number = TaskContext.get().partitionId() << 32
@@ -74,7 +91,11 @@ def token_blocks(docs: DataFrame) -> DataFrame:
         def row():
             nonlocal number, ids, held, counts, hashes, classes, total
             every, kind = np.concatenate(hashes), np.concatenate(classes)
-            types, first, tokens = np.unique(every, return_index=True, return_inverse=True)
+            types, first, tokens, times = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
+            order = np.argsort(-times, kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            types, first, tokens = types[order], first[order], place[tokens]
             n = np.concatenate(counts)
             out_ = np.array(held, np.uint8)
             mine = np.repeat(out_ == 0, n)
@@ -82,7 +103,7 @@ def token_blocks(docs: DataFrame) -> DataFrame:
             blobs = [
                 out_.tobytes(),
                 np.cumsum(n).astype("<i4").tobytes(),
-                tokens.astype("<i4").tobytes(),
+                packed(tokens),
                 types.astype("<u8").tobytes(),
                 kind[first].tobytes(),
                 trained.astype("<i4").tobytes(),
@@ -246,7 +267,7 @@ class Reader:
         document)."""
         ends = np.frombuffer(row["ends"], "<i4").astype(np.int64)
         begin = np.concatenate(([0], ends[:-1]))
-        target = self.outputs(row)[np.frombuffer(row["tokens"], "<i4")]
+        target = self.outputs(row)[unpacked(row["tokens"])]
         context = np.full((len(target), CONTEXT), START, np.int16)
         place = np.arange(len(target)) - np.repeat(begin, ends - begin)
         for j in range(CONTEXT):
@@ -324,7 +345,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         place, n = right["place"].to_numpy(), right["n"].to_numpy()
         for row in left.to_pylist():
             target, context, begin, ends = reader.read(row)
-            tokens = np.frombuffer(row["tokens"], "<i4")
+            tokens = unpacked(row["tokens"])
             output = reader.outputs(row).astype(np.int64)
             count = np.zeros(len(output))
             count[place] = n
@@ -352,6 +373,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         return pa.concat_tables(out)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    blocks = blocks.drop("trained")
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(score, schema)
 
 
