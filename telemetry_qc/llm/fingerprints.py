@@ -222,6 +222,11 @@ def near(a: np.ndarray, b: np.ndarray) -> bool:
     return jaccard(a, b) >= SIMILARITY
 
 
+def near_many(texts: list[np.ndarray]):
+    """A function of a place and earlier places that tells which are near."""
+    return lambda x, ys: np.array([near(texts[x], texts[y]) for y in ys], bool)
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size, kept; one row per document."""
-    return near_classes(docs, band_keys, near).drop("key")
+    return near_classes(docs, band_keys, near, near_many).drop("key")

@@ -44,6 +44,22 @@ def test_near_is_edit_similarity():
         assert O.near(np.array(a, "<u4"), np.array(b, "<u4")) == (10 * distance(a, b) <= 2 * n)
 
 
+def test_aligning_many_is_aligning_each(monkeypatch):
+    rnd = random.Random(12)
+    for cells in (O.CELLS, 0):  # 0: one by one
+        monkeypatch.setattr(O, "CELLS", cells)
+        for _ in range(25):
+            base = [rnd.randrange(9) for _ in range(rnd.randint(0, 60))]
+            texts = []
+            for _ in range(12):
+                w = [x for x in base if rnd.random() > 0.12] + [rnd.randrange(9)] * rnd.randint(0, 6)
+                texts.append(np.array(w if rnd.random() < 0.8 else base[::-1], "<u4"))
+            test = O.near_many(texts)
+            for x in range(1, len(texts)):
+                got = test(x, np.arange(x))
+                assert got.tolist() == [O.near(texts[x], texts[y]) for y in range(x)]
+
+
 def test_order_matters():
     rnd = random.Random(3)
     w = words(rnd, 300)
