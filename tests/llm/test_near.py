@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from helpers import clashing, docs, tuples, words
 
+from telemetry_qc.llm import classes as C
 from telemetry_qc.llm import fingerprints as F
 from telemetry_qc.llm import order_minhash as O
 from telemetry_qc.llm import words as W
@@ -215,3 +216,36 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a long, b long"))
     assert tuples(got, "id", "label") == sorted(want, key=repr)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def all_pairs(texts):
+    """Class of every text, by comparing all pairs."""
+    label = list(range(len(texts)))
+    ids = {w: i for i, w in enumerate(sorted({w for t in texts for w in t}))}
+    coded = [np.array([ids[w] for w in t], "<u4") for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and O.near(coded[i], coded[j]):
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    return label
+
+
+@pytest.mark.parametrize("block", [C.BLOCK_TEXTS, 2])
+def test_chains_inside_a_bucket(spark, monkeypatch, block):
+    """A~B~C with A!~C: whoever leads the only bucket, no link is lost."""
+    monkeypatch.setattr(C, "BLOCK_TEXTS", block)
+    rnd = random.Random(13)
+    texts = []
+    for g in range(12):
+        base = [f"g{g}w{i}" for i in range(100)]
+        for step in range(5):  # 15 more words changed a step
+            texts.append([f"new{g}" if 15 * (step - 1) <= i < 15 * step else w for i, w in enumerate(base)])
+            base = [f"s{step}{w}" if 15 * step <= i < 15 * step + 15 else w for i, w in enumerate(base)]
+    rnd.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    # One bucket for all: links then hang on the comparison alone.
+    out = C.near_classes(docs(spark, rows), lambda hashes: np.zeros(1, np.uint64), O.near, O.near_many)
+    want = all_pairs(texts)
+    assert 12 <= len(set(want)) < 60
+    assert tuples(out, "doc_id", "class_id") == sorted(enumerate(want), key=repr)
