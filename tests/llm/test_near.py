@@ -249,3 +249,59 @@ def test_chains_inside_a_bucket(spark, monkeypatch, block):
     want = all_pairs(texts)
     assert 12 <= len(set(want)) < 60
     assert tuples(out, "doc_id", "class_id") == sorted(enumerate(want), key=repr)
+
+
+def changed(rnd, text, n, evenly=False):
+    """The text with n words changed, inserted or dropped (changed only, at
+    even distances, if ``evenly``)."""
+    out = list(text)
+    at = [int((i + 0.5) * len(out) / n) for i in range(n)] if evenly else rnd.sample(range(len(out)), n)
+    for i in sorted(at, reverse=True):
+        kind = 0 if evenly else rnd.randrange(4)
+        out[i : i + (kind != 2)] = [] if kind == 1 else [f"new{rnd.randrange(10**9)}"]
+    return out
+
+
+def shared_key(a, b):
+    code = lambda t: W.word_hashes(np.frombuffer(" ".join(t).encode(), np.uint8), np.array([0, len(" ".join(t).encode())]))[0]
+    return len(np.intersect1d(O.band_keys(code(a)), O.band_keys(code(b)))) > 0
+
+
+@pytest.mark.parametrize("evenly", [False, True])
+@pytest.mark.parametrize("similarity, least", [(0.80, 0.9), (0.85, 0.95), (0.90, 0.99)])
+def test_candidates_by_edit_similarity(similarity, least, evenly):
+    """Near pairs that share a band key, by length and similarity."""
+    rnd = random.Random(14)
+    for n in (5, 8, 10, 14, 15, 18, 25, 40, 55, 63, 64, 75, 100, 200, 600):
+        edits, found, pairs = int((1 - similarity) * n + 1e-9), 0, 0
+        while pairs < 60 and edits:
+            a = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+            b = changed(rnd, a, edits, evenly)
+            if distance(a, b) * 5 > max(len(a), len(b)) if n < 100 else len(b) < n:
+                continue
+            pairs += 1
+            found += shared_key(a, b)
+        # Every fifth word changed is the worst case for runs of words.
+        low = 1.0 if n <= O.SHORT - 3 else least if not evenly or similarity > 0.8 else 0.7
+        assert not edits or found >= low * pairs, (n, found, pairs)
+
+
+def test_short_texts_share_a_key_if_near():
+    rnd = random.Random(15)
+    for _ in range(1500):
+        a = [f"w{rnd.randrange(6)}" for _ in range(rnd.randint(1, O.SHORT))]
+        b = changed(rnd, a, min(len(a), rnd.randint(1, 3)))
+        if b and max(len(a), len(b)) <= O.SHORT and distance(a, b) <= O.edits(max(len(a), len(b))):
+            assert shared_key(a, b), (a, b)
+
+
+def test_spread_edits_against_all_pairs(spark):
+    rnd = random.Random(16)
+    texts = []
+    for n in (10, 14, 20, 45, 60, 90, 150):
+        for share in (0.1, 0.15, 0.2):
+            for evenly in (False, True):
+                base = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+                texts += [base, changed(rnd, base, int(share * n + 1e-9), evenly)]
+    out = O.near_duplicates(docs(spark, [(i, " ".join(t)) for i, t in enumerate(texts)]))
+    assert tuples(out, "doc_id", "class_id") == sorted(enumerate(all_pairs(texts)), key=repr)
