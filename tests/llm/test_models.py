@@ -243,3 +243,19 @@ def test_sums_by_number():
     want = np.zeros((9, 3), np.float32)
     np.add.at(want, at, rows)
     assert np.allclose(B._sums(at, rows, 9), want, atol=1e-5)
+
+
+def test_every_language_with_trusted_text_has_a_model(spark, monkeypatch):
+    """However small its share of the trusted documents, however many
+    languages there are, and also without spaced words."""
+    monkeypatch.setattr(K, "SAMPLE_DOCS", 20)
+    good, _ = corpus(random.Random(6))
+    rows = [(i, text, "en") for i, text in good] + [(1000 + i, "wie der Hund und die Katze .", "de") for i in range(3)]
+    rows += [(2000 + i, "我们今天去学校，明天休息。" * (i + 1), "zh") for i in range(3)]
+    rows += [(3000 + i, f"some words in language {i}", f"x{i}") for i in range(300)]
+    labels = [(i, 1, 0) for i, *_ in rows]
+    rows.append((5000, "no trusted text", "none"))
+    out = {r["doc_id"]: r["perplexity"] for r in K.classify(docs(spark, rows), spark.createDataFrame(labels, LABELS)).collect()}
+    assert [i for i, p in out.items() if p is None] == [5000]
+    words = K.frequent_words(docs(spark, rows), spark.createDataFrame([(i,) for i, *_ in labels], "doc_id long"))
+    assert "hund" in words["de"] and words["zh"] == [] and len(words) == 303
