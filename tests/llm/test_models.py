@@ -259,3 +259,9 @@ def test_every_language_with_trusted_text_has_a_model(spark, monkeypatch):
     assert [i for i, p in out.items() if p is None] == [5000]
     words = K.frequent_words(docs(spark, rows), spark.createDataFrame([(i,) for i, *_ in labels], "doc_id long"))
     assert "hund" in words["de"] and words["zh"] == [] and len(words) == 303
+
+
+def test_a_hundred_words_of_a_language_stand_for_themselves():
+    s = K.Symbols([f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(100)])
+    found = s.of(" ".join(s.frequent))
+    assert len(set(found)) == 101 and max(found) < K.SYMBOLS <= 256
