@@ -34,7 +34,7 @@ from . import words
 from .common import documents, saved, ship
 
 CLASSES = 128
-FREQUENT = 127
+FREQUENT = 383
 OUTPUTS = CLASSES + FREQUENT + 1
 START = OUTPUTS  # only ever read
 CONTEXT = 3
@@ -43,9 +43,7 @@ NOISE = 64
 NOISE_WEIGHT = 10.0
 BATCH = 1024
 RATE = 0.1
-#: Rounds go over all training tokens until so many have been read: one round
-#: over a large table, more over a small one, ROUNDS at most.
-TOKENS = 4_000_000
+#: Rounds over all training tokens, at every size of the table.
 ROUNDS = 12
 #: Tokens in a block.
 BLOCK = 1_000_000
@@ -279,7 +277,7 @@ class Reader:
 def fit(blocks: DataFrame, reader: Reader, unigram: np.ndarray, total: int) -> Model:
     """Rounds of training in every task, averaged by tokens."""
     model = Model(unigram)
-    for round_ in range(min(ROUNDS, -(-TOKENS // total)) if total else 0):
+    for round_ in range(ROUNDS if total else 0):
         start = model.flat()
 
         def learn(batches, start=start, round_=round_):

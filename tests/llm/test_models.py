@@ -265,3 +265,15 @@ def test_a_hundred_words_of_a_language_stand_for_themselves():
     s = K.Symbols([f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(100)])
     found = s.of(" ".join(s.frequent))
     assert len(set(found)) == 101 and max(found) < K.SYMBOLS <= 256
+
+
+def test_training_does_not_depend_on_size(spark, monkeypatch):
+    """As many rounds over a large table as over a small one."""
+    monkeypatch.setattr(B, "ROUNDS", 3)
+    rounds = []
+    monkeypatch.setattr(B.Model, "fill", lambda self, flat: rounds.append(len(flat)))
+    blocks = B.token_blocks(docs(spark, [(0, "a b c"), (1, "b c d")]))
+    reader, unigram = B.Reader(np.array([B._END], np.uint64)), np.full(B.OUTPUTS, 1 / B.OUTPUTS)
+    for total in (8, 10**12):
+        B.fit(blocks, reader, unigram, total)
+    assert len(rounds) == 6 and B.OUTPUTS == 512
