@@ -87,8 +87,11 @@ def make_batch_writer(
     sinks: Mapping[str, object],
     config: StreamConfig,
     error_log=None,
+    counts=None,
 ) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function: materialise, route, write in order."""
+    """The ``foreachBatch`` function: materialise, route, write in order.
+    ``counts`` is a sink for one row a batch, its records per route (a replay
+    replaces it)."""
     if config.on_error == LOG and error_log is None:
         raise ValueError("policy 'log' needs an error_log sink")
 
@@ -109,6 +112,8 @@ def make_batch_writer(
                 # by the few that a sink may write with.
                 held = batch.persist(StorageLevel.MEMORY_AND_DISK)
                 held.count()
+            if counts is not None:
+                counts.write(held.agg(*route_count_columns()), batch_id, run_id)
             if "cells" not in prepared:
                 prepared["cells"] = audit_cells(config.rules, held.schema)
             write_routed(
@@ -196,18 +201,21 @@ def run_stream(
     error_log=None,
     await_termination: bool = False,
     expected: StructType | None = None,
+    counts=None,
 ) -> StreamingQuery:
     """Start the routed streaming query over an envelope stream.
 
     ``source`` is a streaming envelope (Kafka or file source).  With
     ``expected`` it may be any typed stream instead, whose micro-batches are
-    checked and routed as a whole (``make_schema_batch_writer``).  With
+    checked and routed as a whole (``make_schema_batch_writer``).  ``counts``
+    is a sink for the records per route of each batch of an envelope: the
+    query's progress keeps the last batches only.  With
     ``await_termination`` the call blocks until the query ends (for an
     ``availableNow`` trigger: when the backlog is done) and re-raises a
     failure.
     """
     if expected is None:
-        frame, write = annotated_stream(source, config), make_batch_writer(sinks, config, error_log)
+        frame, write = annotated_stream(source, config), make_batch_writer(sinks, config, error_log, counts)
     else:
         frame, write = source, make_schema_batch_writer(sinks, expected, config, error_log)
     writer = (

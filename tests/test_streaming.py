@@ -190,3 +190,20 @@ def test_catalog_sink_replay_in_a_stream(spark, scratch, batch_tables):
     got = rows(drop_run_columns(spark.table(table)))
     assert got == batch_tables["device_data"]
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_counts_of_more_batches_than_the_progress_keeps(spark, monkeypatch):
+    """q31 sums all batches, also those that Spark's progress has dropped."""
+    from telemetry_qc.streaming import queries as Q
+
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    monkeypatch.setattr(Q, "_runs", {})
+    spark.conf.set(key, "2")
+    try:
+        got = Q.q31_stream_counts(spark, SF_SMALL).first()
+    finally:
+        spark.conf.unset(key)
+    (run,) = Q._runs.values()
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert sum(p["numInputRows"] for p in run.progress) < events == got["records"]
+    assert got["corrupt"] + got["clean"] + got["failed"] == events
