@@ -26,8 +26,8 @@ from . import words
 from .common import documents
 from .repeats import attach, digests, held, held_before
 
-MEAN = 32
-LEAST = 128
+MEAN = 16
+LEAST = 64
 REACH = 16
 _GEAR = (words.mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
 

@@ -164,3 +164,15 @@ def test_word_hashes():
     assert (W.word_hashes(*W.utf8(sliced))[0] == got).all()
     big = np.concatenate([W.word_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])[0] for a, b in W.parts(offsets, 4)])
     assert (big == got).all()
+
+
+def test_passages_of_51_words_in_new_surroundings(spark):
+    """Hundreds of short passages, each in two documents: the second loses it."""
+    rnd = random.Random(17)
+    passages = [" ".join(words(rnd, 51, 1000)) for _ in range(400)]
+    around = lambda: " ".join(f"x{rnd.randrange(10**9)}" for _ in range(30))
+    rows = [(1000 * half + i, f"{around()} {p} {around()}") for half in (0, 1) for i, p in enumerate(passages)]
+    out = {r["doc_id"]: r["n_removed"] for r in G.dedup_substrings(docs(spark, rows)).collect()}
+    assert sum(out[i] for i in range(400)) == 0
+    missed = sum(out[1000 + i] < 64 for i in range(400))
+    assert missed <= 2, missed
