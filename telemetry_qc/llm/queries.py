@@ -18,6 +18,7 @@ from .log_bilinear import score_documents
 from .order_minhash import near_duplicates
 from .sos_packing import pack_documents
 from .surrogates import replace_entities
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +73,10 @@ def op10_log_bilinear(spark, sf_dir):
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_ann_tree": op1_ann_tree,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -83,6 +88,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_gear_chunks": op9_gear_chunks,
     "op10_log_bilinear": op10_log_bilinear,
+    "op13_whitening": op13_whitening,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
