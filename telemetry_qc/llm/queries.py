@@ -6,12 +6,14 @@ from typing import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .ann_tree import search
 from .bpe_fst import encode_documents
-from .common import table
+from .common import pick, table
 from .fingerprints import edited_fingerprints
 from .gear_chunks import dedup_substrings
+from .hard_negatives import mine
 from .kneser_ney import classify
 from .line_windows import dedup_lines
 from .log_bilinear import score_documents
@@ -73,6 +75,12 @@ def op10_log_bilinear(spark, sf_dir):
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    v = pick(table(spark, sf_dir, "embeddings"), {"vec_id": "long", "label": "long", "embedding": "array<double>"})
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(v.withColumn("label", changed))
+
+
 def op13_whitening(spark, sf_dir):
     return whiten(table(spark, sf_dir, "embeddings"))
 
@@ -88,6 +96,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_gear_chunks": op9_gear_chunks,
     "op10_log_bilinear": op10_log_bilinear,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_whitening": op13_whitening,
 }
 
@@ -117,4 +126,29 @@ SELECT e.doc_id,
        count(c.j) AS n_removed
 FROM every e LEFT JOIN covered c ON c.doc_id = e.doc_id AND c.j = e.j
 GROUP BY e.doc_id""",
+    "op12_hard_negatives": """
+WITH vectors AS (
+    SELECT DISTINCT vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS alike,
+           list_inner_product(a.x, v.x)::BIGINT AS score
+    FROM vectors a JOIN vectors v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT alike AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5""",
 }
