@@ -182,25 +182,27 @@ def mine(
         )
     v = v.where(F.size("x") == lengths[0]["d"]).distinct()
     v = v.withColumn("row", F.xxhash64("label", "x"))
-    v = saved(v.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    # A table's column, not a literal: joins on it stay joins on a key.
+    v = v.withColumns({"node": F.monotonically_increasing_id(), "all": F.lit(0).cast("long")})
+    v = saved(v, "vectors")
     n = v.count()
     deal = lambda blocks: F.pmod(F.xxhash64("node"), blocks).alias("block")
     anchors = v.where(F.col("vec_id") % every == 0)
-    anchors = anchors.select(F.col("node").alias("ask"), F.col("vec_id").alias("anchor_id"), "label", "x")
+    anchors = anchors.select(F.col("node").alias("ask"), F.col("vec_id").alias("anchor_id"), "label", "x", "all")
 
     sizes = v.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
     sizes = saved(sizes.withColumnRenamed("label", "space"), "sizes")
     rows = v.withColumn("space", F.col("label")).join(small(sizes), "space")
     rows = rows.select("space", deal(F.col("blocks")), "row", "vec_id", "label", "x")
     widest = [F.array(F.lit(b).cast("long")).alias(c) for b, c in ((LOWEST, "low"), (HIGHEST, "high"))]
-    asks = anchors.select(F.col("label").alias("space"), "*", *widest)
+    asks = anchors.select(F.col("label").alias("space"), "ask", "anchor_id", "label", "x", *widest)
     found = saved(best(rows, asks, sizes, True, positives), "positives")
 
     held = found.groupBy("ask").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("held"))
     held = anchors.join(held, "ask")
     # All labels are one space here.
-    space = F.lit(0).cast("long").alias("space")
-    sizes = v.agg(space, F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
+    space = F.col("all").alias("space")
+    sizes = saved(v.groupBy(space).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks")), "sizes")
     rows = v.select(space, deal(F.lit(-(-n // BLOCK_ROWS))), "row", "vec_id", "label", "x")
     score = lambda percent, up: F.transform(
         "held", lambda p: (F.ceil if up else F.floor)(p["score"].cast("decimal(38,0)") * percent / 100).cast("long")

@@ -18,6 +18,7 @@ from .kneser_ney import classify
 from .line_windows import dedup_lines
 from .log_bilinear import score_documents
 from .order_minhash import near_duplicates
+from .repair_files import round_trip
 from .sos_packing import pack_documents
 from .surrogates import replace_entities
 from .whitening import whiten
@@ -75,6 +76,12 @@ def op10_log_bilinear(spark, sf_dir):
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_repair_files(spark, sf_dir):
+    return round_trip(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), " ?" in public_tokenizers.PATTERN
+    )
+
+
 def op12_hard_negatives(spark, sf_dir):
     v = pick(table(spark, sf_dir, "embeddings"), {"vec_id": "long", "label": "long", "embedding": "array<double>"})
     changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -96,6 +103,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_gear_chunks": op9_gear_chunks,
     "op10_log_bilinear": op10_log_bilinear,
+    "op11_repair_files": op11_repair_files,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_whitening": op13_whitening,
 }
