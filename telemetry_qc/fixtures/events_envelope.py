@@ -93,10 +93,12 @@ def _pieces(events: DataFrame) -> DataFrame:
 
 
 def strict_cases(events: DataFrame) -> DataFrame:
-    """(event_id, value_str): the good text, by ``event_id % 8`` with a raw
+    """(event_id, value_str): the good text, by ``event_id % 13`` with a raw
     tab in a string, a raw newline in one, a second object behind it, a comma
-    and a second object, other text behind it, a key given twice (the last
-    counts), the keys in reverse, or as it is but for blanks at the end."""
+    and a second object, other text behind it, a closing bracket, one with
+    text, one with a second object, one with a comma before it, single quotes,
+    a key given twice (the last counts), the keys in reverse, or as it is but
+    for blanks at the end."""
     good, eid = F.col("good"), F.col("event_id")
     inner = F.expr("substring(good, 2, length(good) - 2)")
     backwards = F.concat(
@@ -108,13 +110,18 @@ def strict_cases(events: DataFrame) -> DataFrame:
         F.concat(good, good),
         F.concat(good, F.lit(","), good),
         F.concat(good, F.lit(" xyz")),
+        F.concat(good, F.lit("]")),
+        F.concat(good, F.lit("] xyz")),
+        F.concat(good, F.lit("]"), good),
+        F.concat(good, F.lit(",1]")),
+        F.replace(good, F.lit('"'), F.lit("'")),
         F.concat(F.lit('{"latitude":1.5,'), inner, F.lit("}")),
         backwards,
         F.concat(good, F.lit(" \n ")),
     ]
-    text = F.when(eid % 8 == 0, texts[0])
+    text = F.when(eid % len(texts) == 0, texts[0])
     for i, t in enumerate(texts[1:], 1):
-        text = text.when(eid % 8 == i, t)
+        text = text.when(eid % len(texts) == i, t)
     return _pieces(events).select("event_id", text.alias("value_str"))
 
 

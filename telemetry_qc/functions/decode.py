@@ -20,9 +20,9 @@ from pyspark.sql.types import (
 from ..schemas import PAYLOAD_SCHEMA
 
 # Options of the parses used by the row contract: strict JSON, so a text with
-# a non-numeric literal such as NaN is not one JSON object (the key scan
-# refuses it too) and is reported as malformed.
-CONTRACT_PARSE_OPTIONS = {"allowNonNumericNumbers": "false"}
+# a non-numeric literal such as NaN, or with single quotes, is not one JSON
+# object and is reported as malformed.
+CONTRACT_PARSE_OPTIONS = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"}
 
 RAW_MAP = MapType(StringType(), StringType())
 
@@ -58,10 +58,13 @@ def zoned_as_wall_clock(text: Column) -> Column:
 def one_value(text: Column) -> Column:
     """False where other text follows the first JSON value, which the parsers
     ignore.  Only texts with something behind their first closing brace are
-    looked at more closely: as the only element of an array."""
+    looked at more closely: as an array of the text and a mark.  The mark is
+    the second element only if the text is one value; it is a hash of the
+    text, which the text can't hold itself."""
     body = F.rtrim(text, F.lit(" \t\r\n"))
-    within = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    return F.when(F.instr(body, "}") < F.length(body), F.coalesce(within == 1, F.lit(False))).otherwise(True)
+    mark = F.xxhash64(text).cast("string")
+    second = F.get_json_object(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")), "$[1]")
+    return F.when(F.instr(body, "}") < F.length(body), F.coalesce(second == mark, F.lit(False))).otherwise(True)
 
 
 def contract_parse_options() -> dict[str, str]:

@@ -9,9 +9,11 @@ code; the reasons over their results are inside it.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType, TimestampType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, TimestampType
 
 from ..functions.decode import (
     CONTRACT_PARSE_OPTIONS,
@@ -38,6 +40,24 @@ SEP = "; "
 MALFORMED = "Malformed JSON"
 
 
+@dataclass(frozen=True)
+class SchemaChange:
+    """One difference between two schemas, at ``path``: ``missing``,
+    ``unexpected`` or ``mismatch``."""
+
+    path: str
+    change: str
+    expected: str | None
+    actual: str | None
+
+    def message(self) -> str:
+        if self.change == "missing":
+            return MISSING + self.path
+        if self.change == "unexpected":
+            return UNEXPECTED + self.path
+        return MISMATCH_TYPES.format(name=self.path, expected=self.expected, actual=self.actual)
+
+
 def _schema_of(df_or_schema: DataFrame | StructType) -> StructType:
     return df_or_schema if isinstance(df_or_schema, StructType) else df_or_schema.schema
 
@@ -71,6 +91,39 @@ def schema_diff(
     return out
 
 
+def tree_diff(df_or_schema: DataFrame | StructType, expected: StructType) -> list[SchemaChange]:
+    """``schema_diff`` down to the fields of structs, the elements of arrays
+    and the keys and values of maps, each named by its path: ``a.b``,
+    ``a.element``, ``m.key``, ``m.value``.  What is missing, unexpected or of
+    another kind is reported once, at the top of its subtree.  Nullability and
+    order are ignored; the changes follow the expected tree, then the
+    unexpected names sorted, level by level.
+    """
+    return _tree_changes(_schema_of(df_or_schema), expected, "")
+
+
+def _tree_changes(actual: DataType, expected: DataType, path: str) -> list[SchemaChange]:
+    if isinstance(actual, StructType) and isinstance(expected, StructType):
+        below = lambda name: f"{path}.{name}" if path else name
+        there, out = {f.name: f.dataType for f in actual}, []
+        for f in expected:
+            if f.name in there:
+                out += _tree_changes(there[f.name], f.dataType, below(f.name))
+            else:
+                out.append(SchemaChange(below(f.name), "missing", _type_text(f.dataType), None))
+        extra = sorted(set(there) - set(expected.names))
+        return out + [SchemaChange(below(n), "unexpected", None, _type_text(there[n])) for n in extra]
+    if isinstance(actual, ArrayType) and isinstance(expected, ArrayType):
+        return _tree_changes(actual.elementType, expected.elementType, f"{path}.element")
+    if isinstance(actual, MapType) and isinstance(expected, MapType):
+        return _tree_changes(actual.keyType, expected.keyType, f"{path}.key") + _tree_changes(
+            actual.valueType, expected.valueType, f"{path}.value"
+        )
+    if actual == expected:
+        return []
+    return [SchemaChange(path, "mismatch", _type_text(expected), _type_text(actual))]
+
+
 def _join_reasons(parts: list[Column]) -> Column:
     """Non-NULL parts joined by "; "; NULL when there are none.
 
@@ -178,7 +231,10 @@ def with_contract(
         if isinstance(f.dataType, TimestampType):
             time = F.coalesce(F.col("parsed")[f.name], zoned_as_wall_clock(raw[f.name]))
             parsed = parsed.withField(f.name, time)
-    step3 = step2.withColumn("parsed", parsed)
+    # Flagged without a raw map: the parsers refused the text (single quotes,
+    # a raw control character), and its keys mean nothing.
+    refused = F.col("parsed")[CORRUPT_FIELD].isNotNull() & raw.isNull()
+    step3 = step2.withColumns({"parsed": parsed, "_keys": F.when(~refused, F.col("_keys"))})
     return step3.select(
         *df.columns,
         "parsed",
@@ -246,19 +302,20 @@ def with_required_fields(
 
 
 def batch_route(
-    batch: DataFrame, expected: StructType = PAYLOAD_SCHEMA
+    batch: DataFrame, expected: StructType = PAYLOAD_SCHEMA, deep: bool = False
 ) -> tuple[str, list[str]]:
     """Batch-level routing: ``("corrupt", reasons)`` if the batch's schema
     differs from ``expected`` in any name or type, else ``("clean", [])``.
+    With ``deep`` the reasons name the inner fields (``tree_diff``).
 
     Decided from metadata alone, so it costs no job.
     """
-    reasons = schema_diff(batch, expected)
+    reasons = [c.message() for c in tree_diff(batch, expected)] if deep else schema_diff(batch, expected)
     return ("corrupt" if reasons else "clean"), reasons
 
 
 def route_by_schema(
-    df: DataFrame, expected: StructType = PAYLOAD_SCHEMA
+    df: DataFrame, expected: StructType = PAYLOAD_SCHEMA, deep: bool = False
 ) -> DataFrame:
     """Batch-level routing of a whole frame: every row gets ``route``
     ('corrupt' when the frame's schema differs from ``expected``, else
@@ -266,6 +323,6 @@ def route_by_schema(
 
     The decision is made once from metadata; the rows are only projected.
     """
-    target, reasons = batch_route(df, expected)
+    target, reasons = batch_route(df, expected, deep)
     reason = F.lit(SEP.join(reasons)) if reasons else F.lit(None).cast("string")
     return df.select("*", F.lit(target).alias("route"), reason.alias("error_reason"))

@@ -226,10 +226,48 @@ def _json_sql() -> str:
     return f"'{{' || {body} || '}}'"
 
 
-def _cells_failed_sql() -> str:
+def cells_failed_sql() -> str:
     return " + ".join(f"CASE WHEN ({rule_sql(r)}) IS NULL THEN 0 ELSE 1 END" for r in DEFAULT_RULES)
 
 
+def _observed_sql() -> str:
+    """Key by key, how the texts were made."""
+    keys = [
+        ("trip_id", "STRING", "string"),
+        ("car_id", "STRING", "string"),
+        ("latitude", "DECIMAL", "double"),
+        ("longitude", "DECIMAL", "double"),
+        ("timestamp", "STRING", "timestamp"),
+        ("speed_kmph", "DECIMAL", "double"),
+        ("fuel_level", "DECIMAL", "double"),
+        ("engine_temp_c", "DECIMAL", "double"),
+        ("trip_start_time", "STRING", "timestamp"),
+        ("trip_start_latitude", "DECIMAL", "double"),
+        ("trip_start_longitude", "DECIMAL", "double"),
+    ]
+    absent = {"car_id": "cls = 7", "fuel_level": "cls = 3"}
+    other = {"speed_kmph": ("cls = 5", "STRING", "type"), "fuel_level": ("cls = 8", "VOID", "ok")}
+    out = []
+
+    def add(where: str, key: str, kind: str, wanted: str, finding: str) -> None:
+        out.append(
+            f"SELECT kafka_partition, '{key}' AS key, {kind} AS observed_type, count(*) AS records, "
+            f"{wanted} AS expected_type, '{finding}' AS finding FROM rec WHERE {where} GROUP BY kafka_partition"
+        )
+
+    none = "CAST(NULL AS VARCHAR)"
+    for key, kind, wanted in keys:
+        gone = absent.get(key, "false")
+        special, special_kind, finding = other.get(key, ("false", kind, "ok"))
+        add(f"cls NOT IN {MALFORMED_CLASSES} AND NOT ({gone}) AND NOT ({special})", key, f"'{kind}'", f"'{wanted}'", "ok")
+        if special != "false":
+            add(special, key, f"'{special_kind}'", f"'{wanted}'", finding)
+        add(f"cls IN {MALFORMED_CLASSES} OR {gone}", key, none, f"'{wanted}'", "missing")
+    add("cls = 4", "firmware", "'STRING'", none, "unexpected")
+    add("cls = 7", "Car_ID", "'STRING'", none, "unexpected")
+    return "\nUNION ALL\n".join(out)
+
+
 DEVICE_COLS = f"{PAYLOAD_COLS}, trip_start_date, message_key, kafka_partition, kafka_offset"
 
 ORACLE_SQL: dict[str, str] = {
@@ -299,7 +337,7 @@ FROM (SELECT kafka_offset, CASE
     "q26_vehicle_qc": with_records(
         f"""SELECT car_id, count(*) AS rows_checked,
        count(*) FILTER (WHERE route = 'failed') AS rows_failed,
-       CAST(sum({_cells_failed_sql()}) AS BIGINT) AS cells_failed
+       CAST(sum({cells_failed_sql()}) AS BIGINT) AS cells_failed
 FROM routed WHERE route <> 'corrupt' GROUP BY car_id"""
     ),
     "q27_date_partitioned": with_records(
@@ -308,16 +346,42 @@ FROM routed WHERE route <> 'corrupt' GROUP BY car_id"""
     ),
     "q28_strict_json": with_records(
         """SELECT kafka_offset AS event_id,
-       CASE WHEN c <= 4 THEN 'Malformed JSON' END AS error_reason,
+       CASE WHEN c <= 9 THEN 'Malformed JSON' END AS error_reason,
        CASE c WHEN 0 THEN replace(good, '"T', '"T' || chr(9))
               WHEN 1 THEN replace(good, '"T', '"T' || chr(10))
               WHEN 2 THEN good || good
               WHEN 3 THEN good || ',' || good
-              WHEN 4 THEN good || ' xyz' END AS corrupt_text,
-       CASE WHEN c > 4 THEN CAST(kafka_offset % 90 AS DOUBLE) + CAST(0.25 AS DOUBLE) END AS latitude,
-       CASE WHEN c > 4 THEN 'T' || CAST(user_id AS VARCHAR) END AS trip_id
-FROM (SELECT *, kafka_offset % 8 AS c FROM env) t"""
+              WHEN 4 THEN good || ' xyz'
+              WHEN 5 THEN good || ']'
+              WHEN 6 THEN good || '] xyz'
+              WHEN 7 THEN good || ']' || good
+              WHEN 8 THEN good || ',1]'
+              WHEN 9 THEN replace(good, '"', '''') END AS corrupt_text,
+       CASE WHEN c > 9 THEN CAST(kafka_offset % 90 AS DOUBLE) + CAST(0.25 AS DOUBLE) END AS latitude,
+       CASE WHEN c > 9 THEN 'T' || CAST(user_id AS VARCHAR) END AS trip_id
+FROM (SELECT *, kafka_offset % 13 AS c FROM env) t"""
     ),
     "q29_dedupe_audit": with_records(_audit_sql()),
     "q30_two_runs": with_records(f"SELECT {DEVICE_COLS}, qc_status FROM routed WHERE route = 'clean'"),
+    "q36_publish_order": with_records(
+        """SELECT car_id AS key, kafka_partition, kafka_offset,
+       CAST(row_number() OVER (PARTITION BY car_id ORDER BY kafka_partition, kafka_offset) AS INTEGER) AS position
+FROM routed WHERE route <> 'corrupt'"""
+    ),
+    "q39_nested_schema": """
+SELECT 'corrupt' AS route, v.*, (SELECT count(*) FROM orders) AS batch_rows
+FROM (VALUES
+    (1, 'customer.terms.price', 'mismatch', 'DecimalType(12,2)', 'DoubleType()'),
+    (2, 'customer.terms.currency', 'missing', 'StringType()', NULL),
+    (3, 'customer.terms.priority', 'unexpected', NULL, 'StringType()'),
+    (4, 'history.element.at', 'unexpected', NULL, 'TimestampNTZType()'),
+    (5, 'steps.value.status', 'mismatch', 'IntegerType()', 'StringType()')
+) AS v(ordinal, path, change, expected, actual)
+WHERE (SELECT count(*) FROM orders) > 0""",
+    "q40_observed_schema": with_records(_observed_sql()),
+    "q41_compacted_day": with_records(
+        f"""SELECT trip_start_date, count(*) AS records_before, count(*) AS records,
+       true AS same_offsets, trip_start_date = DATE '{REPORT_DAY}' AS fewer_files
+FROM routed WHERE route = 'clean' GROUP BY trip_start_date"""
+    ),
 }

@@ -52,6 +52,7 @@ def process(
     column_metrics: bool = False,
     allow_unexpected: bool = False,
     keep_stage: bool | None = None,
+    manifest=None,
 ) -> BatchResult:
     """Annotate and stage ``env`` once, then write each output to its sink.
 
@@ -62,7 +63,8 @@ def process(
     replaces what that wrote.  The staged table is removed after the writes
     unless ``keep_stage``.  Without ``sinks`` it stays and the routed frames
     are returned for the caller to use.  ``partitions``: deal the input over
-    so many tasks first (see ``spread``).
+    so many tasks first (see ``spread``).  ``manifest`` publishes the tables
+    together, with the counts, once all are written.
     """
     spark: SparkSession = env.sparkSession
     run_id = checked_run_id(run_id or new_run_id())
@@ -79,7 +81,9 @@ def process(
     outputs = route(staged, rules)
     if not sinks:
         return BatchResult(staged, outputs, metrics, run_id)
-    write_routed(outputs, sinks, batch_id, run_id, concurrent=concurrent_writes)
+    write_routed(
+        outputs, sinks, batch_id, run_id, concurrent=concurrent_writes, manifest=manifest, counts=metrics
+    )
     if keep_stage:
         return BatchResult(staged, outputs, metrics, run_id)
     remove_path(spark, path)

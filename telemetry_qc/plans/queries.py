@@ -9,15 +9,27 @@ results so they compare across runs.  ``oracle.py`` holds the equivalent SQL.
 from __future__ import annotations
 
 import threading
+from datetime import date
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 from ..functions.decode import decode_envelope
-from ..operators.contract import route_by_schema, schema_diff, with_contract, with_required_fields
+from ..operators.contract import route_by_schema, schema_diff, tree_diff, with_contract, with_required_fields
 from ..operators.enrich import enrich, parse_records, wall_clock
+from ..operators.observed import observed_schema
 from ..operators.qc import (
     DEFAULT_RULES,
     apply_rules,
@@ -26,12 +38,13 @@ from ..operators.qc import (
     threshold,
 )
 from ..operators.rollup import vehicle_qc
-from ..paths import fresh_path
+from ..paths import fresh_path, path_version
 from ..schemas import DEVICE_DATA_SCHEMA, PAYLOAD_SCHEMA, TIMESTAMP_FIELDS
 from ..sinks.jdbc import dedupe_records
+from ..sinks.published import Manifest
 from ..sinks.tables import ParquetTableSink, new_run_id
-from ..sources.events_envelope import envelope_from_events, strict_cases
-from ..sources.kafka import publish_frame
+from ..fixtures.events_envelope import envelope_from_events, strict_cases
+from ..sources.kafka import in_key_order, publish_frame
 from .batch import (
     annotate,
     corrupt_records,
@@ -64,14 +77,16 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope_from_events(spread_events(spark, sf_dir))
 
 
-# One staged annotation per (application, session, input folder): several
+# One staged annotation per (application, session, input files): several
 # queries read different routes of the same run.
-_staged: dict[tuple[str, str], DataFrame] = {}
+_staged: dict[tuple, DataFrame] = {}
 _lock = threading.Lock()
 
 
 def staged_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    where = sf_dir.rstrip("/")
+    version = path_version(spark, f"{where}/events.parquet")
+    key = (spark.sparkContext.applicationId, id(spark), where, version)
     with _lock:
         if key not in _staged:
             annotated = annotate(envelope(spark, sf_dir), DEFAULT_RULES)
@@ -312,6 +327,124 @@ def q30_two_runs(spark, sf_dir):
     return drop_run_columns(sink.read(spark).select(*DEVICE_DATA_SCHEMA.names))
 
 
+def q36_publish_order(spark, sf_dir):
+    """The place of each record among those of its key, in the order that the
+    tasks of ``publish`` write them."""
+    valid = schema_valid(staged_envelope(spark, sf_dir))
+    # The rows' numbers rise in the order of a task's rows.
+    sent = in_key_order(valid).withColumn("place", F.monotonically_increasing_id())
+    sent = sent.select(F.col("car_id").alias("key"), "kafka_partition", "kafka_offset", "place")
+    written = fresh_path(spark, "publish-order")
+    sent.write.parquet(written)
+    order = Window.partitionBy("key").orderBy("place")
+    sent = spark.read.schema(sent.schema).parquet(written)
+    return sent.withColumn("position", F.row_number().over(order)).drop("place")
+
+
+def nested_orders(orders: DataFrame) -> DataFrame:
+    """``orders`` as nested records: a struct in a struct, an array of structs
+    and a map of structs."""
+    terms = F.struct(F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"))
+    step = F.struct(F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("at"))
+    return orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.struct(F.col("o_custkey").alias("key"), terms.alias("terms")).alias("customer"),
+        F.array(step).alias("history"),
+        F.create_map(F.lit("last"), step).alias("steps"),
+    )
+
+
+#: What q39 expects: an inner field is missing, one is unexpected, one of
+#: another type, each at another kind of nesting, and one is fully right.
+NESTED_CONTRACT = StructType(
+    [
+        StructField("id", LongType()),
+        StructField(
+            "customer",
+            StructType(
+                [
+                    StructField("key", LongType()),
+                    StructField(
+                        "terms",
+                        StructType([StructField("price", DecimalType(12, 2)), StructField("currency", StringType())]),
+                    ),
+                ]
+            ),
+        ),
+        StructField("history", ArrayType(StructType([StructField("status", StringType())]))),
+        StructField(
+            "steps",
+            MapType(
+                StringType(), StructType([StructField("status", IntegerType()), StructField("at", TimestampNTZType())])
+            ),
+        ),
+    ]
+)
+
+
+def q39_nested_schema(spark, sf_dir):
+    """The inner differences of nested records, and the rows they hold for."""
+    nested = nested_orders(table(spark, sf_dir, "orders"))
+    changes = tree_diff(nested, NESTED_CONTRACT)
+    routed = route_by_schema(nested, NESTED_CONTRACT, deep=True)
+    cells = F.array(
+        *(
+            F.struct(
+                F.lit(i + 1).alias("ordinal"),
+                F.lit(c.path).alias("path"),
+                F.lit(c.change).alias("change"),
+                F.lit(c.expected).cast("string").alias("expected"),
+                F.lit(c.actual).cast("string").alias("actual"),
+            )
+            for i, c in enumerate(changes)
+        )
+    )
+    counted = routed.groupBy("route").agg(F.count(F.lit(1)).alias("batch_rows"))
+    return counted.select("route", F.inline(cells), "batch_rows")
+
+
+def q40_observed_schema(spark, sf_dir):
+    """Keys and types that the texts of each source partition hold, against
+    the payload's schema."""
+    records = decode_envelope(envelope(spark, sf_dir))
+    return observed_schema(records, by=("kafka_partition",))
+
+
+def q41_compacted_day(spark, sf_dir):
+    """The clean table of two published runs, by day, read before and after
+    one day is compacted and what it replaces is deleted."""
+    env = envelope(spark, sf_dir)
+    base = fresh_path(spark, "compaction")
+    sink = ParquetTableSink("device_data", f"{base}/device_data", ("trip_start_date",), rebalance=True)
+    manifest = Manifest(f"{base}/manifest")
+    for half in (0, 1):
+        process(env.where(F.col("offset") % 2 == half), {"device_data": sink}, manifest=manifest)
+
+    def days():
+        rows = manifest.read(spark, sink, file_column="file")
+        return rows.groupBy("trip_start_date").agg(
+            F.count(F.lit(1)).alias("records"),
+            F.sum("kafka_offset").alias("offsets"),
+            F.count_distinct("file").alias("files"),
+        )
+
+    # Written, as the files it reads are deleted below.
+    before = f"{base}/before"
+    days().write.parquet(before)
+    manifest.compact(spark, sink, date.fromisoformat(REPORT_DAY))
+    manifest.vacuum(spark, sink)
+    old = spark.read.parquet(before)
+    old = old.select("trip_start_date", *(F.col(c).alias(f"{c}_before") for c in old.columns[1:]))
+    both = days().join(old, "trip_start_date", "full")
+    return both.select(
+        "trip_start_date",
+        "records_before",
+        "records",
+        (F.col("offsets") == F.col("offsets_before")).alias("same_offsets"),
+        (F.col("files") < F.col("files_before")).alias("fewer_files"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "q01_envelope_scan": q01_envelope_scan,
     "q02_json_props": q02_json_props,
@@ -339,4 +472,8 @@ QUERIES: dict[str, Query] = {
     "q28_strict_json": q28_strict_json,
     "q29_dedupe_audit": q29_dedupe_audit,
     "q30_two_runs": q30_two_runs,
+    "q36_publish_order": q36_publish_order,
+    "q39_nested_schema": q39_nested_schema,
+    "q40_observed_schema": q40_observed_schema,
+    "q41_compacted_day": q41_compacted_day,
 }
