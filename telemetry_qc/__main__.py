@@ -5,6 +5,7 @@
         --checkpoint-dir <shared>/ckpt --jdbc-url jdbc:postgresql://db/x \\
         --jdbc-option driver=org.postgresql.Driver --jdbc-user-env DB_USER \\
         --jdbc-password-env DB_PASSWORD
+    python -m telemetry_qc stop --checkpoint-dir <shared>/ckpt
 
 The session comes from ``spark-submit`` (``getOrCreate``); all cluster
 settings stay with the submitter.  Credentials are read from environment
@@ -22,10 +23,12 @@ from pyspark.sql import SparkSession
 
 from .operators.qc import DEFAULT_RULES, rules_from_config
 from .plans.process import process
+from .sinks.published import Manifest
 from .sinks.routing import SINK_ORDER
 from .sinks.tables import ParquetTableSink, checked_run_id, new_run_id
 from .sources.files import read_envelope
 from .streaming.consumer import ConsumerSettings, consume_topic
+from .streaming.runner import FAIL, ISOLATE, LOG, request_stop
 
 
 def _rules(path: str | None):
@@ -59,6 +62,7 @@ def cmd_process(spark: SparkSession, a: argparse.Namespace) -> dict:
         batch_id=a.batch_id,
         run_id=run_id,
         allow_unexpected=a.allow_unexpected,
+        manifest=Manifest(a.manifest) if a.manifest else None,
     )
     return result.metrics
 
@@ -82,10 +86,15 @@ def cmd_consume(spark: SparkSession, a: argparse.Namespace) -> None:
         min_partitions=a.min_partitions,
         kafka_options=_options(a.kafka_option),
         allow_unexpected=a.allow_unexpected,
+        counts_table=a.counts_table,
     )
     consume_topic(spark, settings, await_termination=True)
 
 
+def cmd_stop(spark: SparkSession, a: argparse.Namespace) -> None:
+    request_stop(spark, a.checkpoint_dir)
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="telemetry_qc")
     sub = p.add_subparsers(dest="command", required=True)
@@ -97,6 +106,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--run-id", help="name of this run (default: a fresh one); a run repeated under its name replaces what it wrote")
     b.add_argument("--batch-id", type=int, default=0)
     b.add_argument("--allow-unexpected", action="store_true", help="accept extra JSON keys")
+    b.add_argument("--manifest", help="folder of the manifest that publishes the tables together")
 
     c = sub.add_parser("consume", help="Kafka topic -> routed JDBC tables (streaming)")
     c.add_argument("--app-label", default="telemetry-qc")
@@ -108,11 +118,15 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--jdbc-user-env")
     c.add_argument("--jdbc-password-env")
     c.add_argument("--kafka-option", action="append", default=[], metavar="KEY=VALUE")
-    c.add_argument("--on-error", choices=("fail", "log"), default="fail")
+    c.add_argument("--on-error", choices=(FAIL, LOG, ISOLATE), default=FAIL)
+    c.add_argument("--counts-table", help="table for the records per route of every batch")
     c.add_argument("--rules")
     c.add_argument("--max-offsets-per-trigger", type=int)
     c.add_argument("--min-partitions", type=int)
     c.add_argument("--allow-unexpected", action="store_true", help="accept extra JSON keys")
+
+    s = sub.add_parser("stop", help="end the consumer with this checkpoint after its batch in flight")
+    s.add_argument("--checkpoint-dir", required=True)
     return p
 
 
@@ -123,7 +137,7 @@ def main(argv: list[str] | None = None):
         metrics = cmd_process(spark, a)
         print(json.dumps(metrics))
         return metrics
-    cmd_consume(spark, a)
+    {"consume": cmd_consume, "stop": cmd_stop}[a.command](spark, a)
     return None
 
 

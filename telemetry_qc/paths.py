@@ -34,6 +34,25 @@ def remove_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True).close()
+
+
+def path_version(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files at ``path``: another tuple once
+    they change."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused location under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

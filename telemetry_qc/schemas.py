@@ -7,12 +7,14 @@ payload and to check frames before they are written.
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    ArrayType,
     BinaryType,
     BooleanType,
     DateType,
     DoubleType,
     IntegerType,
     LongType,
+    MapType,
     StringType,
     StructField,
     StructType,
@@ -134,6 +136,21 @@ QC_AUDIT_SCHEMA = StructType(
     ]
 )
 
+# Not a table of the original design: which batches are whole (sinks/published.py).
+MANIFEST_SCHEMA = StructType(
+    [
+        StructField("tables", ArrayType(StringType())),
+        StructField("counts", MapType(StringType(), LongType())),
+        StructField("published_at", _TS),
+        StructField("table_name", StringType()),
+        StructField("partition_value", StringType()),
+        StructField(
+            "replaced",
+            ArrayType(StructType([StructField("run_id", StringType()), StructField("batch_id", LongType())])),
+        ),
+    ]
+)
+
 SINK_SCHEMAS = {
     "device_data": DEVICE_DATA_SCHEMA,
     "corrupt_records": CORRUPT_RECORDS_SCHEMA,

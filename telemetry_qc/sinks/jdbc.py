@@ -41,6 +41,13 @@ class JdbcSink:
     def write(self, df: DataFrame, batch_id: int, run_id: str) -> None:
         df.write.format("jdbc").mode(self.mode).options(**self.writer_options()).save()
 
+    def append(self, df: DataFrame, batch_id: int, run_id: str) -> None:
+        self.write(df, batch_id, run_id)
+
+    def clear(self, spark: SparkSession, batch_id: int, run_id: str) -> None:
+        """Nothing: an append has no way back, and rows that a failed write
+        left in the table are told apart by their key."""
+
     def read(self, spark: SparkSession, **read_options: str) -> DataFrame:
         """Table scan (``SELECT * FROM table``); pass ``partitionColumn``,
         ``lowerBound``, ``upperBound``, ``numPartitions`` for parallel reads."""

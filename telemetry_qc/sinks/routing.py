@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -32,6 +32,10 @@ def write_routed(
     run_id: str,
     order: Sequence[str] = SINK_ORDER,
     concurrent: bool = True,
+    rescue: Callable[[str, DataFrame, BaseException], None] | None = None,
+    manifest=None,
+    counts: Mapping[str, int] | None = None,
+    published: Sequence[str] = (),
 ) -> None:
     """Check each frame against its table definition and write it.
 
@@ -40,16 +44,28 @@ def write_routed(
     only after they all succeeded.  Concurrent jobs overlap their fixed
     costs and fill each other's idle task slots.
 
-    Raises ``SinkWriteError`` for the first failing table in ``order``.
+    Raises ``SinkWriteError`` for the first failing table in ``order``;
+    ``rescue`` (table, frame, error) may write a failed table otherwise, or
+    raise.  With a ``manifest`` the batch is hidden before the first write and
+    published, with its ``counts``, after the last; ``published`` names
+    further tables that were written for it.
     """
     names = [n for n in order if n in sinks]
     if not names:
         return
+    spark = outputs[names[0]].sparkSession
+    if manifest is not None:
+        manifest.withdraw(spark, batch_id, run_id)
 
     def one(name: str) -> None:
         try:
             frame = check_frame(outputs[name], SINK_SCHEMAS[name], name)
-            sinks[name].write(frame, batch_id, run_id)
+            try:
+                sinks[name].write(frame, batch_id, run_id)
+            except Exception as e:  # noqa: BLE001 - the rescue decides
+                if rescue is None:
+                    raise
+                rescue(name, frame, e)
         except Exception as e:  # noqa: BLE001 - re-raised with the table name
             raise SinkWriteError(name, e) from e
 
@@ -58,7 +74,7 @@ def write_routed(
         # Worker threads inherit the caller's JVM local properties and job
         # tags (streaming query id, job group), so their jobs belong to, and
         # are cancelled with, the caller's query.
-        inherit = inheritable_thread_target(outputs[side[0]].sparkSession)
+        inherit = inheritable_thread_target(spark)
         with ThreadPoolExecutor(max_workers=len(side), thread_name_prefix="sink") as pool:
             futures = [pool.submit(inherit(one), n) for n in side]
         for f in futures:
@@ -68,3 +84,5 @@ def write_routed(
         for n in side:
             one(n)
     one(last)
+    if manifest is not None:
+        manifest.publish(spark, batch_id, run_id, [*names, *published], counts)

@@ -9,10 +9,11 @@ the caller's session is used as it is.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators.qc import DEFAULT_RULES, Rule
 from ..schemas import SINK_SCHEMAS
@@ -30,6 +31,7 @@ class ConsumerPlan:
     sinks: dict[str, JdbcSink]
     error_log: JdbcSink
     config: StreamConfig
+    counts: JdbcSink | None
 
 
 @dataclass
@@ -54,6 +56,13 @@ class ConsumerSettings:
     materialize: str = "stage"
     stage_dir: str | None = None
     allow_unexpected: bool = False
+    # Table for the records per route of every batch; none is written unless
+    # it is named.
+    counts_table: str | None = None
+    # With a schema, batches of the source (by default the topic's envelope;
+    # ``project`` may turn it into typed columns) are checked and routed whole.
+    expected: StructType | None = None
+    project: Callable[[DataFrame], DataFrame] | None = None
 
 
 def plan_consumer(s: ConsumerSettings) -> ConsumerPlan:
@@ -83,7 +92,8 @@ def plan_consumer(s: ConsumerSettings) -> ConsumerPlan:
         s.min_partitions,
         dict(s.kafka_options),
     )
-    return ConsumerPlan(source, sinks, error_log, config)
+    counts = JdbcSink("batch_counts", s.jdbc_url, s.counts_table, opts) if s.counts_table else None
+    return ConsumerPlan(source, sinks, error_log, config, counts)
 
 
 def consume_topic(
@@ -93,4 +103,8 @@ def consume_topic(
     the session's classpath)."""
     p = plan_consumer(settings)
     source = read_kafka_stream(spark, p.source_options)
-    return run_stream(spark, source, p.sinks, p.config, p.error_log, await_termination)
+    if settings.project is not None:
+        source = settings.project(source)
+    return run_stream(
+        spark, source, p.sinks, p.config, p.error_log, await_termination, settings.expected, p.counts
+    )

@@ -85,7 +85,7 @@ def test_process_writes_idempotent_sinks(spark, scratch):
 
 def test_annotation_has_no_shuffle_and_no_python(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    from telemetry_qc.sources.events_envelope import envelope_from_events
+    from telemetry_qc.fixtures.events_envelope import envelope_from_events
 
     plan = annotate(envelope_from_events(ev))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

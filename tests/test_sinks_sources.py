@@ -170,7 +170,7 @@ def test_rebalanced_partitioned_write(spark, scratch):
 def test_write_routed_clean_last_and_named_failure(spark, scratch):
     from telemetry_qc.plans.batch import route
     from telemetry_qc.sinks.routing import SINK_ORDER, SinkWriteError, write_routed
-    from telemetry_qc.streaming.faults import FailOnce
+    from telemetry_qc.fixtures.faults import FailOnce
 
     outs = route(Q.staged_envelope(spark, SF_SMALL))
     base = scratch("routed")

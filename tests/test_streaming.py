@@ -170,7 +170,7 @@ def test_catalog_sink_replay_in_a_stream(spark, scratch, batch_tables):
 
     from telemetry_qc.sinks.tables import CatalogTableSink
     from telemetry_qc.sources.files import read_envelope_stream
-    from telemetry_qc.streaming.faults import FailOnce
+    from telemetry_qc.fixtures.faults import FailOnce
     from telemetry_qc.streaming.queries import land_envelope
     from telemetry_qc.streaming.runner import run_stream
 
