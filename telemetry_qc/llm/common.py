@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from ..paths import fresh_path
 
 DOC_COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
 
-#: Rows of a (bigint, bigint) table that may be broadcast: 4M x 16 bytes = 64 MB.
-BROADCAST_ROWS = 4_000_000
+#: Rows of a table of keys that may be broadcast: 1M x 64 bytes = 64 MB.
+BROADCAST_ROWS = 1_000_000
 
 _shipped: set[str] = set()
 
@@ -80,12 +81,31 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+#: Type of a document's key: 38 digits, the doc_id above 62 bits of a hash.
+KEY = "decimal(38,0)"
+_SHIFT = 10**19
+#: Below every doc_id, above the least that fits.
+_NO_ID = -95 * 10**17
+
+
+def text_hashes(text="text"):
+    """Two hashes of the text, 128 bits, as ``one`` and ``two``."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    return [F.xxhash64(body).alias("one"), F.xxhash64(F.lit(1), body).alias("two")]
+
+
 def order_key(doc_id="doc_id", text="text"):
-    """One bigint that tells documents apart and keeps their order: the
-    doc_id above 20 bits of a hash of the text.  Documents with a null doc_id
-    or one outside 0 .. 2**42 - 1 come first, in the order of a hash."""
+    """One number that tells documents apart and keeps the order of their
+    doc_ids, whatever these are: the doc_id above 62 bits of a hash of the
+    text.  Documents with a null doc_id come first, in the order of the
+    hash."""
     body = F.coalesce(F.col(text), F.lit(""))
-    ident = F.col(doc_id)
-    return F.when(
-        ident.between(0, 2**42 - 1), F.shiftleft(ident, 20) + F.xxhash64(body).bitwiseAND(F.lit(2**20 - 1))
-    ).otherwise(F.xxhash64(ident, body).bitwiseOR(F.lit(-(2**63))))
+    ident = F.coalesce(F.col(doc_id).cast("decimal(19,0)"), F.lit(Decimal(_NO_ID)))
+    place = F.xxhash64(body).bitwiseAND(F.lit(2**62 - 1)).cast("decimal(19,0)")
+    return (ident.cast("decimal(38,0)") * F.lit(Decimal(_SHIFT)).cast("decimal(20,0)") + place).cast(KEY)
+
+
+def key_doc_id(key):
+    """The doc_id of an ``order_key``; null where there was none."""
+    ident = F.floor(F.col(key).cast("decimal(38,0)") / F.lit(Decimal(_SHIFT)).cast("decimal(20,0)"))
+    return F.when(F.col(key) >= F.lit(Decimal(-(2**63) * _SHIFT)).cast(KEY), ident.cast("long"))

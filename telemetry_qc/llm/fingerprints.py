@@ -227,6 +227,16 @@ def near_many(texts: list[np.ndarray]):
     return lambda x, ys: np.array([near(texts[x], texts[y]) for y in ys], bool)
 
 
+def rare_shingles(w: np.ndarray) -> tuple[np.ndarray, int]:
+    """The set of shingles, and how many of the rarest it takes that a
+    similar text has one of its own rarest among them: similar texts share
+    the part SIMILARITY of each."""
+    n, k = len(w), min(SHINGLE, len(w))
+    w = w.astype(np.uint64)
+    found = np.unique(words.mix(sum((w[i : n - k + 1 + i] * _FACTORS[i] for i in range(k)), np.full(max(n - k + 1, 0), k, np.uint64))))
+    return found, len(found) - max(1, int(np.ceil(SIMILARITY * len(found) - 1e-9))) + 1
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size, kept; one row per document."""
-    return near_classes(docs, band_keys, near, near_many).drop("key")
+    return near_classes(docs, band_keys, near, near_many, rare_shingles).drop("key")

@@ -33,17 +33,21 @@ def lines(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, per
 
 
-def windows(data: np.ndarray, offsets: np.ndarray):
-    """(digest of every window, windows per text)."""
+def windows(data: np.ndarray, offsets: np.ndarray, both: bool = True):
+    """(the two numbers of every window, or the first only, windows per
+    text)."""
     starts, ends, per = lines(data, offsets)
-    line = words.span_hashes(data, starts, ends)
-    if len(line) < WINDOW:
-        return np.zeros(0, np.uint64), np.zeros(len(per), np.int64)
-    n = len(line) - WINDOW + 1
-    mixed = words.mix(sum(line[k : n + k] * _FACTORS[k] for k in range(WINDOW)))
+    hashes = (words.span_hashes, words.second_hashes) if both else (words.span_hashes,)
+    if len(starts) < WINDOW:
+        return *(np.zeros(0, np.uint64) for _ in hashes), np.zeros(len(per), np.int64)
+    n = len(starts) - WINDOW + 1
     owner = np.repeat(np.arange(len(per)), per)
     inside = owner[:n] == owner[WINDOW - 1 :]
-    return mixed[inside], np.maximum(per - WINDOW + 1, 0)
+    out = []
+    for hash_ in hashes:
+        line = hash_(data, starts, ends)
+        out.append(words.mix(sum(line[k : n + k] * _FACTORS[k] for k in range(WINDOW)))[inside])
+    return *out, np.maximum(per - WINDOW + 1, 0)
 
 
 def cut_lines(text: str, repeated: np.ndarray) -> tuple[str, int, int]:
@@ -69,7 +73,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
             data, offsets = words.utf8(batch.column("text"))
             before = batch.column("digests")
             for a, b in words.parts(offsets):
-                digest, count = windows(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                digest, count = windows(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], both=False)
                 again = held(digest, count, before.slice(a, b - a))
                 ends = np.cumsum(count)
                 texts = batch.column("text").slice(a, b - a).to_pylist()

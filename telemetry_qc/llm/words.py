@@ -15,6 +15,8 @@ PART_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_BASE_2 = 0xD1342543DE82EF95
+_INVERSE_2 = pow(_BASE_2, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -33,6 +35,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Numbers of the bytes in the second hash.
+_OTHER = mix(np.arange(1, 257, dtype=np.uint64) << np.uint64(8))
+
+
 def _power(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:
@@ -91,10 +97,20 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data)), out=sums[1:])
-    inverse = _power(_INVERSE, len(data) + 1)
-    return mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
+    return _span_hashes(data.astype(np.uint64) + np.uint64(1), s, e, _BASE, _INVERSE)
+
+
+def second_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Hashes of the spans that have nothing to do with ``span_hashes``: both
+    together are 128 bits."""
+    return _span_hashes(_OTHER[data], s, e, _BASE_2, _INVERSE_2)
+
+
+def _span_hashes(values: np.ndarray, s: np.ndarray, e: np.ndarray, base: int, inverse: int) -> np.ndarray:
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _power(base, len(values)), out=sums[1:])
+    back = _power(inverse, len(values) + 1)
+    return mix((sums[e] - sums[s]) * back[s] + (e - s).astype(np.uint64))
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray):

@@ -244,12 +244,47 @@ def test_chains_inside_a_bucket(spark, monkeypatch, block):
     rnd.shuffle(texts)
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
     # One bucket for all: links then hang on the comparison alone.
-    out = C.near_classes(docs(spark, rows), lambda hashes: np.zeros(1, np.uint64), O.near, O.near_many)
+    out = C.near_classes(docs(spark, rows), lambda hashes: np.zeros(1, np.uint64), O.near, O.near_many, O.rare_tokens)
     want = all_pairs(texts)
     assert len(set(want)) == 12
     assert tuples(out, "doc_id", "class_id") == sorted(enumerate(want), key=repr)
 
 
+def test_a_common_passage_and_little_else(spark, monkeypatch):
+    """One bucket of many texts apart: near ones among them are found by
+    their rare word pairs, however many share the passage."""
+    monkeypatch.setattr(C, "APART", 4)
+    rnd = random.Random(14)
+    passage = [f"p{i}" for i in range(30)]
+    texts = []
+    for g in range(60):
+        own = [f"g{g}w{i}" for i in range(rnd.randint(30, 60))]
+        texts.append(passage + own)
+        if g % 3 == 0:
+            texts.append(passage + changed(rnd, own, len(own) // 8))
+    rnd.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    out = C.near_classes(docs(spark, rows), lambda hashes: np.zeros(1, np.uint64), O.near, O.near_many, O.rare_tokens)
+    assert tuples(out, "doc_id", "class_id") == sorted(enumerate(all_pairs(texts)), key=repr)
+
+
+def test_near_texts_share_a_rare_token():
+    """Whatever the order of rarity."""
+    rnd = random.Random(15)
+    for _ in range(400):
+        n = rnd.randint(5, 60)
+        a = [rnd.randrange(8 if n < 20 else 1000) for _ in range(n)]
+        b = [rnd.randrange(10**6) if rnd.random() < 0.15 else x for x in a]
+        del b[: rnd.randint(0, 2)]
+        a, b = np.array(a, "<u4"), np.array(b, "<u4")
+        if not O.near(a, b):
+            continue
+        salt = rnd.randrange(2**63)
+        rank = lambda t: hash((salt, int(t)))
+        (x, i), (y, j) = O.rare_tokens(a), O.rare_tokens(b)
+        assert set(sorted(x.tolist(), key=rank)[:i]) & set(sorted(y.tolist(), key=rank)[:j])
+
+
 def changed(rnd, text, n, evenly=False):
     """The text with n words changed, inserted or dropped (changed only, at
     even distances, if ``evenly``)."""

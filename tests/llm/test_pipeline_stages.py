@@ -79,7 +79,7 @@ def test_registered_queries():
     import __spark_entry__ as E
 
     numbers = sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*LLM_QUERIES, "pipeline"} <= set(E.queries())
     assert len(C.STAGES) == 5
 

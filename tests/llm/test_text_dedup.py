@@ -176,3 +176,18 @@ def test_passages_of_51_words_in_new_surroundings(spark):
     assert sum(out[i] for i in range(400)) == 0
     missed = sum(out[1000 + i] < 64 for i in range(400))
     assert missed <= 2, missed
+
+
+def test_earliest_copy_stays_at_every_id(spark):
+    """Ids below 0, of 2**62 and null: the order is theirs."""
+    text = "\n".join(" ".join(words(random.Random(i), 9)) for i in range(6))
+    ids = [-(2**63), -5, 0, 7, 2**42, 2**42 + 1, 2**62, 2**63 - 1]
+    rows = [(i, f"{text}\nown {i}") for i in ids]
+    random.Random(1).shuffle(rows)
+    from telemetry_qc.llm.line_windows import dedup_lines
+
+    for out in (dedup_lines(docs(spark, rows)), G.dedup_substrings(docs(spark, rows))):
+        lost = {r["doc_id"]: len(r["text"]) < len(text) for r in out.collect()}
+        assert lost == {i: i != ids[0] for i in ids}
+    rows.append((None, f"{text}\nown none"))
+    assert dedup_lines(docs(spark, rows)).where("n_removed = 0").select("doc_id").collect()[0][0] is None
