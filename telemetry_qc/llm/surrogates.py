@@ -7,12 +7,18 @@ format: separators, case, kind of every character, check digits where there
 are some, the country of a number, the script and gender of a name.  It is
 drawn by a keyed hash of the entity's canonical form, so the same entity has
 the same surrogate wherever and however written (coreference), and nobody
-without the key can go back.
+without the key can go back.  A mail address is two entities, so that one
+domain has one surrogate.  A given name has the gender that most of its forms
+of address tell over the corpus (none: of the lists, or any), whatever form
+stands before it in one place.
 
 Distinctness is checked over all entities of the corpus: two that draw the
-same surrogate, or one that draws another's real value, draw again, all but
-the least, until there is none.  Entities that had to draw again are few;
-they are sent to the documents that hold them.
+same surrogate, or one that draws another's real value or its own, draw
+again, all but the least, until there is none.  From the second or third draw
+on surrogates get longer, so that there are always enough, also for secrets of
+signs alone or where all values of a short format occur.  Entities that had to
+draw again are few; they are sent to the documents that hold them, as are the
+genders of names.
 
 Null text is empty text.  Equal rows get equal texts; rows of one doc_id with
 different texts are documents of their own.  Texts without an entity are
@@ -22,6 +28,8 @@ unchanged.  An empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import unicodedata
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import DOC_COLUMNS, documents, order_key, saved, ship, small
+from .common import DOC_COLUMNS, KEY, documents, order_key, saved, ship, small
 
 #: Forms of address and the gender they tell (n: none).
 TITLES = {
@@ -118,10 +126,11 @@ def canonical(kind: str, found: str) -> str:
     return found
 
 
-def detect(text: str, has: str) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, canonical), in order, not overlapping; ``has``
-    tells which patterns are worth a try."""
-    out: list[tuple[int, int, str, str]] = []
+def detect(text: str, has: str) -> list[tuple[int, int, str, str, str]]:
+    """(start, end, kind, canonical, gender), in order, not overlapping;
+    ``has`` tells which patterns are worth a try.  The gender is n for all but
+    given names."""
+    out: list[tuple[int, int, str, str, str]] = []
     taken: list[tuple[int, int]] = []
     for kind, pattern, need in _COMPILED:
         if not any(n in has for n in need):
@@ -138,22 +147,36 @@ def detect(text: str, has: str) -> list[tuple[int, int, str, str]]:
                 continue
             taken.append((a, b))
             if kind != "name":
-                out.append((a, b, kind, canonical(kind, found)))
+                out.append((a, b, kind, canonical(kind, found), "n"))
                 continue
             gender = TITLES[_TITLE.search(text[max(0, a - 16) : a]).group(1)]
             parts = list(regex.finditer(r"[^ ]+", found))
             for i, part in enumerate(parts):
                 word = part.group()
-                role = f"family {script(word)}"
-                if i < len(parts) - 1:
-                    told = gender
-                    if gender == "n":
-                        told = next((g for (_, g), names in GIVEN.items() if word in names), "n")
-                    role = f"given {script(word)} {told}"
-                out.append((a + part.start(), a + part.end(), role, canonical(role, word)))
+                given = i < len(parts) - 1
+                role = f"{'given' if given else 'family'} {script(word)}"
+                out.append((a + part.start(), a + part.end(), role, canonical(role, word), gender if given else "n"))
     return sorted(out)
 
 
+#: The letters of scripts.
+LETTERS = {
+    "latin": "abcdefghijklmnopqrstuvwxyz",
+    "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя",
+    "greek": "αβγδεζηθικλμνξοπρστυφχψω",
+}
+
+
+@cache
+def alphabet(c: str) -> str:
+    """Letters of a letter's script, small ones where it has two cases;
+    other scripts: of its own kind in its part of the character table."""
+    if ord(c) < 0x250 or script(c) != "latin":
+        return LETTERS[script(c)]
+    kind, first = unicodedata.category(c), ord(c) & ~63
+    return "".join(chr(x) for x in range(first, first + 64) if unicodedata.category(chr(x)) == kind)
+
+
 class Draw:
     """Numbers from a keyed hash."""
 
@@ -171,8 +194,12 @@ class Draw:
         self.left //= n
         return out
 
-    def like(self, text: str, hexadecimal: bool = False) -> str:
-        """Every character another of its kind."""
+    def like(self, text: str, hexadecimal: bool = False, longer: int = 0) -> str:
+        """Every character another of its kind, and ``longer`` more of the
+        kind of the last that has one (letters, if none has)."""
+        if longer:
+            last = next((c for c in reversed(text) if c.isalnum()), "x")
+            text += last * longer
         out = []
         for c in text:
             if c.isdigit():
@@ -180,61 +207,72 @@ class Draw:
             elif hexadecimal and c in "abcdef":
                 out.append("abcdef"[self.below(6)])
             elif c.isalpha():
-                s = "abcdefghijklmnopqrstuvwxyz"[self.below(26)]
+                some = alphabet(c)
+                s = some[self.below(len(some))]
                 out.append(s.upper() if c.isupper() else s)
             else:
                 out.append(c)
         return "".join(out)
 
 
-def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
-    """The surrogate of a canonical form, itself in canonical form."""
-    for more in range(100):
+def surrogate(key: bytes, kind: str, value: str, attempt: int, gender: str = "n") -> str:
+    """The surrogate of a canonical form, itself in canonical form; of a mail
+    address, with the domain it has."""
+    for more in range(20):
         draw = Draw(key, kind, value, str(attempt), str(more))
-        new = _surrogate(key, draw, kind, value, attempt)
+        new = _surrogate(draw, kind, value, attempt, gender)
         if new != value:
             break
     return new
 
 
-def _surrogate(key: bytes, draw: Draw, kind: str, value: str, attempt: int) -> str:
+def _surrogate(draw: Draw, kind: str, value: str, attempt: int, gender: str) -> str:
+    # Later draws come from a growing set; at once, where nothing can change.
+    longer = attempt // 2 if any(map(str.isalnum, value)) else attempt
     if kind == "mail":
         local, _, domain = value.rpartition("@")
-        labels = domain.split(".")
-        # One domain has one surrogate; its ending stays.
-        other = Draw(key, "domain", domain)
-        return draw.like(local) + "@" + ".".join([*(other.like(x) for x in labels[:-1]), labels[-1]])
+        if not any(map(str.isalnum, local)):
+            longer = attempt
+        return draw.like(local, longer=longer) + "@" + domain
+    if kind == "domain":
+        first, *more, ending = value.split(".")  # which stays
+        return ".".join([draw.like(first, longer=longer), *map(draw.like, more), ending])
     if kind == "ip":
-        return ".".join(str(1 + draw.below(254)) for _ in range(4))
+        if attempt < 8:
+            return ".".join(str(1 + draw.below(254)) for _ in range(4))
+        # Of the range kept for examples, once the short form runs out.
+        return "2001:db8:" + ":".join(f"{draw.below(1 << 16):x}" for _ in range(6))
     if kind == "card":
-        body = value[0] + draw.like(value[1:-1])
+        body = value[0] + draw.like(value[1:-1], longer=longer)
         return next(body + c for c in "0123456789" if luhn(body + c))
     if kind == "iban":
-        body = value[:2] + "00" + draw.like(value[4:])
+        body = value[:2] + "00" + draw.like(value[4:], longer=longer)
         check = 98 - int("".join(str(int(c, 36)) for c in body[4:] + body[:4])) % 97
         return f"{value[:2]}{check:02d}{body[4:]}"
     if kind == "phone":
         # What may be the country and the first digit of the area stay.
         keep = max(0, len(value) - 9)
-        return value[:keep] + draw.like(value[keep:])
+        return value[:keep] + draw.like(value[keep:], longer=longer)
     if kind == "key":
-        return value[:4] + draw.like(value[4:])
+        return value[:4] + draw.like(value[4:], longer=longer)
     if kind.startswith(("given", "family")):
-        role, written, *gender = kind.split()
+        role, written = kind.split()
         if role == "family":
             names = FAMILY[written]
         else:
-            names = GIVEN.get((written, gender[0])) or GIVEN[written, "m"] + GIVEN[written, "f"]
+            if gender == "n":
+                gender = next((g for (_, g), some in GIVEN.items() if value.capitalize() in some), "n")
+            names = GIVEN.get((written, gender)) or GIVEN[written, "m"] + GIVEN[written, "f"]
         # Later draws take double names, then more parts, from a growing set.
         return "-".join(names[draw.below(len(names))] for _ in range(1 + (attempt + 1) // 2)).lower()
-    return draw.like(value, hexadecimal=not set(value) - set("0123456789abcdef"))
+    return draw.like(value, hexadecimal=not set(value) - set("0123456789abcdef"), longer=longer)
 
 
 def written(kind: str, found: str, new: str) -> str:
     """A surrogate's canonical form in the format of the original."""
     if kind in ("card", "ssn", "phone", "iban"):
         rest = iter(new)
-        return "".join(next(rest, "") if c.isalnum() else c for c in found)
+        return "".join([*(next(rest, "") if c.isalnum() else c for c in found), *rest])
     if kind == "mail":
         if len(found) == len(new):
             return "".join(n.upper() if c.isupper() else n for c, n in zip(found, new))
@@ -276,42 +314,66 @@ def _found(batch):
                 yield i, texts[i], found
 
 
+def replaced(secret: bytes, text: str, spans, known: dict[tuple[str, str], tuple[int, str]]) -> str:
+    """``text`` with surrogates; ``known`` has the attempt and the gender of
+    (kind, value) where these are not 0 and n."""
+    out, at = [], 0
+    for a, b, kind, value, _ in spans:
+        new = surrogate(secret, kind, value, *known.get((kind, value), (0, "n")))
+        if kind == "mail":
+            local, _, domain = new.rpartition("@")
+            new = f"{local}@{surrogate(secret, 'domain', domain, *known.get(('domain', domain), (0, 'n')))}"
+        out += [text[at:a], written(kind, text[a:b], new)]
+        at = b
+    return "".join(out) + text[at:]
+
+
+def named(found) -> set[tuple[str, str, str]]:
+    """(kind, value, gender) of the entities of a text."""
+    out = {f[2:] for f in found}
+    return out | {("domain", value.rpartition("@")[2], "n") for kind, value, _ in out if kind == "mail"}
+
+
 def entities(docs: DataFrame) -> DataFrame:
-    """(key, kind, value): the different entities of each document."""
+    """(key, kind, value, gender): the different entities of each document."""
 
     def find(batches):
         for batch in batches:
             keys = batch.column("key").to_pylist()
-            rows = [(keys[i], kind, value) for i, _, found in _found(batch) for kind, value in {f[2:] for f in found}]
+            rows = [(keys[i], *entity) for i, _, found in _found(batch) for entity in named(found)]
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.string()))],
-                    ["key", "kind", "value"],
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.decimal128(38, 0), pa.string(), pa.string(), pa.string()))],
+                    ["key", "kind", "value", "gender"],
                 )
 
-    return docs.select(order_key().alias("key"), "text").mapInArrow(find, "key long, kind string, value string")
+    return docs.select(order_key().alias("key"), "text").mapInArrow(find, f"key {KEY}, kind string, value string, gender string")
 
 
 def drawn(known: DataFrame, secret: bytes) -> DataFrame:
-    """(kind, value, attempt) with the surrogate."""
+    """(kind, value, attempt, gender) with the surrogate."""
+    names = ["kind", "value", "attempt", "gender"]
 
     def draw(batches):
         for batch in batches:
-            new = [surrogate(secret, *row) for row in zip(*(batch.column(c).to_pylist() for c in ("kind", "value", "attempt")))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], ["kind", "value", "attempt", "new"])
+            new = [surrogate(secret, *row) for row in zip(*(batch.column(c).to_pylist() for c in names))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], [*names, "new"])
 
-    return known.select("kind", "value", "attempt").mapInArrow(draw, "kind string, value string, attempt int, new string")
+    return known.select(*names).mapInArrow(draw, "kind string, value string, attempt int, gender string, new string")
 
 
 def distinct_surrogates(found: DataFrame, secret: bytes) -> DataFrame:
-    """(kind, value, attempt, new): one surrogate for each entity, no two the
-    same within a kind and none a real value of it."""
-    real = saved(found.select("kind", "value").distinct(), "entities")
+    """(kind, value, attempt, gender, new): one surrogate for each entity, no
+    two the same within a kind and none a real value of it."""
+    told = [F.count_if(F.col("gender") == g) for g in "mf"]
+    gender = F.when(told[0] > told[1], "m").when(told[1] > told[0], "f").otherwise("n")
+    real = saved(found.groupBy("kind", "value").agg(gender.alias("gender")), "entities")
     known = saved(drawn(real.withColumn("attempt", F.lit(0)), secret), "drawn")
     while True:
         first = known.groupBy("kind", "new").agg(F.min("value").alias("first"))
         clash = known.join(first, ["kind", "new"]).where("value > first").select("kind", "value")
-        taken = known.join(real.withColumnRenamed("value", "new"), ["kind", "new"], "left_semi").select("kind", "value")
+        held = real.select("kind", F.col("value").alias("new"))
+        taken = known.join(held, ["kind", "new"], "left_semi").select("kind", "value")
         again = saved(clash.union(taken).distinct(), "again")
         if again.limit(1).count() == 0:
             return known
@@ -326,9 +388,10 @@ def replace_entities(docs: DataFrame, secret: bytes) -> DataFrame:
     ship(docs.sparkSession)
     docs = documents(docs)
     found = saved(entities(docs), "found")
-    again = saved(distinct_surrogates(found, secret).where("attempt > 0"), "redrawn")
-    per = found.join(again, ["kind", "value"]).groupBy("key").agg(
-        F.collect_set(F.struct("kind", "value", "attempt")).alias("redrawn")
+    again = distinct_surrogates(found, secret).where("attempt > 0 or gender <> 'n'").drop("new")
+    again = saved(again, "redrawn")
+    per = found.select("key", "kind", "value").distinct().join(again, ["kind", "value"]).groupBy("key").agg(
+        F.collect_set(F.struct("kind", "value", "attempt", "gender")).alias("redrawn")
     )
     per = small(saved(per, "per_document"), rows=500_000)
 
@@ -338,13 +401,8 @@ def replace_entities(docs: DataFrame, secret: bytes) -> DataFrame:
             kinds: list[list[str]] = [[] for _ in texts]
             redrawn = batch.column("redrawn")
             for i, text, spans in _found(batch):
-                attempts = {(r["kind"], r["value"]): r["attempt"] for r in redrawn[i].as_py() or ()}
-                out, at = [], 0
-                for a, b, kind, value in spans:
-                    new = surrogate(secret, kind, value, attempts.get((kind, value), 0))
-                    out += [text[at:a], written(kind, text[a:b], new)]
-                    at = b
-                texts[i] = "".join(out) + text[at:]
+                known = {(r["kind"], r["value"]): (r["attempt"], r["gender"]) for r in redrawn[i].as_py() or ()}
+                texts[i] = replaced(secret, text, spans, known)
                 kinds[i] = [s[2].split()[0] for s in spans]
             columns = [batch.column(c) for c in DOC_COLUMNS]
             columns[1] = pa.array(texts, pa.string())
