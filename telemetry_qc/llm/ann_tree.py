@@ -135,10 +135,21 @@ def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (q * x).sum(-1)
 
 
-def best(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, open_: np.ndarray | None = None):
-    """The k best other rows of every query, as (query's position, position in
-    x, score).  ``open_[i, j]``: whether query i may find row j (all, if
-    None); equal rows are alike in that.  Equal rows are found together."""
+def best(
+    q: np.ndarray,
+    q_ids: np.ndarray,
+    x: np.ndarray,
+    ids: np.ndarray,
+    k: int,
+    open_: np.ndarray | None = None,
+    take: int | None = None,
+):
+    """The k best other rows of every query, one for each id, as (query's
+    position, position in x, score).  ``open_[i, j]``: whether query i may
+    find row j (all, if None); equal rows are alike in that.  Equal vectors
+    are found together; a row's id and vector together are stated once.
+    ``take``: different vectors looked at first; queries that find fewer than
+    k ids among them look at more."""
     order = np.argsort(ids, kind="stable")
     x, ids = np.ascontiguousarray(x[order]), ids[order]
     _, first, group = np.unique(x.view([("", x.dtype)] * x.shape[1]), return_index=True, return_inverse=True)
@@ -148,7 +159,7 @@ def best(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: in
     width = int(min(size.max(), 2 * k + 1))
     at = np.concatenate(([0], np.cumsum(size)[:-1]))[:, None] + np.arange(width)
     members = np.where(np.arange(width) < size[:, None], by[np.minimum(at, len(by) - 1)], -1)
-    take = min(len(one), k + 12)
+    take = min(len(one), take or k + 12)
     step = max(1, 4_000_000 // (take * width * x.shape[1]))
     out = []
     for a in range(0, len(q), step):
@@ -177,7 +188,16 @@ def best(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: in
         keep = fresh & ~np.isneginf(score)
         keep &= np.cumsum(keep, 1) <= k
         i, j = np.nonzero(keep)
+        # Places that one id, or the query's own, has taken up.
+        found = keep.sum(1)
+        lack = np.flatnonzero(found < k) if take < len(one) else np.zeros(0, np.int64)
+        full = ~np.isin(i, lack)
+        i, j = i[full], j[full]
         out.append((a + i, order[cand[i, j]], score[i, j]))
+        if len(lack):
+            may = None if open_ is None else open_[a + lack]
+            rows, at, more = best(part[lack], own[lack], x, ids, k, None if may is None else may[:, order], 4 * take)
+            out.append((a + lack[rows], order[at], more))
     return tuple(map(np.concatenate, zip(*out))) if out else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
 
 
@@ -198,7 +218,8 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, target: float = TAR
     divisible by ``every``."""
     spark = vectors.sparkSession
     ship(spark)
-    v = usable(vectors)
+    # Rows that are stated again take up no places.
+    v = usable(vectors).dropDuplicates(["vec_id", "embedding"])
     lengths = v.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     result = "query_id long, rank int, vec_id long, score double"
     if not lengths:

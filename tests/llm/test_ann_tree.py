@@ -105,3 +105,22 @@ def test_best_bin_first():
     if all(not tree.children[c] for c in root):
         assert order == sorted(root, key=lambda c: -worth[c])
     assert len(next(tree.visits(q, 1, 0))) == 1 and len(next(tree.visits(q, 1, 400))) > 5
+
+
+def test_rows_stated_again_take_no_places(spark):
+    """30 ids with one vector, each three times, and farther ones."""
+    rng = np.random.default_rng(9)
+    rows = [(i, [1.0, 2.0, 2.0]) for i in range(30)] * 3 + [(100 + i, rng.normal(size=3) * 0.1) for i in range(200)]
+    got = found(A.search(frame(spark, rows)))
+    want = brute(sorted({(i, tuple(v)) for i, v in rows}), 20, 20)
+    for q in (0, 20):
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
+
+
+def test_many_vectors_of_one_id(spark):
+    """One id has the 60 nearest vectors: it takes one place."""
+    rng = np.random.default_rng(10)
+    rows = [(20, [5.0, 0.0])] + [(7, [9.0 + i / 100, 0.0]) for i in range(60)] + [(20, [8.0 + i / 100, 0.0]) for i in range(60)]
+    rows += [(100 + i, rng.normal(size=2) * 0.1) for i in range(150)]
+    ids = [i for i, _ in found(A.search(frame(spark, rows), k=5))[20]]
+    assert ids[0] == 7 and len(set(ids)) == 5 and 20 not in ids
