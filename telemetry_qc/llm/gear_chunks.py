@@ -7,7 +7,8 @@ around them only, so an insertion changes the chunks it touches and no
 others.  Chunks are deduplicated by digest: one that occurred before - in a
 document before (by doc_id), or earlier in the same - is a repeat.  Repeats
 are removed where adjacent ones add up to ``least`` bytes or more; shorter
-ones are chance and stay.
+ones are chance and stay.  Digests are of 64 bits; as a run holds several
+chunks, two that agree by chance alone remove nothing.
 
 Cuts lie between code points.  Null text is empty text and has no chunks; a
 text without a cut is one chunk, however long.  Rows equal in doc_id and text
@@ -26,8 +27,8 @@ from . import words
 from .common import documents
 from .repeats import attach, digests, held, held_before
 
-MEAN = 16
-LEAST = 64
+MEAN = 20
+LEAST = 80
 REACH = 16
 _GEAR = (words.mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
 
@@ -62,7 +63,7 @@ def chunks(data: np.ndarray, offsets: np.ndarray, mean: int = MEAN):
 
 def chunk_digests(data: np.ndarray, offsets: np.ndarray):
     starts, ends, per = chunks(data, offsets)
-    return words.span_hashes(data, starts, ends), per
+    return words.span_hashes(data, starts, ends), None, per
 
 
 def runs(again: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int) -> list[tuple[int, int]]:
