@@ -7,8 +7,9 @@ words by their last bytes; within a class a word has its share of the counts
 (plus one each, and one more for all words not seen in training).  Training
 is by noise-contrastive estimation with noise drawn from the unigram counts,
 in numpy, in every task over its own documents; the parameters are averaged
-between rounds, weighted by tokens.  Scoring normalises over all outputs, by
-matrix products over batches of tokens.
+between rounds, weighted by tokens; so the model depends, a little, on how the
+table is dealt over tasks.  Scoring normalises over all outputs, by matrix
+products over batches of tokens.
 
 Documents become blocks of token numbers with the block's own list of
 different words.  Words are counted over all blocks; a block gets the counts
@@ -44,7 +45,7 @@ NOISE_WEIGHT = 10.0
 BATCH = 1024
 RATE = 0.1
 #: Rounds over all training tokens, at every size of the table.
-ROUNDS = 12
+ROUNDS = 2
 #: Tokens in a block.
 BLOCK = 1_000_000
 
@@ -159,36 +160,39 @@ def types(blocks: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Vectors of read words and outputs, position weights, biases."""
+    """Vectors of read words and outputs, position weights; the last column
+    of the outputs is their bias."""
 
     def __init__(self, unigram: np.ndarray, seed: int = 1):
         rng = np.random.default_rng(seed)
         self.unigram = unigram  # share of every output, all positive
         self.read = rng.normal(0, 0.1, (OUTPUTS + 1, WIDTH)).astype(np.float32)
-        self.out = rng.normal(0, 0.1, (OUTPUTS, WIDTH)).astype(np.float32)
+        self.out = rng.normal(0, 0.1, (OUTPUTS, WIDTH + 1)).astype(np.float32)
+        self.out[:, WIDTH] = np.log(unigram)
         self.weight = np.full((CONTEXT, WIDTH), 1.0 / CONTEXT, np.float32)
-        self.bias = np.log(unigram).astype(np.float32)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.read, self.out, self.weight, self.bias)]).astype(np.float64)
+        return np.concatenate([x.ravel() for x in (self.read, self.out, self.weight)]).astype(np.float64)
 
     def fill(self, flat: np.ndarray) -> None:
         at = 0
-        for name in ("read", "out", "weight", "bias"):
+        for name in ("read", "out", "weight"):
             x = getattr(self, name)
             setattr(self, name, flat[at : at + x.size].reshape(x.shape).astype(np.float32))
             at += x.size
 
-    def predicted(self, context: np.ndarray) -> np.ndarray:
-        """Predicted vectors, context is (n, CONTEXT)."""
-        return sum(self.read[context[:, j]] * self.weight[j] for j in range(CONTEXT))
+    def predicted(self, read: np.ndarray) -> np.ndarray:
+        """Predicted vectors, with a 1 for the bias, from the vectors read
+        (CONTEXT, n, WIDTH)."""
+        out = np.ones((read.shape[1], WIDTH + 1), np.float32)
+        np.einsum("jnw,jw->nw", read, self.weight, out=out[:, :WIDTH])
+        return out
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural logarithms, normalised over all outputs."""
         out = np.empty(len(target))
         for a in range(0, len(target), BATCH):
-            x = self.predicted(context[a : a + BATCH]) @ self.out.T
-            x += self.bias
+            x = self.predicted(self.read[context[a : a + BATCH].T]) @ self.out.T
             own = x[np.arange(len(x)), target[a : a + BATCH]]
             # Products of trained vectors are small; exp is safe up to 80.
             top = max(0.0, float(x.max()) - 80)
@@ -203,47 +207,52 @@ class Model:
         share their noise."""
         rng = np.random.default_rng(seed)
         log_noise = np.log(NOISE_WEIGHT * self.unigram).astype(np.float32)
-        steps = state.setdefault("squares", {n: np.full_like(getattr(self, n), 1e-6) for n in ("read", "out", "weight", "bias")})
+        squares = state.setdefault("squares", {n: np.full_like(getattr(self, n), 1e-6) for n in ("read", "out", "weight")})
         order = rng.permutation((len(target) + BATCH - 1) // BATCH)
-        noises = rng.choice(OUTPUTS, size=(len(order), NOISE), p=self.unigram)
-        share = np.float32(NOISE_WEIGHT / NOISE)
+        noises = rng.choice(OUTPUTS, size=(len(order), NOISE), p=self.unigram).astype(target.dtype)
+        share, rate = np.float32(NOISE_WEIGHT / NOISE), np.float32(rate)
         for k in order:
-            c, w = context[k * BATCH : (k + 1) * BATCH], target[k * BATCH : (k + 1) * BATCH]
-            n = len(w)
-            read = [self.read[c[:, j]] for j in range(CONTEXT)]
-            q = sum(r * self.weight[j] for j, r in enumerate(read))
-            own = self.out[w]
+            c = np.ascontiguousarray(context[k * BATCH : (k + 1) * BATCH].T)
+            w, noise = target[k * BATCH : (k + 1) * BATCH], noises[k]
+            n = np.float32(len(w))
+            read = self.read[c]
+            q = self.predicted(read)
+            own, fake = self.out[w], self.out[noise]
             # Chance that a token, or a noise word, was taken for noise.
-            miss = 1 / (1 + np.exp(np.einsum("ij,ij->i", q, own) + self.bias[w] - log_noise[w]))
-            noise = noises[k]
-            fake = self.out[noise]
+            miss = np.einsum("ij,ij->i", q, own)
+            miss -= log_noise[w]
+            np.exp(miss, out=miss)
+            miss += 1
+            np.reciprocal(miss, out=miss)
             hit = q @ fake.T
-            hit += self.bias[noise] - log_noise[noise]
+            hit -= log_noise[noise]
             np.negative(hit, out=hit)
             np.exp(hit, out=hit)
             hit += 1
             np.divide(-share, hit, out=hit)
-            dq = miss[:, None] * own + hit @ fake
-            d_out = _sums(w, miss[:, None] * q, OUTPUTS)
-            np.add.at(d_out, noise, hit.T @ q)
-            d_bias = np.bincount(w, weights=miss, minlength=OUTPUTS) + np.bincount(noise, weights=hit.sum(0), minlength=OUTPUTS)
-            d_weight = np.array([(dq * r).sum(0) for r in read])
-            d_read = sum(_sums(c[:, j], dq * self.weight[j], OUTPUTS + 1) for j in range(CONTEXT))
-            for name, d in (("out", d_out), ("bias", d_bias), ("weight", d_weight), ("read", d_read)):
-                d = d.astype(np.float32) / np.float32(n)
-                steps[name] += d * d
-                x = getattr(self, name)
-                x += np.float32(rate) * d / np.sqrt(steps[name])
-
-
-def _sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sums of rows by their number."""
+            dq = hit @ fake[:, :WIDTH]
+            dq += miss[:, None] * own[:, :WIDTH]
+            d_weight = np.einsum("jnw,nw->jw", read, dq) / n
+            d_read = (dq[None] * self.weight[:, None, :]).reshape(-1, WIDTH)
+            # Only the rows met are changed.
+            at, d = _sums(np.concatenate((w, noise)), np.concatenate((miss[:, None] * q, hit.T @ q)))
+            _step(self.out, squares["out"], at, d / n, rate)
+            at, d = _sums(c.ravel(), d_read)
+            _step(self.read, squares["read"], at, d / n, rate)
+            _step(self.weight, squares["weight"], slice(None), d_weight, rate)
+
+
+def _step(x: np.ndarray, squares: np.ndarray, at, d: np.ndarray, rate: np.float32) -> None:
+    squares[at] += d * d
+    x[at] += rate * d / np.sqrt(squares[at])
+
+
+def _sums(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of rows, and the sums of the rows of each."""
     order = np.argsort(at, kind="stable")
     at = at[order]
     first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    out[at[first]] = np.add.reduceat(rows[order], first)
-    return out
+    return at[first], np.add.reduceat(rows[order], first)
 
 
 class Reader:

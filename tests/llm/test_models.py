@@ -117,17 +117,29 @@ def test_probabilities_against_brute_force(spark):
     asked = {*trusted, *((a, b, c) for a in (0, 20, 30) for b in (20, 31) for c in (1, 22, 40))}
     n = Counter(trusted)
     number = lambda g: 1 << 24 | g[0] << 16 | g[1] << 8 | g[2]
-    rows = [(number(g), n[g]) for g in asked] + [(2 << 24 | 20 << 16 | 20 << 8 | 20, 3)]  # another language
-    got = {r["gram"]: r["logp"] for r in K.log_probabilities(spark.createDataFrame(rows, "gram long, n long")).collect()}
-    for g, want in brute_kneser_ney(trusted, asked).items():
-        assert abs(got[number(g)] - want) < 1e-9, g
+    halves = trusted[:170], trusted[170:]
+    n1, n2 = map(Counter, halves)
+    schema = "gram long, n1 long, n2 long"
+    rows = [(number(g), n1[g], n2[g]) for g in asked] + [(2 << 24 | 20 << 16 | 20 << 8 | 20, 3, 0)]  # another language
+    got = {r["gram"]: r for r in K.log_probabilities(spark.createDataFrame(rows, schema)).collect()}
+    # Documents of one half are scored by the counts of the other.
+    for p, counted in (("p0", trusted), ("p1", halves[1]), ("p2", halves[0])):
+        for g, want in brute_kneser_ney(counted, asked).items():
+            assert abs(got[number(g)][p] - want) < 1e-9, (p, g)
     # The probabilities after a context add up to one.
-    whole = [(number((20, 21, c)), n[20, 21, c]) for c in range(K.SYMBOLS)]
-    whole += [(number(g), n[g]) for g in n if g[:2] != (20, 21)]
-    got = {r["gram"]: r["logp"] for r in K.log_probabilities(spark.createDataFrame(whole, "gram long, n long")).collect()}
+    whole = [(number((20, 21, c)), n[20, 21, c], 0) for c in range(K.SYMBOLS)]
+    whole += [(number(g), n[g], 0) for g in n if g[:2] != (20, 21)]
+    got = {r["gram"]: r["p0"] for r in K.log_probabilities(spark.createDataFrame(whole, schema)).collect()}
     assert abs(sum(math.exp(got[number((20, 21, c))]) for c in range(K.SYMBOLS)) - 1) < 1e-9
 
 
+def test_packed_log_probabilities(spark):
+    rows = [(0.0, -0.5, -31.9), (-3.25, -40.0, -1e-9)]
+    df = spark.createDataFrame(rows, "p0 double, p1 double, p2 double").select(K.packed(["p0", "p1", "p2"]).alias("p"))
+    got = K.unpacked(np.array([r["p"] for r in df.collect()]))
+    assert np.abs(got - np.maximum(np.array(rows).T, -32)).max() <= K.STEP
+
+
 @pytest.fixture(scope="module")
 def judged(spark):
     good, bad = corpus(random.Random(3))
@@ -242,7 +254,8 @@ def test_sums_by_number():
     at, rows = rng.integers(0, 7, 50), rng.random((50, 3)).astype(np.float32)
     want = np.zeros((9, 3), np.float32)
     np.add.at(want, at, rows)
-    assert np.allclose(B._sums(at, rows, 9), want, atol=1e-5)
+    numbers, sums = B._sums(at, rows)
+    assert numbers.tolist() == sorted(set(at.tolist())) and np.allclose(sums, want[numbers], atol=1e-5)
 
 
 def test_every_language_with_trusted_text_has_a_model(spark, monkeypatch):
