@@ -31,6 +31,8 @@ def test_alignment_is_the_edit_distance():
         d, limit = distance(a, b), rnd.randint(0, 24)
         got = O.distance_within(np.array(a, "<u4"), np.array(b, "<u4"), limit)
         assert got == (d if d <= limit else None), (a, b, limit)
+        assert O.within(np.array(a, "<u4"), np.array(b, "<u4"), limit) == (d <= limit), (a, b, limit)
+        assert O.banded(O.places(np.array(a, "<u4")), len(a), b, limit) == (d <= limit), (a, b, limit)
 
 
 def test_near_is_edit_similarity():
