@@ -181,26 +181,43 @@ class Model:
             setattr(self, name, flat[at : at + x.size].reshape(x.shape).astype(np.float32))
             at += x.size
 
-    def predicted(self, read: np.ndarray) -> np.ndarray:
-        """Predicted vectors, with a 1 for the bias, from the vectors read
-        (CONTEXT, n, WIDTH)."""
-        out = np.ones((read.shape[1], WIDTH + 1), np.float32)
-        np.einsum("jnw,jw->nw", read, self.weight, out=out[:, :WIDTH])
+    def predicted(self, context: np.ndarray) -> np.ndarray:
+        """Predicted vectors, with a 1 for the bias, for contexts (n,
+        CONTEXT)."""
+        weighted = np.zeros((CONTEXT, OUTPUTS + 1, WIDTH + 1), np.float32)
+        np.multiply(self.read, self.weight[:, None, :], out=weighted[:, :, :WIDTH])
+        weighted[0, :, WIDTH] = 1
+        out = weighted[0].take(context[:, 0], 0)
+        for j in range(1, CONTEXT):
+            out += weighted[j].take(context[:, j], 0)
         return out
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural logarithms, normalised over all outputs."""
-        out = np.empty(len(target))
-        for a in range(0, len(target), BATCH):
-            x = self.predicted(self.read[context[a : a + BATCH].T]) @ self.out.T
-            own = x[np.arange(len(x)), target[a : a + BATCH]]
+        """Natural logarithms, normalised over all outputs, once for each
+        different context."""
+        at = np.zeros(len(target), np.int64)
+        for j in range(CONTEXT):
+            at = at * (OUTPUTS + 1) + context[:, j]
+        order = np.argsort(at, kind="stable")
+        new = np.ones(len(at), bool)
+        new[1:] = at[order[1:]] != at[order[:-1]]
+        which = np.empty(len(at), np.int64)
+        which[order] = np.cumsum(new) - 1
+        q = self.predicted(context[order[new]])
+        total = np.empty(len(q))
+        for a in range(0, len(q), BATCH):
+            x = q[a : a + BATCH] @ self.out.T
             # Products of trained vectors are small; exp is safe up to 80.
             top = max(0.0, float(x.max()) - 80)
             if top:
                 x -= top
             np.exp(x, out=x)
-            out[a : a + BATCH] = own - top - np.log(x.sum(1))
-        return out
+            total[a : a + BATCH] = top + np.log(x.sum(1))
+        out = np.empty(len(target))
+        for a in range(0, len(target), BATCH):
+            own = self.out.take(target[a : a + BATCH], 0)
+            out[a : a + BATCH] = np.einsum("ij,ij->i", q.take(which[a : a + BATCH], 0), own)
+        return out - total[which]
 
     def train(self, context: np.ndarray, target: np.ndarray, seed: int, state: dict, rate: float) -> None:
         """One pass, by noise-contrastive estimation; all tokens of a batch
@@ -211,13 +228,14 @@ class Model:
         order = rng.permutation((len(target) + BATCH - 1) // BATCH)
         noises = rng.choice(OUTPUTS, size=(len(order), NOISE), p=self.unigram).astype(target.dtype)
         share, rate = np.float32(NOISE_WEIGHT / NOISE), np.float32(rate)
+        place = (np.arange(CONTEXT) * (OUTPUTS + 1)).astype(np.int16)[:, None]
+        sums = np.empty((CONTEXT * (OUTPUTS + 1), WIDTH), np.float32)
         for k in order:
-            c = np.ascontiguousarray(context[k * BATCH : (k + 1) * BATCH].T)
+            c = context[k * BATCH : (k + 1) * BATCH]
             w, noise = target[k * BATCH : (k + 1) * BATCH], noises[k]
             n = np.float32(len(w))
-            read = self.read[c]
-            q = self.predicted(read)
-            own, fake = self.out[w], self.out[noise]
+            q = self.predicted(c)
+            own, fake = self.out.take(w, 0), self.out.take(noise, 0)
             # Chance that a token, or a noise word, was taken for noise.
             miss = np.einsum("ij,ij->i", q, own)
             miss -= log_noise[w]
@@ -232,13 +250,17 @@ class Model:
             np.divide(-share, hit, out=hit)
             dq = hit @ fake[:, :WIDTH]
             dq += miss[:, None] * own[:, :WIDTH]
-            d_weight = np.einsum("jnw,nw->jw", read, dq) / n
-            d_read = (dq[None] * self.weight[:, None, :]).reshape(-1, WIDTH)
-            # Only the rows met are changed.
+            # Only the outputs met are changed.
             at, d = _sums(np.concatenate((w, noise)), np.concatenate((miss[:, None] * q, hit.T @ q)))
             _step(self.out, squares["out"], at, d / n, rate)
-            at, d = _sums(c.ravel(), d_read)
-            _step(self.read, squares["read"], at, d / n, rate)
+            # Sums by position and word read; all else follows from these.
+            at, d = _sums((c.T + place).ravel(), dq)
+            sums.fill(0)
+            sums[at] = d / n
+            by_word = sums.reshape(CONTEXT, OUTPUTS + 1, WIDTH)
+            d_read = np.einsum("jrw,jw->rw", by_word, self.weight)
+            d_weight = np.einsum("jrw,rw->jw", by_word, self.read)
+            _step(self.read, squares["read"], slice(None), d_read, rate)
             _step(self.weight, squares["weight"], slice(None), d_weight, rate)
 
 
@@ -248,11 +270,14 @@ def _step(x: np.ndarray, squares: np.ndarray, at, d: np.ndarray, rate: np.float3
 
 
 def _sums(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of rows, and the sums of the rows of each."""
+    """Numbers of rows, and the sums of the rows of each.  Fewer rows than
+    numbers are taken again and again."""
     order = np.argsort(at, kind="stable")
     at = at[order]
     first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    return at[first], np.add.reduceat(rows[order], first)
+    if len(at) > len(rows):
+        order %= len(rows)
+    return at[first], np.add.reduceat(rows.take(order, 0), first)
 
 
 class Reader:
