@@ -30,7 +30,7 @@ from .rollup import VehicleRollup
 from .runner import FAIL, ISOLATE, LOG, StreamConfig, run_stream
 
 #: Batches a small input is read in; a larger one has more, of at most
-#: BATCH_ROWS records.
+#: BATCH_ROWS records in each of a batch's files, one a core.
 N_BATCHES = 4
 BATCH_ROWS = 250_000
 FAILING_BATCHES = (1, 2)
@@ -80,10 +80,11 @@ def files_per_batch(spark: SparkSession) -> int:
 def land_envelope(spark: SparkSession, sf_dir: str, batches: int | None = None) -> str:
     """The envelope as ``batches`` x ``files_per_batch`` parquet files, each
     holding one range of offsets; the number of batches follows the rows, so
-    that a batch is of bounded size."""
+    that a file is of bounded size.  A batch costs some seconds whatever its
+    size, so a larger cluster has larger ones, and not more."""
     if batches is None:
         rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").count()
-        batches = max(N_BATCHES, -(-rows // BATCH_ROWS))
+        batches = max(N_BATCHES, -(-rows // (BATCH_ROWS * files_per_batch(spark))))
     files = batches * files_per_batch(spark)
     return land(envelope(spark, sf_dir), fresh_path(spark, "envelope-files"), files, "offset")
 
