@@ -30,7 +30,12 @@ class Span:
     last: int
 
     def within(self) -> Column:
-        return F.col("kafka_partition").eqNullSafe(F.lit(self.partition)) & _offset().between(self.first, self.last)
+        # On the plain columns, so that files without such records are not read.
+        offset = F.col("kafka_offset")
+        inside = offset.between(self.first, self.last)
+        if self.first <= -1 <= self.last:
+            inside = inside | offset.isNull()
+        return F.col("kafka_partition").eqNullSafe(F.lit(self.partition)) & inside
 
 
 @dataclass(frozen=True)
