@@ -12,14 +12,15 @@ they are more - texts with a common passage and little else in common -
 their texts are dealt anew by rare tokens: near texts have so many tokens in
 common that one is among the rarest of both (``rare_of`` tells how many that
 takes), so no near pair is lost, while a passage that many share is not rare.
-Buckets of a token that still have more texts apart, with leaders from these,
-are dealt by longer keys, of ``DEEPER`` samples of their texts' word runs a
-level, for ``LEVELS`` levels in all; what is left then is compared whole.  So a
-bucket costs its size times ``APART``, not its square.
+Buckets of a token, with leaders from these texts, are compared whole, however
+many texts are apart: no longer key that near texts may miss parts them.  So a
+bucket of bands costs its size times ``APART``, and one of a rare token its size
+times its texts apart.
 
 Comparisons are made in groups of bounded size (a larger bucket is cut into
 blocks, and every two blocks with a text apart make a group), which give back
-only links that join something.
+only links that join something.  Two texts are compared in the first of the
+buckets that they share, not in every one.
 
 Tables live in the shared folder.  Counting a bucket aggregates partially;
 joins on a key that many texts share are between plain tables, so adaptive
@@ -44,14 +45,6 @@ from .components import components
 BLOCK_TEXTS = 250
 #: Texts apart from their leader that are compared with their whole bucket.
 APART = 32
-#: Samples that a longer key has more, and how often keys get longer.
-DEEPER = 2
-LEVELS = 3
-#: Words of a run that longer keys sample.
-RUN = 3
-
-_FACTORS = words.mix(np.arange(301, 301 + RUN, dtype=np.uint64)) | np.uint64(1)
-
 
 def sketches(docs: DataFrame, bands_of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """(key, doc_id, one, two, bands): one and two are hashes of the text;
@@ -129,6 +122,24 @@ def sizes_of(rest: DataFrame) -> DataFrame:
     return rest.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if("apart").alias("far"), *marks).where("far > 0")
 
 
+def shared_before(bands: pa.ListArray, band: int) -> Callable[[int], np.ndarray]:
+    """A function of a text's place that gives the places of those it shares a
+    bucket before ``band`` with; ``bands`` are the buckets of each."""
+    size = np.diff(bands.offsets.to_numpy())
+    flat, owner = bands.flatten().to_numpy(), np.repeat(np.arange(len(size)), size)
+    flat, owner = flat[flat < band], owner[flat < band]
+    ends = np.searchsorted(owner, np.arange(len(size) + 1))
+    order = np.argsort(flat, kind="stable")
+    holders, ranked = owner[order], flat[order]
+    first, last = np.searchsorted(ranked, flat, "left"), np.searchsorted(ranked, flat, "right")
+
+    def of(x: int) -> np.ndarray:
+        a, n = first[ends[x] : ends[x + 1]], (last - first)[ends[x] : ends[x + 1]]
+        return holders[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())]
+
+    return of
+
+
 def linked(rest: DataFrame, sizes: DataFrame, texts: DataFrame, near_many: Callable) -> DataFrame:
     """Links (a, b) within the buckets of ``sizes`` (by ``sizes_of``) of
     ``rest`` (node, band, label, apart), enough to join whatever is near;
@@ -143,7 +154,8 @@ def linked(rest: DataFrame, sizes: DataFrame, texts: DataFrame, near_many: Calla
     # are paired with those only.
     place = F.xxhash64("node")
     mine = F.when(apart, F.pmod(place, F.col("far"))).otherwise(F.col("far") + F.pmod(place, F.greatest("passed", F.lit(1))))
-    split = rest.join(count, "band").withColumn("mine", mine.cast("int"))
+    split = saved(rest.join(count, "band").withColumn("mine", mine.cast("int")), "compared")
+    bands = split.groupBy("node").agg(F.collect_list("band").alias("bands"))
     last = F.when(apart, F.col("far") + F.col("passed")).otherwise(F.col("far")) - 1
     split = split.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     split = split.select(
@@ -155,10 +167,14 @@ def linked(rest: DataFrame, sizes: DataFrame, texts: DataFrame, near_many: Calla
         words_ = [np.frombuffer(w.as_buffer(), "<u4") for w in group["words"]]
         one = group["i"][0].as_py() == group["j"][0].as_py()
         test, out = near_many(words_), []
+        before = shared_before(group["bands"].combine_chunks(), group["band"][0].as_py())
+        here = np.ones(len(nodes), bool)
         label = np.unique(group["label"].to_numpy(), return_inverse=True)[1]
         for x in range(1, len(nodes)):
             ys = np.arange(x) if one else np.flatnonzero(mine[:x] != mine[x])
-            ys = ys[label[ys] != label[x]]
+            here[elsewhere := before(x)] = False
+            ys = ys[(label[ys] != label[x]) & here[ys]]
+            here[elsewhere] = True
             for y in ys[test(x, ys)].tolist() if len(ys) else ():
                 if label[x] != label[y]:
                     label[label == label[x]] = label[y]
@@ -167,44 +183,13 @@ def linked(rest: DataFrame, sizes: DataFrame, texts: DataFrame, near_many: Calla
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return (
-        split.join(texts, "node")
-        .select("band", "i", "j", "mine", "node", "label", "words")
+        split.join(texts.join(bands, "node"), "node")
+        .select("band", "i", "j", "mine", "node", "label", "words", "bands")
         .groupBy("band", "i", "j")
         .applyInArrow(compare, "a long, b long")
     )
 
 
-def longer(held: DataFrame, texts: DataFrame, level: int) -> DataFrame:
-    """(node, band) with longer keys, for ``held`` (node, band)."""
-
-    def find(batches):
-        for batch in batches:
-            bands = batch.column("bands")
-            out = []
-            for i, blob in enumerate(batch.column("words")):
-                w = np.frombuffer(blob.as_buffer(), "<u4").astype(np.uint64)
-                band = bands[i].values.to_numpy().view(np.uint64)
-                key = words.mix(band + np.uint64(level))
-                if len(w) >= RUN:
-                    n = len(w) - RUN + 1
-                    runs = words.mix(sum(w[k : n + k] * _FACTORS[k] for k in range(RUN))) >> np.uint64(32)
-                    for j in range(DEEPER):
-                        # The run that a permutation of the band's own puts first.
-                        seed = words.mix(band + np.uint64(1 + j + DEEPER * level))
-                        order = (seed[:, None] | np.uint64(1)) * runs + (seed[:, None] >> np.uint64(7))
-                        key = words.mix(key + runs[(order >> np.uint64(16)).argmin(1)])
-                out.append(key.view(np.int64))
-            sizes = np.cumsum([0, *map(len, out)]).astype(np.int32)
-            flat = pa.array(np.concatenate([np.zeros(0, np.int64), *out]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.ListArray.from_arrays(pa.array(sizes), flat)], ["node", "bands"]
-            )
-
-    rows = held.groupBy("node").agg(F.collect_list("band").alias("bands")).join(texts, "node")
-    found = rows.select("node", "bands", "words").mapInArrow(find, "node long, bands array<long>")
-    return found.select("node", F.explode("bands").alias("band"))
-
-
 def by_rare_tokens(nodes: DataFrame, texts: DataFrame, rare_of: Callable) -> DataFrame:
     """(node, band): the rarest tokens of each of ``nodes`` (node), as many
     as ``rare_of(words)`` - (tokens, number) - says.  Tokens are different
@@ -225,10 +210,13 @@ def by_rare_tokens(nodes: DataFrame, texts: DataFrame, rare_of: Callable) -> Dat
 
     found = texts.join(nodes, "node", "left_semi").mapInArrow(find, "node long, number int, band long")
     found = saved(found, "tokens")
-    held = found.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    held = saved(found.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")), "held")
+    # Tokens of one text come first in its order: how many they are is enough.
+    alone = held.where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
     order = Window.partitionBy("node").orderBy("n", "band")
-    ranked = found.join(held, "band").withColumn("rank", F.row_number().over(order)).where("rank <= number")
-    return ranked.where("n > 1").select("node", "band")
+    shared = found.join(held.where("n > 1").select("band", "n"), "band").withColumn("rank", F.row_number().over(order))
+    ranked = shared.join(alone, "node", "left").where(F.col("rank") + F.coalesce("alone", F.lit(0)) <= F.col("number"))
+    return ranked.select("node", "band")
 
 
 class Labels:
@@ -248,7 +236,9 @@ class Labels:
     def join(self, links: DataFrame) -> None:
         """Join the classes of ``links`` (a, b)."""
         edges = self.of(self.of(links, "a", "x"), "b", "y").where("x <> y")
-        edges = saved(edges.select(F.col("x").alias("a"), F.col("y").alias("b")), "joins")
+        # Many links between the texts of two classes are one between these.
+        edges = edges.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        edges = saved(edges, "joins")
         if not edges.limit(1).count():
             return
         joined = components(edges)
@@ -297,8 +287,7 @@ def near_classes(
         known = found.select("a", "b") if known is None else known.unionByName(found.select("a", "b"))
         labels.join(found.where("near").select("a", "b"))
 
-    for level in range(LEVELS):
-        last = level == LEVELS - 1
+    for last in (False, True):
         led = led.where("node <> leader")
         test(led.groupBy(F.col("node").alias("a")).agg(F.min("leader").alias("b")))
         some = labels.of(labels.of(led, "node", "label"), "leader", "led_by").where("label <> led_by")
@@ -317,10 +306,7 @@ def near_classes(
         if last or not large.limit(1).count():
             break
         hot = labels.of(some.join(large, "band").select("node", "band", "apart"), "node", "label")
-        if level:
-            deep = longer(hot.select("node", "band"), texts, level).distinct()
-        else:
-            deep = by_rare_tokens(hot.select("node").distinct(), texts, rare_of)
+        deep = by_rare_tokens(hot.select("node").distinct(), texts, rare_of)
         # One row a text and key; leaders are texts apart, where there are any.
         deep = saved(deep, "deeper")
         away = hot.where("apart").select("node").distinct().withColumn("away", F.lit(1))

@@ -20,10 +20,10 @@ def components(edges: DataFrame) -> DataFrame:
     Vertices without an edge are not listed; an empty table gives an empty
     table."""
     a, b = F.col("a"), F.col("b")
-    # Both ways; with an edge to itself, every vertex is among its neighbours.
-    ways = F.array(*(F.struct(x.alias("a"), y.alias("b")) for x, y in ((a, b), (b, a), (a, a), (b, b))))
+    ways = F.array(*(F.struct(x.alias("a"), y.alias("b")) for x, y in ((a, b), (b, a))))
     both = edges.where("a <> b").select(F.inline(ways))
-    labels = saved(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")), "labels")
+    first = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label"))
+    labels = saved(first.select("id", F.least("id", "label").alias("label")), "labels")
     total = None
     while True:
         # Labels only fall: they have settled when their sum has.
@@ -31,7 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
         if total == before:
             return labels
         further = labels.select(F.col("id").alias("b"), F.col("label"))
-        near = both.join(further, "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("label"))
+        near = both.join(further, "b").select(F.col("a").alias("id"), "label").unionByName(labels)
+        near = near.groupBy("id").agg(F.min("label").alias("label"))
         near = saved(near, "labels")
         jump = near.select(F.col("id").alias("label"), F.col("label").alias("next"))
         labels = saved(near.join(jump, "label").select("id", F.col("next").alias("label")), "labels")

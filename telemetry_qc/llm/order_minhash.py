@@ -297,22 +297,37 @@ def near_many(texts: list[np.ndarray], similarity: float = SIMILARITY):
     owner = np.repeat(np.arange(len(texts)), [len(t) for t in tokens])
     _, pair = np.unique(np.concatenate([*tokens, np.zeros(0, np.uint64)]), return_inverse=True)
     pair = pair.astype(np.int64)
-    both, count = np.unique(owner * (pair.max(initial=0) + 1) + pair, return_counts=True)
-    who, pair = np.divmod(both, pair.max(initial=0) + 1)
+    n_pairs = pair.max(initial=0) + 1
+    both, count = np.unique(owner * n_pairs + pair, return_counts=True)
+    who, pair = np.divmod(both, n_pairs)
     ends = np.searchsorted(who, np.arange(len(texts) + 1))
-    mine = np.zeros(pair.max(initial=0) + 1, np.int64)
+    # The texts that have a pair, pair by pair.
+    order = np.argsort(pair, kind="stable")
+    holders, held = who[order], count[order]
+    begin = np.searchsorted(pair[order], np.arange(n_pairs + 1))
 
-    def test(x: int, ys: np.ndarray) -> np.ndarray:
-        longer = np.maximum(sizes[x], sizes[ys])
-        limits = ((1 - similarity) * longer + 1e-9).astype(np.int64)
+    mine = np.zeros(n_pairs, np.int64)
+
+    def shared_with(x: int, ys: np.ndarray) -> np.ndarray:
         own = slice(ends[x], ends[x + 1])
+        first, many = begin[pair[own]], begin[pair[own] + 1] - begin[pair[own]]
+        size = ends[ys + 1] - ends[ys]
+        if size.sum() > many.sum():  # through the pairs of x, else those of ys
+            at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+            return np.bincount(holders[at], np.minimum(held[at], np.repeat(count[own], many)), len(texts))[ys]
+        at = np.repeat(ends[ys] - np.cumsum(size) + size, size) + np.arange(size.sum())
         mine[pair[own]] = count[own]
-        shared = np.concatenate(([0], np.cumsum(np.minimum(count, mine[pair]))))
+        common = np.minimum(count[at], mine[pair[at]])
         mine[pair[own]] = 0
-        shared = (shared[ends[1:]] - shared[ends[:-1]])[ys]
-        may = (np.abs(sizes[x] - sizes[ys]) <= limits) & (shared >= longer - 1 - 2 * limits)
+        return np.bincount(np.repeat(np.arange(len(ys)), size), common, len(ys))
+
+    def test(x: int, ys: np.ndarray) -> np.ndarray:
+        longer = np.maximum(sizes[x], sizes[ys])
+        limits = ((1 - similarity) * longer + 1e-9).astype(np.int64)
         out = np.zeros(len(ys), bool)
-        may = np.flatnonzero(may)
+        may = np.flatnonzero(np.abs(sizes[x] - sizes[ys]) <= limits)
+        if len(may):
+            may = may[shared_with(x, ys[may]) >= (longer - 1 - 2 * limits)[may]]
         if not len(may):
             return out
         if len(texts[x]) * (2 * int(limits[may].max()) + 1) > CELLS:

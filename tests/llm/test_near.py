@@ -270,6 +270,23 @@ def test_a_common_passage_and_little_else(spark, monkeypatch):
     assert tuples(out, "doc_id", "class_id") == sorted(enumerate(all_pairs(texts)), key=repr)
 
 
+def test_frequent_rare_tokens_lose_no_link(spark, monkeypatch):
+    """Also the rarest word pairs of these texts are held by many texts
+    apart; near texts that differ evenly are found all the same."""
+    monkeypatch.setattr(C, "APART", 4)
+    rnd = random.Random(16)
+    texts = []
+    for g in range(60):
+        own = [f"s{s}v{rnd.randrange(2)}w{i}" for s in range(20) for i in range(5)]
+        texts += [own, [f"g{g}x{i}" if i % 6 == 3 else w for i, w in enumerate(own)]]
+    rnd.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    out = C.near_classes(docs(spark, rows), lambda hashes: np.zeros(1, np.uint64), O.near, O.near_many, O.rare_tokens)
+    want = all_pairs(texts)
+    assert len(set(want)) == 60
+    assert tuples(out, "doc_id", "class_id") == sorted(enumerate(want), key=repr)
+
+
 def test_near_texts_share_a_rare_token():
     """Whatever the order of rarity."""
     rnd = random.Random(15)
