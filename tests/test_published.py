@@ -209,6 +209,19 @@ def test_isolate_policy_in_a_stream(spark):
     assert clean.count() == Q.q17_device_data(spark, SF_SMALL).count()
 
 
+def test_a_span_is_told_from_the_files(spark, scratch):
+    """By ranges of the plain column; records without offset are before 0."""
+    path = scratch("span")
+    rows = [(0, None), (0, 0), (0, 5), (1, 5), (None, 5)]
+    spark.createDataFrame(rows, "kafka_partition int, kafka_offset long").write.parquet(path)
+    df = spark.read.parquet(path)
+    found = lambda s: sorted((tuple(r) for r in df.where(s.within()).collect()), key=repr)
+    assert found(Span(0, -1, 0)) == [(0, 0), (0, None)] and found(Span(0, 0, 9)) == [(0, 0), (0, 5)]
+    assert found(Span(None, 5, 5)) == [(None, 5)]
+    pushed = df.where(Span(0, 1, 5).within())._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(kafka_offset,1)" in pushed
+
+
 def test_isolate_needs_a_log_and_records(spark):
     config = R.StreamConfig("x", on_error=R.ISOLATE)
     with pytest.raises(ValueError, match="error_log"):

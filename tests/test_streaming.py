@@ -207,3 +207,15 @@ def test_counts_of_more_batches_than_the_progress_keeps(spark, monkeypatch):
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
     assert sum(p["numInputRows"] for p in run.progress) < events == got["records"]
     assert got["corrupt"] + got["clean"] + got["failed"] == events
+
+
+def test_batches_follow_the_rows_of_a_core(spark, monkeypatch):
+    """A batch holds BATCH_ROWS records a file, one file a core: a larger
+    cluster has larger batches, and not more."""
+    from telemetry_qc.streaming import queries as S
+
+    rows = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    monkeypatch.setattr(S, "BATCH_ROWS", -(-rows // 20))
+    monkeypatch.setattr(S, "files_per_batch", lambda spark: 5)
+    landed = spark.read.parquet(S.land_envelope(spark, SF_SMALL))
+    assert len(landed.inputFiles()) == 5 * N_BATCHES and landed.count() == rows
