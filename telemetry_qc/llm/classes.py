@@ -12,10 +12,13 @@ they are more - texts with a common passage and little else in common -
 their texts are dealt anew by rare tokens: near texts have so many tokens in
 common that one is among the rarest of both (``rare_of`` tells how many that
 takes), so no near pair is lost, while a passage that many share is not rare.
-Buckets of a token, with leaders from these texts, are compared whole, however
-many texts are apart: no longer key that near texts may miss parts them.  So a
-bucket of bands costs its size times ``APART``, and one of a rare token its size
-times its texts apart.
+Where a passage is so large a part of the texts that its tokens are among these,
+buckets of tokens have many texts apart too; then the next kind of tokens deals
+the texts of those buckets anew, with leaders from the texts apart.  Near texts
+that meet in such a bucket meet again under a token of any kind.  Buckets of the
+last kind are compared whole, however many texts are apart.  So a bucket costs
+its size times ``APART``, and one of the last kind its size times its texts
+apart.
 
 Comparisons are made in groups of bounded size (a larger bucket is cut into
 blocks, and every two blocks with a text apart make a group), which give back
@@ -257,10 +260,11 @@ def near_classes(
     bands_of: Callable[[np.ndarray], np.ndarray],
     near: Callable[[np.ndarray, np.ndarray], bool],
     near_many: Callable,
-    rare_of: Callable[[np.ndarray], tuple[np.ndarray, int]],
+    *rare_of: Callable[[np.ndarray], tuple[np.ndarray, int]],
 ) -> DataFrame:
     """One row per row of ``docs``: key, doc_id, class_id (doc_id of the
-    class's first document), class_size (rows), kept (it is that document)."""
+    class's first document), class_size (rows), kept (it is that document).
+    ``rare_of`` are the kinds of tokens, in the order of their use."""
     docs = documents(docs, "doc_id", "text")
     ship(docs.sparkSession)
     rows = saved(sketches(docs, bands_of), "sketches")
@@ -287,7 +291,7 @@ def near_classes(
         known = found.select("a", "b") if known is None else known.unionByName(found.select("a", "b"))
         labels.join(found.where("near").select("a", "b"))
 
-    for last in (False, True):
+    for rare in (*rare_of, None):
         led = led.where("node <> leader")
         test(led.groupBy(F.col("node").alias("a")).agg(F.min("leader").alias("b")))
         some = labels.of(labels.of(led, "node", "label"), "leader", "led_by").where("label <> led_by")
@@ -300,13 +304,13 @@ def near_classes(
         apart = F.col("label") != F.col("led_by")
         some = saved(some.select("node", "band", "label", apart.alias("apart")), "rest")
         sizes = saved(sizes_of(some), "apart")
-        links = linked(some, sizes if last else sizes.where(F.col("far") <= APART), texts, near_many)
+        links = linked(some, sizes if rare is None else sizes.where(F.col("far") <= APART), texts, near_many)
         labels.join(saved(links, "links"))
         large = sizes.where(F.col("far") > APART).select("band")
-        if last or not large.limit(1).count():
+        if rare is None or not large.limit(1).count():
             break
         hot = labels.of(some.join(large, "band").select("node", "band", "apart"), "node", "label")
-        deep = by_rare_tokens(hot.select("node").distinct(), texts, rare_of)
+        deep = by_rare_tokens(hot.select("node").distinct(), texts, rare)
         # One row a text and key; leaders are texts apart, where there are any.
         deep = saved(deep, "deeper")
         away = hot.where("apart").select("node").distinct().withColumn("away", F.lit(1))

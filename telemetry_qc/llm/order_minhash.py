@@ -271,6 +271,27 @@ def near(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     return within(a, b, limit)
 
 
+def numbered(x: np.ndarray) -> np.ndarray:
+    """Tokens of x: each with the number of its occurrence."""
+    order = np.argsort(x, kind="stable")
+    new = np.concatenate(([True], x[order][1:] != x[order][:-1]))
+    at = np.arange(len(x))
+    again = np.empty(len(x), np.uint64)
+    again[order] = at - np.maximum.accumulate(np.where(new, at, 0))
+    return words.mix(x + again * _FACTORS[0])
+
+
+def rare_words(w: np.ndarray, similarity: float = SIMILARITY) -> tuple[np.ndarray, int]:
+    """As ``rare_tokens``, of a text's words: an edit touches one word, so
+    that texts that share less than their edits leave, a passage and no more,
+    have none of the passage's words among their rarest."""
+    n = len(w)
+    if not n:
+        return np.zeros(0, np.uint64), 0
+    # The longest of the two texts keeps all words but its edits.
+    return numbered(w.astype(np.uint64)), edits(n, similarity) + 1
+
+
 def rare_tokens(w: np.ndarray, similarity: float = SIMILARITY) -> tuple[np.ndarray, int]:
     """A text's word pairs, numbered where they repeat, and how many of the
     rarest it takes that a near text has one of its own rarest among them."""
@@ -278,56 +299,62 @@ def rare_tokens(w: np.ndarray, similarity: float = SIMILARITY) -> tuple[np.ndarr
     if n < 2:
         return words.mix(w.astype(np.uint64)), n
     pairs = w[:-1].astype(np.uint64) << np.uint64(32) | w[1:]
-    order = np.argsort(pairs, kind="stable")
-    new = np.concatenate(([True], pairs[order][1:] != pairs[order][:-1]))
-    at = np.arange(n - 1)
-    again = np.empty(n - 1, np.uint64)
-    again[order] = at - np.maximum.accumulate(np.where(new, at, 0))
     # An edit touches at most two word pairs; the longer text may be this one
     # or another of up to n / similarity words.
     shared = min(m - 1 - 2 * edits(m, similarity) for m in range(n, min(int(n / similarity + 1e-9), n + 5) + 1))
-    return words.mix(pairs + again * _FACTORS[0]), min(n - 1, n - 1 - max(shared, 1) + 1)
-
-
-def near_many(texts: list[np.ndarray], similarity: float = SIMILARITY):
-    """A function of a place and earlier places that tells which of them are
-    near it; as ``near``, for many pairs at a time."""
-    sizes = np.array([len(t) for t in texts])
-    tokens = [_pairs(t) if len(t) > 1 else np.zeros(0, np.uint64) for t in texts]
-    owner = np.repeat(np.arange(len(texts)), [len(t) for t in tokens])
-    _, pair = np.unique(np.concatenate([*tokens, np.zeros(0, np.uint64)]), return_inverse=True)
-    pair = pair.astype(np.int64)
-    n_pairs = pair.max(initial=0) + 1
-    both, count = np.unique(owner * n_pairs + pair, return_counts=True)
-    who, pair = np.divmod(both, n_pairs)
-    ends = np.searchsorted(who, np.arange(len(texts) + 1))
-    # The texts that have a pair, pair by pair.
-    order = np.argsort(pair, kind="stable")
+    return numbered(pairs), min(n - 1, n - 1 - max(shared, 1) + 1)
+
+
+def sharing(tokens: list[np.ndarray]):
+    """A function of a place and other places that tells how many tokens the
+    text there shares with each of those, repeats counted."""
+    owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+    _, token = np.unique(np.concatenate([*tokens, np.zeros(0, np.uint64)]), return_inverse=True)
+    token = token.astype(np.int64)
+    n_tokens = token.max(initial=0) + 1
+    both, count = np.unique(owner * n_tokens + token, return_counts=True)
+    who, token = np.divmod(both, n_tokens)
+    ends = np.searchsorted(who, np.arange(len(tokens) + 1))
+    # The texts that have a token, token by token.
+    order = np.argsort(token, kind="stable")
     holders, held = who[order], count[order]
-    begin = np.searchsorted(pair[order], np.arange(n_pairs + 1))
+    begin = np.searchsorted(token[order], np.arange(n_tokens + 1))
 
-    mine = np.zeros(n_pairs, np.int64)
+    mine = np.zeros(n_tokens, np.int64)
 
     def shared_with(x: int, ys: np.ndarray) -> np.ndarray:
         own = slice(ends[x], ends[x + 1])
-        first, many = begin[pair[own]], begin[pair[own] + 1] - begin[pair[own]]
+        first, many = begin[token[own]], begin[token[own] + 1] - begin[token[own]]
         size = ends[ys + 1] - ends[ys]
-        if size.sum() > many.sum():  # through the pairs of x, else those of ys
+        if size.sum() > many.sum():  # through the tokens of x, else those of ys
             at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
-            return np.bincount(holders[at], np.minimum(held[at], np.repeat(count[own], many)), len(texts))[ys]
+            return np.bincount(holders[at], np.minimum(held[at], np.repeat(count[own], many)), len(tokens))[ys]
         at = np.repeat(ends[ys] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        mine[pair[own]] = count[own]
-        common = np.minimum(count[at], mine[pair[at]])
-        mine[pair[own]] = 0
+        mine[token[own]] = count[own]
+        common = np.minimum(count[at], mine[token[at]])
+        mine[token[own]] = 0
         return np.bincount(np.repeat(np.arange(len(ys)), size), common, len(ys))
 
+    return shared_with
+
+
+def near_many(texts: list[np.ndarray], similarity: float = SIMILARITY):
+    """A function of a place and earlier places that tells which of them are
+    near it; as ``near``, for many pairs at a time."""
+    sizes = np.array([len(t) for t in texts])
+    shared_words = sharing([t.astype(np.uint64) for t in texts])
+    shared_pairs = sharing([_pairs(t) if len(t) > 1 else np.zeros(0, np.uint64) for t in texts])
+
     def test(x: int, ys: np.ndarray) -> np.ndarray:
         longer = np.maximum(sizes[x], sizes[ys])
         limits = ((1 - similarity) * longer + 1e-9).astype(np.int64)
         out = np.zeros(len(ys), bool)
         may = np.flatnonzero(np.abs(sizes[x] - sizes[ys]) <= limits)
+        # An edit touches one word and at most two word pairs.
+        if len(may):
+            may = may[shared_words(x, ys[may]) >= (longer - limits)[may]]
         if len(may):
-            may = may[shared_with(x, ys[may]) >= (longer - 1 - 2 * limits)[may]]
+            may = may[shared_pairs(x, ys[may]) >= (longer - 1 - 2 * limits)[may]]
         if not len(may):
             return out
         if len(texts[x]) * (2 * int(limits[may].max()) + 1) > CELLS:
@@ -342,13 +369,13 @@ def near_many(texts: list[np.ndarray], similarity: float = SIMILARITY):
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size, kept; one row per document."""
-    return near_classes(docs, band_keys, near, near_many, rare_tokens).drop("key")
+    return near_classes(docs, band_keys, near, near_many, rare_tokens, rare_words).drop("key")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that are the first of their class, once each, with the
     columns of documents."""
-    found = saved(near_classes(docs, band_keys, near, near_many, rare_tokens).select("key", "kept"), "classes")
+    found = saved(near_classes(docs, band_keys, near, near_many, rare_tokens, rare_words).select("key", "kept"), "classes")
     others = small(saved(found.where("not kept").select("key").distinct(), "others"))
     out = documents(docs).withColumn("key", order_key()).join(others, "key", "left_anti")
     # Rows stated many times have one key.

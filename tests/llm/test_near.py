@@ -304,6 +304,53 @@ def test_near_texts_share_a_rare_token():
         assert set(sorted(x.tolist(), key=rank)[:i]) & set(sorted(y.tolist(), key=rank)[:j])
 
 
+def test_a_passage_that_is_most_of_the_text(spark, monkeypatch):
+    """Its word pairs are among the rarest that a text has, in buckets of many
+    texts apart; their rare words part these, and no link is lost."""
+    monkeypatch.setattr(C, "APART", 4)
+    work, real = [], C.linked
+
+    def linked(rest, sizes, *more):
+        work.append(sum(r["n"] * r["far"] for r in sizes.where("n > 1").dropDuplicates(["mark0", "mark1"]).collect()))
+        return real(rest, sizes, *more)
+
+    monkeypatch.setattr(C, "linked", linked)
+    rnd = random.Random(17)
+    texts = []
+    for g in range(80):
+        own = [f"g{g}w{i}" for i in range(28)]
+        texts.append(own + ["is", "on"] * 36)
+        if g % 4 == 0:
+            texts.append(changed(rnd, own, 5) + ["is", "on"] * 36)
+    rnd.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    out = C.near_classes(docs(spark, rows), lambda hashes: np.zeros(1, np.uint64), O.near, O.near_many, O.rare_tokens, O.rare_words)
+    want = all_pairs(texts)
+    assert len(set(want)) == 80
+    assert tuples(out, "doc_id", "class_id") == sorted(enumerate(want), key=repr)
+    assert sum(work) < 20 * len(texts)
+
+
+def test_near_texts_share_a_rare_word():
+    """Whatever the order of rarity."""
+    rnd = random.Random(18)
+    seen = 0
+    for _ in range(400):
+        n = rnd.randint(1, 60)
+        a = [rnd.randrange(8 if n < 20 else 1000) for _ in range(n)]
+        b = [rnd.randrange(10**6) if rnd.random() < 0.15 else x for x in a]
+        del b[: rnd.randint(0, 2)]
+        a, b = np.array(a, "<u4"), np.array(b, "<u4")
+        if not O.near(a, b):
+            continue
+        seen += 1
+        salt = rnd.randrange(2**63)
+        rank = lambda t: hash((salt, int(t)))
+        (x, i), (y, j) = O.rare_words(a), O.rare_words(b)
+        assert set(sorted(x.tolist(), key=rank)[:i]) & set(sorted(y.tolist(), key=rank)[:j])
+    assert seen > 100
+
+
 def changed(rnd, text, n, evenly=False):
     """The text with n words changed, inserted or dropped (changed only, at
     even distances, if ``evenly``)."""
