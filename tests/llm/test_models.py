@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,6 +10,9 @@ import numpy as np
 import pytest
 from helpers import clashing, docs, tuples
 
+from pyspark.sql import functions as F
+
+from telemetry_qc.llm import common as CO
 from telemetry_qc.llm import kneser_ney as K
 from telemetry_qc.llm import log_bilinear as B
 
@@ -151,6 +155,48 @@ def test_replies_hold_what_a_block_needs(spark):
     assert got == {(1, 7): (-0.5, 0, 0), (1, 9 << 32 | 8): (-3.25, -4.0, -5.0), (1 << 32, 7): (0, -1.0, -2.0)}
 
 
+def test_saved_tables_leave_no_shuffle_files(spark):
+    """What a write has shuffled goes with it; the session's setting stays."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        every = manager.getAllFiles()
+        names = [every.apply(i).getName() for i in range(every.size())]
+        return {n for n in names if n.startswith("shuffle_")}
+
+    old = files()
+    got = CO.saved(spark.range(20_000).groupBy((F.col("id") % 977).alias("k")).count(), "counts")
+    for _ in range(50):
+        if not files() - old:
+            break
+        time.sleep(0.1)
+    assert not files() - old
+    assert got.count() == 977
+    assert spark.conf.get(name, None) == before
+
+
+@pytest.mark.parametrize("part", [1, 3, K.PART])
+def test_asked_trigrams_whatever_the_parts(spark, monkeypatch, part):
+    """Counts of a block are the same however it is worked on in parts."""
+    monkeypatch.setattr(K, "PART", part)
+    rnd = np.random.default_rng(3)
+    bodies = [bytes([*rnd.integers(K.FIRST_WORD, K.FIRST_WORD + 3, 8), K.END]) for _ in range(40)]
+    trusted, lang = [i % 3 for i in range(40)], [i % 2 for i in range(40)]
+    ends = np.cumsum([len(b) for b in bodies])
+    row = (7, bytes(trusted), np.array(lang, "<i4").tobytes(), ends.astype("<i4").tobytes(), b"".join(bodies))
+    blocks = spark.createDataFrame([row], "block long, trusted binary, lang binary, ends binary, symbols binary")
+    want = Counter()
+    for body, t, i in zip(bodies, trusted, lang):
+        for g in K.trigrams(np.frombuffer(body, np.uint8), np.array([len(body)]), np.array([i])).tolist():
+            want[g, t] += 1
+    got = {r["gram"]: (r["n1"], r["n2"], r["need"]) for r in K.asked(blocks).collect()}
+    assert got == {
+        g: (want[g, 1], want[g, 2], sum((want[g, m] > 0) << m for m in K.MODELS)) for g in {g for g, _ in want}
+    }
+
+
 def test_frequent_words_are_of_all_trusted_documents(spark):
     """Above 10,000 documents a language no document is left out: a word of
     one rare document beats a word of fewer occurrences whatever the size."""
