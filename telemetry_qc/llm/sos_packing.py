@@ -81,8 +81,8 @@ def encoder(content: str, spaced: bool) -> UnitCache:
 
         def encode(texts: list[str]) -> list[np.ndarray]:
             out = []
-            for first in range(0, len(texts), 20_000):
-                some = texts[first : first + 20_000]
+            for first in range(0, len(texts), 2_000):
+                some = texts[first : first + 2_000]
                 got = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
                 ids = np.array(got.ids, np.uint32)
                 ends = np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(some) + 1))
