@@ -5,6 +5,10 @@ that share a band key form a bucket.  Each text is tested against the leader of
 its buckets, first the least of them, then those it is in no class with yet;
 links that hold join classes, and only joined classes go on.
 
+A text is tested against the leaders of most of its buckets, at most
+``LEADERS`` of them after the least; others are left to the comparison of the
+bucket, which misses nothing.
+
 A bucket then may hold texts apart, in another class than its leader's.  Where
 they are at most ``APART``, each is compared with all other texts of the
 bucket, also those that passed, unless both are in one class already.  Where
@@ -12,6 +16,8 @@ they are more - texts with a common passage and little else in common -
 their texts are dealt anew by rare tokens: near texts have so many tokens in
 common that one is among the rarest of both (``rare_of`` tells how many that
 takes), so no near pair is lost, while a passage that many share is not rare.
+Rarity is told by counts of slots that tokens are hashed to, a table of fixed
+size; a text gives its rarest tokens only.
 Where a passage is so large a part of the texts that its tokens are among these,
 buckets of tokens have many texts apart too; then the next kind of tokens deals
 the texts of those buckets anew, with leaders from the texts apart.  Near texts
@@ -20,10 +26,9 @@ last kind are compared whole, however many texts are apart.  So a bucket costs
 its size times ``APART``, and one of the last kind its size times its texts
 apart.
 
-Comparisons are made in groups of bounded size (a larger bucket is cut into
-blocks, and every two blocks with a text apart make a group), which give back
-only links that join something.  Two texts are compared in the first of the
-buckets that they share, not in every one.
+Comparisons are made in groups of bounded size (a larger bucket is cut into blocks, and every two blocks with a text apart make a group), which
+give back only links that join something.  Two texts are compared in the first
+of the buckets that they share, not in every one.
 
 Tables live in the shared folder.  Counting a bucket aggregates partially;
 joins on a key that many texts share are between plain tables, so adaptive
@@ -48,6 +53,16 @@ from .components import components
 BLOCK_TEXTS = 250
 #: Texts apart from their leader that are compared with their whole bucket.
 APART = 32
+#: Leaders a text is tested against, after the least one.
+LEADERS = 3
+#: Slots in which tokens are counted, 4 MB in all, and slots of a row of counts.
+SLOTS = 1 << 20
+PART_SLOTS = 1 << 12
+
+
+def slots(tokens: np.ndarray) -> np.ndarray:
+    return (words.mix(tokens) >> np.uint64(44)).astype(np.int64)
+
 
 def sketches(docs: DataFrame, bands_of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """(key, doc_id, one, two, bands): one and two are hashes of the text;
@@ -193,33 +208,69 @@ def linked(rest: DataFrame, sizes: DataFrame, texts: DataFrame, near_many: Calla
     )
 
 
+def token_counts(hot: DataFrame, rare_of: Callable) -> np.ndarray:
+    """How many tokens of ``hot`` (node, words) fall into each of ``SLOTS``
+    slots.  A task gives back one row a part of the slots."""
+
+    def count(batches):
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for blob in batch.column("words"):
+                tokens, _ = rare_of(np.frombuffer(blob.as_buffer(), "<u4"))
+                slot, n = np.unique(slots(tokens), return_counts=True)
+                total[slot] += n
+        parts = total.reshape(-1, PART_SLOTS)
+        some = np.flatnonzero(parts.any(1))
+        at = [np.flatnonzero(parts[p]) for p in some]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(some.astype(np.int32)),
+                pa.array([x.astype("<u2").tobytes() for x in at], pa.binary()),
+                pa.array([parts[p][x].astype("<i8").tobytes() for p, x in zip(some, at)], pa.binary()),
+            ],
+            ["part", "slots", "counts"],
+        )
+
+    def add(group):
+        total = np.zeros(PART_SLOTS, np.int64)
+        for at, n in zip(group["slots"], group["counts"]):
+            total[np.frombuffer(at.as_buffer(), "<u2")] += np.frombuffer(n.as_buffer(), "<i8")
+        return pa.table(
+            {"part": group["part"][:1], "counts": pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())}
+        )
+
+    found = hot.select("words").mapInArrow(count, "part int, slots binary, counts binary")
+    out = np.zeros((SLOTS // PART_SLOTS, PART_SLOTS), np.uint32)
+    for part, counts in found.groupBy("part").applyInArrow(add, "part int, counts binary").collect():
+        out[part] = np.frombuffer(counts, "<u4")
+    return out.reshape(-1)
+
+
 def by_rare_tokens(nodes: DataFrame, texts: DataFrame, rare_of: Callable) -> DataFrame:
     """(node, band): the rarest tokens of each of ``nodes`` (node), as many
     as ``rare_of(words)`` - (tokens, number) - says.  Tokens are different
-    numbers; rare are those that few of the nodes have."""
+    numbers; rare are those whose slot few of the nodes' tokens fall into.
+    That is one order of all tokens for every text, so that near texts have
+    one in common whatever falls into one slot."""
+    hot = saved(texts.join(nodes, "node", "left_semi"), "hot")
+    counts = token_counts(hot, rare_of)
 
     def find(batches):
         for batch in batches:
-            for node, blob in zip(batch.column("node").to_pylist(), batch.column("words")):
+            found = []
+            for blob in batch.column("words"):
                 tokens, number = rare_of(np.frombuffer(blob.as_buffer(), "<u4"))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(tokens), node)),
-                        pa.array(np.full(len(tokens), number, np.int32)),
-                        pa.array(tokens.view(np.int64)),
-                    ],
-                    ["node", "number", "band"],
-                )
-
-    found = texts.join(nodes, "node", "left_semi").mapInArrow(find, "node long, number int, band long")
-    found = saved(found, "tokens")
-    held = saved(found.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")), "held")
-    # Tokens of one text come first in its order: how many they are is enough.
-    alone = held.where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    order = Window.partitionBy("node").orderBy("n", "band")
-    shared = found.join(held.where("n > 1").select("band", "n"), "band").withColumn("rank", F.row_number().over(order))
-    ranked = shared.join(alone, "node", "left").where(F.col("rank") + F.coalesce("alone", F.lit(0)) <= F.col("number"))
-    return ranked.select("node", "band")
+                found.append(tokens[np.lexsort((tokens, counts[slots(tokens)]))[:number]])
+            size = [len(x) for x in found]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(batch.column("node").to_numpy(), size)),
+                    pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)),
+                ],
+                ["node", "band"],
+            )
+
+    return hot.mapInArrow(find, "node long, band long")
 
 
 class Labels:
@@ -295,7 +346,12 @@ def near_classes(
         led = led.where("node <> leader")
         test(led.groupBy(F.col("node").alias("a")).agg(F.min("leader").alias("b")))
         some = labels.of(labels.of(led, "node", "label"), "leader", "led_by").where("label <> led_by")
-        test(some.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
+        # The leaders of most buckets; who is near another is a text apart, for
+        # the comparison of the bucket.
+        most = Window.partitionBy("node").orderBy(F.desc("n"), "leader")
+        some = some.groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"))
+        some = some.withColumn("rank", F.row_number().over(most)).where(F.col("rank") <= LEADERS)
+        test(some.select(F.col("node").alias("a"), F.col("leader").alias("b")))
         # Texts apart, and their buckets, the leader among them.
         every = led.select("node", "band", "leader").unionByName(
             led.select(F.col("leader").alias("node"), "band", "leader").distinct()

@@ -331,6 +331,58 @@ def test_a_passage_that_is_most_of_the_text(spark, monkeypatch):
     assert sum(work) < 20 * len(texts)
 
 
+def test_a_text_is_in_few_pairs_with_leaders(spark, monkeypatch):
+    """However many leaders its buckets have."""
+    work, real = [], C.tested
+
+    def tested(pairs, *more):
+        work.append(pairs.count())
+        return real(pairs, *more)
+
+    monkeypatch.setattr(C, "tested", tested)
+    rnd = random.Random(19)
+    texts = []
+    for g in range(60):
+        own = [f"g{g}w{i}" for i in range(40)]
+        texts += [own, own[:1] + changed(rnd, own[1:], 5)]
+    rnd.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    keys = lambda hashes: np.random.default_rng(int(hashes[0])).choice(200, 20, False).astype(np.uint64)
+    out = C.near_classes(docs(spark, rows), keys, O.near, O.near_many, O.rare_tokens, O.rare_words)
+    want = all_pairs(texts)
+    assert len(set(want)) == 60
+    assert tuples(out, "doc_id", "class_id") == sorted(enumerate(want), key=repr)
+    assert sum(work) <= 4 * len(texts)
+
+
+def test_a_text_gives_its_rarest_tokens_only(spark, monkeypatch):
+    """Not a row for each of its tokens; near texts have one in common."""
+    rows, real = [], C.saved
+
+    def saved(df, name):
+        out = real(df, name)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(C, "saved", saved)
+    rnd = np.random.default_rng(21)
+    passage = rnd.integers(0, 2**32, 60, dtype=np.uint32)
+    texts = [np.concatenate([passage, rnd.integers(0, 2**32, 60, dtype=np.uint32)]) for _ in range(80)]
+    texts += [np.where(rnd.random(120) < 0.1, rnd.integers(0, 2**32, 120, dtype=np.uint32), t) for t in texts]
+    texts = [t.astype("<u4") for t in texts]
+    table = spark.createDataFrame([(i, t.tobytes()) for i, t in enumerate(texts)], "node long, words binary")
+    for rare in (O.rare_tokens, O.rare_words):
+        found = C.by_rare_tokens(table.select("node"), table, rare).collect()
+        assert len(found) == sum(rare(t)[1] for t in texts) < 0.5 * sum(len(rare(t)[0]) for t in texts)
+        own = [set() for _ in texts]
+        for r in found:
+            own[r["node"]].add(r["band"])
+        assert all(own[i] & own[i + 80] for i in range(80) if O.near(texts[i], texts[i + 80]))
+        shared = np.array(rare(np.append(passage, 1).astype("<u4"))[0][:59]).view(np.int64).tolist()
+        assert max(sum(t in x for x in own) for t in shared) < 80  # the passage is not rare
+    assert max(rows) == len(texts)
+
+
 def test_near_texts_share_a_rare_word():
     """Whatever the order of rarity."""
     rnd = random.Random(18)
