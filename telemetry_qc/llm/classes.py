@@ -22,11 +22,12 @@ Where a passage is so large a part of the texts that its tokens are among these,
 buckets of tokens have many texts apart too; then the next kind of tokens deals
 the texts of those buckets anew, with leaders from the texts apart.  Near texts
 that meet in such a bucket meet again under a token of any kind.  Buckets of the
-last kind are compared whole, however many texts are apart.  So a bucket costs
-its size times ``APART``, and one of the last kind its size times its texts
-apart.
+last kind are compared whole, however many texts are apart, or all their texts
+as one bucket if that is fewer pairs.  So a bucket costs its size times
+``APART``, and one of the last kind its size times its texts apart.
 
-Comparisons are made in groups of bounded size (a larger bucket is cut into blocks, and every two blocks with a text apart make a group), which
+Comparisons are made in groups of bounded size (a bucket of over two blocks is
+cut into blocks, and every two blocks with a text apart make a group), which
 give back only links that join something.  Two texts are compared in the first
 of the buckets that they share, not in every one.
 
@@ -140,6 +141,17 @@ def sizes_of(rest: DataFrame) -> DataFrame:
     return rest.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if("apart").alias("far"), *marks).where("far > 0")
 
 
+def fewest(rest: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rest`` and ``sizes`` as they are, or all texts in one bucket if the
+    buckets name more pairs than these texts have."""
+    held = rest.join(sizes.select("band"), "band").select("node", "label").distinct()
+    n = held.count()
+    if not n or sizes.agg(F.sum(F.col("n") * F.col("far"))).first()[0] < n * (n - 1) // 2:
+        return rest, sizes
+    held = saved(held.select("node", F.lit(0).cast("long").alias("band"), "label", F.lit(True).alias("apart")), "rest")
+    return held, saved(sizes_of(held), "apart")
+
+
 def shared_before(bands: pa.ListArray, band: int) -> Callable[[int], np.ndarray]:
     """A function of a text's place that gives the places of those it shares a
     bucket before ``band`` with; ``bands`` are the buckets of each."""
@@ -166,12 +178,19 @@ def linked(rest: DataFrame, sizes: DataFrame, texts: DataFrame, near_many: Calla
     apart = F.col("apart")
     # Buckets of the same texts are compared once.
     count = sizes.where("n > 1").groupBy("n", "far", "mark0", "mark1").agg(F.min("band").alias("band"))
-    blocks = [F.ceil(x / BLOCK_TEXTS).cast("int") for x in (F.col("far"), F.col("n") - F.col("far"))]
+    # A bucket that fits into one group is one block of texts apart: those that
+    # passed have one label and are not compared with each other.
+    whole = F.col("n") <= 2 * BLOCK_TEXTS
+    blocks = [
+        F.when(whole, F.lit(one)).otherwise(F.ceil(x / BLOCK_TEXTS)).cast("int")
+        for one, x in ((1, F.col("far")), (0, F.col("n") - F.col("far")))
+    ]
     count = saved(count.select("band", blocks[0].alias("far"), blocks[1].alias("passed")), "buckets")
     # Blocks of texts apart from their leader come first; the others' blocks
     # are paired with those only.
     place = F.xxhash64("node")
-    mine = F.when(apart, F.pmod(place, F.col("far"))).otherwise(F.col("far") + F.pmod(place, F.greatest("passed", F.lit(1))))
+    passed = F.col("far") + F.pmod(place, F.greatest("passed", F.lit(1)))
+    mine = F.when(F.col("far") + F.col("passed") == 1, F.lit(0)).when(apart, F.pmod(place, F.col("far"))).otherwise(passed)
     split = saved(rest.join(count, "band").withColumn("mine", mine.cast("int")), "compared")
     bands = split.groupBy("node").agg(F.collect_list("band").alias("bands"))
     last = F.when(apart, F.col("far") + F.col("passed")).otherwise(F.col("far")) - 1
@@ -360,6 +379,8 @@ def near_classes(
         apart = F.col("label") != F.col("led_by")
         some = saved(some.select("node", "band", "label", apart.alias("apart")), "rest")
         sizes = saved(sizes_of(some), "apart")
+        if rare is None:
+            some, sizes = fewest(some, sizes)
         links = linked(some, sizes if rare is None else sizes.where(F.col("far") <= APART), texts, near_many)
         labels.join(saved(links, "links"))
         large = sizes.where(F.col("far") > APART).select("band")

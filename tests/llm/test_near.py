@@ -355,6 +355,27 @@ def test_a_text_is_in_few_pairs_with_leaders(spark, monkeypatch):
     assert sum(work) <= 4 * len(texts)
 
 
+def test_a_small_bucket_is_one_group(spark, tmp_path):
+    """A text apart goes there once, not also with those that passed."""
+    rnd = random.Random(20)
+    base = [f"w{i}" for i in range(40)]
+    texts = [base] + [changed(rnd, base, 4) for _ in range(9)]
+    texts += [[f"g{g}w{i}" for i in range(40)] for g in range(30)]
+    words = [(i, np.array([W.mix(np.array([hash(w) & 0xFFFFFFFF], np.uint64))[0] & np.uint64(0xFFFFFFFF) for w in t], "<u4").tobytes()) for i, t in enumerate(texts)]
+    rest = [(i, 7, 0 if i < 10 else i, i >= 10) for i in range(len(texts))]
+    rest = spark.createDataFrame(rest, "node long, band long, label long, apart boolean")
+    seen = str(tmp_path / "seen")
+
+    def near_many(found):
+        with open(seen, "a") as f:
+            f.write(f"{len(found)}\n")
+        return O.near_many(found)
+
+    links = C.linked(rest, C.sizes_of(rest), spark.createDataFrame(words, "node long, words binary"), near_many)
+    assert links.collect() == []
+    assert [int(x) for x in open(seen)] == [len(texts)]
+
+
 def test_a_text_gives_its_rarest_tokens_only(spark, monkeypatch):
     """Not a row for each of its tokens; near texts have one in common."""
     rows, real = [], C.saved
@@ -383,6 +404,17 @@ def test_a_text_gives_its_rarest_tokens_only(spark, monkeypatch):
     assert max(rows) == len(texts)
 
 
+def test_texts_of_the_last_buckets_in_one(spark):
+    """Where the buckets name more pairs than there are."""
+    schema = "node long, band long, label long, apart boolean"
+    rest = spark.createDataFrame([(n, b, n, n > 0) for b in range(30) for n in range(20)], schema)
+    held, sizes = C.fewest(rest, C.sizes_of(rest))
+    assert [(r["n"], r["far"]) for r in sizes.collect()] == [(20, 20)]
+    assert sorted((r["node"], r["label"]) for r in held.collect()) == [(n, n) for n in range(20)]
+    rest = spark.createDataFrame([(2 * b + n, b, 2 * b + n, n > 0) for b in range(30) for n in range(2)], schema)
+    assert C.fewest(rest, C.sizes_of(rest))[0] is rest
+
+
 def test_near_texts_share_a_rare_word():
     """Whatever the order of rarity."""
     rnd = random.Random(18)
