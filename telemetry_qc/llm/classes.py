@@ -11,13 +11,17 @@ bucket, which misses nothing.
 
 A bucket then may hold texts apart, in another class than its leader's.  Where
 they are at most ``APART``, each is compared with all other texts of the
-bucket, also those that passed, unless both are in one class already.  Where
-they are more - texts with a common passage and little else in common -
+bucket, also those that passed, unless both are in one class already; so it is
+in larger buckets, or in all others as one, while a kind's comparisons are at
+most ``SPARE`` times ``APART`` for every text.  Where they are more - texts with a common passage and little else in common -
 their texts are dealt anew by rare tokens: near texts have so many tokens in
 common that one is among the rarest of both (``rare_of`` tells how many that
 takes), so no near pair is lost, while a passage that many share is not rare.
-Rarity is told by counts of slots that tokens are hashed to, a table of fixed
-size; a text gives its rarest tokens only.
+Rarity is told by counts of slots that tokens are hashed to, tables of fixed
+size; a text gives its rarest tokens only.  A token that texts of one class hold,
+and no others, names no pair that is still to be compared: such tokens are the
+rarest of all, and are not given; nor are tokens that only texts of one class
+have among their rarest.
 Where a passage is so large a part of the texts that its tokens are among these,
 buckets of tokens have many texts apart too; then the next kind of tokens deals
 the texts of those buckets anew, with leaders from the texts apart.  Near texts
@@ -54,15 +58,23 @@ from .components import components
 BLOCK_TEXTS = 250
 #: Texts apart from their leader that are compared with their whole bucket.
 APART = 32
+#: Buckets with more are compared whole too, the smallest first, as long as a
+#: kind's comparisons are at most SPARE times APART for every text; the others'
+#: texts are compared as one bucket if that is as few.
+SPARE = 4
 #: Leaders a text is tested against, after the least one.
 LEADERS = 3
-#: Slots in which tokens are counted, 4 MB in all, and slots of a row of counts.
+#: Slots of each of the two tables in which tokens are counted, 8 MB in all,
+#: and slots of a row of counts.
 SLOTS = 1 << 20
-PART_SLOTS = 1 << 12
+PART_SLOTS = 1 << 13
 
 
 def slots(tokens: np.ndarray) -> np.ndarray:
-    return (words.mix(tokens) >> np.uint64(44)).astype(np.int64)
+    """The slots of the tokens, a row for each of the two tables."""
+    mixed = words.mix(tokens)
+    own = [(mixed >> np.uint64(k)).astype(np.int64) & (SLOTS - 1) for k in (44, 24)]
+    return np.stack([own[0], own[1] + SLOTS])
 
 
 def sketches(docs: DataFrame, bands_of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
@@ -141,6 +153,28 @@ def sizes_of(rest: DataFrame) -> DataFrame:
     return rest.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if("apart").alias("far"), *marks).where("far > 0")
 
 
+def most_apart(sizes: DataFrame, texts: int) -> int:
+    """Texts apart of the largest buckets of ``sizes`` to be compared whole:
+    ``APART``, or as many as leave all comparisons in proportion to ``texts``,
+    which costs less than dealing their texts anew."""
+    once = sizes.where("n > 1").dropDuplicates(["n", "far", "mark0", "mark1"])
+    work = once.groupBy(F.ceil(F.log2("far")).cast("int").alias("power")).agg(F.sum(F.col("n") * F.col("far")).alias("work"))
+    most, total = APART, 0
+    for power, more in sorted(work.collect()):
+        total += more
+        if total > SPARE * APART * texts:
+            break
+        most = max(most, 2**power)
+    return most
+
+
+def one_bucket(held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rest`` and ``sizes`` of one bucket of all texts of ``held`` (node,
+    label)."""
+    held = saved(held.select("node", F.lit(0).cast("long").alias("band"), "label", F.lit(True).alias("apart")), "rest")
+    return held, saved(sizes_of(held), "apart")
+
+
 def fewest(rest: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``rest`` and ``sizes`` as they are, or all texts in one bucket if the
     buckets name more pairs than these texts have."""
@@ -148,8 +182,7 @@ def fewest(rest: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
     n = held.count()
     if not n or sizes.agg(F.sum(F.col("n") * F.col("far"))).first()[0] < n * (n - 1) // 2:
         return rest, sizes
-    held = saved(held.select("node", F.lit(0).cast("long").alias("band"), "label", F.lit(True).alias("apart")), "rest")
-    return held, saved(sizes_of(held), "apart")
+    return one_bucket(held)
 
 
 def shared_before(bands: pa.ListArray, band: int) -> Callable[[int], np.ndarray]:
@@ -227,39 +260,44 @@ def linked(rest: DataFrame, sizes: DataFrame, texts: DataFrame, near_many: Calla
     )
 
 
-def token_counts(hot: DataFrame, rare_of: Callable) -> np.ndarray:
-    """How many tokens of ``hot`` (node, words) fall into each of ``SLOTS``
-    slots.  A task gives back one row a part of the slots."""
+def token_counts(hot: DataFrame, tokens_of: Callable[[np.ndarray], np.ndarray], one_label: bool = True) -> np.ndarray:
+    """How many tokens of ``hot`` (node, label, words) fall into each slot of
+    the tables, with ``one_label`` 0 where all are of texts of one label.  A
+    task gives back one row a part of the slots."""
+
+    def add_to(total, first, mixed, at, n, label, more):
+        new = at[total[at] == 0]
+        first[new] = label if np.isscalar(label) else label[total[at] == 0]
+        mixed[at] |= (first[at] != label) | more
+        total[at] += n
 
     def count(batches):
-        total = np.zeros(SLOTS, np.int64)
+        total, first, mixed = (np.zeros(2 * SLOTS, kind) for kind in (np.int64, np.int64, bool))
         for batch in batches:
-            for blob in batch.column("words"):
-                tokens, _ = rare_of(np.frombuffer(blob.as_buffer(), "<u4"))
-                slot, n = np.unique(slots(tokens), return_counts=True)
-                total[slot] += n
-        parts = total.reshape(-1, PART_SLOTS)
-        some = np.flatnonzero(parts.any(1))
-        at = [np.flatnonzero(parts[p]) for p in some]
+            for label, blob in zip(batch.column("label").to_pylist(), batch.column("words")):
+                slot, n = np.unique(slots(tokens_of(np.frombuffer(blob.as_buffer(), "<u4"))), return_counts=True)
+                add_to(total, first, mixed, slot, n, label, False)
+        some = np.flatnonzero(total.reshape(-1, PART_SLOTS).any(1))
+        at = [p * PART_SLOTS + np.flatnonzero(total[p * PART_SLOTS : (p + 1) * PART_SLOTS]) for p in some]
+        columns = [[(x % PART_SLOTS).astype("<u2").tobytes() for x in at]]
+        columns += [[c[x].astype(kind).tobytes() for x in at] for c, kind in ((total, "<i8"), (first, "<i8"), (mixed, "?"))]
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(some.astype(np.int32)),
-                pa.array([x.astype("<u2").tobytes() for x in at], pa.binary()),
-                pa.array([parts[p][x].astype("<i8").tobytes() for p, x in zip(some, at)], pa.binary()),
-            ],
-            ["part", "slots", "counts"],
+            [pa.array(some.astype(np.int32)), *(pa.array(c, pa.binary()) for c in columns)],
+            ["part", "slots", "counts", "labels", "mixed"],
         )
 
     def add(group):
-        total = np.zeros(PART_SLOTS, np.int64)
-        for at, n in zip(group["slots"], group["counts"]):
-            total[np.frombuffer(at.as_buffer(), "<u2")] += np.frombuffer(n.as_buffer(), "<i8")
-        return pa.table(
-            {"part": group["part"][:1], "counts": pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())}
-        )
-
-    found = hot.select("words").mapInArrow(count, "part int, slots binary, counts binary")
-    out = np.zeros((SLOTS // PART_SLOTS, PART_SLOTS), np.uint32)
+        total, first, mixed = (np.zeros(PART_SLOTS, kind) for kind in (np.int64, np.int64, bool))
+        for row in zip(*(group[c] for c in ("slots", "counts", "labels", "mixed"))):
+            at, n, label, more = (np.frombuffer(x.as_buffer(), kind) for x, kind in zip(row, ("<u2", "<i8", "<i8", "?")))
+            add_to(total, first, mixed, at, n, label, more)
+        total[~mixed if one_label else total < 0] = 0
+        counts = np.minimum(total, 2**32 - 1).astype("<u4").tobytes()
+        return pa.table({"part": group["part"][:1], "counts": pa.array([counts], pa.binary())})
+
+    schema = "part int, slots binary, counts binary, labels binary, mixed binary"
+    found = hot.select("label", "words").mapInArrow(count, schema)
+    out = np.zeros((2 * SLOTS // PART_SLOTS, PART_SLOTS), np.uint32)
     for part, counts in found.groupBy("part").applyInArrow(add, "part int, counts binary").collect():
         out[part] = np.frombuffer(counts, "<u4")
     return out.reshape(-1)
@@ -268,18 +306,32 @@ def token_counts(hot: DataFrame, rare_of: Callable) -> np.ndarray:
 def by_rare_tokens(nodes: DataFrame, texts: DataFrame, rare_of: Callable) -> DataFrame:
     """(node, band): the rarest tokens of each of ``nodes`` (node), as many
     as ``rare_of(words)`` - (tokens, number) - says.  Tokens are different
-    numbers; rare are those whose slot few of the nodes' tokens fall into.
-    That is one order of all tokens for every text, so that near texts have
-    one in common whatever falls into one slot."""
-    hot = saved(texts.join(nodes, "node", "left_semi"), "hot")
-    counts = token_counts(hot, rare_of)
+    numbers; rare are those with a slot that few of the nodes' tokens fall
+    into.  That is one order of all tokens for every text, so that near texts
+    have one in common whatever falls into one slot.
+
+    If ``nodes`` has the texts' classes as ``label``, tokens of texts of one
+    class are the rarest, and a token is given only if texts of two classes
+    have it, and have it among their rarest: near texts of two classes do."""
+    told = "label" in nodes.columns
+    nodes = nodes if told else nodes.withColumn("label", F.col("node"))
+    hot = saved(texts.join(nodes, "node").select("node", "label", "words"), "hot")
+    counts = token_counts(hot, lambda w: rare_of(w)[0], told)
+
+    def rarest(w):
+        tokens, number = rare_of(w)
+        rarity = counts[slots(tokens)].min(0)
+        at = np.lexsort((tokens, rarity))[:number]
+        return tokens[at[rarity[at] > 0]]
+
+    given = token_counts(hot, rarest) if told else None
 
     def find(batches):
         for batch in batches:
             found = []
             for blob in batch.column("words"):
-                tokens, number = rare_of(np.frombuffer(blob.as_buffer(), "<u4"))
-                found.append(tokens[np.lexsort((tokens, counts[slots(tokens)]))[:number]])
+                tokens = rarest(np.frombuffer(blob.as_buffer(), "<u4"))
+                found.append(tokens if given is None else tokens[given[slots(tokens)].min(0) > 0])
             size = [len(x) for x in found]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -289,7 +341,7 @@ def by_rare_tokens(nodes: DataFrame, texts: DataFrame, rare_of: Callable) -> Dat
                 ["node", "band"],
             )
 
-    return hot.mapInArrow(find, "node long, band long")
+    return hot.select("node", "words").mapInArrow(find, "node long, band long")
 
 
 class Labels:
@@ -350,7 +402,7 @@ def near_classes(
     heads = led.select("node").distinct()
     heads = saved(nodes.join(heads, "node", "left_semi").select("node", "key"), "ends")
     texts = saved(word_table(docs, heads), "words")
-    labels, known = Labels(), None
+    labels, known, n_texts = Labels(), None, nodes.count()
 
     def test(pairs: DataFrame) -> DataFrame:
         nonlocal known
@@ -367,9 +419,9 @@ def near_classes(
         some = labels.of(labels.of(led, "node", "label"), "leader", "led_by").where("label <> led_by")
         # The leaders of most buckets; who is near another is a text apart, for
         # the comparison of the bucket.
-        most = Window.partitionBy("node").orderBy(F.desc("n"), "leader")
+        order = Window.partitionBy("node").orderBy(F.desc("n"), "leader")
         some = some.groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"))
-        some = some.withColumn("rank", F.row_number().over(most)).where(F.col("rank") <= LEADERS)
+        some = some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= LEADERS)
         test(some.select(F.col("node").alias("a"), F.col("leader").alias("b")))
         # Texts apart, and their buckets, the leader among them.
         every = led.select("node", "band", "leader").unionByName(
@@ -381,13 +433,21 @@ def near_classes(
         sizes = saved(sizes_of(some), "apart")
         if rare is None:
             some, sizes = fewest(some, sizes)
-        links = linked(some, sizes if rare is None else sizes.where(F.col("far") <= APART), texts, near_many)
+        most = most_apart(sizes, n_texts) if rare else None
+        links = linked(some, sizes.where(F.col("far") <= most) if rare else sizes, texts, near_many)
         labels.join(saved(links, "links"))
-        large = sizes.where(F.col("far") > APART).select("band")
-        if rare is None or not large.limit(1).count():
+        if rare is None:
+            break
+        large = sizes.where(F.col("far") > most).select("band")
+        if not large.limit(1).count():
             break
         hot = labels.of(some.join(large, "band").select("node", "band", "apart"), "node", "label")
-        deep = by_rare_tokens(hot.select("node").distinct(), texts, rare)
+        held = saved(hot.select("node", "label").distinct(), "held")
+        n = held.count()
+        if n * (n - 1) // 2 <= SPARE * APART * n_texts:
+            labels.join(saved(linked(*one_bucket(held), texts, near_many), "links"))
+            break
+        deep = by_rare_tokens(held, texts, rare)
         # One row a text and key; leaders are texts apart, where there are any.
         deep = saved(deep, "deeper")
         away = hot.where("apart").select("node").distinct().withColumn("away", F.lit(1))

@@ -404,6 +404,45 @@ def test_a_text_gives_its_rarest_tokens_only(spark, monkeypatch):
     assert max(rows) == len(texts)
 
 
+def test_tokens_of_one_class_are_not_given(spark):
+    """Near texts of one class, however many, give only what texts of another
+    class have among their rarest too; near texts of two classes still meet."""
+    rnd = np.random.default_rng(22)
+    base = rnd.integers(0, 2**32, 120, dtype=np.uint32)
+    texts = [np.where(rnd.random(120) < 0.05, rnd.integers(0, 2**32, 120, dtype=np.uint32), base) for _ in range(40)]
+    texts += [rnd.integers(0, 2**32, 120, dtype=np.uint32) for _ in range(40)]
+    texts += [np.where(rnd.random(120) < 0.1, rnd.integers(0, 2**32, 120, dtype=np.uint32), t) for t in texts[70:]]
+    texts = [t.astype("<u4") for t in texts]
+    table = spark.createDataFrame([(i, t.tobytes()) for i, t in enumerate(texts)], "node long, words binary")
+    nodes = spark.createDataFrame([(i, 0 if i < 40 else i) for i in range(len(texts))], "node long, label long")
+    for rare in (O.rare_tokens, O.rare_words):
+        found = C.by_rare_tokens(nodes, table, rare).collect()
+        own = [set() for _ in texts]
+        for r in found:
+            own[r["node"]].add(r["band"])
+        assert not any(own[:70])
+        near = [i for i in range(70, 80) if O.near(texts[i], texts[i + 10])]
+        assert len(near) > 5 and all(own[i] & own[i + 10] for i in near)
+
+
+def test_large_buckets_are_compared_whole_if_that_is_little(spark, monkeypatch):
+    """One large bucket among many texts is not dealt anew; its links are found."""
+    monkeypatch.setattr(C, "APART", 4)
+    monkeypatch.setattr(C, "by_rare_tokens", lambda *_: pytest.fail("dealt anew"))
+    rnd = random.Random(23)
+    texts = []
+    for g in range(12):
+        own = [f"g{g}w{i}" for i in range(40)]
+        texts += [own, changed(rnd, own, 5)]
+    many = [[f"o{g}w{i}" for i in range(16)] for g in range(120)]
+    keys = lambda hashes: np.zeros(1, np.uint64) if len(hashes) > 20 else hashes[:1]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts + many)]
+    out = C.near_classes(docs(spark, rows), keys, O.near, O.near_many, O.rare_tokens, O.rare_words)
+    want = all_pairs(texts) + list(range(len(texts), len(rows)))
+    assert len(set(want[:24])) == 12
+    assert tuples(out, "doc_id", "class_id") == sorted(enumerate(want), key=repr)
+
+
 def test_texts_of_the_last_buckets_in_one(spark):
     """Where the buckets name more pairs than there are."""
     schema = "node long, band long, label long, apart boolean"
